@@ -1,0 +1,31 @@
+"""Broadcast only behind a proven size bound.
+
+Two ways are used:
+
+* no hint at all: with AQE on, Spark measures the shuffled size of each join
+  side at run time and turns the join into a broadcast hash join only when the
+  measured side is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``;
+  otherwise it stays a shuffled join.  Used where the small side is computed
+  in the same query.
+* :func:`bounded_broadcast`: for a side read from storage (the historical
+  ratio table), count its rows (cheap for a stored table) and hint a
+  broadcast only under an explicit row bound; past the bound, the plain join
+  is returned and Spark shuffles both sides on the join key.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Fixed bound: 2M rows of the lookup (a few tens of MB) per executor.
+MAX_BROADCAST_ROWS = 2_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """``(broadcast(df), True)`` if ``df`` has at most ``max_rows`` rows, else
+    ``(df, False)``.  Runs one count job on ``df``."""
+    n = df.count()
+    if n <= max_rows:
+        return F.broadcast(df), True
+    return df, False
