@@ -102,3 +102,59 @@ def sql_ratio_query(ticks_sql: str, done_sql: str | None = None) -> str:
         src = (f"select * from ({ticks_sql}) t where not exists (select 1 from ({done_sql}) d "
                f"where d.timestampvalue = t.timestampvalue)")
     return sql_metrics_batch(sql_window(src))
+
+
+def _ieee(a: str, b: str) -> str:
+    """IEEE double division in DuckDB SQL (its ``/`` gives NULL on zero)."""
+    return (f"(case when ({a}) is null or ({b}) is null then null "
+            f"when ({b}) <> 0 or isnan({b}) then ({a}) / ({b}) "
+            f"when isnan({a}) or ({a}) = 0 then 'nan'::double "
+            f"when ({a}) > 0 then 'inf'::double else '-inf'::double end)")
+
+
+def _nz(x: str) -> str:
+    return f"(case when isnan({x}) then 0.0 else {x} end)"
+
+
+def sql_realtime(ticks_sql: str, rounded: bool = True) -> str:
+    """Stream metrics (P4, P5 when rounded) over the count window, in SQL."""
+    w = ("partition by symbol order by timestampvalue nulls first, tick_id nulls first "
+         f"rows between {WINDOW - 1} preceding and current row")
+    win = (f"select symbol, timestampvalue, price, cast(volume as double) as volume, tick_id, "
+           f"avg(price) over ({w}) as priceavg, avg(volume) over ({w}) as volumeavg "
+           f"from ({ticks_sql}) t")
+    pc = _ieee("(price - priceavg) * 100.0", "priceavg")
+    vc = _ieee("(volume - volumeavg) * 100.0", "volumeavg")
+    raw = f"select *, {pc} as pc, {vc} as vc from ({win}) w"
+    r = (lambda c: f"(round({c}, 5) + 0.0)") if rounded else (lambda c: c)
+    return (f"select trim(replace(symbol, '\"', ' ')) as symbol, "
+            f"trim(replace(timestampvalue, '\"', ' ')) as timestampvalue, "
+            f"{r('price')} as price, {r('volume')} as volume, {r('priceavg')} as priceavg, "
+            f"{r(_nz('pc'))} as pricechange, {r('volumeavg')} as volumeavg, "
+            f"{r(_nz('vc'))} as volumechange, {r(_nz(_ieee('pc', 'vc')))} as ratio, tick_id "
+            f"from ({raw}) m")
+
+
+def sql_first_wins(src: str, cols: str) -> str:
+    return (f"select {cols} from (select *, row_number() over (partition by symbol, "
+            f"timestampvalue order by tick_id) as rn_fw from ({src}) s) f where rn_fw = 1")
+
+
+STOCK_SQL_COLS = ("symbol, timestampvalue, price, volume, priceavg, pricechange, volumeavg, "
+                  "volumechange, ratio")
+ALERT_SQL_COLS = "symbol, timestampvalue, histratio, currentratio, ratiodeviation, threshold"
+
+
+def sql_lookup_join(rows_sql: str, hist_sql: str, width: int = TOD_WIDTH_TEST) -> str:
+    tod = (f"substring(split_part(trim(replace(r.timestampvalue, '\"', ' ')), ' ', 2), 1, {width})")
+    return (f"select r.*, h.histratio from ({rows_sql}) r join ({hist_sql}) h "
+            f"on r.symbol = h.symbol and {tod} = h.timestampvalue")
+
+
+def sql_alert_rows(joined_sql: str, threshold: float = THRESHOLD) -> str:
+    dev = "(case when histratio = 0 then null else (ratio - histratio) * 100 / histratio end)"
+    return (f"select symbol, timestampvalue, round(histratio, 5) + 0.0 as histratio, "
+            f"ratio as currentratio, round(dev, 5) + 0.0 as ratiodeviation, "
+            f"{float(threshold)}::double as threshold, tick_id from "
+            f"(select *, {dev} as dev from ({joined_sql}) j) d "
+            f"where dev is not null and not isnan(dev) and not isinf(dev) and dev > {float(threshold)}")

@@ -180,3 +180,123 @@ def q_hist_ratio_strict(spark, d):
           f"from ({T_ALL}) t group by all")
 def q_tod_avg_price_volume(spark, d):
     return H.tod_avg_price_volume(X.ticks(spark, d), W5)
+
+
+# ---- P4, P5, Q3 (replay), J3, F2/F3, Q4, K2 -----------------------------------------
+
+HIST_SQL = _sql_strict(X.sql_ratio_query(T_BEFORE))
+RT_LIVE = X.sql_realtime(T_LIVE)
+STOCK_SQL = X.sql_first_wins(RT_LIVE, X.STOCK_SQL_COLS)
+JOINED_SQL = X.sql_lookup_join(RT_LIVE, HIST_SQL)
+ALERTS_SQL = X.sql_first_wins(X.sql_alert_rows(JOINED_SQL), X.ALERT_SQL_COLS)
+
+
+@register("realtime_ratio", X.sql_realtime(T_ALL, rounded=True))
+def q_realtime_ratio(spark, d):
+    return A.realtime_ratio(X.ticks(spark, d), X.WINDOW, rounded=True)
+
+
+@register("metrics_stream", X.sql_realtime(T_ALL, rounded=False))
+def q_metrics_stream(spark, d):
+    return A.realtime_ratio(X.ticks(spark, d), X.WINDOW, rounded=False)
+
+
+@register("historical_lookup", HIST_SQL)
+def q_historical_lookup(spark, d):
+    return X.history(spark, d)
+
+
+@register("stock_rows", STOCK_SQL)
+def q_stock_rows(spark, d):
+    return X.live_stock(spark, d)
+
+
+@register("hist_lookup_join", JOINED_SQL)
+def q_hist_lookup_join(spark, d):
+    return A.hist_lookup_join(A.realtime_ratio(X.live_ticks(spark, d), X.WINDOW),
+                              X.history(spark, d), W5)
+
+
+@register("ratio_alerts", ALERTS_SQL)
+def q_ratio_alerts(spark, d):
+    return X.live_alerts(spark, d)
+
+
+# ---- feeds: Q6-Q9, A3-A5, A8, U1, F4 ------------------------------------------------
+
+from ..operators import feeds as FD  # noqa: E402
+
+EVENT_SYMBOLS = ("click", "error", "purchase", "signup", "view")
+MARK = X.FEED_MARK
+
+
+@register("incremental_filter", f"select * from ({ALERTS_SQL}) a where timestampvalue > '{MARK}'")
+def q_incremental_filter(spark, d):
+    return FD.incremental_filter(X.live_alerts(spark, d), MARK)
+
+
+@register("high_watermark", f"select max(timestampvalue) as high_watermark from ({STOCK_SQL}) s")
+def q_high_watermark(spark, d):
+    return FD.high_watermark(X.live_stock(spark, d))
+
+
+@register("dashboard_feed",
+          "select c.symbol, c.timestampvalue as tmst, substring(c.timestampvalue, 1, 10) as \"dateValue\", "
+          "substring(c.timestampvalue, 12, 8) as \"timeValue\", "
+          "coalesce(a.currentratio, 0) as currentratio, coalesce(a.histratio, 0) as histratio, "
+          "coalesce(a.ratiodeviation, 0) as ratiodeviation, coalesce(a.threshold, 0) as threshold, "
+          "case when a.ratiodeviation is null then 0 else 1 end as \"alertFlag\", "
+          "c.price, c.volume, c.priceavg, c.pricechange, c.volumeavg, c.volumechange "
+          f"from ({STOCK_SQL}) c left join ({ALERTS_SQL}) a "
+          "on c.symbol = a.symbol and c.timestampvalue = a.timestampvalue "
+          f"where c.timestampvalue > '{MARK}' order by 2")
+def q_dashboard_feed(spark, d):
+    return FD.dashboard_feed(X.live_stock(spark, d), X.live_alerts(spark, d), MARK)
+
+
+@register("dashboard_feed_first_poll",
+          "select c.symbol, c.timestampvalue as tmst, substring(c.timestampvalue, 1, 10) as \"dateValue\", "
+          "substring(c.timestampvalue, 12, 8) as \"timeValue\", "
+          "coalesce(a.currentratio, 0) as currentratio, coalesce(a.histratio, 0) as histratio, "
+          "coalesce(a.ratiodeviation, 0) as ratiodeviation, coalesce(a.threshold, 0) as threshold, "
+          "case when a.ratiodeviation is null then 0 else 1 end as \"alertFlag\", "
+          "c.price, c.volume, c.priceavg, c.pricechange, c.volumeavg, c.volumechange "
+          f"from ({STOCK_SQL}) c left join ({ALERTS_SQL}) a "
+          "on c.symbol = a.symbol and c.timestampvalue = a.timestampvalue order by 2")
+def q_dashboard_feed_first_poll(spark, d):
+    return FD.dashboard_feed(X.live_stock(spark, d), X.live_alerts(spark, d), None)
+
+
+@register("alert_feed",
+          "select symbol, substring(timestampvalue, 1, 19) as \"timestampValue\", "
+          "substring(timestampvalue, 1, 10) as \"dateValue\", substring(timestampvalue, 12, 8) as \"timeValue\", "
+          "histratio, currentratio, ratiodeviation, threshold, 1 as \"Alert\" "
+          f"from ({ALERTS_SQL}) a where timestampvalue > '{MARK}' order by 2")
+def q_alert_feed(spark, d):
+    return FD.alert_feed(X.live_alerts(spark, d), MARK)
+
+
+@register("alert_counts", f"select symbol, count(*) as count from ({ALERTS_SQL}) a group by symbol")
+def q_alert_counts(spark, d):
+    return FD.alert_counts(X.live_alerts(spark, d))
+
+
+@register("alert_total", f"select 'TOTAL' as symbol, count(symbol) as alerts from ({ALERTS_SQL}) a")
+def q_alert_total(spark, d):
+    return FD.alert_total(X.live_alerts(spark, d))
+
+
+_U1_SQL = (f"select symbol, count(*) as alerts from ({ALERTS_SQL}) a group by symbol union all "
+           f"select 'TOTAL' as symbol, count(symbol) as alerts from ({ALERTS_SQL}) b")
+
+
+@register("alerts_with_total", _U1_SQL)
+def q_alerts_with_total(spark, d):
+    return FD.alerts_with_total(X.live_alerts(spark, d))
+
+
+@register("alert_pivot_feed",
+          "select " + ", ".join(f"max(case when symbol = '{s}' then alerts end) as \"{s}\""
+                                for s in (*EVENT_SYMBOLS, "TOTAL")) + f" from ({_U1_SQL}) u")
+def q_alert_pivot_feed(spark, d):
+    return FD.alert_pivot_feed(X.live_alerts(spark, d), EVENT_SYMBOLS)
