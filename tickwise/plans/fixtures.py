@@ -158,3 +158,39 @@ def sql_alert_rows(joined_sql: str, threshold: float = THRESHOLD) -> str:
             f"{float(threshold)}::double as threshold, tick_id from "
             f"(select *, {dev} as dev from ({joined_sql}) j) d "
             f"where dev is not null and not isnan(dev) and not isinf(dev) and dev > {float(threshold)}")
+
+
+def sql_messages(ticks_sql: str) -> str:
+    """Tick JSON messages in DuckDB (``value`` text and ``offset``)."""
+    return (f"select json_object('symbol', symbol, 'timestampValue', timestampvalue, "
+            f"'price', price, 'volume', volume)::varchar as value, tick_id as \"offset\" "
+            f"from ({ticks_sql}) t")
+
+
+def sql_parse_lenient(msg_sql: str) -> str:
+    """Happy-path lenient parse (all fixture messages are well formed)."""
+    return (f"select json_extract(value, '$.symbol')::varchar as symbol, "
+            f"json_extract(value, '$.timestampValue')::varchar as timestampvalue, "
+            f"cast(json_extract_string(value, '$.price') as double) as price, "
+            f"cast(json_extract_string(value, '$.volume') as double) as volume, \"offset\" "
+            f"from ({msg_sql}) m")
+
+
+def sql_java_double(x: str) -> str:
+    """``Double.toString`` text of a double in DuckDB SQL: plain decimal for
+    1e-3 <= |x| < 1e7, otherwise ``d.dddE<n>``."""
+    s = f"abs({x})::varchar"
+    ip, fp = f"split_part({s}, '.', 1)", f"split_part({s}, '.', 2)"
+    raw = (f"(case when {s} like '%e%' then replace(split_part({s}, 'e', 1), '.', '') "
+           f"when {ip} <> '0' then {ip} || {fp} else ltrim({fp}, '0') end)")
+    exp = (f"(case when {s} like '%e%' then cast(split_part({s}, 'e', 2) as int) "
+           f"when {ip} <> '0' then length({ip}) - 1 "
+           f"else -(length({fp}) - length(ltrim({fp}, '0')) + 1) end)")
+    digits = f"rtrim({raw}, '0')"
+    mant = (f"(left({digits}, 1) || '.' || case when length({digits}) > 1 "
+            f"then substr({digits}, 2) else '0' end)")
+    sci = f"((case when {x} < 0 then '-' else '' end) || {mant} || 'E' || {exp}::varchar)"
+    return (f"(case when {x} is null then null when isnan({x}) then 'NaN' "
+            f"when {x} = 'inf'::double then 'Infinity' when {x} = '-inf'::double then '-Infinity' "
+            f"when {x} = 0 then '0.0' "
+            f"when abs({x}) >= 0.001 and abs({x}) < 10000000 then ({x})::varchar else {sci} end)")

@@ -300,3 +300,88 @@ def q_alerts_with_total(spark, d):
                                 for s in (*EVENT_SYMBOLS, "TOTAL")) + f" from ({_U1_SQL}) u")
 def q_alert_pivot_feed(spark, d):
     return FD.alert_pivot_feed(X.live_alerts(spark, d), EVENT_SYMBOLS)
+
+
+# ---- P1, P2, F1, P3, Q3 from JSON text ------------------------------------------------
+
+from ..operators import parse as P  # noqa: E402
+from ..sources.ticks import tick_messages  # noqa: E402
+
+MSG_SQL = X.sql_messages(T_ALL)
+
+
+def _messages(spark, d):
+    return tick_messages(X.ticks(spark, d))
+
+
+@register("parse_tick_lenient", X.sql_parse_lenient(MSG_SQL))
+def q_parse_tick_lenient(spark, d):
+    return P.parse_tick_lenient(_messages(spark, d), keep=("offset",))
+
+
+@register("parse_tick_strict",
+          "select json_extract_string(value, '$.symbol') as symbol, "
+          "json_extract_string(value, '$.timestampValue') as timestampvalue, "
+          "cast(json_extract_string(value, '$.price') as double) as price, "
+          "cast(json_extract_string(value, '$.volume') as int) as volume, \"offset\" "
+          f"from ({MSG_SQL}) m")
+def q_parse_tick_strict(spark, d):
+    return P.parse_tick_strict(_messages(spark, d), keep=("offset",))
+
+
+@register("clean_ticks",
+          "select trim(replace(symbol, '\"', ' ')) as symbol, "
+          "trim(replace(timestampvalue, '\"', ' ')) as timestampvalue, price, volume, \"offset\" "
+          f"from ({X.sql_parse_lenient(MSG_SQL)}) p where symbol not like '%Invalid%'")
+def q_clean_ticks(spark, d):
+    parsed = P.parse_tick_lenient(_messages(spark, d), keep=("offset",))
+    return P.clean_ticks(P.drop_invalid(parsed))
+
+
+@register("realtime_ratio_json",
+          X.sql_realtime("select symbol, timestampvalue, price, volume, \"offset\" as tick_id from ("
+                         + X.sql_parse_lenient(MSG_SQL) + ") p where symbol not like '%Invalid%'"))
+def q_realtime_ratio_json(spark, d):
+    parsed = P.parse_tick_lenient(_messages(spark, d), keep=("offset",))
+    ticks = P.drop_invalid(parsed).withColumnRenamed("offset", "tick_id")
+    return A.realtime_ratio(ticks, X.WINDOW, rounded=True)
+
+
+# ---- Q5 alert messages, W3 + Q10 alert digest ------------------------------------------
+
+J = X.sql_java_double
+
+
+@register("alert_messages",
+          "select symbol, timestampvalue, ' Alert has generated for stock ' || symbol || "
+          "' and timestamp ' || timestampvalue || '. Historic Ratio : ' || " + J("histratio")
+          + " || ', Current Ratio : ' || " + J("currentratio") + " || ', Ratio deviation : ' || "
+          + J("ratiodeviation") + " || ', Threshold : ' || " + J("threshold")
+          + f" as message from ({ALERTS_SQL}) a")
+def q_alert_messages(spark, d):
+    return A.alert_messages(X.live_alerts(spark, d))
+
+
+def _java_ts(c: str) -> str:
+    return (f"(case when length({c}) = 19 then {c} || '.0' else "
+            f"substring({c}, 1, 19) || '.' || rtrim(substring({c}, 21), '0') end)")
+
+
+@register("running_first_last",
+          f"select *, min(timestampvalue) over () as first_ts, timestampvalue as last_ts "
+          f"from ({ALERTS_SQL}) a where timestampvalue > '{MARK}'")
+def q_running_first_last(spark, d):
+    from ..operators.windows import running_first_last
+    return running_first_last(FD.incremental_filter(X.live_alerts(spark, d), MARK))
+
+
+@register("alert_digest",
+          "select symbol, timestampvalue, 'STOCK PRICE ALERTS from ' || " + _java_ts("first_ts")
+          + " || ' to ' || " + _java_ts("timestampvalue") + " as subject, "
+          "'Symbol = ' || symbol || ' , Time = ' || timestampvalue || ' , Historical Ratio = ' || "
+          + J("histratio") + " || ' , Current Ratio = ' || " + J("currentratio")
+          + " || ' , Ratio Deviation = ' || " + J("ratiodeviation") + " || ' , Threshold = ' || "
+          + J("threshold") + " as body from (select *, min(timestampvalue) over () as first_ts from ("
+          + ALERTS_SQL + f") a where timestampvalue > '{MARK}') b order by timestampvalue, symbol")
+def q_alert_digest(spark, d):
+    return FD.alert_digest(X.live_alerts(spark, d), MARK)
