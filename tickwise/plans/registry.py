@@ -385,3 +385,68 @@ def q_running_first_last(spark, d):
           + ALERTS_SQL + f") a where timestampvalue > '{MARK}') b order by timestampvalue, symbol")
 def q_alert_digest(spark, d):
     return FD.alert_digest(X.live_alerts(spark, d), MARK)
+
+
+# ---- streaming: W2 with keyed state, Q3, Q4 stream-static, K2 ---------------------------
+
+from . import replay as R  # noqa: E402
+from .. import schemas as S  # noqa: E402
+from ..streaming import realtime as RT  # noqa: E402
+from ..streaming.count_window import count_window_stream  # noqa: E402
+from ..sources.sinks import overwrite_table  # noqa: E402
+from ..session import new_path  # noqa: E402
+
+PARSED_SQL = ("select symbol, timestampvalue, price, volume, \"offset\" as tick_id from ("
+              + X.sql_parse_lenient(MSG_SQL) + ") p where symbol not like '%Invalid%'")
+LIVE_MSG_SQL = X.sql_messages(T_LIVE)
+LIVE_PARSED_SQL = ("select symbol, timestampvalue, price, volume, \"offset\" as tick_id from ("
+                   + X.sql_parse_lenient(LIVE_MSG_SQL) + ") p where symbol not like '%Invalid%'")
+_W = ("partition by symbol order by timestampvalue nulls first, tick_id nulls first "
+      f"rows between {X.WINDOW - 1} preceding and current row")
+
+
+@register("count_window_stream",
+          f"select symbol, timestampvalue, tick_id, price, cast(volume as double) as volume, "
+          f"avg(price) over ({_W}) as priceavg, avg(volume) over ({_W}) as volumeavg "
+          f"from ({PARSED_SQL}) t")
+def q_count_window_stream(spark, d):
+    stream = R.stage(spark, _messages(spark, d), "w2")
+    return R.run_to_table(spark, count_window_stream(RT.parsed_ticks(stream), X.WINDOW), "w2")
+
+
+@register("realtime_ratio_stream", X.sql_realtime(PARSED_SQL))
+def q_realtime_ratio_stream(spark, d):
+    stream = R.stage(spark, _messages(spark, d), "q3")
+    return R.run_to_table(spark, RT.realtime_stream(stream, X.WINDOW), "q3")
+
+
+def _run_alert_job(spark, d, fresh: bool):
+    stream = R.stage(spark, tick_messages(X.live_ticks(spark, d)), "q4")
+    stock, alerts = new_path(spark, "stock"), new_path(spark, "stock_alert")
+    kw = {}
+    if fresh:
+        hist_path = new_path(spark, "stock_transformation")
+        overwrite_table(X.history(spark, d), hist_path)
+        kw["hist_path"] = hist_path
+    else:
+        kw["hist"] = X.history(spark, d)
+    q = RT.start_realtime_alerts(spark, stream, X.WINDOW, X.THRESHOLD, stock, alerts,
+                                 new_path(spark, "q4-ckpt"), width=W5, **kw)
+    q.awaitTermination()
+    if q.exception():
+        raise RuntimeError(str(q.exception()))
+    return stock, alerts
+
+
+@register("ratio_alerts_stream",
+          X.sql_first_wins(X.sql_alert_rows(X.sql_lookup_join(X.sql_realtime(LIVE_PARSED_SQL),
+                                                               HIST_SQL)), X.ALERT_SQL_COLS))
+def q_ratio_alerts_stream(spark, d):
+    _, alerts = _run_alert_job(spark, d, fresh=False)
+    return spark.read.parquet(alerts).select(*A.ALERT_COLS)
+
+
+@register("stock_rows_stream", X.sql_first_wins(X.sql_realtime(LIVE_PARSED_SQL), X.STOCK_SQL_COLS))
+def q_stock_rows_stream(spark, d):
+    stock, _ = _run_alert_job(spark, d, fresh=True)
+    return spark.read.parquet(stock).select(*A.STOCK_COLS)
