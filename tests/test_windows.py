@@ -48,14 +48,15 @@ def test_chunked_equals_plain_and_brute(make_ticks):
         want = brute(ROWS, n)
         assert run(df, n, split=False) == want
         for chars in (4, 10, 13, 19):
-            assert run(df, n, chunk_chars=chars) == want, (n, chars)
+            assert run(df, n, split=True, chunk_chars=chars) == want, (n, chars)
+        assert run(df, n, hot_rows=1) == want
 
 
 def test_short_chunks_carry_across_several_chunks(make_ticks):
     # one tick per hour: every chunk is shorter than n-1, so carries span chunks
     rows = [("S", f"2024-01-01 {h:02d}:00:00", float(h), h, h) for h in range(24)]
     df = make_ticks(rows)
-    assert run(df, 6) == brute(rows, 6)
+    assert run(df, 6, split=True) == brute(rows, 6)
 
 
 def test_hot_symbol_many_chunks(make_ticks):
@@ -63,7 +64,8 @@ def test_hot_symbol_many_chunks(make_ticks):
              float(i % 97), i % 7, i) for i in range(3000)]
     rows += [(f"c{i}", "2024-01-01 00:00:00", 1.0, 1, 10_000 + i) for i in range(50)]
     df = make_ticks(rows)
-    assert run(df, 4) == brute(rows, 4)
+    assert run(df, 4, hot_rows=100) == brute(rows, 4)   # auto: HOT is split, the rest is not
+    assert run(df, 4, split=True) == brute(rows, 4)
 
 
 @settings(max_examples=15, deadline=None)
@@ -75,11 +77,23 @@ def test_property_random_ticks(spark, rows, n, chars):
              for i, (s, t, p, v) in enumerate(rows)]
     df = spark.createDataFrame(ticks, "symbol string, timestampvalue string, price double, "
                                       "volume int, tick_id long")
-    assert run(df, n, chunk_chars=chars) == brute(ticks, n)
+    assert run(df, n, split=True, chunk_chars=chars) == brute(ticks, n)
+    assert run(df, n, hot_rows=1) == brute(ticks, n)
+
+
+def test_hot_key_detection(spark, make_ticks):
+    from tickwise.operators.windows import chunk_width, hot_keys
+    rows = [("HOT", f"2024-01-{1 + i // 100:02d} 00:00:{i % 60:02d}", 1.0, 1, i) for i in range(2000)]
+    rows += [(f"c{i}", "2024-01-01 00:00:00", 1.0, 1, 10_000 + i) for i in range(100)]
+    hot = hot_keys(make_ticks(rows), "symbol", "timestampvalue", hot_rows=10)
+    assert [h[0] for h in hot] == ["HOT"]
+    assert chunk_width(1000, "2024-01-01 00:00:00", "2024-01-30 00:00:00", 100) == 10
+    assert chunk_width(10**6, "2024-01-01 00:00:00", "2024-01-02 00:00:00", 1000) == 16
+    assert chunk_width(10, "bad", None, 100) == 13
 
 
 def test_plan_shuffles_by_symbol_and_chunk(make_ticks):
-    df = moving_avg_rows(make_ticks(ROWS), 3)
+    df = moving_avg_rows(make_ticks(ROWS), 3, split=True)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan          # partial top-k before the shuffle
     assert "_tw_chunk" in plan

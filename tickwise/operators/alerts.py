@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import (TOD_WIDTH, clean_quotes, deviation, round5, tod_of_raw)
 from .metrics import metrics_stream, metrics_stream_rounded
-from .windows import moving_avg_rows
+from .windows import CHUNK, moving_avg_rows
 
 TS = "timestampvalue"
+RAW_KEY = "_tw_key"      # the window's (uncleaned) partition key, kept with the chunk
 STOCK_COLS = ("symbol", TS, "price", "volume", "priceavg", "pricechange", "volumeavg",
               "volumechange", "ratio")
 ALERT_COLS = ("symbol", TS, "histratio", "currentratio", "ratiodeviation", "threshold")
@@ -31,17 +32,18 @@ def realtime_metrics(windowed: DataFrame, rounded: bool = True) -> DataFrame:
     Keeps ``tick_id`` (arrival order) when present."""
     m = (metrics_stream_rounded if rounded else metrics_stream)(
         windowed.withColumn("volume", F.col("volume").cast("double")))
-    extra = ["tick_id"] if "tick_id" in windowed.columns else []
+    extra = [c for c in ("tick_id", CHUNK) if c in windowed.columns]
+    if CHUNK in windowed.columns:
+        extra.append(F.col("symbol").alias(RAW_KEY))
     return m.select(clean_quotes("symbol").alias("symbol"), clean_quotes(TS).alias(TS),
                     *STOCK_COLS[2:], *extra)
 
 
 def realtime_ratio(ticks: DataFrame, n: int, rounded: bool = True,
-                   chunk_chars: int | None = None) -> DataFrame:
+                   keep_chunk: bool = False) -> DataFrame:
     """Q3 as a batch replay: count window over ticks in arrival order
     (timestamp, then ``tick_id``) + stream metrics.  Emits one row per tick."""
-    kw = {} if chunk_chars is None else {"chunk_chars": chunk_chars}
-    w = moving_avg_rows(ticks, n, outputs=("priceavg", "volumeavg"), **kw)
+    w = moving_avg_rows(ticks, n, outputs=("priceavg", "volumeavg"), keep_chunk=keep_chunk)
     return realtime_metrics(w, rounded)
 
 
@@ -54,9 +56,17 @@ def first_wins(df: DataFrame, keys=("symbol", TS), order: str = "tick_id") -> Da
     return df.groupBy(*keys).agg(picked.alias("_r")).select(*keys, *[f"_r.{c}" for c in others])
 
 
+# Primary key (symbol, timestampvalue) plus the window's partition columns (the
+# raw symbol text and the chunk, both functions of the key): grouping by them
+# is the same grouping for all input where a symbol is written one way, and
+# it reuses the window's hash partitioning instead of a second shuffle.
+PK_SAME_PARTITIONS = (RAW_KEY, CHUNK, "symbol", TS)
+
+
 def stock_rows(ticks: DataFrame, n: int, rounded: bool = True) -> DataFrame:
     """The ``stock`` table content: metric rows, first insert per key wins."""
-    return first_wins(realtime_ratio(ticks, n, rounded)).select(*STOCK_COLS)
+    rows = realtime_ratio(ticks, n, rounded, keep_chunk=True)
+    return first_wins(rows, PK_SAME_PARTITIONS).select(*STOCK_COLS)
 
 
 def hist_lookup_join(rows: DataFrame, hist: DataFrame, width: int = TOD_WIDTH,
@@ -80,7 +90,7 @@ def alert_rows(joined: DataFrame, threshold: float, rounded: bool = True) -> Dat
     deviation of exactly 99999.0 was never alerted); here unusable is NULL."""
     dev = deviation("ratio", "histratio")
     r = round5 if rounded else (lambda c: F.col(c))
-    extra = ["tick_id"] if "tick_id" in joined.columns else []
+    extra = [c for c in ("tick_id", CHUNK, RAW_KEY) if c in joined.columns]
     return (joined.withColumn("_dev", dev)
                   .where(F.col("_dev").isNotNull() & (F.col("_dev") > F.lit(float(threshold))))
                   .select("symbol", TS, r("histratio").alias("histratio"),
@@ -92,9 +102,9 @@ def alert_rows(joined: DataFrame, threshold: float, rounded: bool = True) -> Dat
 def ratio_alerts(ticks: DataFrame, hist: DataFrame, n: int, threshold: float,
                  width: int = TOD_WIDTH, rounded: bool = True) -> DataFrame:
     """Q4: the ``stock_alert`` rows produced by the live ticks."""
-    rows = realtime_ratio(ticks, n, rounded)
+    rows = realtime_ratio(ticks, n, rounded, keep_chunk=True)
     alerts = alert_rows(hist_lookup_join(rows, hist, width), threshold, rounded)
-    return first_wins(alerts).select(*ALERT_COLS)
+    return first_wins(alerts, PK_SAME_PARTITIONS).select(*ALERT_COLS)
 
 
 def alert_messages(alerts: DataFrame, with_numbers: bool = True) -> DataFrame:

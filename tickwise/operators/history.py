@@ -38,23 +38,19 @@ def delta_anti_join(ticks: DataFrame, done: DataFrame, by_symbol: bool = False)
 
 
 def ratio_query(ticks: DataFrame, done: DataFrame | None, n: int,
-                by_symbol: bool = False, carry_history: bool = False,
-                chunk_chars: int | None = None) -> DataFrame:
+                by_symbol: bool = False, carry_history: bool = False) -> DataFrame:
     """Q1: transformed rows for the ticks not processed yet.
 
     Faithful: the window only sees the delta (each run's first n-1 ticks per
     symbol get short windows).  ``carry_history=True`` evaluates the window
     over all ticks and keeps the delta rows, so runs chain seamlessly.
     """
-    kw = {} if chunk_chars is None else {"chunk_chars": chunk_chars}
     if done is None:
-        delta = ticks
-        windowed = moving_avg_rows(delta, n, **kw)
+        windowed = moving_avg_rows(ticks, n)
     elif carry_history:
-        windowed = moving_avg_rows(ticks, n, **kw)
-        windowed = delta_anti_join(windowed, done, by_symbol)
+        windowed = delta_anti_join(moving_avg_rows(ticks, n), done, by_symbol)
     else:
-        windowed = moving_avg_rows(delta_anti_join(ticks, done, by_symbol), n, **kw)
+        windowed = moving_avg_rows(delta_anti_join(ticks, done, by_symbol), n)
     out = metrics_batch(windowed)
     return out.select("symbol", TS, "avgprice", "pricechange",
                       F.col("avgvolume").alias("avgvol"), "volumechange", "ratio")

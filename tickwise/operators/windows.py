@@ -3,97 +3,189 @@
 ``AVG(x) OVER (PARTITION BY symbol ORDER BY ts ROWS BETWEEN n-1 PRECEDING AND
 CURRENT ROW)`` is one sort task per symbol in Spark: a symbol holding a third of
 all ticks would be one task over a third of the data.  :func:`moving_avg_rows`
-computes the same frame with bounded tasks:
+computes the same frame with bounded tasks by splitting a symbol into *chunks*
+of consecutive ticks:
 
-1. every tick gets a *chunk*: a prefix of its timestamp text (the hour by
-   default).  A prefix of a string is monotone in the string's order, so the
-   chunks of a symbol are consecutive ranges of its ticks;
+1. a chunk is a prefix of the timestamp text (day, hour, minute...).  A prefix
+   of a string is monotone in the string's order, so the chunks of a symbol are
+   consecutive ranges of its ticks;
 2. the last ``n-1`` ticks of each (symbol, chunk) are found with a
    ``row_number() <= n-1`` filter, which Spark runs as a partial
    ``WindowGroupLimit`` *before* the shuffle: only ``n-1`` rows per chunk and
    map task are exchanged;
-3. over those tail rows (``n-1`` per chunk, a tiny table), each chunk's first
+3. over those tail rows (``n-1`` per chunk, a small table), each chunk's first
    tail row collects the ``n-1`` tail rows preceding it: exactly the ``n-1``
    ticks preceding the chunk, however short the chunks in between are;
 4. these carried rows are unioned with the ticks and the frame is evaluated
    per (symbol, chunk); carried rows are dropped afterwards.
 
-The result equals the plain per-symbol window for any chunking; the tie-breaker
+Which symbols are split (``split="auto"``, the default): one aggregation
+(partial per task, no data shuffle beyond one row per key and task) counts the
+ticks per symbol and keeps the largest ones above ``hot_rows``, the ticks one
+task should sort (``spark.sql.files.maxPartitionBytes`` / 64 bytes per tick
+unless given).  At most ``MAX_HOT_KEYS`` of them are collected (a proven bound
+for the broadcast); if there are more, every symbol is chunked.  A hot symbol
+gets the coarsest prefix whose expected ticks per chunk (from its count and
+time span) stay under ``hot_rows``; all other symbols form one chunk each, i.e.
+the plain window, with no carry work.  ``split=True`` chunks every symbol with
+``chunk_chars``; ``split=False`` is the plain window.
+
+The result equals the plain per-symbol window in every mode; the tie-breaker
 columns must make the order total (the source ordered by timestamp only, which
 is nondeterministic on ties).
 """
 
 from __future__ import annotations
 
+import datetime as _dt
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_CHUNK_CHARS = 13   # "yyyy-MM-dd HH": one chunk per symbol and hour
+MAX_HOT_KEYS = 10_000      # hot symbols collected and broadcast at most
+TICK_BYTES = 64            # rough size of one tick row, for the task target
 
-_CHUNK = "_tw_chunk"
+# Prefixes of "yyyy-MM-dd HH:mm:ss" and the time each one spans.
+PREFIXES = ((7, 31 * 86400), (10, 86400), (13, 3600), (16, 60), (19, 1))
+
+CHUNK = "_tw_chunk"
 _CARRY = "_tw_carry"
 _RD = "_tw_rd"
-
-
-def _chunk_expr(order: Sequence[str], chunk: Column | None, chunk_chars: int) -> Column:
-    if chunk is not None:
-        return chunk
-    return F.substring(F.col(order[0]).cast("string"), 1, chunk_chars)
+_CC = "_tw_cc"
+
+
+def _parse_ts(s) -> _dt.datetime | None:
+    try:
+        return _dt.datetime.strptime(str(s)[:19], "%Y-%m-%d %H:%M:%S")
+    except (TypeError, ValueError):
+        return None
+
+
+def chunk_width(count: int, lo, hi, target: float, default: int = DEFAULT_CHUNK_CHARS) -> int:
+    """Coarsest timestamp prefix whose expected ticks per chunk stay within
+    ``target`` for a symbol with ``count`` ticks between ``lo`` and ``hi``."""
+    a, b = _parse_ts(lo), _parse_ts(hi)
+    if a is None or b is None:
+        return default
+    span = max((b - a).total_seconds(), 1.0)
+    for chars, seconds in PREFIXES:
+        if count * min(seconds / span, 1.0) <= target:
+            return chars
+    return PREFIXES[-1][0]
+
+
+def task_rows(spark) -> int:
+    """Ticks one task should sort: a file split's worth of tick rows."""
+    size = str(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m")).strip().lower()
+    m = re.match(r"^(\d+)\s*([kmgt]?)i?b?$", size)
+    if not m:
+        return (128 << 20) // TICK_BYTES
+    num = int(m.group(1)) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[m.group(2)]
+    return max(num // TICK_BYTES, 1)
+
+
+def hot_keys(df: DataFrame, key: str, order0: str, hot_rows: int):
+    """``[(key, prefix chars)]`` of the symbols with more than ``hot_rows``
+    ticks, largest first, or ``None`` when there are more than
+    ``MAX_HOT_KEYS`` of them (then everything is chunked).
+
+    First job: count per key (the order column is pruned from the scan),
+    keep the largest above ``hot_rows``.  Only if there are hot keys, a second
+    job reads their time span (their rows only, via a broadcast semi join)."""
+    counts = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+                .where(F.col("_n") > hot_rows).orderBy(F.desc("_n"))
+                .limit(MAX_HOT_KEYS + 1).collect())
+    if len(counts) > MAX_HOT_KEYS:
+        return None
+    if not counts:
+        return []
+    hot = df.sparkSession.createDataFrame(
+        [(r[0],) for r in counts], T.StructType([T.StructField(key, df.schema[key].dataType)]))
+    ts = F.col(order0).cast("string")
+    spans = {r[0]: (r[1], r[2]) for r in
+             df.join(F.broadcast(hot), key, "left_semi")
+               .groupBy(key).agg(F.min(ts), F.max(ts)).collect()}
+    return [(r[0], chunk_width(r[1], *spans.get(r[0], (None, None)), hot_rows)) for r in counts]
 
 
 def moving_avg_rows(df: DataFrame, n: int, key: str = "symbol",
                     order: Sequence[str] = ("timestampvalue", "tick_id"),
                     values: Sequence[str] = ("price", "volume"),
                     outputs: Sequence[str] = ("avgprice", "avgvolume"),
+                    split: bool | str = "auto",
                     chunk: Column | None = None,
                     chunk_chars: int = DEFAULT_CHUNK_CHARS,
-                    split: bool = True) -> DataFrame:
+                    hot_rows: int | None = None,
+                    keep_chunk: bool = False) -> DataFrame:
     """Append ``AVG(v) OVER (PARTITION BY key ORDER BY order ROWS n-1
     PRECEDING)`` for each value column.
 
-    ``chunk`` (default: the first ``chunk_chars`` characters of the first
-    order column) must be non-decreasing along ``order``.  ``split=False``
-    gives the plain one-partition-per-symbol plan, kept for comparison.
+    ``keep_chunk=True`` keeps the chunk column (``CHUNK``): the output is
+    hash-partitioned by (key, chunk), so a later aggregation grouped by
+    (key, chunk, ...) needs no further shuffle.
     """
     if n < 1:
         raise ValueError("window size must be >= 1")
     order = list(order)
     avgs = lambda w: [F.avg(F.col(v).cast("double")).over(w).alias(o)
                       for v, o in zip(values, outputs)]
-    if n == 1:
-        return df.select("*", *[F.col(v).cast("double").alias(o) for v, o in zip(values, outputs)])
-    if not split:
+    if split is False or n == 1:
         w = Window.partitionBy(key).orderBy(*order).rowsBetween(-(n - 1), 0)
-        return df.select("*", *avgs(w))
-
-    base = df.withColumn(_CHUNK, _chunk_expr(order, chunk, chunk_chars))
-    slim = base.select(key, _CHUNK, *order, *values)
+        out = df.select("*", *avgs(w))
+        return out.withColumn(CHUNK, F.lit("")) if keep_chunk else out
+
+    ts = F.col(order[0]).cast("string")
+    hot = None
+    if split == "auto" and chunk is None:
+        hot = hot_keys(df, key, order[0], hot_rows or task_rows(df.sparkSession))
+        if hot == []:
+            return moving_avg_rows(df, n, key, order, values, outputs, split=False,
+                                   keep_chunk=keep_chunk)
+    if hot:
+        hot_df = df.sparkSession.createDataFrame(hot, T.StructType([
+            T.StructField(key, df.schema[key].dataType), T.StructField(_CC, T.IntegerType())]))
+        # at most MAX_HOT_KEYS rows: a proven bound for the broadcast
+        marked = df.join(F.broadcast(hot_df), key, "left")
+        base = (marked.withColumn(CHUNK, F.when(F.col(_CC).isNull(), F.lit(""))
+                                           .otherwise(ts.substr(F.lit(1), F.col(_CC))))
+                      .drop(_CC))
+        split_rows = marked.where(F.col(_CC).isNotNull()).withColumn(
+            CHUNK, ts.substr(F.lit(1), F.col(_CC)))
+    else:
+        c = chunk if chunk is not None else F.substring(ts, 1, chunk_chars)
+        base = df.withColumn(CHUNK, c)
+        split_rows = base
+
+    slim = split_rows.select(key, CHUNK, *order, *values)
 
     # (2) last n-1 ticks of every (key, chunk): partial top-k before the shuffle
-    w_desc = Window.partitionBy(key, _CHUNK).orderBy(*[F.col(c).desc() for c in order])
+    w_desc = Window.partitionBy(key, CHUNK).orderBy(*[F.col(c).desc() for c in order])
     tails = slim.withColumn(_RD, F.row_number().over(w_desc)).where(F.col(_RD) <= n - 1)
 
     # (3) the n-1 tail rows before each chunk's first tail row
-    w_key = Window.partitionBy(key).orderBy(F.col(_CHUNK).asc_nulls_first(),
+    w_key = Window.partitionBy(key).orderBy(F.col(CHUNK).asc_nulls_first(),
                                             *[F.col(c).asc() for c in order])
-    prev_chunk = F.lag(F.struct(F.col(_CHUNK).alias("c"))).over(w_key)
-    first_of_chunk = prev_chunk.isNull() | ~prev_chunk["c"].eqNullSafe(F.col(_CHUNK))
+    prev_chunk = F.lag(F.struct(F.col(CHUNK).alias("c"))).over(w_key)
+    first_of_chunk = prev_chunk.isNull() | ~prev_chunk["c"].eqNullSafe(F.col(CHUNK))
     carried = (tails
-               .select(key, _CHUNK,
+               .select(key, CHUNK,
                        F.collect_list(F.struct(*order, *values))
                         .over(w_key.rowsBetween(-(n - 1), -1)).alias("_prev"),
                        first_of_chunk.alias("_first"))
                .where("_first")
-               .select(key, _CHUNK, F.explode("_prev").alias("_p"))
-               .select(key, _CHUNK, *[F.col(f"_p.{c}").alias(c) for c in (*order, *values)],
+               .select(key, CHUNK, F.explode("_prev").alias("_p"))
+               .select(key, CHUNK, *[F.col(f"_p.{c}").alias(c) for c in (*order, *values)],
                        F.lit(True).alias(_CARRY)))
 
     # (4) frame per (key, chunk) over ticks + carried rows
     both = base.withColumn(_CARRY, F.lit(False)).unionByName(carried, allowMissingColumns=True)
-    w = Window.partitionBy(key, _CHUNK).orderBy(*order).rowsBetween(-(n - 1), 0)
-    return both.select("*", *avgs(w)).where(~F.col(_CARRY)).drop(_CHUNK, _CARRY)
+    w = Window.partitionBy(key, CHUNK).orderBy(*order).rowsBetween(-(n - 1), 0)
+    out = both.select("*", *avgs(w)).where(~F.col(_CARRY)).drop(_CARRY)
+    return out if keep_chunk else out.drop(CHUNK)
 
 
 def running_first_last(df: DataFrame, ts: str = "timestampvalue") -> DataFrame:

@@ -69,6 +69,15 @@ def q_moving_avg_rows(spark, d):
         "symbol", TS, "price", "volume", "tick_id", "avgprice", "avgvolume")
 
 
+@register("moving_avg_rows_split",
+          f"select symbol, timestampvalue, price, volume, tick_id, avgprice, avgvolume "
+          f"from ({X.sql_window(T_ALL)}) q")
+def q_moving_avg_rows_split(spark, d):
+    """W1 with every symbol split into hour chunks (the hot-symbol plan)."""
+    return moving_avg_rows(X.ticks(spark, d), X.WINDOW, split=True).select(
+        "symbol", TS, "price", "volume", "tick_id", "avgprice", "avgvolume")
+
+
 @register("moving_avg_rows_lineitem",
           "select symbol, timestampvalue, price, volume, tick_id, avgprice, avgvolume from ("
           + X.sql_window("select cast(l_partkey as varchar) as symbol, "
