@@ -18,8 +18,8 @@ from ..operators.history import hist_ratio_strict, ratio_query
 from ..sources.ticks import MINUTE_FORMAT, read_table, ticks_from_events
 
 # Fixed parameters -------------------------------------------------------------
-WINDOW = 3                       # count window size (the reference's usage example)
-THRESHOLD = -100.0               # alert threshold (the reference's usage example)
+WINDOW = 3                       # count window size (documented usage example)
+THRESHOLD = -100.0               # alert threshold (documented usage example)
 TOD_WIDTH_TEST = 5               # time-of-day key "HH:mm" for lookups in tests
 SPLIT_DAY = "2024-01-16"         # history before, live from this day on
 FEED_MARK = "2024-01-23 00:00:00"  # high-water mark of the incremental feeds

@@ -28,7 +28,12 @@ def load_batch(batch: DataFrame, batch_id: int, target: str) -> int:
     if batch.isEmpty():
         return 0
     obs = Observation(f"ingest_{batch_id}")
-    ticks = parse_tick_strict(batch).observe(obs, F.count(F.lit(1)).alias("rows"))
+    keep = ("offset",) if "offset" in batch.columns else ()
+    ticks = parse_tick_strict(batch, keep=keep)
+    if keep:
+        # the message offset is the tie-breaker of ticks sharing a timestamp
+        ticks = ticks.withColumnRenamed("offset", "tick_id")
+    ticks = ticks.observe(obs, F.count(F.lit(1)).alias("rows"))
     write_batch(ticks, target, batch_id)
     n = int(obs.get["rows"])
     log.info("batch %s: %s ticks appended to %s", batch_id, n, target)

@@ -61,7 +61,8 @@ def start_realtime_alerts(spark: SparkSession, messages: DataFrame, n: int, thre
     def history() -> DataFrame:
         if snapshot is not None:
             return snapshot
-        fresh = spark.read.parquet(hist_path).select("symbol", "timestampvalue", "histratio")
+        from ..plans.jobs import read_history
+        fresh = read_history(spark, hist_path).select("symbol", "timestampvalue", "histratio")
         return bounded_broadcast(fresh)[0]
 
     def write(batch: DataFrame, batch_id: int) -> None:
