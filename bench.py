@@ -3,7 +3,9 @@
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
 Runs each query to completion through the ``noop`` sink (full computation, no
-driver collect) after one warm-up pass on sf0.001, and prints ONE JSON line:
+driver collect): one untimed warm-up run at the bench scale, then the median of
+``BENCH_REPS`` (default 3) timed runs.  Streaming queries replay the staged
+ticks from a fresh checkpoint on every run.  Prints ONE JSON line:
 ``{"metric", "value" (total seconds), "unit", "queries" {name: sec}, "sf",
 "rows" {name: input ticks}, "rows_per_sec" {name: ticks/s}}``.
 """
@@ -64,32 +66,35 @@ def stream_query(spark, d, slices: int):
     return run
 
 
-def timed(fn) -> float:
-    t0 = time.perf_counter()
-    fn()
-    return time.perf_counter() - t0
+def timed(fn, reps: int) -> float:
+    fn()                                   # warm-up at the bench scale
+    runs = []
+    for _ in range(reps):
+        t0 = time.perf_counter()
+        fn()
+        runs.append(time.perf_counter() - t0)
+    return sorted(runs)[len(runs) // 2]
 
 
 def main() -> None:
     d = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = get_session(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2)
+    reps = int(os.environ.get("BENCH_REPS", "3"))
+    # one shuffle partition per core locally; AQE coalesces small ones
+    spark = get_session(f"local[{cpus}]", shuffle_partitions=int(cpus))
     m = re.search(r"sf([0-9.]+)", d)
     sf = float(m.group(1)) if m else None
 
-    for f in batch_queries(spark, "/root/testdata/sf0.001").values():   # warm-up
-        noop(f())
-
     times, rows = {}, {}
     n_events = spark.read.parquet(f"{d}/events.parquet").count()
     n_items = spark.read.parquet(f"{d}/lineitem.parquet").count()
     for name, f in batch_queries(spark, d).items():
-        times[name] = round(timed(lambda: noop(f())), 3)
+        times[name] = round(timed(lambda: noop(f()), reps), 3)
         rows[name] = n_items if name.endswith("lineitem") else n_events
     for slices in (1, 10):
         run = stream_query(spark, d, slices)
         name = f"count_window_stream_{slices}mb"
-        times[name] = round(timed(run), 3)
+        times[name] = round(timed(run, reps), 3)
         rows[name] = n_events
     out = {
         "metric": "total_query_seconds",
