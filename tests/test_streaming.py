@@ -105,3 +105,18 @@ def test_alert_job_and_feeds(spark):
                               symbols=("click", "view"))
     cq.awaitTermination()
     assert cq.exception() is None
+
+
+def test_wide_store_sink_equals_batch(spark):
+    from tickwise.operators.alerts import realtime_ratio, wide_store_rows
+    from tickwise.plans.jobs import read_history
+    from tickwise.streaming.realtime import start_wide_store_sink
+    src, out = new_path(spark, "ws-src"), new_path(spark, "ws-out")
+    stage_message_files(tick_messages(_ticks(spark)), src, 4, files_per_slice=1)
+    q = start_wide_store_sink(spark, realtime_stream(message_file_stream(spark, src, max_files_per_trigger=1), 3,
+                                                     rounded=False), out, new_path(spark, "ws-ckpt"))
+    q.awaitTermination()
+    assert q.exception() is None
+    got = read_history(spark, out)
+    want = wide_store_rows(realtime_ratio(_ticks(spark), 3, rounded=False))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0

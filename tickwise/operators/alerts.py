@@ -127,3 +127,22 @@ def alert_messages(alerts: DataFrame, with_numbers: bool = True) -> DataFrame:
                         F.lit(". The historic ratio for this stock is "), s("histratio"),
                         F.lit(" and ratio deviation "), s("ratiodeviation"))
     return alerts.select("symbol", TS, text.alias("message"))
+
+
+WIDE_STORE_COLS = ("symbol", TS, "avgprice", "avgvolume", "pricechange", "volumechange", "ratio",
+                   "histratio")
+
+
+def wide_store_rows(metrics: DataFrame) -> DataFrame:
+    """The optional wide-column-store feed of the stream: one row per symbol
+    and time of day (the full time text after the blank), the latest tick's
+    metrics winning (K3, by ``tick_id``), with the current ratio stored as the
+    historical ratio.  (The disabled source code bound avgvolume/pricechange
+    to each other's values by position; columns are matched by name here.)"""
+    rows = metrics.select(
+        "symbol", F.try_element_at(F.split(TS, " "), F.lit(2)).alias(TS),
+        F.col("priceavg").alias("avgprice"), F.col("volumeavg").alias("avgvolume"),
+        "pricechange", "volumechange", "ratio", F.col("ratio").alias("histratio"), "tick_id")
+    last = F.max_by(F.struct(*WIDE_STORE_COLS[2:]), F.col("tick_id"))
+    return (rows.groupBy("symbol", TS).agg(last.alias("_r"))
+                .select("symbol", TS, *[f"_r.{c}" for c in WIDE_STORE_COLS[2:]]))

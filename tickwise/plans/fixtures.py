@@ -194,3 +194,26 @@ def sql_java_double(x: str) -> str:
             f"when {x} = 'inf'::double then 'Infinity' when {x} = '-inf'::double then '-Infinity' "
             f"when {x} = 0 then '0.0' "
             f"when abs({x}) >= 0.001 and abs({x}) < 10000000 then ({x})::varchar else {sci} end)")
+
+
+def sql_json_value(x: str, kind: str) -> str:
+    """One JSON value as Spark's ``to_json`` writes it: strings quoted and
+    escaped, doubles in the JVM text form (NaN/Infinity as strings), NULL as
+    ``null``."""
+    if kind == "string":
+        v = f"to_json({x})::varchar"
+    elif kind == "int":
+        v = f"({x})::varchar"
+    else:
+        v = (f"(case when isnan({x}) then '\"NaN\"' when {x} = 'inf'::double then '\"Infinity\"' "
+             f"when {x} = '-inf'::double then '\"-Infinity\"' else {sql_java_double(x)} end)")
+    return f"coalesce({v}, 'null')"
+
+
+def sql_json_object(cols) -> str:
+    """``to_json(struct(cols))`` for ``[(name, sql expr, kind)]``."""
+    parts = []
+    for i, (name, expr, kind) in enumerate(cols):
+        sep = "{" if i == 0 else ","
+        parts.append(f"'{sep}\"{name}\":' || {sql_json_value(expr, kind)}")
+    return " || ".join(parts) + " || '}'"

@@ -459,3 +459,66 @@ def q_ratio_alerts_stream(spark, d):
 def q_stock_rows_stream(spark, d):
     stock, _ = _run_alert_job(spark, d, fresh=True)
     return spark.read.parquet(stock).select(*A.STOCK_COLS)
+
+
+
+# ---- payloads (sink_dashboard_json), short alert text (Q5 variant), wide-store rows -------
+
+_DASH_SQL = (
+    "select c.symbol, c.timestampvalue as tmst, substring(c.timestampvalue, 1, 10) as \"dateValue\", "
+    "substring(c.timestampvalue, 12, 8) as \"timeValue\", "
+    "coalesce(a.currentratio, 0) as currentratio, coalesce(a.histratio, 0) as histratio, "
+    "coalesce(a.ratiodeviation, 0) as ratiodeviation, coalesce(a.threshold, 0) as threshold, "
+    "case when a.ratiodeviation is null then 0 else 1 end as \"alertFlag\", "
+    "c.price, c.volume, c.priceavg, c.pricechange, c.volumeavg, c.volumechange "
+    f"from ({STOCK_SQL}) c left join ({ALERTS_SQL}) a "
+    "on c.symbol = a.symbol and c.timestampvalue = a.timestampvalue "
+    f"where c.timestampvalue > '{MARK}'")
+_DASH_KINDS = {"symbol": "string", "tmst": "string", "dateValue": "string", "timeValue": "string",
+               "alertFlag": "int"}
+
+
+@register("dashboard_json",
+          "select " + X.sql_json_object([(c, f'"{c}"', _DASH_KINDS.get(c, "double"))
+                                         for c in FD.DASHBOARD_COLUMNS])
+          + f" as json from ({_DASH_SQL}) f")
+def q_dashboard_json(spark, d):
+    feed = FD.dashboard_feed(X.live_stock(spark, d), X.live_alerts(spark, d), MARK, ordered=False)
+    return FD.json_rows(feed, FD.DASHBOARD_COLUMNS)
+
+
+@register("alert_counts_payload",
+          "select " + X.sql_json_object([("symbol", "symbol", "string"),
+                                         ("count", "cast(count as varchar)", "string")])
+          + f" as json from (select symbol, count(*) as count from ({ALERTS_SQL}) a group by symbol) c")
+def q_alert_counts_payload(spark, d):
+    return FD.count_payload_rows(FD.alert_counts(X.live_alerts(spark, d)))
+
+
+@register("alert_pivot_payload",
+          "select " + X.sql_json_object([(c, f'cast("{c}" as varchar)', "string")
+                                         for c in (*EVENT_SYMBOLS, "TOTAL")])
+          + " as json from (select " + ", ".join(
+              f"max(case when symbol = '{c}' then alerts end) as \"{c}\"" for c in (*EVENT_SYMBOLS, "TOTAL"))
+          + f" from ({_U1_SQL}) u) p")
+def q_alert_pivot_payload(spark, d):
+    return FD.count_payload_rows(FD.alert_pivot_feed(X.live_alerts(spark, d), EVENT_SYMBOLS))
+
+
+@register("alert_messages_short",
+          "select symbol, timestampvalue, ' Alert has generated for stock ' || symbol || "
+          "' and timestamp ' || timestampvalue || '. The historic ratio for this stock is ' || "
+          + J("histratio") + " || ' and ratio deviation ' || " + J("ratiodeviation")
+          + f" as message from ({ALERTS_SQL}) a")
+def q_alert_messages_short(spark, d):
+    return A.alert_messages(X.live_alerts(spark, d), with_numbers=False)
+
+
+@register("wide_store_rows",
+          "select symbol, timestampvalue, avgprice, avgvolume, pricechange, volumechange, ratio, "
+          "histratio from (select symbol, split_part(timestampvalue, ' ', 2) as timestampvalue, "
+          "priceavg as avgprice, volumeavg as avgvolume, pricechange, volumechange, ratio, "
+          "ratio as histratio, row_number() over (partition by symbol, split_part(timestampvalue, ' ', 2) "
+          f"order by tick_id desc) as rn from ({X.sql_realtime(T_ALL, rounded=False)}) m) w where rn = 1")
+def q_wide_store_rows(spark, d):
+    return A.wide_store_rows(A.realtime_ratio(X.ticks(spark, d), X.WINDOW, rounded=False))

@@ -85,7 +85,8 @@ def first_wins_append(batch: DataFrame, path: str, batch_id: int, schema,
 
 
 def upsert_last_wins(spark: SparkSession, current_path: str | None, batch: DataFrame,
-                     new_path: str, keys: Sequence[str] = KEYS, seq: str | None = None) -> str:
+                     new_path: str, keys: Sequence[str] = KEYS, seq: str | None = None,
+                     mode: str = "errorifexists") -> str:
     """K3: keep the latest row per key of (table union batch) and write it as
     a new version at ``new_path``; the caller switches readers to it.  Rows of
     the batch win over table rows; ``seq`` orders rows inside the batch."""
@@ -103,7 +104,7 @@ def upsert_last_wins(spark: SparkSession, current_path: str | None, batch: DataF
     latest = (allrows.groupBy(*keys)
                      .agg(F.max_by(F.struct(*others), F.struct("_v", "_s")).alias("_r"))
                      .select(*keys, *[f"_r.{c}" for c in others]))
-    latest.write.mode("errorifexists").parquet(new_path)
+    latest.write.mode(mode).parquet(new_path)
     return new_path
 
 

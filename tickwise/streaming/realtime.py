@@ -88,3 +88,29 @@ def start_metrics_sink(stream: DataFrame, path: str, checkpoint: str,
     w = (stream.writeStream.format("parquet").outputMode("append")
          .option("path", path).option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start()
+
+
+def start_wide_store_sink(spark: SparkSession, metrics: DataFrame, path: str, checkpoint: str,
+                          trigger: dict | None = None) -> StreamingQuery:
+    """The wide-column-store feed (K3): each micro-batch's latest metrics per
+    (symbol, time of day) are merged over the previous version and written as
+    the version ``run=<batch_id>``; readers take the latest run
+    (``plans.jobs.read_history``).  A replayed batch rewrites its own version."""
+    from ..operators.alerts import wide_store_rows
+    from ..plans.jobs import RUN, _read
+    from ..session import new_path
+    from ..sources.sinks import upsert_last_wins
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        prev = None
+        stored = _read(spark, path)
+        if stored is not None:
+            older = stored.where(F.col(RUN) < int(batch_id))
+            latest = older.select(F.max(RUN)).scalar()
+            prev = new_path(spark, "wide-prev")       # cut the lineage before the merge
+            older.where(F.col(RUN) == latest).drop(RUN).write.parquet(prev)
+        target = f"{path.rstrip('/')}/{RUN}={int(batch_id)}"
+        upsert_last_wins(spark, prev, wide_store_rows(batch), target, mode="overwrite")
+
+    w = metrics.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _trigger(w, trigger).start()
