@@ -85,3 +85,37 @@ def test_first_wins_and_messages(spark):
     m = alert_messages(df.where("tick_id = 5")).collect()[0].message
     assert m == (" Alert has generated for stock A and timestamp t1. Historic Ratio : 1.0, "
                  "Current Ratio : 2.0, Ratio deviation : 3.0, Threshold : -100.0")
+
+
+def test_bad_timestamps_never_match_history(spark):
+    from tickwise.functions.columns import tod_of_raw
+    df = spark.createDataFrame([('"2024-01-01 09:00:00"',), ("2024-01-01T09:00:00",), ("2024-01-01 9:00",),
+                                (None,)], "ts string")
+    got = [r[0] for r in df.select(tod_of_raw("ts")).collect()]
+    assert got == ["09:00:00", None, "9:00", None]
+
+
+def test_duplicate_keys_first_insert_wins(make_ticks):
+    from tickwise.operators.alerts import stock_rows
+    rows = [("A", "2024-01-01 00:00:01", 10.0, 1, 1), ("A", "2024-01-01 00:00:01", 99.0, 1, 2),
+            ("A", "2024-01-01 00:00:02", 11.0, 1, 3)]
+    got = {r.timestampvalue: r.price for r in stock_rows(make_ticks(rows), 2).collect()}
+    assert got == {"2024-01-01 00:00:01": 10.0, "2024-01-01 00:00:02": 11.0}
+
+
+def test_nan_history_never_alerts(spark, make_ticks):
+    live = make_ticks([("A", "2024-01-20 09:00:00", 10.0, 1, 1)])
+    hist = _hist(spark, [("A", "09:00:00", float("nan"))])
+    assert alert_rows(hist_lookup_join(realtime_ratio(live, 1), hist, 8), -1e300).count() == 0
+
+
+def test_quotes_kept_when_not_cleaned(spark):
+    from tickwise.operators.alerts import realtime_metrics
+    from tickwise.operators.windows import moving_avg_rows
+    from tickwise.operators.parse import parse_tick_lenient
+    df = spark.createDataFrame([('{"symbol":"A","timestampValue":"2024-01-01 00:00:01","price":1,"volume":1}', 1)],
+                               "value string, offset long")
+    t = parse_tick_lenient(df, keep=("offset",)).withColumnRenamed("offset", "tick_id")
+    w = moving_avg_rows(t, 3, outputs=("priceavg", "volumeavg"))
+    assert realtime_metrics(w, clean=False).first().symbol == '"A"'
+    assert realtime_metrics(w).first().symbol == "A"

@@ -36,3 +36,20 @@ def test_entry(spark):
     assert df.count() > 0
     assert df.columns == ["symbol", "timestampvalue", "avgprice", "pricechange", "avgvol",
                           "volumechange", "ratio"]
+
+
+@pytest.mark.parametrize("name", ["ratio_query", "metrics_batch", "realtime_ratio", "stock_rows",
+                                  "ratio_alerts", "dashboard_feed", "moving_avg_rows"])
+def test_hot_symbol_split_matches_oracle(spark, con, name):
+    """With a tiny task size every symbol is hot and split into time chunks;
+    the composed queries must still equal the oracle."""
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")     # 32 ticks per task
+    try:
+        df = E.queries()[name](spark, SF)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "_tw_chunk" in plan and "WindowGroupLimit" in plan
+        r = check(spark, con, SF, name, lambda s, d: df, E.oracle_sql()[name])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert r["spark_rows"] == r["duck_rows"] and (r["exact"] or r["approx"]), r

@@ -26,17 +26,18 @@ STOCK_COLS = ("symbol", TS, "price", "volume", "priceavg", "pricechange", "volum
 ALERT_COLS = ("symbol", TS, "histratio", "currentratio", "ratiodeviation", "threshold")
 
 
-def realtime_metrics(windowed: DataFrame, rounded: bool = True) -> DataFrame:
+def realtime_metrics(windowed: DataFrame, rounded: bool = True, clean: bool = True) -> DataFrame:
     """P4/P5 + P3 over rows that carry ``priceavg``/``volumeavg``: the metric
-    row as the stream computes it, symbol and time text with quotes removed.
+    row as the stream computes it, symbol and time text with quotes removed
+    (``clean=False``: kept, as the oldest stream variant stored them).
     Keeps ``tick_id`` (arrival order) when present."""
     m = (metrics_stream_rounded if rounded else metrics_stream)(
         windowed.withColumn("volume", F.col("volume").cast("double")))
     extra = [c for c in ("tick_id", CHUNK) if c in windowed.columns]
     if CHUNK in windowed.columns:
         extra.append(F.col("symbol").alias(RAW_KEY))
-    return m.select(clean_quotes("symbol").alias("symbol"), clean_quotes(TS).alias(TS),
-                    *STOCK_COLS[2:], *extra)
+    text = clean_quotes if clean else F.col
+    return m.select(text("symbol").alias("symbol"), text(TS).alias(TS), *STOCK_COLS[2:], *extra)
 
 
 def realtime_ratio(ticks: DataFrame, n: int, rounded: bool = True,

@@ -22,6 +22,16 @@ from ..sources.sinks import DATE, read_or_empty
 from ..sources.streams import table_stream
 
 
+# Poll intervals of the source system's feeds, as triggers.
+POLL_TRIGGERS = {
+    "dashboard": {"processingTime": "5 seconds"},
+    "alert_counts": {"processingTime": "5 seconds"},
+    "alert_pivot": {"processingTime": "1 second"},
+    "alert_feed": {"processingTime": "100 seconds"},
+    "alert_digest": {"processingTime": "1 second"},
+}
+
+
 def stored(schema: T.StructType) -> T.StructType:
     """Schema of a keyed table as written by ``first_wins_append``."""
     return T.StructType(list(schema.fields)).add(DATE, T.StringType()).add("batch_id", T.IntegerType())
