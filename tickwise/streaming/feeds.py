@@ -5,6 +5,8 @@ everything was re-sent).  Here each feed is a checkpointed ``readStream`` of
 the table folder: every micro-batch holds only the rows written since the
 last one, and a restart resumes where the checkpoint left off.  Delivery goes
 through a caller-supplied ``writer(payload: str)`` called from the tasks.
+Each ``start_*`` runs once over what is new (``availableNow``) unless a
+trigger is given, e.g. ``POLL_TRIGGERS["dashboard"]`` for a continuous feed.
 """
 
 from __future__ import annotations
