@@ -51,10 +51,13 @@ def realtime_ratio(ticks: DataFrame, n: int, rounded: bool = True,
 def first_wins(df: DataFrame, keys=("symbol", TS), order: str = "tick_id") -> DataFrame:
     """K2: keep the first row (smallest ``order``) per primary key, as a keyed
     store that rejects duplicate inserts does.  One aggregation with partial
-    aggregation on the key (high-cardinality, no hot group)."""
-    others = [c for c in df.columns if c not in keys]
-    picked = F.min_by(F.struct(*others), F.col(order))
-    return df.groupBy(*keys).agg(picked.alias("_r")).select(*keys, *[f"_r.{c}" for c in others])
+    aggregation on the key (high-cardinality, no hot group).  ``order`` is
+    unique, so per-column ``min_by`` picks one row; on fixed-width columns it
+    stays a hash aggregation (a struct buffer would force a sort)."""
+    others = [c for c in df.columns if c not in keys and c != order]
+    picked = [F.min_by(c, F.col(order)).alias(c) for c in others]
+    out = df.groupBy(*keys).agg(*picked, F.min(order).alias(order))
+    return out.select(*[c for c in df.columns if c in out.columns])
 
 
 # Primary key (symbol, timestampvalue) plus the window's partition columns (the
@@ -144,6 +147,5 @@ def wide_store_rows(metrics: DataFrame) -> DataFrame:
         "symbol", F.try_element_at(F.split(TS, " "), F.lit(2)).alias(TS),
         F.col("priceavg").alias("avgprice"), F.col("volumeavg").alias("avgvolume"),
         "pricechange", "volumechange", "ratio", F.col("ratio").alias("histratio"), "tick_id")
-    last = F.max_by(F.struct(*WIDE_STORE_COLS[2:]), F.col("tick_id"))
-    return (rows.groupBy("symbol", TS).agg(last.alias("_r"))
-                .select("symbol", TS, *[f"_r.{c}" for c in WIDE_STORE_COLS[2:]]))
+    last = [F.max_by(c, F.col("tick_id")).alias(c) for c in WIDE_STORE_COLS[2:]]
+    return rows.groupBy("symbol", TS).agg(*last)
