@@ -120,10 +120,15 @@ def moving_avg_rows(df: DataFrame, n: int, key: str = "symbol",
                     chunk: Column | None = None,
                     chunk_chars: int = DEFAULT_CHUNK_CHARS,
                     hot_rows: int | None = None,
-                    keep_chunk: bool = False) -> DataFrame:
+                    keep_chunk: bool = False,
+                    time_col: str | None = None) -> DataFrame:
     """Append ``AVG(v) OVER (PARTITION BY key ORDER BY order ROWS n-1
     PRECEDING)`` for each value column.
 
+    ``time_col`` (default: the first order column) is the timestamp text the
+    chunks are cut from; order columns before it (e.g. a micro-batch id) are
+    part of every chunk, so chunks stay contiguous ranges of the order.
+
     ``keep_chunk=True`` keeps the chunk column (``CHUNK``): the output is
     hash-partitioned by (key, chunk), so a later aggregation grouped by
     (key, chunk, ...) needs no further shuffle.
@@ -138,10 +143,17 @@ def moving_avg_rows(df: DataFrame, n: int, key: str = "symbol",
         out = df.select("*", *avgs(w))
         return out.withColumn(CHUNK, F.lit("")) if keep_chunk else out
 
-    ts = F.col(order[0]).cast("string")
+    time_col = time_col or order[0]
+    lead = [F.col(c).cast("string") for c in order[:order.index(time_col)]]
+    ts = F.col(time_col).cast("string")
+
+    def cut(width) -> Column:
+        prefix = ts.substr(F.lit(1), width) if isinstance(width, Column) else F.substring(ts, 1, width)
+        return F.concat_ws("|", *lead, prefix) if lead else prefix
+
     hot = None
     if split == "auto" and chunk is None:
-        hot = hot_keys(df, key, order[0], hot_rows or task_rows(df.sparkSession))
+        hot = hot_keys(df, key, time_col, hot_rows or task_rows(df.sparkSession))
         if hot == []:
             return moving_avg_rows(df, n, key, order, values, outputs, split=False,
                                    keep_chunk=keep_chunk)
@@ -151,12 +163,11 @@ def moving_avg_rows(df: DataFrame, n: int, key: str = "symbol",
         # at most MAX_HOT_KEYS rows: a proven bound for the broadcast
         marked = df.join(F.broadcast(hot_df), key, "left")
         base = (marked.withColumn(CHUNK, F.when(F.col(_CC).isNull(), F.lit(""))
-                                           .otherwise(ts.substr(F.lit(1), F.col(_CC))))
+                                           .otherwise(cut(F.col(_CC))))
                       .drop(_CC))
-        split_rows = marked.where(F.col(_CC).isNotNull()).withColumn(
-            CHUNK, ts.substr(F.lit(1), F.col(_CC)))
+        split_rows = marked.where(F.col(_CC).isNotNull()).withColumn(CHUNK, cut(F.col(_CC)))
     else:
-        c = chunk if chunk is not None else F.substring(ts, 1, chunk_chars)
+        c = chunk if chunk is not None else cut(chunk_chars)
         base = df.withColumn(CHUNK, c)
         split_rows = base
 
@@ -166,9 +177,9 @@ def moving_avg_rows(df: DataFrame, n: int, key: str = "symbol",
     w_desc = Window.partitionBy(key, CHUNK).orderBy(*[F.col(c).desc() for c in order])
     tails = slim.withColumn(_RD, F.row_number().over(w_desc)).where(F.col(_RD) <= n - 1)
 
-    # (3) the n-1 tail rows before each chunk's first tail row
-    w_key = Window.partitionBy(key).orderBy(F.col(CHUNK).asc_nulls_first(),
-                                            *[F.col(c).asc() for c in order])
+    # (3) the n-1 tail rows before each chunk's first tail row (chunks are
+    #     contiguous in the order, so the order alone sorts them)
+    w_key = Window.partitionBy(key).orderBy(*[F.col(c).asc() for c in order])
     prev_chunk = F.lag(F.struct(F.col(CHUNK).alias("c"))).over(w_key)
     first_of_chunk = prev_chunk.isNull() | ~prev_chunk["c"].eqNullSafe(F.col(CHUNK))
     carried = (tails

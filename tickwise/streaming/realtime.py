@@ -28,7 +28,7 @@ from ..operators.alerts import STOCK_COLS, alert_rows, hist_lookup_join, realtim
 from ..operators.parse import drop_invalid, parse_tick_lenient
 from ..plans.broadcast import bounded_broadcast
 from ..sources.sinks import first_wins_append
-from .count_window import count_window_stream
+from .count_window import count_window_microbatch, count_window_stream
 
 
 def parsed_ticks(messages: DataFrame) -> DataFrame:
@@ -50,7 +50,11 @@ def start_realtime_alerts(spark: SparkSession, messages: DataFrame, n: int, thre
                           stock_path: str, alert_path: str, checkpoint: str,
                           hist: DataFrame | None = None, hist_path: str | None = None,
                           width: int = TOD_WIDTH, rounded: bool = True,
-                          trigger: dict | None = None) -> StreamingQuery:
+                          trigger: dict | None = None,
+                          state_path: str | None = None) -> StreamingQuery:
+    """Start Q3 + Q4 with the two sinks.  ``state_path`` given: the count
+    window runs per micro-batch over a state table (skew-safe variant),
+    otherwise in the keyed state store."""
     if (hist is None) == (hist_path is None):
         raise ValueError("give the history as a DataFrame (snapshot) or a path (fresh)")
     snapshot = None
@@ -66,6 +70,10 @@ def start_realtime_alerts(spark: SparkSession, messages: DataFrame, n: int, thre
         return bounded_broadcast(fresh)[0]
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if state_path is not None:
+            ticks = batch.persist()
+            batch = realtime_metrics(count_window_microbatch(ticks, batch_id, state_path, n),
+                                     rounded)
         batch.persist()
         try:
             stock = batch.select(*STOCK_COLS, "tick_id",
@@ -75,8 +83,10 @@ def start_realtime_alerts(spark: SparkSession, messages: DataFrame, n: int, thre
             first_wins_append(alerts, alert_path, batch_id, S.ALERT)
         finally:
             batch.unpersist()
+            if state_path is not None:
+                ticks.unpersist()
 
-    stream = realtime_stream(messages, n, rounded)
+    stream = realtime_stream(messages, n, rounded) if state_path is None else parsed_ticks(messages)
     w = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).start()
 
