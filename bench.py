@@ -28,7 +28,9 @@ from tickwise.plans import fixtures as X  # noqa: E402
 from tickwise.session import get_session, new_path  # noqa: E402
 from tickwise.sources.streams import message_file_stream, stage_message_files  # noqa: E402
 from tickwise.sources.ticks import tick_messages  # noqa: E402
-from tickwise.streaming.realtime import realtime_stream  # noqa: E402
+from tickwise.operators.alerts import realtime_metrics  # noqa: E402
+from tickwise.streaming.count_window import count_window_microbatch  # noqa: E402
+from tickwise.streaming.realtime import parsed_ticks, realtime_stream  # noqa: E402
 
 
 def noop(df) -> None:
@@ -50,18 +52,30 @@ def batch_queries(spark, d):
     }
 
 
-def stream_query(spark, d, slices: int):
+def stream_query(spark, d, slices: int, state_table: bool = False):
     """Stage the ticks as ``slices`` ordered file ranges (not timed) and return
-    a callable running the realtime stream over them to completion."""
+    a callable running the realtime stream over them to completion: the count
+    window in the keyed state store, or (``state_table``) per micro-batch over
+    a state table with hot-key splitting."""
     src = new_path(spark, f"bench-src-{slices}")
     msgs = tick_messages(X.ticks(spark, d))
     stage_message_files(msgs, src, slices, files_per_slice=2)
 
     def run():
-        stream = realtime_stream(message_file_stream(spark, src, max_files_per_trigger=2), X.WINDOW)
-        q = (stream.writeStream.format("noop").outputMode("append")
-             .option("checkpointLocation", new_path(spark, f"bench-ckpt-{slices}"))
-             .trigger(availableNow=True).start())
+        messages = message_file_stream(spark, src, max_files_per_trigger=2)
+        ckpt = new_path(spark, f"bench-ckpt-{slices}")
+        if state_table:
+            state = new_path(spark, f"bench-state-{slices}")
+
+            def write(batch, batch_id):
+                w = count_window_microbatch(batch, batch_id, state, X.WINDOW)
+                noop(realtime_metrics(w))
+            q = (parsed_ticks(messages).writeStream.foreachBatch(write)
+                 .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+        else:
+            stream = realtime_stream(messages, X.WINDOW)
+            q = (stream.writeStream.format("noop").outputMode("append")
+                 .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
         q.awaitTermination()
     return run
 
@@ -91,9 +105,9 @@ def main() -> None:
     for name, f in batch_queries(spark, d).items():
         times[name] = round(timed(lambda: noop(f()), reps), 3)
         rows[name] = n_items if name.endswith("lineitem") else n_events
-    for slices in (1, 10):
-        run = stream_query(spark, d, slices)
-        name = f"count_window_stream_{slices}mb"
+    for slices, state_table in ((1, False), (10, False), (10, True)):
+        run = stream_query(spark, d, slices, state_table)
+        name = f"count_window_stream_{'split_' if state_table else ''}{slices}mb"
         times[name] = round(timed(run, reps), 3)
         rows[name] = n_events
     out = {
