@@ -21,33 +21,20 @@ from __future__ import annotations
 import time
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..functions.columns import TOD_WIDTH
 from ..operators.history import hist_ratio_query, ratio_query
 from ..session import new_path
-from ..sources.sinks import append_table, upsert_last_wins
-
-RUN = "run"
-
-
-def _read(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+from ..sources.sinks import RUN, append_table, latest_version, read_or_none, upsert_last_wins
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame | None:
     """The latest run of a run-versioned history table (or the table itself
-    when it has no runs).  The latest run id is a scalar subquery, so only
-    that run's files are read for the data."""
-    h = _read(spark, path)
+    when it has no runs)."""
+    h = read_or_none(spark, path)
     if h is None or RUN not in h.columns:
         return h
-    latest = h.select(F.max(RUN)).scalar()
-    return h.where(F.col(RUN) == latest).drop(RUN)
+    return latest_version(h)
 
 
 def run_batch_ratio_job(spark: SparkSession, ticks_path: str, transformed_path: str,
@@ -57,7 +44,7 @@ def run_batch_ratio_job(spark: SparkSession, ticks_path: str, transformed_path:
     """Run the job once; returns the run id written to the history table."""
     run_id = int(run_id if run_id is not None else time.time() * 1000)
     ticks = spark.read.parquet(ticks_path)
-    done = _read(spark, transformed_path)
+    done = read_or_none(spark, transformed_path)
     rows = ratio_query(ticks, done, n)
     append_table(rows, transformed_path, ("symbol",) if partitioned else ())
 

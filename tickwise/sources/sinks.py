@@ -26,6 +26,7 @@ from ..functions.columns import date_part
 
 KEYS = ("symbol", "timestampvalue")
 DATE = "datevalue"
+RUN = "run"          # version column of run-versioned tables (folders run=<id>)
 
 
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -48,6 +49,22 @@ def overwrite_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None
+
+
+def latest_version(stored: DataFrame, before: int | None = None) -> DataFrame:
+    """Rows of the latest ``run`` (below ``before`` if given) of a
+    run-versioned table.  The latest id is a scalar subquery, so only that
+    version's files are read for the data."""
+    runs = stored if before is None else stored.where(F.col(RUN) < int(before))
+    latest = runs.select(F.max(RUN)).scalar()
+    return runs.where(F.col(RUN) == latest).drop(RUN)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
     try:
         return spark.read.schema(schema).parquet(path)

@@ -109,16 +109,14 @@ STATE_COLS = ("timestampvalue", "tick_id", "price", "volume", BATCH)
 
 
 def _latest_state(spark, state_path: str, batch_id: int, key: str, key_type) -> DataFrame:
-    from ..plans.jobs import RUN, _read
+    from ..sources.sinks import latest_version, read_or_none
     fields = [T.StructField(key, key_type), T.StructField("timestampvalue", T.StringType()),
               T.StructField("tick_id", T.LongType()), T.StructField("price", T.DoubleType()),
               T.StructField("volume", T.DoubleType()), T.StructField(BATCH, T.LongType())]
-    stored = _read(spark, state_path)
+    stored = read_or_none(spark, state_path)
     if stored is None:
         return spark.createDataFrame([], T.StructType(fields))
-    older = stored.where(F.col(RUN) < int(batch_id))
-    latest = older.select(F.max(RUN)).scalar()
-    return older.where(F.col(RUN) == latest).select(*[f.name for f in fields])
+    return latest_version(stored, batch_id).select(*[f.name for f in fields])
 
 
 def count_window_microbatch(batch: DataFrame, batch_id: int, state_path: str, n: int,
@@ -131,7 +129,7 @@ def count_window_microbatch(batch: DataFrame, batch_id: int, state_path: str, n:
     per key, a partial top-k before its shuffle) is written before returning;
     a replayed batch reads the versions before it and rewrites its own."""
     from ..operators.windows import moving_avg_rows
-    from ..plans.jobs import RUN
+    from ..sources.sinks import RUN
     spark = batch.sparkSession
     rows = batch.select(key, "timestampvalue", "tick_id", F.col("price").cast("double").alias("price"),
                         F.col("volume").cast("double").alias("volume"),

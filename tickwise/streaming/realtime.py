@@ -107,18 +107,15 @@ def start_wide_store_sink(spark: SparkSession, metrics: DataFrame, path: str, ch
     the version ``run=<batch_id>``; readers take the latest run
     (``plans.jobs.read_history``).  A replayed batch rewrites its own version."""
     from ..operators.alerts import wide_store_rows
-    from ..plans.jobs import RUN, _read
     from ..session import new_path
-    from ..sources.sinks import upsert_last_wins
+    from ..sources.sinks import RUN, latest_version, read_or_none, upsert_last_wins
 
     def write(batch: DataFrame, batch_id: int) -> None:
         prev = None
-        stored = _read(spark, path)
+        stored = read_or_none(spark, path)
         if stored is not None:
-            older = stored.where(F.col(RUN) < int(batch_id))
-            latest = older.select(F.max(RUN)).scalar()
             prev = new_path(spark, "wide-prev")       # cut the lineage before the merge
-            older.where(F.col(RUN) == latest).drop(RUN).write.parquet(prev)
+            latest_version(stored, batch_id).write.parquet(prev)
         target = f"{path.rstrip('/')}/{RUN}={int(batch_id)}"
         upsert_last_wins(spark, prev, wide_store_rows(batch), target, mode="overwrite")
 
