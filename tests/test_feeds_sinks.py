@@ -122,3 +122,12 @@ def test_connector_options():
     assert j["numPartitions"] == "4" and j["dbtable"] == "stock"
     with pytest.raises(ValueError):
         C.jdbc_query_options("jdbc:x", query="select 1", partition_column="id")
+
+
+def test_csv_sink(spark):
+    from tickwise.sources.sinks import csv_table
+    path = new_path(spark, "csv")
+    df = spark.createDataFrame([("A", 1.0), ("B", 2.0)], "symbol string, ratio double")
+    csv_table(df, path)
+    back = spark.read.option("header", "true").csv(path)
+    assert sorted((r.symbol, float(r.ratio)) for r in back.collect()) == [("A", 1.0), ("B", 2.0)]

@@ -125,7 +125,9 @@ def upsert_last_wins(spark: SparkSession, current_path: str | None, batch: DataF
     return new_path
 
 
-def csv_table(df: DataFrame, path: str, files: int = 1) -> None:
-    """CSV sink (header, overwrite).  ``files=1`` gives one file like the
-    source's CSV sink; raise it for anything but small outputs."""
-    df.coalesce(files).write.mode("overwrite").option("header", "true").csv(path)
+def csv_table(df: DataFrame, path: str, files: int | None = None) -> None:
+    """CSV sink (header, overwrite), one file per task.  ``files`` merges the
+    output into that many files (the source wrote a single file); only for
+    outputs known to be small, since it funnels them through ``files`` tasks."""
+    out = df if files is None else df.coalesce(files)
+    out.write.mode("overwrite").option("header", "true").csv(path)
