@@ -150,6 +150,9 @@ def post_json_payloads(json_df: DataFrame, writer: Callable[[str], None],
     task (no driver round trip, nothing sent for an empty partition).
     ``writer`` must be picklable and should accept HTTP 200/202 semantics
     itself (raise on failure so the task retries)."""
+    from ..session import ship_package
+    ship_package(json_df.sparkSession)
+
     def send(rows: Iterable) -> None:
         buf: list[str] = []
         for r in rows:

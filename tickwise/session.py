@@ -92,3 +92,35 @@ def ensure_parent(path: str) -> None:
     p = local_path(path)
     if "://" not in p:
         os.makedirs(os.path.dirname(p) or ".", exist_ok=True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tickwise`` importable by the Python workers (as ``--py-files``
+    does): zip the package into the shared folder once per application and
+    register it with ``addPyFile``.  Needed by the operators that run Python
+    on executors (the keyed-state count window, payload delivery).  When the
+    shared folder is a remote file system the package must be installed on
+    the cluster instead."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    base = shared_dir(spark)
+    if "://" in base and not base.startswith("file:"):
+        _SHIPPED.add(app)
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(local_path(base), "tickwise-py", f"tickwise-{uuid.uuid4().hex[:12]}.zip")
+    os.makedirs(os.path.dirname(target), exist_ok=True)
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.join("tickwise", os.path.relpath(full, pkg)))
+    sc.addPyFile(target)
+    _SHIPPED.add(app)

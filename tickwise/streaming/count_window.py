@@ -89,6 +89,8 @@ def count_window_stream(ticks: DataFrame, n: int, key: str = "symbol",
     ``volumeavg`` over the key's last ``n`` ticks.  Output mode: append."""
     if n < 1:
         raise ValueError("window size must be >= 1")
+    from ..session import ship_package
+    ship_package(ticks.sparkSession)           # the state function runs in Python workers
     cols = [key, *[c for c in ("timestampvalue", "tick_id") if c in ticks.columns and c != key]]
     src = ticks.select(*cols, "price", "volume")
     fields = {f.name: f for f in src.schema.fields}
