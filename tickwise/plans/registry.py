@@ -459,7 +459,8 @@ def _run_alert_job(spark, d, fresh: bool):
     else:
         kw["hist"] = X.history(spark, d)
     q = RT.start_realtime_alerts(spark, stream, X.WINDOW, X.THRESHOLD, stock, alerts,
-                                 new_path(spark, "q4-ckpt"), width=W5, **kw)
+                                 new_path(spark, "q4-ckpt"), width=W5,
+                                 state_partitions=R.state_partitions(spark), **kw)
     q.awaitTermination()
     if q.exception():
         raise RuntimeError(str(q.exception()))

@@ -22,11 +22,16 @@ def stage(spark: SparkSession, messages: DataFrame, name: str,
     return message_file_stream(spark, src, max_files_per_trigger=FILES_PER_SLICE)
 
 
+def state_partitions(spark: SparkSession) -> int:
+    """State store partitions of a replay: one per core of the cluster."""
+    return spark.sparkContext.defaultParallelism
+
+
 def run_to_table(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
     """Append ``stream`` to a parquet folder until the input is exhausted."""
     from ..streaming.realtime import start_metrics_sink
     out, ckpt = new_path(spark, f"{name}-out"), new_path(spark, f"{name}-ckpt")
-    q = start_metrics_sink(stream, out, ckpt)
+    q = start_metrics_sink(stream, out, ckpt, state_partitions=state_partitions(spark))
     q.awaitTermination()
     if q.exception():
         raise RuntimeError(str(q.exception()))

@@ -124,3 +124,25 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.join("tickwise", os.path.relpath(full, pkg)))
     sc.addPyFile(target)
     _SHIPPED.add(app)
+
+
+class shuffle_partitions:
+    """Context manager: ``spark.sql.shuffle.partitions`` set to ``n`` inside
+    (unchanged for ``None``).  A streaming query copies the session settings
+    when it starts and keeps the number of state partitions in its checkpoint,
+    so wrapping ``start()`` fixes the number of state store partitions of a
+    new query without touching the caller's session afterwards."""
+
+    def __init__(self, spark: SparkSession, n: int | None):
+        self.spark, self.n, self.old = spark, n, None
+
+    def __enter__(self):
+        if self.n:
+            self.old = self.spark.conf.get("spark.sql.shuffle.partitions")
+            self.spark.conf.set("spark.sql.shuffle.partitions", str(int(self.n)))
+        return self
+
+    def __exit__(self, *exc):
+        if self.n:
+            self.spark.conf.set("spark.sql.shuffle.partitions", self.old)
+        return False

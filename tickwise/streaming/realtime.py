@@ -42,8 +42,16 @@ def realtime_stream(messages: DataFrame, n: int, rounded: bool = True) -> DataFr
     return realtime_metrics(count_window_stream(parsed_ticks(messages), n), rounded)
 
 
-def _trigger(writer, trigger: dict | None):
-    return writer.trigger(**(trigger or {"availableNow": True}))
+def _start(writer, spark: SparkSession, trigger: dict | None,
+           state_partitions: int | None = None) -> StreamingQuery:
+    """Start ``writer`` (``availableNow`` unless a trigger is given).  A new
+    query with keyed state gets ``state_partitions`` state store partitions
+    (default: ``spark.sql.shuffle.partitions``); size it to the key count and
+    state size: it cannot change later without a new checkpoint."""
+    from ..session import shuffle_partitions
+    w = writer.trigger(**(trigger or {"availableNow": True}))
+    with shuffle_partitions(spark, state_partitions):
+        return w.start()
 
 
 def start_realtime_alerts(spark: SparkSession, messages: DataFrame, n: int, threshold: float,
@@ -51,7 +59,8 @@ def start_realtime_alerts(spark: SparkSession, messages: DataFrame, n: int, thre
                           hist: DataFrame | None = None, hist_path: str | None = None,
                           width: int = TOD_WIDTH, rounded: bool = True,
                           trigger: dict | None = None,
-                          state_path: str | None = None) -> StreamingQuery:
+                          state_path: str | None = None,
+                          state_partitions: int | None = None) -> StreamingQuery:
     """Start Q3 + Q4 with the two sinks.  ``state_path`` given: the count
     window runs per micro-batch over a state table (skew-safe variant),
     otherwise in the keyed state store."""
@@ -88,16 +97,17 @@ def start_realtime_alerts(spark: SparkSession, messages: DataFrame, n: int, thre
 
     stream = realtime_stream(messages, n, rounded) if state_path is None else parsed_ticks(messages)
     w = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return _trigger(w, trigger).start()
+    return _start(w, spark, trigger, state_partitions)
 
 
 def start_metrics_sink(stream: DataFrame, path: str, checkpoint: str,
-                       trigger: dict | None = None) -> StreamingQuery:
+                       trigger: dict | None = None,
+                       state_partitions: int | None = None) -> StreamingQuery:
     """Append a streaming DataFrame to a parquet folder (exactly-once through
     the file sink's commit log)."""
     w = (stream.writeStream.format("parquet").outputMode("append")
          .option("path", path).option("checkpointLocation", checkpoint))
-    return _trigger(w, trigger).start()
+    return _start(w, stream.sparkSession, trigger, state_partitions)
 
 
 def start_wide_store_sink(spark: SparkSession, metrics: DataFrame, path: str, checkpoint: str,
@@ -120,4 +130,4 @@ def start_wide_store_sink(spark: SparkSession, metrics: DataFrame, path: str, ch
         upsert_last_wins(spark, prev, wide_store_rows(batch), target, mode="overwrite")
 
     w = metrics.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return _trigger(w, trigger).start()
+    return _start(w, spark, trigger)
