@@ -90,6 +90,27 @@ def q_moving_avg_rows_lineitem(spark, d):
         "symbol", TS, "price", "volume", "tick_id", "avgprice", "avgvolume")
 
 
+_LINEITEM_TICKS_SQL = ("select cast(l_partkey as varchar) as symbol, "
+                       "strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') as timestampvalue, "
+                       "l_extendedprice as price, cast(l_quantity as int) as volume, "
+                       "l_orderkey * 8 + l_linenumber as tick_id from lineitem")
+_USER_TICKS_SQL = T_ALL.replace("select event_type as symbol", "select 'U' || user_id as symbol")
+
+
+@register("ratio_query_lineitem", X.sql_ratio_query(_LINEITEM_TICKS_SQL))
+def q_ratio_query_lineitem(spark, d):
+    """Q1 (first run) over lineitem ticks: 20 000 symbols, day timestamps."""
+    from ..sources.ticks import lineitem_ticks
+    return H.ratio_query(lineitem_ticks(spark, d), None, X.WINDOW)
+
+
+@register("ratio_query_users", X.sql_ratio_query(_USER_TICKS_SQL))
+def q_ratio_query_users(spark, d):
+    """Q1 (first run) with one symbol per user."""
+    from ..sources.ticks import ticks_from_events_by_user
+    return H.ratio_query(ticks_from_events_by_user(X.read_table(spark, d, "events")), None, X.WINDOW)
+
+
 @register("delta_anti_join",
           f"select * from ({T_MIN}) t where not exists (select 1 from ({DONE_MIN}) d "
           f"where d.timestampvalue = t.timestampvalue)")

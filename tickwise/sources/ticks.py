@@ -34,6 +34,13 @@ def ticks_from_events(events: DataFrame, ts_format: str = TS_FORMAT,
     )
 
 
+def ticks_from_events_by_user(events: DataFrame, ts_format: str = TS_FORMAT) -> DataFrame:
+    """``events`` as ticks with one symbol per user (``U<user_id>``): many
+    sparse symbols instead of five dense ones."""
+    return ticks_from_events(events.withColumn("event_type", F.concat(F.lit("U"), "user_id")),
+                             ts_format)
+
+
 def ticks_from_lineitem(lineitem: DataFrame) -> DataFrame:
     """``lineitem`` as a larger tick table with many symbols (part keys) and
     day-resolution timestamps; ties are broken by (orderkey, linenumber)."""

@@ -23,6 +23,7 @@ hot keys split into time chunks like the batch window.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -32,6 +33,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+# PySpark's state serializer concatenates frames with all-NA columns; recent
+# pandas warns about that on every group.  Silence that one message.
+warnings.filterwarnings("ignore", message="The behavior of DataFrame concatenation with empty",
+                        category=FutureWarning)
+
 STATE_SCHEMA = T.StructType([
     T.StructField("prices", T.ArrayType(T.DoubleType())),
     T.StructField("volumes", T.ArrayType(T.DoubleType())),
