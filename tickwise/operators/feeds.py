@@ -61,7 +61,9 @@ def dashboard_feed(stock: DataFrame, alerts: DataFrame, since: str | None = None
         F.coalesce("a.threshold", F.lit(0.0)).alias("threshold"),
         F.when(F.col("a.ratiodeviation").isNull(), F.lit(0)).otherwise(F.lit(1)).alias("alertFlag"),
         "c.price", "c.volume", "c.priceavg", "c.pricechange", "c.volumeavg", "c.volumechange")
-    return out.orderBy("tmst") if ordered else out
+    # (timestamp, symbol) is the primary key: a unique sort key lets the range
+    # partitioner split a second shared by many symbols across tasks
+    return out.orderBy("tmst", "symbol") if ordered else out
 
 
 def alert_feed(alerts: DataFrame, since: str | None = None, ordered: bool = True) -> DataFrame:
@@ -73,7 +75,7 @@ def alert_feed(alerts: DataFrame, since: str | None = None, ordered: bool = True
                    F.substring(TS, TOD_START, TOD_WIDTH).alias("timeValue"),
                    "histratio", "currentratio", "ratiodeviation", "threshold",
                    F.lit(1).alias("Alert"))
-    return out.orderBy("timestampValue") if ordered else out
+    return out.orderBy("timestampValue", "symbol") if ordered else out
 
 
 def alert_counts(alerts: DataFrame) -> DataFrame:
