@@ -81,20 +81,37 @@ def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[
        .write.mode("overwrite").partitionBy(*partition_by, "batch_id").parquet(path))
 
 
+def batch_bounds(df: DataFrame, ts: str = "timestampvalue"):
+    """(dates, min ts, max ts) of one micro-batch, in one small job: the
+    partitions and the time range an earlier row with the same key can be in."""
+    r = df.agg(F.collect_set(date_part(ts)).alias("d"), F.min(ts).alias("lo"),
+               F.max(ts).alias("hi")).first()
+    return sorted(r["d"] or []), r["lo"], r["hi"]
+
+
+def rows_in_bounds(table: DataFrame, bounds, ts: str = "timestampvalue") -> DataFrame:
+    """Table rows in the batch's date partitions and time range: partition
+    pruning on ``datevalue`` plus parquet min/max skipping on ``ts`` (each
+    micro-batch's files cover a narrow time range)."""
+    dates, lo, hi = bounds
+    if not dates or lo is None:
+        return table.where(F.lit(False))
+    return table.where(F.col(DATE).isin(dates) & F.col(ts).between(lo, hi))
+
+
 def first_wins_append(batch: DataFrame, path: str, batch_id: int, schema,
                       keys: Sequence[str] = KEYS, order: str = "tick_id") -> DataFrame:
     """K2: append the batch's first row per key unless the key is already in
     the table from an earlier batch.  The table is partitioned by
-    ``datevalue``; only the partitions of the batch's dates are read (the list
-    of dates of one micro-batch is small).  Returns the rows written."""
+    ``datevalue``; only rows of the batch's dates and time range are read.
+    Returns the rows written."""
     from ..operators.alerts import first_wins
     spark = batch.sparkSession
     b = first_wins(batch, keys, order) if order in batch.columns else batch.dropDuplicates(list(keys))
     b = b.withColumn(DATE, date_part("timestampvalue"))
-    dates = [r[0] for r in b.select(DATE).distinct().collect()]
     stored = T.StructType(list(schema.fields)).add(DATE, T.StringType()).add("batch_id", T.IntegerType())
-    existing = read_or_empty(spark, path, stored)
-    existing = existing.where(F.col(DATE).isin(dates) & (F.col("batch_id") < int(batch_id)))
+    existing = rows_in_bounds(read_or_empty(spark, path, stored), batch_bounds(b))
+    existing = existing.where(F.col("batch_id") < int(batch_id))
     new = b.join(existing.select(*keys), list(keys), "left_anti")
     out = new.select(*[f.name for f in schema.fields if f.name not in (DATE, "batch_id")], DATE)
     write_batch(out, path, batch_id, (DATE,))

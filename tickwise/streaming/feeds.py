@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas as S
 from ..operators import feeds as FD
-from ..sources.sinks import DATE, read_or_empty
+from ..sources.sinks import DATE, batch_bounds, read_or_empty, rows_in_bounds
 from ..sources.streams import table_stream
 
 
@@ -47,10 +47,10 @@ def _start(df: DataFrame, fn, checkpoint: str, trigger: dict | None) -> Streamin
 def start_dashboard_feed(spark: SparkSession, stock_path: str, alert_path: str, checkpoint: str,
                          writer: Callable[[str], None], trigger: dict | None = None) -> StreamingQuery:
     """Q6 continuously: new stock rows, left-joined to the alerts written so
-    far (only the alert partitions of the batch's dates are read)."""
+    far (only alert rows in the batch's dates and time range are read)."""
     def send(batch: DataFrame, batch_id: int) -> None:
-        dates = [r[0] for r in batch.select(DATE).distinct().collect()]
-        alerts = read_or_empty(spark, alert_path, stored(S.ALERT)).where(F.col(DATE).isin(dates))
+        alerts = rows_in_bounds(read_or_empty(spark, alert_path, stored(S.ALERT)),
+                                batch_bounds(batch))
         feed = FD.dashboard_feed(batch, alerts, None, ordered=True)
         FD.post_json_payloads(FD.json_rows(feed, FD.DASHBOARD_COLUMNS), writer)
     return _start(table_stream(spark, stock_path, stored(S.STOCK)), send, checkpoint, trigger)
@@ -94,8 +94,10 @@ def start_count_feeds(spark: SparkSession, alert_path: str, checkpoint: str,
             payload = FD.count_payload_rows(batch)
         else:
             per = batch.select("symbol", F.col("count").alias("alerts"))
+            # TOTAL is count(symbol): NULL symbols are not counted
             total = per.agg(F.lit(FD.TOTAL).alias("symbol"),
-                            F.coalesce(F.sum("alerts"), F.lit(0)).cast("long").alias("alerts"))
+                            F.coalesce(F.sum(F.when(F.col("symbol").isNotNull(), F.col("alerts"))),
+                                       F.lit(0)).cast("long").alias("alerts"))
             both = per.unionByName(total)
             cols = [F.max(F.when(F.col("symbol") == F.lit(s), F.col("alerts"))).alias(s)
                     for s in (*symbols, FD.TOTAL)]
