@@ -101,10 +101,22 @@ def test_alert_job_and_feeds(spark):
     assert sum(r["alertFlag"] for r in rows) == got.count()
     assert list(rows[0].keys()) == list(__import__("tickwise.operators.feeds", fromlist=["x"]).DASHBOARD_COLUMNS)
 
-    cq = SF.start_count_feeds(spark, alerts, new_path(spark, "cnt-ckpt"), writer,
-                              symbols=("click", "view"))
+    out2 = new_path(spark, "pivot-out")
+    os.makedirs(local_path(out2), exist_ok=True)
+
+    def writer2(payload, _dir=local_path(out2)):
+        import uuid
+        with open(os.path.join(_dir, uuid.uuid4().hex + ".json"), "w") as fh:
+            fh.write(payload)
+
+    cq = SF.start_count_feeds(spark, alerts, new_path(spark, "cnt-ckpt"), writer2,
+                              symbols=("click", "view", "HDFC"))
     cq.awaitTermination()
     assert cq.exception() is None
+    from tickwise.operators.feeds import alert_pivot_feed
+    pivots = [r for f in glob.glob(os.path.join(local_path(out2), "*.json")) for r in json.load(open(f))]
+    want = alert_pivot_feed(spark.read.parquet(alerts), ("click", "view", "HDFC")).first().asDict()
+    assert pivots[-1] == {k: (None if v is None else str(v)) for k, v in want.items()}
 
 
 def test_wide_store_sink_equals_batch(spark):
