@@ -41,3 +41,33 @@ def test_history_upsert_keeps_old_keys(spark):
     assert h.where(F.col("symbol") == "click").count() == n1
     assert h.where(F.col("symbol") == "view").count() > 0
     assert h.groupBy("symbol", "timestampvalue").count().where("count > 1").count() == 0
+
+
+def test_bucketed_job_matches_and_anti_join_has_no_shuffle(spark):
+    from tickwise.operators.history import delta_anti_join
+    from tickwise.plans.jobs import create_bucketed_tables, run_bucketed_ratio_job
+    loc = new_path(spark, "tables")
+    spark.sql("create database if not exists tw_test")
+    tt, tr = "tw_test.ticks_b", "tw_test.trans_b"
+    create_bucketed_tables(spark, tt, tr, 4, loc)
+    ticks = X.minute_ticks(spark, SF)
+    day1 = F.col("timestampvalue") < F.lit("2024-01-16")
+    ticks.where(day1).write.insertInto(tt)
+    hist = new_path(spark, "hist")
+    run_bucketed_ratio_job(spark, tt, tr, hist, 3, width=5, run_id=1)
+    ticks.where(~day1).write.insertInto(tt)
+    run_bucketed_ratio_job(spark, tt, tr, hist, 3, width=5, run_id=2)
+
+    first = ratio_query(ticks.where(day1), None, 3)
+    second = ratio_query(ticks, first, 3)
+    assert _same(spark.table(tr), first.unionByName(second))
+    assert _same(read_history(spark, hist), hist_ratio_query(first.unionByName(second), 5))
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = delta_anti_join(spark.table(tt), spark.table(tr))._jdf.queryExecution() \
+            .executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan

@@ -37,25 +37,67 @@ def read_history(spark: SparkSession, path: str) -> DataFrame | None:
     return latest_version(h)
 
 
+def _write_history(spark: SparkSession, trans: DataFrame, history_path: str, width: int,
+                   rounded: bool, upsert: bool, run_id: int) -> None:
+    hist = hist_ratio_query(trans, width, rounded=rounded)
+    target = f"{history_path.rstrip('/')}/{RUN}={run_id}"
+    previous = read_history(spark, history_path) if upsert else None
+    if previous is None:
+        hist.write.mode("errorifexists").parquet(target)
+    else:
+        prev_path = new_path(spark, "history-prev")
+        previous.write.mode("errorifexists").parquet(prev_path)   # cut the lineage first
+        upsert_last_wins(spark, prev_path, hist, target)
+
+
 def run_batch_ratio_job(spark: SparkSession, ticks_path: str, transformed_path: str,
                         history_path: str, n: int, width: int = TOD_WIDTH,
                         rounded: bool = True, partitioned: bool = False,
                         upsert: bool = False, run_id: int | None = None) -> int:
-    """Run the job once; returns the run id written to the history table."""
+    """Run the job once over parquet folders; returns the history run id."""
     run_id = int(run_id if run_id is not None else time.time() * 1000)
     ticks = spark.read.parquet(ticks_path)
     done = read_or_none(spark, transformed_path)
     rows = ratio_query(ticks, done, n)
     append_table(rows, transformed_path, ("symbol",) if partitioned else ())
+    _write_history(spark, spark.read.parquet(transformed_path), history_path, width, rounded,
+                   upsert, run_id)
+    return run_id
 
-    trans = spark.read.parquet(transformed_path)
-    hist = hist_ratio_query(trans, width, rounded=rounded)
-    target = f"{history_path.rstrip('/')}/{RUN}={run_id}"
-    previous = read_history(spark, history_path) if upsert else None
-    if previous is None:
-        hist.write.mode("errorifexists").parquet(target)
-    else:
-        prev_path = new_path(spark, "history-prev")
-        previous.write.mode("errorifexists").parquet(prev_path)   # cut the lineage first
-        upsert_last_wins(spark, prev_path, hist, target)
+
+def create_bucketed_tables(spark: SparkSession, ticks_table: str, transformed_table: str,
+                           buckets: int, location: str | None = None) -> None:
+    """Create the raw tick and transformed tables, both bucketed (and sorted)
+    by ``timestampvalue`` into the same number of buckets, so the delta anti
+    join (J1) of every run reads both sides without a shuffle."""
+    from .. import schemas as S
+    from pyspark.sql import types as T
+    tick_schema = T.StructType(list(S.TICK.fields) + [T.StructField("tick_id", T.LongType())])
+    for name, schema in ((ticks_table, tick_schema), (transformed_table, S.TRANSFORMED)):
+        if spark.catalog.tableExists(name):
+            continue
+        w = (spark.createDataFrame([], schema).write.format("parquet")
+             .bucketBy(buckets, "timestampvalue").sortBy("timestampvalue"))
+        if location:
+            w = w.option("path", f"{location.rstrip('/')}/{name.split('.')[-1]}")
+        w.saveAsTable(name)
+
+
+def run_bucketed_ratio_job(spark: SparkSession, ticks_table: str, transformed_table: str,
+                           history_path: str, n: int, width: int = TOD_WIDTH,
+                           rounded: bool = True, upsert: bool = False,
+                           run_id: int | None = None) -> int:
+    """The same run over the bucketed catalog tables: J1 is a sort-merge anti
+    join without exchanges; the new rows are inserted with the table's
+    bucketing."""
+    run_id = int(run_id if run_id is not None else time.time() * 1000)
+    ticks, done = spark.table(ticks_table), spark.table(transformed_table)
+    rows = ratio_query(ticks, done, n)
+    # materialize before inserting into a table the query itself reads
+    staged = new_path(spark, "transformed-delta")
+    rows.write.parquet(staged)
+    spark.read.parquet(staged).select(*spark.table(transformed_table).columns).write.insertInto(
+        transformed_table)
+    _write_history(spark, spark.table(transformed_table), history_path, width, rounded, upsert,
+                   run_id)
     return run_id
