@@ -52,11 +52,14 @@ def test_bucketed_job_matches_and_anti_join_has_no_shuffle(spark):
     create_bucketed_tables(spark, tt, tr, 4, loc)
     ticks = X.minute_ticks(spark, SF)
     day1 = F.col("timestampvalue") < F.lit("2024-01-16")
-    ticks.where(day1).write.insertInto(tt)
+    from tickwise.sources.sinks import write_batch_to_table
+    write_batch_to_table(ticks.where(day1), tt, 0)
+    write_batch_to_table(ticks.where(day1), tt, 0)          # a replayed batch: no duplicates
     hist = new_path(spark, "hist")
     run_bucketed_ratio_job(spark, tt, tr, hist, 3, width=5, run_id=1)
-    ticks.where(~day1).write.insertInto(tt)
+    write_batch_to_table(ticks.where(~day1), tt, 1)
     run_bucketed_ratio_job(spark, tt, tr, hist, 3, width=5, run_id=2)
+    assert spark.table(tt).count() == ticks.count()
 
     first = ratio_query(ticks.where(day1), None, 3)
     second = ratio_query(ticks, first, 3)

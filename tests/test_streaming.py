@@ -166,3 +166,17 @@ def test_state_table_window_equals_batch_and_restarts(spark, task_size):
         assert got.exceptAll(want).count() == 0
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_ingest_into_bucketed_table(spark):
+    from tickwise.plans.jobs import create_bucketed_tables
+    spark.sql("create database if not exists tw_ing")
+    create_bucketed_tables(spark, "tw_ing.ticks", "tw_ing.trans", 4, new_path(spark, "ing-tables"))
+    src, ckpt = new_path(spark, "ingt-src"), new_path(spark, "ingt-ckpt")
+    msgs = tick_messages(_ticks(spark))
+    stage_message_files(msgs, src, 2, files_per_slice=1)
+    q = start_ingest(message_file_stream(spark, src, max_files_per_trigger=1), "tw_ing.ticks", ckpt,
+                     trigger={"availableNow": True}, table=True)
+    q.awaitTermination()
+    assert q.exception() is None
+    assert spark.table("tw_ing.ticks").count() == msgs.count()

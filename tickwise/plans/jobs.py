@@ -69,15 +69,20 @@ def create_bucketed_tables(spark: SparkSession, ticks_table: str, transformed_ta
                            buckets: int, location: str | None = None) -> None:
     """Create the raw tick and transformed tables, both bucketed (and sorted)
     by ``timestampvalue`` into the same number of buckets, so the delta anti
-    join (J1) of every run reads both sides without a shuffle."""
+    join (J1) of every run reads both sides without a shuffle.  The raw table
+    is also partitioned by ``batch_id``: the ingest stream overwrites its own
+    batch partition, so a replayed micro-batch is not appended twice."""
     from .. import schemas as S
     from pyspark.sql import types as T
-    tick_schema = T.StructType(list(S.TICK.fields) + [T.StructField("tick_id", T.LongType())])
+    tick_schema = T.StructType(list(S.TICK.fields) + [T.StructField("tick_id", T.LongType()),
+                                                      T.StructField("batch_id", T.IntegerType())])
     for name, schema in ((ticks_table, tick_schema), (transformed_table, S.TRANSFORMED)):
         if spark.catalog.tableExists(name):
             continue
         w = (spark.createDataFrame([], schema).write.format("parquet")
              .bucketBy(buckets, "timestampvalue").sortBy("timestampvalue"))
+        if "batch_id" in schema.fieldNames():
+            w = w.partitionBy("batch_id")
         if location:
             w = w.option("path", f"{location.rstrip('/')}/{name.split('.')[-1]}")
         w.saveAsTable(name)
@@ -92,7 +97,7 @@ def run_bucketed_ratio_job(spark: SparkSession, ticks_table: str, transformed_ta
     bucketing."""
     run_id = int(run_id if run_id is not None else time.time() * 1000)
     ticks, done = spark.table(ticks_table), spark.table(transformed_table)
-    rows = ratio_query(ticks, done, n)
+    rows = ratio_query(ticks.drop("batch_id"), done, n)
     # materialize before inserting into a table the query itself reads
     staged = new_path(spark, "transformed-delta")
     rows.write.parquet(staged)

@@ -99,6 +99,16 @@ def rows_in_bounds(table: DataFrame, bounds, ts: str = "timestampvalue") -> Data
     return table.where(F.col(DATE).isin(dates) & F.col(ts).between(lo, hi))
 
 
+def write_batch_to_table(df: DataFrame, table: str, batch_id: int) -> None:
+    """Idempotent write of one micro-batch into a catalog table partitioned by
+    ``batch_id`` (bucketing of the table is applied by the insert)."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    cols = spark.table(table).columns
+    (df.withColumn("batch_id", F.lit(int(batch_id))).select(*cols)
+       .write.insertInto(table, overwrite=True))
+
+
 def first_wins_append(batch: DataFrame, path: str, batch_id: int, schema,
                       keys: Sequence[str] = KEYS, order: str = "tick_id") -> DataFrame:
     """K2: append the batch's first row per key unless the key is already in

@@ -16,15 +16,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.parse import parse_tick_strict
-from ..sources.sinks import write_batch
+from ..sources.sinks import write_batch, write_batch_to_table
 
 log = logging.getLogger(__name__)
 
 INGEST_INTERVAL = "60 seconds"
 
 
-def load_batch(batch: DataFrame, batch_id: int, target: str) -> int:
-    """Parse and append one micro-batch; returns the number of rows."""
+def load_batch(batch: DataFrame, batch_id: int, target: str, table: bool = False) -> int:
+    """Parse and append one micro-batch to a parquet folder or (``table``) a
+    catalog table partitioned by ``batch_id``; returns the number of rows."""
     if batch.isEmpty():
         return 0
     obs = Observation(f"ingest_{batch_id}")
@@ -34,17 +35,22 @@ def load_batch(batch: DataFrame, batch_id: int, target: str) -> int:
         # the message offset is the tie-breaker of ticks sharing a timestamp
         ticks = ticks.withColumnRenamed("offset", "tick_id")
     ticks = ticks.observe(obs, F.count(F.lit(1)).alias("rows"))
-    write_batch(ticks, target, batch_id)
+    if table:
+        write_batch_to_table(ticks, target, batch_id)
+    else:
+        write_batch(ticks, target, batch_id)
     n = int(obs.get["rows"])
     log.info("batch %s: %s ticks appended to %s", batch_id, n, target)
     return n
 
 
 def start_ingest(messages: DataFrame, target: str, checkpoint: str,
-                 trigger: dict | None = None) -> StreamingQuery:
+                 trigger: dict | None = None, table: bool = False) -> StreamingQuery:
     """``messages`` (streaming, ``value`` text) -> raw tick table at
-    ``target``; every ``INGEST_INTERVAL`` by default."""
+    ``target`` (a folder, or a catalog table name with ``table=True``, e.g.
+    the bucketed table of ``plans.jobs.create_bucketed_tables``); every
+    ``INGEST_INTERVAL`` by default."""
     w = (messages.writeStream
-         .foreachBatch(lambda b, i: load_batch(b, i, target))
+         .foreachBatch(lambda b, i: load_batch(b, i, target, table))
          .option("checkpointLocation", checkpoint))
     return w.trigger(**(trigger or {"processingTime": INGEST_INTERVAL})).start()
