@@ -10,7 +10,11 @@ from tickwise.session import get_session, shared_dir  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_session("local[4]", shuffle_partitions=4, app_name="tickwise-tests")
+    import tempfile
+    # test tables go to a scratch warehouse, not into the working directory
+    warehouse = tempfile.mkdtemp(prefix="tickwise-warehouse-")
+    s = get_session("local[4]", shuffle_partitions=4, app_name="tickwise-tests",
+                    extra={"spark.sql.warehouse.dir": warehouse})
     shared_dir(s)   # registers a private folder only when spark.checkpoint.dir is unset
     yield s
     s.stop()
