@@ -48,7 +48,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     # getOrCreate on an existing session ignores builder options: re-apply
     # the SQL ones, which are session-scoped and safe to set at run time.
     for k, v in conf.items():
-        if k.startswith("spark.sql.") and "stateStore.providerClass" not in k:
+        if k.startswith("spark.sql.") and spark.conf.isModifiable(k):
             spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
