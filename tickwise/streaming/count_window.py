@@ -151,7 +151,10 @@ def count_window_microbatch(batch: DataFrame, batch_id: int, state_path: str, n:
                  .select(key, *STATE_COLS))
     state.write.mode("overwrite").parquet(f"{state_path.rstrip('/')}/{RUN}={int(batch_id)}")
 
-    out = moving_avg_rows(both, n, key, order=order, outputs=("priceavg", "volumeavg"),
+    # the window only needs the state of keys present in this batch
+    context = prev.join(rows.select(key).distinct(), key, "left_semi")
+    window_in = context.withColumn(_CTX, F.lit(True)).unionByName(rows.withColumn(_CTX, F.lit(False)))
+    out = moving_avg_rows(window_in, n, key, order=order, outputs=("priceavg", "volumeavg"),
                           time_col="timestampvalue")
     return out.where(~F.col(_CTX)).drop(_CTX, BATCH)
 
