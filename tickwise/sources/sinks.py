@@ -75,10 +75,9 @@ def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
     """Idempotent write of one micro-batch: rows land in ``batch_id=<id>``
     (below any other partition columns) with dynamic partition overwrite."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     (df.withColumn("batch_id", F.lit(int(batch_id)))
-       .write.mode("overwrite").partitionBy(*partition_by, "batch_id").parquet(path))
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy(*partition_by, "batch_id").parquet(path))
 
 
 def batch_bounds(df: DataFrame, ts: str = "timestampvalue"):
@@ -102,11 +101,17 @@ def rows_in_bounds(table: DataFrame, bounds, ts: str = "timestampvalue") -> Data
 def write_batch_to_table(df: DataFrame, table: str, batch_id: int) -> None:
     """Idempotent write of one micro-batch into a catalog table partitioned by
     ``batch_id`` (bucketing of the table is applied by the insert)."""
+    import uuid
     spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    cols = spark.table(table).columns
-    (df.withColumn("batch_id", F.lit(int(batch_id))).select(*cols)
-       .write.insertInto(table, overwrite=True))
+    cols = [c for c in spark.table(table).columns if c != "batch_id"]
+    view = f"_tw_batch_{uuid.uuid4().hex[:12]}"
+    df.select(*cols).createOrReplaceTempView(view)
+    try:
+        # a static partition spec replaces exactly this batch's partition
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (batch_id = {int(batch_id)}) "
+                  f"SELECT {', '.join(f'`{c}`' for c in cols)} FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
 
 
 def first_wins_append(batch: DataFrame, path: str, batch_id: int, schema,
