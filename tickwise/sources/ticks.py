@@ -17,6 +17,21 @@ TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 MINUTE_FORMAT = "yyyy-MM-dd HH:mm"
 
 
+# Java date patterns of the two tick text formats and their lengths
+_FORMAT_CHARS = {TS_FORMAT: 19, MINUTE_FORMAT: 16}
+
+
+def ts_text(df: DataFrame, col: str, fmt: str = TS_FORMAT):
+    """Timestamp text of ``col``.  A TIMESTAMP_NTZ value cast to string is
+    ``yyyy-MM-dd HH:mm:ss[.ffffff]`` with no time-zone conversion, so its
+    prefix is the text, whatever the session time zone (``date_format`` would
+    convert through the session zone and shift times inside DST gaps)."""
+    from pyspark.sql.types import TimestampNTZType
+    if isinstance(df.schema[col].dataType, TimestampNTZType) and fmt in _FORMAT_CHARS:
+        return F.substring(F.col(col).cast("string"), 1, _FORMAT_CHARS[fmt])
+    return F.date_format(col, fmt)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -27,7 +42,7 @@ def ticks_from_events(events: DataFrame, ts_format: str = TS_FORMAT,
     price = ``value``, volume = integer ``props.k``, tie-breaker = ``event_id``."""
     return events.select(
         F.col(symbol_col).cast("string").alias("symbol"),
-        F.date_format("ts", ts_format).alias("timestampvalue"),
+        ts_text(events, "ts", ts_format).alias("timestampvalue"),
         F.col("value").cast("double").alias("price"),
         F.get_json_object("props", "$.k").try_cast("int").alias("volume"),
         F.col("event_id").alias("tick_id"),
@@ -46,7 +61,7 @@ def ticks_from_lineitem(lineitem: DataFrame) -> DataFrame:
     day-resolution timestamps; ties are broken by (orderkey, linenumber)."""
     return lineitem.select(
         F.col("l_partkey").cast("string").alias("symbol"),
-        F.date_format("l_shipdate", TS_FORMAT).alias("timestampvalue"),
+        ts_text(lineitem, "l_shipdate").alias("timestampvalue"),
         F.col("l_extendedprice").alias("price"),
         F.col("l_quantity").cast("int").alias("volume"),
         (F.col("l_orderkey") * F.lit(8) + F.col("l_linenumber")).alias("tick_id"),
