@@ -180,3 +180,20 @@ def test_ingest_into_bucketed_table(spark):
     q.awaitTermination()
     assert q.exception() is None
     assert spark.table("tw_ing.ticks").count() == msgs.count()
+
+
+def test_dedup_within_watermark_keeps_first(spark):
+    from tickwise.streaming.realtime import dedup_within_watermark
+    rows = [('{"symbol":"A","timestampValue":"2024-01-01 00:00:01","price":1,"volume":1}', 1),
+            ('{"symbol":"A","timestampValue":"2024-01-01 00:00:02","price":2,"volume":1}', 2),
+            ('{"symbol":"A","timestampValue":"2024-01-01 00:00:01","price":9,"volume":1}', 3)]
+    src = new_path(spark, "dd-src")
+    for part in (rows[:2], rows[2:]):          # the duplicate key arrives in a later micro-batch
+        spark.createDataFrame(part, "value string, offset long").write.mode("append").parquet(src)
+    out = new_path(spark, "dd-out")
+    stream = dedup_within_watermark(realtime_stream(message_file_stream(spark, src, max_files_per_trigger=1), 3))
+    q = start_metrics_sink(stream, out, new_path(spark, "dd-ckpt"), state_partitions=2)
+    q.awaitTermination()
+    assert q.exception() is None
+    got = sorted((r.timestampvalue, r.price) for r in spark.read.parquet(out).collect())
+    assert got == [("2024-01-01 00:00:01", 1.0), ("2024-01-01 00:00:02", 2.0)]
