@@ -95,6 +95,19 @@ def deviation(current, hist) -> Column:
     return F.when(is_finite(d), d)
 
 
+def text_template(template: str, **columns) -> Column:
+    """``concat`` of a text template: ``{name}`` is replaced by the column
+    ``columns[name]`` cast to string (doubles print as the JVM does)."""
+    import re
+    parts = []
+    for i, piece in enumerate(re.split(r"\{(\w+)\}", template)):
+        if i % 2:
+            parts.append(col(columns[piece]).cast("string"))
+        elif piece:
+            parts.append(F.lit(piece))
+    return F.concat(*parts)
+
+
 def tick_json(symbol="symbol", ts="timestampValue", price="price", volume="volume") -> Column:
     """JSON text of one tick, as produced by the tick generator."""
     return F.to_json(F.struct(col(symbol).alias("symbol"), col(ts).alias("timestampValue"),

@@ -15,7 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import (TOD_WIDTH, clean_quotes, deviation, round5, tod_of_raw)
+from ..functions.columns import (TOD_WIDTH, clean_quotes, deviation, round5, text_template,
+                                 tod_of_raw)
 from .metrics import metrics_stream, metrics_stream_rounded
 from .windows import CHUNK, moving_avg_rows
 
@@ -25,6 +26,13 @@ STOCK_COLS = ("symbol", TS, "price", "volume", "priceavg", "pricechange", "volum
               "volumechange", "ratio")
 ALERT_COLS = ("symbol", TS, "histratio", "currentratio", "ratiodeviation", "threshold")
 
+# The alert texts of the source system (current and older form)
+ALERT_TEXT = (" Alert has generated for stock {symbol} and timestamp {ts}. Historic Ratio : "
+              "{hist}, Current Ratio : {current}, Ratio deviation : {deviation}, "
+              "Threshold : {threshold}")
+ALERT_TEXT_OLD = (" Alert has generated for stock {symbol} and timestamp {ts}. The historic ratio "
+                  "for this stock is {hist} and ratio deviation {deviation}")
+
 
 def realtime_metrics(windowed: DataFrame, rounded: bool = True, clean: bool = True) -> DataFrame:
     """P4/P5 + P3 over rows that carry ``priceavg``/``volumeavg``: the metric
@@ -117,35 +125,7 @@ def alert_messages(alerts: DataFrame, with_numbers: bool = True) -> DataFrame:
     Numbers are printed with Spark's double-to-text cast, which follows the
     JVM's ``Double.toString`` as the source did.  ``with_numbers=False`` gives
     the older text that names only the ratio values."""
-    s = lambda c: F.col(c).cast("string")
-    if with_numbers:
-        text = F.concat(F.lit(" Alert has generated for stock "), F.col("symbol"),
-                        F.lit(" and timestamp "), F.col(TS),
-                        F.lit(". Historic Ratio : "), s("histratio"),
-                        F.lit(", Current Ratio : "), s("currentratio"),
-                        F.lit(", Ratio deviation : "), s("ratiodeviation"),
-                        F.lit(", Threshold : "), s("threshold"))
-    else:
-        text = F.concat(F.lit(" Alert has generated for stock "), F.col("symbol"),
-                        F.lit(" and timestamp "), F.col(TS),
-                        F.lit(". The historic ratio for this stock is "), s("histratio"),
-                        F.lit(" and ratio deviation "), s("ratiodeviation"))
+    text = text_template(ALERT_TEXT if with_numbers else ALERT_TEXT_OLD, symbol="symbol", ts=TS,
+                         hist="histratio", current="currentratio",
+                         deviation="ratiodeviation", threshold="threshold")
     return alerts.select("symbol", TS, text.alias("message"))
-
-
-WIDE_STORE_COLS = ("symbol", TS, "avgprice", "avgvolume", "pricechange", "volumechange", "ratio",
-                   "histratio")
-
-
-def wide_store_rows(metrics: DataFrame) -> DataFrame:
-    """The optional wide-column-store feed of the stream: one row per symbol
-    and time of day (the full time text after the blank), the latest tick's
-    metrics winning (K3, by ``tick_id``), with the current ratio stored as the
-    historical ratio.  (The disabled source code bound avgvolume/pricechange
-    to each other's values by position; columns are matched by name here.)"""
-    rows = metrics.select(
-        "symbol", F.try_element_at(F.split(TS, " "), F.lit(2)).alias(TS),
-        F.col("priceavg").alias("avgprice"), F.col("volumeavg").alias("avgvolume"),
-        "pricechange", "volumechange", "ratio", F.col("ratio").alias("histratio"), "tick_id")
-    last = [F.max_by(c, F.col("tick_id")).alias(c) for c in WIDE_STORE_COLS[2:]]
-    return rows.groupBy("symbol", TS).agg(*last)

@@ -15,20 +15,25 @@ from collections.abc import Callable, Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import DATE_LEN, TOD_START, TOD_WIDTH, TS_TEXT_LEN
+from ..functions.columns import DATE_LEN, TOD_START, TOD_WIDTH, TS_TEXT_LEN, text_template
 
 TS = "timestampvalue"
 
-# Payload columns of the dashboard feeds (key order of the JSON)
+# Fixed values of the source system's feeds --------------------------------------
+# payload columns of the dashboard feeds (key order of the JSON)
 DASHBOARD_COLUMNS = ("symbol", "tmst", "dateValue", "timeValue", "currentratio", "histratio",
                      "ratiodeviation", "threshold", "alertFlag", "price", "volume", "priceavg",
                      "pricechange", "volumeavg", "volumechange")
 ALERT_FEED_COLUMNS = ("symbol", "timestampValue", "dateValue", "timeValue", "histratio",
                       "currentratio", "ratiodeviation", "threshold", "Alert")
-# symbols of the source's pivot feed (a parameter of alert_pivot_feed)
+# symbols of the pivot feed (the default of alert_pivot_feed) and its total column
 PIVOT_SYMBOLS = ("HDFC", "ONGC", "RELIANCE", "SBI", "TCS")
 TOTAL = "TOTAL"
-DIGEST_SUBJECT = "STOCK PRICE ALERTS from "
+# mail digest subject and body texts
+DIGEST_SUBJECT = "STOCK PRICE ALERTS from {first} to {last}"
+DIGEST_BODY = ("Symbol = {symbol} , Time = {ts} , Historical Ratio = {hist} , "
+               "Current Ratio = {current} , Ratio Deviation = {deviation} , Threshold = {threshold}")
+# ----------------------------------------------------------------------------------
 
 
 def incremental_filter(df: DataFrame, since: str | None, ts: str = TS) -> DataFrame:
@@ -123,14 +128,10 @@ def alert_digest(alerts: DataFrame, since: str | None = None) -> DataFrame:
     built; these rows are what would be sent."""
     from .windows import running_first_last
     a = running_first_last(incremental_filter(alerts, since), TS)
-    s = lambda c: F.col(c).cast("string")
-    body = F.concat(F.lit("Symbol = "), F.col("symbol"), F.lit(" , Time = "), F.col(TS),
-                    F.lit(" , Historical Ratio = "), s("histratio"),
-                    F.lit(" , Current Ratio = "), s("currentratio"),
-                    F.lit(" , Ratio Deviation = "), s("ratiodeviation"),
-                    F.lit(" , Threshold = "), s("threshold"))
-    subject = F.concat(F.lit(DIGEST_SUBJECT), java_ts_text("first_ts"), F.lit(" to "),
-                       java_ts_text("last_ts"))
+    body = text_template(DIGEST_BODY, symbol="symbol", ts=TS, hist="histratio",
+                         current="currentratio", deviation="ratiodeviation", threshold="threshold")
+    subject = text_template(DIGEST_SUBJECT, first=java_ts_text("first_ts"),
+                            last=java_ts_text("last_ts"))
     return (a.select("symbol", TS, subject.alias("subject"), body.alias("body"))
              .orderBy(TS, "symbol"))
 

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import INVALID, clean_quotes
 
+# The fields of a tick message, in message order
 FIELDS = ("symbol", "timestampValue", "price", "volume")
 
 

@@ -10,6 +10,8 @@ Fixed parameters of the fixtures (chosen once, shared by Spark and SQL):
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -217,3 +219,15 @@ def sql_json_object(cols) -> str:
         sep = "{" if i == 0 else ","
         parts.append(f"'{sep}\"{name}\":' || {sql_json_value(expr, kind)}")
     return " || ".join(parts) + " || '}'"
+
+
+def sql_text_template(template: str, **exprs) -> str:
+    """The SQL ``||`` concatenation of a text template (see
+    ``functions.columns.text_template``); ``exprs`` maps names to SQL text."""
+    parts = []
+    for i, piece in enumerate(re.split(r"\{(\w+)\}", template)):
+        if i % 2:
+            parts.append(f"({exprs[piece]})")
+        elif piece:
+            parts.append("'" + piece.replace("'", "''") + "'")
+    return " || ".join(parts)

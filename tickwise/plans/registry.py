@@ -383,10 +383,10 @@ J = X.sql_java_double
 
 
 @register("alert_messages",
-          "select symbol, timestampvalue, ' Alert has generated for stock ' || symbol || "
-          "' and timestamp ' || timestampvalue || '. Historic Ratio : ' || " + J("histratio")
-          + " || ', Current Ratio : ' || " + J("currentratio") + " || ', Ratio deviation : ' || "
-          + J("ratiodeviation") + " || ', Threshold : ' || " + J("threshold")
+          "select symbol, timestampvalue, "
+          + X.sql_text_template(A.ALERT_TEXT, symbol="symbol", ts="timestampvalue",
+                                hist=J("histratio"), current=J("currentratio"),
+                                deviation=J("ratiodeviation"), threshold=J("threshold"))
           + f" as message from ({ALERTS_SQL}) a")
 def q_alert_messages(spark, d):
     return A.alert_messages(X.live_alerts(spark, d))
@@ -406,12 +406,13 @@ def q_running_first_last(spark, d):
 
 
 @register("alert_digest",
-          "select symbol, timestampvalue, 'STOCK PRICE ALERTS from ' || " + _java_ts("first_ts")
-          + " || ' to ' || " + _java_ts("timestampvalue") + " as subject, "
-          "'Symbol = ' || symbol || ' , Time = ' || timestampvalue || ' , Historical Ratio = ' || "
-          + J("histratio") + " || ' , Current Ratio = ' || " + J("currentratio")
-          + " || ' , Ratio Deviation = ' || " + J("ratiodeviation") + " || ' , Threshold = ' || "
-          + J("threshold") + " as body from (select *, min(timestampvalue) over () as first_ts from ("
+          "select symbol, timestampvalue, "
+          + X.sql_text_template(FD.DIGEST_SUBJECT, first=_java_ts("first_ts"),
+                                last=_java_ts("timestampvalue")) + " as subject, "
+          + X.sql_text_template(FD.DIGEST_BODY, symbol="symbol", ts="timestampvalue",
+                                hist=J("histratio"), current=J("currentratio"),
+                                deviation=J("ratiodeviation"), threshold=J("threshold"))
+          + " as body from (select *, min(timestampvalue) over () as first_ts from ("
           + ALERTS_SQL + f") a where timestampvalue > '{MARK}') b order by timestampvalue, symbol")
 def q_alert_digest(spark, d):
     return FD.alert_digest(X.live_alerts(spark, d), MARK)
@@ -547,9 +548,9 @@ def q_alert_pivot_payload(spark, d):
 
 
 @register("alert_messages_short",
-          "select symbol, timestampvalue, ' Alert has generated for stock ' || symbol || "
-          "' and timestamp ' || timestampvalue || '. The historic ratio for this stock is ' || "
-          + J("histratio") + " || ' and ratio deviation ' || " + J("ratiodeviation")
+          "select symbol, timestampvalue, "
+          + X.sql_text_template(A.ALERT_TEXT_OLD, symbol="symbol", ts="timestampvalue",
+                                hist=J("histratio"), deviation=J("ratiodeviation"))
           + f" as message from ({ALERTS_SQL}) a")
 def q_alert_messages_short(spark, d):
     return A.alert_messages(X.live_alerts(spark, d), with_numbers=False)
