@@ -20,7 +20,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from tickwise.operators.alerts import ratio_alerts  # noqa: E402
 from tickwise.operators.history import hist_ratio_query, ratio_query  # noqa: E402

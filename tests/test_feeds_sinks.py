@@ -5,7 +5,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from tickwise import schemas as S
 from tickwise.operators import feeds as FD

@@ -2,7 +2,6 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from tickwise.operators.alerts import realtime_ratio
 from tickwise.operators.history import ratio_query

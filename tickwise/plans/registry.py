@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import history as H
 from ..operators import alerts as A
@@ -421,7 +420,6 @@ def q_alert_digest(spark, d):
 # ---- streaming: W2 with keyed state, Q3, Q4 stream-static, K2 ---------------------------
 
 from . import replay as R  # noqa: E402
-from .. import schemas as S  # noqa: E402
 from ..streaming import realtime as RT  # noqa: E402
 from ..streaming.count_window import count_window_stream  # noqa: E402
 from ..sources.sinks import overwrite_table  # noqa: E402
