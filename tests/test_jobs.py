@@ -74,3 +74,16 @@ def test_bucketed_job_matches_and_anti_join_has_no_shuffle(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
+def test_partitioned_transformed_table(spark):
+    ticks = X.ticks(spark, SF)
+    raw, trans, hist = new_path(spark, "raw"), new_path(spark, "trans"), new_path(spark, "hist")
+    ticks.write.parquet(raw)
+    run_batch_ratio_job(spark, raw, trans, hist, 3, run_id=1, partitioned=True)
+    import glob
+    from tickwise.session import local_path
+    assert glob.glob(local_path(trans) + "/symbol=*")
+    got = spark.read.parquet(trans).select("symbol", "timestampvalue", "avgprice", "pricechange",
+                                           "avgvol", "volumechange", "ratio")
+    assert _same(got, ratio_query(ticks, None, 3))

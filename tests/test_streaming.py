@@ -197,3 +197,41 @@ def test_dedup_within_watermark_keeps_first(spark):
     assert q.exception() is None
     got = sorted((r.timestampvalue, r.price) for r in spark.read.parquet(out).collect())
     assert got == [("2024-01-01 00:00:01", 1.0), ("2024-01-01 00:00:02", 2.0)]
+
+
+def test_text_source_alert_feed_and_digest_streams(spark):
+    """JSON lines as a text stream feed the realtime job; the alert feed and
+    the mail digest streams deliver one payload/text per new alert."""
+    from tickwise.sources.streams import text_line_stream
+    live = X.live_ticks(spark, SF001)
+    src = new_path(spark, "txt-src")
+    tick_messages(live).select("value").coalesce(1).write.text(src)
+    stock, alerts = new_path(spark, "t-stock"), new_path(spark, "t-alerts")
+    q = start_realtime_alerts(spark, text_line_stream(spark, src), 3, X.THRESHOLD, stock, alerts,
+                              new_path(spark, "t-ckpt"), hist=X.history(spark, SF001), width=5,
+                              state_partitions=2)
+    q.awaitTermination()
+    assert q.exception() is None
+    want = X.live_alerts(spark, SF001).select(*ALERT_COLS)
+    got = spark.read.parquet(alerts).select(*ALERT_COLS)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+    for start, name in ((SF.start_alert_feed, "af"), (SF.start_alert_digest, "dg")):
+        out = new_path(spark, f"{name}-out")
+        os.makedirs(local_path(out), exist_ok=True)
+
+        def writer(payload, _dir=local_path(out)):
+            import uuid
+            with open(os.path.join(_dir, uuid.uuid4().hex + ".txt"), "w") as fh:
+                fh.write(payload)
+
+        fq = start(spark, alerts, new_path(spark, f"{name}-ckpt"), writer)
+        fq.awaitTermination()
+        assert fq.exception() is None
+        texts = [open(f).read() for f in glob.glob(os.path.join(local_path(out), "*.txt"))]
+        if name == "af":
+            rows = [r for t in texts for r in json.loads(t)]
+            assert len(rows) == want.count() and all(r["Alert"] == 1 for r in rows)
+        else:
+            assert len(texts) == want.count()
+            assert all(t.startswith("STOCK PRICE ALERTS from ") and "\nSymbol = " in t for t in texts)

@@ -88,12 +88,6 @@ def local_path(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
-def ensure_parent(path: str) -> None:
-    p = local_path(path)
-    if "://" not in p:
-        os.makedirs(os.path.dirname(p) or ".", exist_ok=True)
-
-
 _SHIPPED: set[str] = set()
 
 

@@ -68,10 +68,6 @@ def ticks_from_lineitem(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def event_ticks(spark: SparkSession, sf_dir: str, ts_format: str = TS_FORMAT) -> DataFrame:
-    return ticks_from_events(read_table(spark, sf_dir, "events"), ts_format)
-
-
 def lineitem_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ticks_from_lineitem(read_table(spark, sf_dir, "lineitem"))
 
@@ -80,8 +76,6 @@ def tick_messages(ticks: DataFrame) -> DataFrame:
     """Ticks as the JSON text messages the stream source delivers
     (``value`` column, as a Kafka value cast to string), with the tie-breaker
     kept alongside as the message offset."""
-    return ticks.select(
-        F.to_json(F.struct(
-            F.col("symbol"), F.col("timestampvalue").alias("timestampValue"),
-            F.col("price"), F.col("volume"))).alias("value"),
-        F.col("tick_id").alias("offset"))
+    from ..functions.columns import tick_json
+    return ticks.select(tick_json(ts="timestampvalue").alias("value"),
+                        F.col("tick_id").alias("offset"))
