@@ -53,3 +53,15 @@ def test_hot_symbol_split_matches_oracle(spark, con, name):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert r["spark_rows"] == r["duck_rows"] and (r["exact"] or r["approx"]), r
+
+
+@pytest.mark.parametrize("name", ["moving_avg_rows_lineitem", "ratio_query", "alert_digest"])
+def test_results_do_not_depend_on_session_time_zone(spark, con, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        r = check(spark, con, SF, name, E.queries()[name], E.oracle_sql()[name])
+        assert spark.conf.get("spark.sql.session.timeZone") == "America/New_York"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r["spark_rows"] == r["duck_rows"] and (r["exact"] or r["approx"]), r
