@@ -37,9 +37,20 @@ def read_history(spark: SparkSession, path: str) -> DataFrame | None:
     return latest_version(h)
 
 
+def one_row_per_key(df: DataFrame, keys=("symbol", "timestampvalue")) -> DataFrame:
+    """The history table's primary key: when the faithful Q2 returns several
+    rows for a key (same ``histratio``, different latest-row metrics), keep
+    one, deterministically (the largest by the remaining columns), as the
+    keyed store kept one of them."""
+    from pyspark.sql import functions as F
+    others = [c for c in df.columns if c not in keys]
+    return (df.groupBy(*keys).agg(F.max(F.struct(*others)).alias("_r"))
+              .select(*keys, *[f"_r.{c}" for c in others]))
+
+
 def _write_history(spark: SparkSession, trans: DataFrame, history_path: str, width: int,
                    rounded: bool, upsert: bool, run_id: int) -> None:
-    hist = hist_ratio_query(trans, width, rounded=rounded)
+    hist = one_row_per_key(hist_ratio_query(trans, width, rounded=rounded))
     target = f"{history_path.rstrip('/')}/{RUN}={run_id}"
     previous = read_history(spark, history_path) if upsert else None
     if previous is None:
