@@ -235,3 +235,47 @@ def test_text_source_alert_feed_and_digest_streams(spark):
         else:
             assert len(texts) == want.count()
             assert all(t.startswith("STOCK PRICE ALERTS from ") and "\nSymbol = " in t for t in texts)
+
+
+def test_end_to_end_chain(spark):
+    """ingest -> batch ratio job -> realtime alerts (fresh history lookup,
+    state-table window) -> dashboard feed, against the batch operators."""
+    from tickwise.operators.alerts import ratio_alerts
+    from tickwise.plans.jobs import read_history, run_batch_ratio_job
+    before = X.ticks_from_events(X.events_before(spark, SF001, True))
+    live = X.live_ticks(spark, SF001)
+    raw, trans, hist = new_path(spark, "e2e-raw"), new_path(spark, "e2e-trans"), new_path(spark, "e2e-hist")
+    src = new_path(spark, "e2e-src")
+    stage_message_files(tick_messages(before), src, 2, files_per_slice=1)
+    q = start_ingest(message_file_stream(spark, src, max_files_per_trigger=1), raw,
+                     new_path(spark, "e2e-ing"), trigger={"availableNow": True})
+    q.awaitTermination()
+    assert q.exception() is None
+    run_batch_ratio_job(spark, raw, trans, hist, 3, width=5, run_id=1)
+
+    live_src = new_path(spark, "e2e-live")
+    stage_message_files(tick_messages(live), live_src, 3, files_per_slice=1)
+    stock, alerts = new_path(spark, "e2e-stock"), new_path(spark, "e2e-alerts")
+    q = start_realtime_alerts(spark, message_file_stream(spark, live_src, max_files_per_trigger=1), 3,
+                              X.THRESHOLD, stock, alerts, new_path(spark, "e2e-rt"), hist_path=hist,
+                              width=5, state_path=new_path(spark, "e2e-state"))
+    q.awaitTermination()
+    assert q.exception() is None
+    want = ratio_alerts(live, read_history(spark, hist), 3, X.THRESHOLD, width=5).select(*ALERT_COLS)
+    got = spark.read.parquet(alerts).select(*ALERT_COLS)
+    assert want.count() > 0
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+    out = new_path(spark, "e2e-feed")
+    os.makedirs(local_path(out), exist_ok=True)
+
+    def writer(payload, _dir=local_path(out)):
+        import uuid
+        with open(os.path.join(_dir, uuid.uuid4().hex + ".json"), "w") as fh:
+            fh.write(payload)
+
+    fq = SF.start_dashboard_feed(spark, stock, alerts, new_path(spark, "e2e-fck"), writer)
+    fq.awaitTermination()
+    rows = [r for f in glob.glob(os.path.join(local_path(out), "*.json")) for r in json.load(open(f))]
+    assert len(rows) == spark.read.parquet(stock).count()
+    assert sum(r["alertFlag"] for r in rows) == got.count()
