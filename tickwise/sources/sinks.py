@@ -65,6 +65,23 @@ def latest_version(stored: DataFrame, before: int | None = None) -> DataFrame:
     return runs.where(F.col(RUN) == latest).drop(RUN)
 
 
+def version_before(spark: SparkSession, path: str, batch_id: int, schema) -> DataFrame:
+    """State written by the previous micro-batch of a run-versioned table.
+    Micro-batch ids are consecutive, so ``run=<batch_id - 1>`` is read
+    directly (no listing of a folder that grows by one version per batch);
+    only if it is missing are the older versions listed and the latest taken.
+    Empty when nothing was written before ``batch_id``."""
+    names = [f.name for f in schema.fields]
+    try:
+        return spark.read.schema(schema).parquet(f"{path.rstrip('/')}/{RUN}={int(batch_id) - 1}")
+    except AnalysisException:
+        pass
+    stored = read_or_none(spark, path)
+    if stored is None or RUN not in stored.columns:
+        return spark.createDataFrame([], schema)
+    return latest_version(stored, batch_id).select(*names)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
     try:
         return spark.read.schema(schema).parquet(path)

@@ -117,14 +117,11 @@ STATE_COLS = ("timestampvalue", "tick_id", "price", "volume", BATCH)
 
 
 def _latest_state(spark, state_path: str, batch_id: int, key: str, key_type) -> DataFrame:
-    from ..sources.sinks import latest_version, read_or_none
+    from ..sources.sinks import version_before
     fields = [T.StructField(key, key_type), T.StructField("timestampvalue", T.StringType()),
               T.StructField("tick_id", T.LongType()), T.StructField("price", T.DoubleType()),
               T.StructField("volume", T.DoubleType()), T.StructField(BATCH, T.LongType())]
-    stored = read_or_none(spark, state_path)
-    if stored is None:
-        return spark.createDataFrame([], T.StructType(fields))
-    return latest_version(stored, batch_id).select(*[f.name for f in fields])
+    return version_before(spark, state_path, batch_id, T.StructType(fields))
 
 
 def count_window_microbatch(batch: DataFrame, batch_id: int, state_path: str, n: int,

@@ -130,16 +130,18 @@ def start_wide_store_sink(spark: SparkSession, metrics: DataFrame, path: str, ch
     (symbol, time of day) are merged over the previous version and written as
     the version ``run=<batch_id>``; readers take the latest run
     (``plans.jobs.read_history``).  A replayed batch rewrites its own version."""
-    from ..operators.alerts import wide_store_rows
+    from pyspark.sql import types as T
+    from ..operators.alerts import WIDE_STORE_COLS, wide_store_rows
     from ..session import new_path
-    from ..sources.sinks import RUN, latest_version, read_or_none, upsert_last_wins
+    from ..sources.sinks import RUN, upsert_last_wins, version_before
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in WIDE_STORE_COLS[:2]]
+                          + [T.StructField(c, T.DoubleType()) for c in WIDE_STORE_COLS[2:]])
 
     def write(batch: DataFrame, batch_id: int) -> None:
         prev = None
-        stored = read_or_none(spark, path)
-        if stored is not None:
+        if int(batch_id) > 0:
             prev = new_path(spark, "wide-prev")       # cut the lineage before the merge
-            latest_version(stored, batch_id).write.parquet(prev)
+            version_before(spark, path, batch_id, schema).write.parquet(prev)
         target = f"{path.rstrip('/')}/{RUN}={int(batch_id)}"
         upsert_last_wins(spark, prev, wide_store_rows(batch), target, mode="overwrite")
 
