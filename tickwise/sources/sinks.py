@@ -105,6 +105,19 @@ def batch_bounds(df: DataFrame, ts: str = "timestampvalue"):
     return sorted(r["d"] or []), r["lo"], r["hi"]
 
 
+def read_dates(spark: SparkSession, path: str, schema, dates) -> DataFrame:
+    """Rows of a ``datevalue``-partitioned table in the given dates only: the
+    file listing covers just those date folders (a glob under ``basePath``),
+    not the whole table, which grows with every micro-batch."""
+    if not dates:
+        return spark.createDataFrame([], schema)
+    pattern = f"{path.rstrip('/')}/{DATE}={{{','.join(dates)}}}"
+    try:
+        return spark.read.schema(schema).option("basePath", path).parquet(pattern)
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+
+
 def rows_in_bounds(table: DataFrame, bounds, ts: str = "timestampvalue") -> DataFrame:
     """Table rows in the batch's date partitions and time range: partition
     pruning on ``datevalue`` plus parquet min/max skipping on ``ts`` (each
@@ -135,14 +148,16 @@ def first_wins_append(batch: DataFrame, path: str, batch_id: int, schema,
                       keys: Sequence[str] = KEYS, order: str = "tick_id") -> DataFrame:
     """K2: append the batch's first row per key unless the key is already in
     the table from an earlier batch.  The table is partitioned by
-    ``datevalue``; only rows of the batch's dates and time range are read.
+    ``datevalue``; only the batch's date folders are listed and only rows in
+    its time range are read.
     Returns the rows written."""
     from ..operators.alerts import first_wins
     spark = batch.sparkSession
     b = first_wins(batch, keys, order) if order in batch.columns else batch.dropDuplicates(list(keys))
     b = b.withColumn(DATE, date_part("timestampvalue"))
     stored = T.StructType(list(schema.fields)).add(DATE, T.StringType()).add("batch_id", T.IntegerType())
-    existing = rows_in_bounds(read_or_empty(spark, path, stored), batch_bounds(b))
+    bounds = batch_bounds(b)
+    existing = rows_in_bounds(read_dates(spark, path, stored, bounds[0]), bounds)
     existing = existing.where(F.col("batch_id") < int(batch_id))
     new = b.join(existing.select(*keys), list(keys), "left_anti")
     out = new.select(*[f.name for f in schema.fields if f.name not in (DATE, "batch_id")], DATE)

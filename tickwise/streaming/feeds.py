@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas as S
 from ..operators import feeds as FD
-from ..sources.sinks import DATE, batch_bounds, read_or_empty, rows_in_bounds
+from ..sources.sinks import DATE, batch_bounds, read_dates, rows_in_bounds
 from ..sources.streams import table_stream
 
 
@@ -49,8 +49,8 @@ def start_dashboard_feed(spark: SparkSession, stock_path: str, alert_path: str,
     """Q6 continuously: new stock rows, left-joined to the alerts written so
     far (only alert rows in the batch's dates and time range are read)."""
     def send(batch: DataFrame, batch_id: int) -> None:
-        alerts = rows_in_bounds(read_or_empty(spark, alert_path, stored(S.ALERT)),
-                                batch_bounds(batch))
+        bounds = batch_bounds(batch)
+        alerts = rows_in_bounds(read_dates(spark, alert_path, stored(S.ALERT), bounds[0]), bounds)
         feed = FD.dashboard_feed(batch, alerts, None, ordered=True)
         FD.post_json_payloads(FD.json_rows(feed, FD.DASHBOARD_COLUMNS), writer)
     return _start(table_stream(spark, stock_path, stored(S.STOCK)), send, checkpoint, trigger)
