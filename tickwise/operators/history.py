@@ -38,19 +38,30 @@ def delta_anti_join(ticks: DataFrame, done: DataFrame, by_symbol: bool = False)
 
 
 def ratio_query(ticks: DataFrame, done: DataFrame | None, n: int,
-                by_symbol: bool = False, carry_history: bool = False) -> DataFrame:
+                by_symbol: bool = False, carry_history: bool = False,
+                materialize: bool = True) -> DataFrame:
     """Q1: transformed rows for the ticks not processed yet.
 
     Faithful: the window only sees the delta (each run's first n-1 ticks per
     symbol get short windows).  ``carry_history=True`` evaluates the window
     over all ticks and keeps the delta rows, so runs chain seamlessly.
+
+    The delta (J1, a join against the whole history) is read three times by
+    the window (hot-key count, chunk tails, frames); ``materialize=True``
+    computes it once and cuts the lineage with a reliable ``checkpoint()``
+    in ``spark.checkpoint.dir`` (the delta holds only the new ticks).
     """
     if done is None:
         windowed = moving_avg_rows(ticks, n)
     elif carry_history:
         windowed = delta_anti_join(moving_avg_rows(ticks, n), done, by_symbol)
     else:
-        windowed = moving_avg_rows(delta_anti_join(ticks, done, by_symbol), n)
+        delta = delta_anti_join(ticks, done, by_symbol)
+        if materialize:
+            from ..session import shared_dir
+            shared_dir(delta.sparkSession)            # a checkpoint folder must be set
+            delta = delta.checkpoint(eager=True)
+        windowed = moving_avg_rows(delta, n)
     out = metrics_batch(windowed)
     return out.select("symbol", TS, "avgprice", "pricechange",
                       F.col("avgvolume").alias("avgvol"), "volumechange", "ratio")
