@@ -269,29 +269,25 @@ def q_high_watermark(spark, d):
     return FD.high_watermark(X.live_stock(spark, d))
 
 
-@register("dashboard_feed",
-          "select c.symbol, c.timestampvalue as tmst, substring(c.timestampvalue, 1, 10) as \"dateValue\", "
-          "substring(c.timestampvalue, 12, 8) as \"timeValue\", "
-          "coalesce(a.currentratio, 0) as currentratio, coalesce(a.histratio, 0) as histratio, "
-          "coalesce(a.ratiodeviation, 0) as ratiodeviation, coalesce(a.threshold, 0) as threshold, "
-          "case when a.ratiodeviation is null then 0 else 1 end as \"alertFlag\", "
-          "c.price, c.volume, c.priceavg, c.pricechange, c.volumeavg, c.volumechange "
-          f"from ({STOCK_SQL}) c left join ({ALERTS_SQL}) a "
-          "on c.symbol = a.symbol and c.timestampvalue = a.timestampvalue "
-          f"where c.timestampvalue > '{MARK}' order by 2")
+def _sql_dashboard(mark: str | None, ordered: bool = True) -> str:
+    where = f"where c.timestampvalue > '{mark}' " if mark else ""
+    return ("select c.symbol, c.timestampvalue as tmst, substring(c.timestampvalue, 1, 10) as \"dateValue\", "
+            "substring(c.timestampvalue, 12, 8) as \"timeValue\", "
+            "coalesce(a.currentratio, 0) as currentratio, coalesce(a.histratio, 0) as histratio, "
+            "coalesce(a.ratiodeviation, 0) as ratiodeviation, coalesce(a.threshold, 0) as threshold, "
+            "case when a.ratiodeviation is null then 0 else 1 end as \"alertFlag\", "
+            "c.price, c.volume, c.priceavg, c.pricechange, c.volumeavg, c.volumechange "
+            f"from ({STOCK_SQL}) c left join ({ALERTS_SQL}) a "
+            "on c.symbol = a.symbol and c.timestampvalue = a.timestampvalue "
+            + where + ("order by 2" if ordered else ""))
+
+
+@register("dashboard_feed", _sql_dashboard(MARK))
 def q_dashboard_feed(spark, d):
     return FD.dashboard_feed(X.live_stock(spark, d), X.live_alerts(spark, d), MARK)
 
 
-@register("dashboard_feed_first_poll",
-          "select c.symbol, c.timestampvalue as tmst, substring(c.timestampvalue, 1, 10) as \"dateValue\", "
-          "substring(c.timestampvalue, 12, 8) as \"timeValue\", "
-          "coalesce(a.currentratio, 0) as currentratio, coalesce(a.histratio, 0) as histratio, "
-          "coalesce(a.ratiodeviation, 0) as ratiodeviation, coalesce(a.threshold, 0) as threshold, "
-          "case when a.ratiodeviation is null then 0 else 1 end as \"alertFlag\", "
-          "c.price, c.volume, c.priceavg, c.pricechange, c.volumeavg, c.volumechange "
-          f"from ({STOCK_SQL}) c left join ({ALERTS_SQL}) a "
-          "on c.symbol = a.symbol and c.timestampvalue = a.timestampvalue order by 2")
+@register("dashboard_feed_first_poll", _sql_dashboard(None))
 def q_dashboard_feed_first_poll(spark, d):
     return FD.dashboard_feed(X.live_stock(spark, d), X.live_alerts(spark, d), None)
 
@@ -504,16 +500,7 @@ def q_stock_rows_stream(spark, d):
 
 # ---- payloads (sink_dashboard_json), short alert text (Q5 variant), wide-store rows -------
 
-_DASH_SQL = (
-    "select c.symbol, c.timestampvalue as tmst, substring(c.timestampvalue, 1, 10) as \"dateValue\", "
-    "substring(c.timestampvalue, 12, 8) as \"timeValue\", "
-    "coalesce(a.currentratio, 0) as currentratio, coalesce(a.histratio, 0) as histratio, "
-    "coalesce(a.ratiodeviation, 0) as ratiodeviation, coalesce(a.threshold, 0) as threshold, "
-    "case when a.ratiodeviation is null then 0 else 1 end as \"alertFlag\", "
-    "c.price, c.volume, c.priceavg, c.pricechange, c.volumeavg, c.volumechange "
-    f"from ({STOCK_SQL}) c left join ({ALERTS_SQL}) a "
-    "on c.symbol = a.symbol and c.timestampvalue = a.timestampvalue "
-    f"where c.timestampvalue > '{MARK}'")
+_DASH_SQL = _sql_dashboard(MARK, ordered=False)
 _DASH_KINDS = {"symbol": "string", "tmst": "string", "dateValue": "string", "timeValue": "string",
                "alertFlag": "int"}
 
