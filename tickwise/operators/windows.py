@@ -37,7 +37,6 @@ is nondeterministic on ties).
 
 from __future__ import annotations
 
-import datetime as _dt
 import re
 from collections.abc import Sequence
 
@@ -58,20 +57,14 @@ _RD = "_tw_rd"
 _CC = "_tw_cc"
 
 
-def _parse_ts(s) -> _dt.datetime | None:
-    try:
-        return _dt.datetime.strptime(str(s)[:19], "%Y-%m-%d %H:%M:%S")
-    except (TypeError, ValueError):
-        return None
-
-
-def chunk_width(count: int, lo, hi, target: float, default: int = DEFAULT_CHUNK_CHARS) -> int:
+def chunk_width(count: int, span_seconds, target: float,
+                default: int = DEFAULT_CHUNK_CHARS) -> int:
     """Coarsest timestamp prefix whose expected ticks per chunk stay within
-    ``target`` for a symbol with ``count`` ticks between ``lo`` and ``hi``."""
-    a, b = _parse_ts(lo), _parse_ts(hi)
-    if a is None or b is None:
+    ``target`` for a symbol with ``count`` ticks spread over ``span_seconds``
+    (``None`` when the timestamps are not parseable: the default width)."""
+    if span_seconds is None:
         return default
-    span = max((b - a).total_seconds(), 1.0)
+    span = max(float(span_seconds), 1.0)
     for chars, seconds in PREFIXES:
         if count * min(seconds / span, 1.0) <= target:
             return chars
@@ -105,11 +98,13 @@ def hot_keys(df: DataFrame, key: str, order0: str, hot_rows: int):
         return []
     hot = df.sparkSession.createDataFrame(
         [(r[0],) for r in counts], T.StructType([T.StructField(key, df.schema[key].dataType)]))
-    ts = F.col(order0).cast("string")
-    spans = {r[0]: (r[1], r[2]) for r in
+    # the span only sizes the chunks: min/max of the parsed time (fixed width,
+    # a hash aggregate) instead of min/max of the text (a sort-based aggregate)
+    t = F.try_to_timestamp(F.col(order0).cast("string")).cast("long")
+    spans = {r[0]: r[1] for r in
              df.join(F.broadcast(hot), key, "left_semi")
-               .groupBy(key).agg(F.min(ts), F.max(ts)).collect()}
-    return [(r[0], chunk_width(r[1], *spans.get(r[0], (None, None)), hot_rows)) for r in counts]
+               .groupBy(key).agg((F.max(t) - F.min(t)).alias("_span")).collect()}
+    return [(r[0], chunk_width(r[1], spans.get(r[0]), hot_rows)) for r in counts]
 
 
 def moving_avg_rows(df: DataFrame, n: int, key: str = "symbol",
