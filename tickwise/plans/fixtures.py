@@ -2,10 +2,10 @@
 
 The registered queries (``tickwise.plans.registry``) all start here, so every
 one of them reads the whole given tables and grows with them.  The same
-derivations are written once more in DuckDB SQL (``SQL_*`` below) for the
-oracle check.
-
-Fixed parameters of the fixtures (chosen once, shared by Spark and SQL):
+derivations are written once more in DuckDB SQL (the ``sql_*`` builders below)
+for the oracle check.  The fixture parameters (window size, threshold, time of
+day width, history/live split day, feed mark) are chosen once and shared by
+both sides.
 """
 
 from __future__ import annotations
