@@ -130,3 +130,14 @@ def test_csv_sink(spark):
     csv_table(df, path)
     back = spark.read.option("header", "true").csv(path)
     assert sorted((r.symbol, float(r.ratio)) for r in back.collect()) == [("A", 1.0), ("B", 2.0)]
+
+
+def test_bounded_broadcast_falls_back_above_the_bound(spark):
+    from tickwise.plans.broadcast import bounded_broadcast
+    small = spark.range(10)
+    hinted, used = bounded_broadcast(small, max_rows=10)
+    assert used
+    plan = spark.range(100).join(hinted, "id")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    plain, used = bounded_broadcast(small, max_rows=9)
+    assert not used and plain is small
