@@ -2,19 +2,56 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from .best_fit_packing import best_fit_packing
 from .common import table
+from .simhash_dedup import hex16, simhash_components
+from .topk_search import QUERY_EVERY, exact_top_k, quantised
 
 
 def op1(spark, sf_dir):
     return best_fit_packing(table(spark, sf_dir, "documents"))
 
 
+def op3(spark, sf_dir):
+    vectors = quantised(table(spark, sf_dir, "embeddings"))
+    return exact_top_k(vectors, vectors.where(F.col("vec_id") % QUERY_EVERY == 0))
+
+
+SQL_OP3 = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as q
+  from embeddings
+  where vec_id is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select a.vec_id as query_id, b.vec_id as vec_id,
+         cast(list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i])) as bigint) as score
+  from v a join v b on a.vec_id % 20 = 0 and a.vec_id <> b.vec_id and len(a.q) = len(b.q)
+), ranked as (
+  select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank,
+         vec_id, score
+  from scored
+)
+select * from ranked where rank <= 20
+"""
+
+
+def op7(spark, sf_dir):
+    return simhash_components(table(spark, sf_dir, "documents")).select(
+        "doc_id", hex16(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def queries():
     return {
         "op1_best_fit_packing": op1,
+        "op3_topk_search": op3,
+        "op7_simhash_dedup": op7,
     }
 
 
 def oracle_sql():
-    return {}
+    return {
+        "op3_topk_search": SQL_OP3,
+    }
