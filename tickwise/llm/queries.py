@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from .best_fit_packing import best_fit_packing
 from .common import table
+from .decontamination import contamination
+from .line_dedup import line_dedup
 from .simhash_dedup import hex16, simhash_components
 from .topk_search import QUERY_EVERY, exact_top_k, quantised
 
@@ -38,20 +40,95 @@ select * from ranked where rank <= 20
 """
 
 
+def op6(spark, sf_dir):
+    return line_dedup(table(spark, sf_dir, "documents")).select(
+        "doc.doc_id", "n_lines", "n_removed", F.length("left").cast("long").alias("n_chars_left"),
+        F.sha2(F.col("left").cast("binary"), 256).alias("text_sha256"))
+
+
+SQL_OP6 = """
+with cut as (
+  select doc_id, source, text, unnest(string_split(text, chr(10))) as line,
+         generate_subscripts(string_split(text, chr(10)), 1) as at
+  from documents
+), spread as (
+  select trim(line) as line, min(doc_id) as keeper from cut where trim(line) <> ''
+  group by 1 having count(distinct source) >= 10
+), left_over as (
+  select doc_id, count(*) as n_removed from cut join spread on trim(cut.line) = spread.line
+  where doc_id <> keeper group by doc_id
+), kept as (
+  select cut.doc_id, string_agg(cut.line, chr(10) order by cut.at) as text
+  from cut left join spread on trim(cut.line) = spread.line
+  where spread.line is null or cut.doc_id = keeper group by cut.doc_id
+)
+select d.doc_id, cast(len(string_split(d.text, chr(10))) as bigint) as n_lines,
+       cast(coalesce(l.n_removed, 0) as bigint) as n_removed,
+       cast(length(coalesce(k.text, '')) as bigint) as n_chars_left, sha256(coalesce(k.text, '')) as text_sha256
+from documents d left join left_over l on d.doc_id = l.doc_id left join kept k on d.doc_id = k.doc_id
+"""
+
+
 def op7(spark, sf_dir):
     return simhash_components(table(spark, sf_dir, "documents")).select(
         "doc_id", hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op9(spark, sf_dir):
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc.doc_id", "n_words", "n_hit", "n_items",
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
+SQL_OP9 = """
+with d as (
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '') as w
+  from documents
+), b as (
+  select item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '') as w
+  from benchmark
+), starts as (
+  select item_id, w, unnest(range(0, greatest(len(w) - 13, 0) + 1)) as s from b where len(w) > 0
+), grams as (
+  select distinct item_id, least(len(w), 13) as n, array_to_string(w[s + 1:s + 13], ' ') as gram from starts
+), sizes as (
+  select distinct n from grams
+), places as (
+  select doc_id, n, w, unnest(range(0, len(w) - n + 1)) as s from d cross join sizes where len(w) >= n
+), found as (
+  select p.doc_id, p.s, p.n, g.item_id
+  from places p join grams g on g.n = p.n and g.gram = array_to_string(p.w[p.s + 1:p.s + p.n], ' ')
+), hit as (
+  select doc_id, count(distinct pos) as n_hit
+  from (select doc_id, unnest(range(s, s + n)) as pos from found) group by doc_id
+), held as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+  from (select distinct doc_id, cast(item_id as varchar) as item from found) group by doc_id
+)
+select d.doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit,
+       cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(items, '')) as items_sha256,
+       coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(d.w) as contaminated
+from d left join hit on d.doc_id = hit.doc_id left join held on d.doc_id = held.doc_id
+"""
+
+
 def queries():
     return {
         "op1_best_fit_packing": op1,
         "op3_topk_search": op3,
+        "op6_line_dedup": op6,
         "op7_simhash_dedup": op7,
+        "op9_decontamination": op9,
     }
 
 
 def oracle_sql():
     return {
         "op3_topk_search": SQL_OP3,
+        "op6_line_dedup": SQL_OP6,
+        "op9_decontamination": SQL_OP9,
     }
