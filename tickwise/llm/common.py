@@ -33,3 +33,9 @@ def fold(doc_id: Column, modulus: int) -> Column:
 
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, ASCII_UPPER, ASCII_LOWER)
+
+
+def sized(df: DataFrame, max_rows: int = 20_000) -> DataFrame:
+    """``df`` with a broadcast hint when its counted rows are within
+    ``max_rows``; larger, it is joined by shuffling both sides."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

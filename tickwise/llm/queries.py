@@ -8,6 +8,10 @@ from .best_fit_packing import best_fit_packing
 from .common import table
 from .decontamination import contamination
 from .line_dedup import line_dedup
+from .pii import digests as pii_digests
+from .pii import pii_spans
+from .secret_scan import digests as secret_digests
+from .secret_scan import secret_scan
 from .simhash_dedup import hex16, simhash_components
 from .topk_search import QUERY_EVERY, exact_top_k, quantised
 
@@ -40,6 +44,10 @@ select * from ranked where rank <= 20
 """
 
 
+def op5(spark, sf_dir):
+    return pii_digests(pii_spans(table(spark, sf_dir, "documents")))
+
+
 def op6(spark, sf_dir):
     return line_dedup(table(spark, sf_dir, "documents")).select(
         "doc.doc_id", "n_lines", "n_removed", F.length("left").cast("long").alias("n_chars_left"),
@@ -116,13 +124,19 @@ from d left join hit on d.doc_id = hit.doc_id left join held on d.doc_id = held.
 """
 
 
+def op10(spark, sf_dir):
+    return secret_digests(secret_scan(table(spark, sf_dir, "documents")))
+
+
 def queries():
     return {
         "op1_best_fit_packing": op1,
         "op3_topk_search": op3,
+        "op5_pii": op5,
         "op6_line_dedup": op6,
         "op7_simhash_dedup": op7,
         "op9_decontamination": op9,
+        "op10_secret_scan": op10,
     }
 
 
