@@ -71,3 +71,11 @@ def line_dedup(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
         "doc", F.when(text.isNull(), 0).otherwise(F.size(_lines(text))).cast("long").alias("n_lines"),
         F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_removed"),
         F.when(F.col("gone").isNull(), text).otherwise(F.transform(F.array(_lines(text)), rest)[0]).alias("left"))
+
+
+def without_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
+    """``docs`` with the boilerplate lines gone from their texts; a document
+    that held nothing else goes."""
+    blank = (F.col("n_removed") > 0) & (F.trim("left") == "")
+    return line_dedup(docs, min_sites).where(~blank).select(
+        F.col("doc").withField("text", F.col("left")).alias("doc")).select("doc.*")

@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 from .best_fit_packing import best_fit_packing
 from .common import table
 from .decontamination import contamination
+from .language_id import language_id
 from .line_dedup import line_dedup
+from .lm_scoring import lm_scores
 from .pii import digests as pii_digests
 from .pii import pii_spans
 from .secret_scan import digests as secret_digests
 from .secret_scan import secret_scan
 from .simhash_dedup import hex16, simhash_components
+from .toxicity import toxicity_scores
 from .topk_search import QUERY_EVERY, exact_top_k, quantised
 
 
@@ -44,6 +47,18 @@ select * from ranked where rank <= 20
 """
 
 
+def op2(spark, sf_dir):
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
+def op4(spark, sf_dir):
+    return language_id(table(spark, sf_dir, "documents")).select("doc.doc_id", "held_out", "lang_pred", "score")
+
+
+def op8(spark, sf_dir):
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5(spark, sf_dir):
     return pii_digests(pii_spans(table(spark, sf_dir, "documents")))
 
@@ -131,10 +146,13 @@ def op10(spark, sf_dir):
 def queries():
     return {
         "op1_best_fit_packing": op1,
+        "op2_lm_scoring": op2,
         "op3_topk_search": op3,
+        "op4_language_id": op4,
         "op5_pii": op5,
         "op6_line_dedup": op6,
         "op7_simhash_dedup": op7,
+        "op8_toxicity": op8,
         "op9_decontamination": op9,
         "op10_secret_scan": op10,
     }

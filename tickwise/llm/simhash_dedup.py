@@ -18,6 +18,9 @@ text; an empty table gives no row; only ``doc_id`` and ``text`` are read.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -126,3 +129,23 @@ def simhash_components(docs: DataFrame, words_per: int = SHINGLE_WORDS,
     smallest = member.groupBy("label").agg(F.min("first").alias("component_id"))
     of_print = member.join(smallest, "label").select("fp", "component_id")
     return prints.join(of_print, "fp").select("doc_id", "fp", "component_id")
+
+
+def one_of_each_group(docs: DataFrame, words_per: int = SHINGLE_WORDS,
+                      max_bits: int = MAX_BITS) -> DataFrame:
+    """The document with the smallest doc_id of each near-duplicate group (of
+    repeated rows one, rows without an id only where the group has no other),
+    unchanged."""
+    @F.pandas_udf("long")
+    def compute(column: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in column:
+            yield pd.Series([fingerprint((t or "").encode(), words_per) for t in batch], dtype="int64")
+
+    rows = stored(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row"),
+                              compute(F.col("text").cast("string")).alias("fp")), "op7-rows")
+    prints = rows.select("row", F.col("doc.doc_id").cast("long").alias("id"), "fp")
+    labels = component_labels(links(prints.select("fp").distinct(), max_bits))
+    grouped = prints.join(labels.withColumnRenamed("node", "fp"), "fp", "left")
+    kept = (grouped.groupBy(F.coalesce("label", "fp").alias("label"))
+            .agg(F.min_by("row", F.coalesce("id", F.lit((1 << 63) - 1))).alias("row")).select("row"))
+    return rows.join(kept, "row", "left_semi").select("doc.*")
