@@ -41,7 +41,7 @@ MIN_CHI2 = 10.83          # and how far from independent of the label (chi-squar
 RANK = 4
 ROUNDS = 20
 PARTITION_ROWS = 3_000    # sample rows that one partition learns from
-RATE = 0.2
+RATE = 0.5
 DECAY = 1e-5
 PREFIXES = (3, 4, 5)
 CACHE_TOKENS = 300_000    # tokens whose terms a worker remembers
