@@ -12,7 +12,8 @@ through the recursions together.
 Training is Baum-Welch: every task runs the scaled forward-backward recursion
 over its documents and returns expected counts, Spark sums them, and the new
 parameters (states x emissions, bounded by the parameters above) go out with
-the next pass.  ``WARM_PASSES`` passes over one document in ``WARM_PART`` give
+the next pass; a rare word's shares in the states are drawn to the overall
+ones, so that a word seen once is not tied to one state.  ``WARM_PASSES`` passes over one document in ``WARM_PART`` give
 the start values only, then ``PASSES`` passes run over all training documents.
 The score is the exact log10 likelihood by the scaled forward recursion over
 the whole text.
@@ -45,7 +46,7 @@ STATES = 16               # the last one emits the end, and only that
 PASSES = 3
 WARM_PASSES = 6
 WARM_PART = 16
-PRIOR = 100.0             # expected tokens of the overall distribution mixed into each state
+SHRINK = 4.0              # a word's shares in the states are drawn to the overall shares by so many tokens
 BATCH_TOKENS = 400_000    # tokens that run through the recursions together
 LANES = 512
 COUNTED_WORDS = 400_000   # words a task counts before it hands them on
@@ -312,8 +313,10 @@ def baum_welch_pass(rows: DataFrame, trans, emit, vocabulary: Vocabulary):
     moves[-1 - ids[ids < 0]] = sums[ids < 0]
     counts[ids[ids >= 0]] = sums[ids >= 0]
     moves += 0.1
-    p = (vocabulary.emitted[:-1] + 0.5) / (vocabulary.emitted[:-1] + 0.5).sum()
-    emit = counts[:, :-1] + PRIOR * p[:, None]
+    counts = counts[:, :-1] + 1e-6
+    share = counts.sum(axis=0) / counts.sum()
+    shares = (counts + SHRINK * share) / (counts.sum(axis=1) + SHRINK)[:, None]
+    emit = (vocabulary.emitted[:-1] + 0.5)[:, None] * shares
     return moves / moves.sum(axis=1, keepdims=True), emit / emit.sum(axis=0)
 
 
