@@ -51,6 +51,9 @@ BAD = [
     ('{"symbol":null,"timestampValue":"2024-01-01 00:00:06","price":1,"volume":3}', 7),
     ('{"symbol":"InvalidCo","timestampValue":"2024-01-01 00:00:07","price":1,"volume":3}', 8),
     ('{"symbol":"A","timestampValue":"2024-01-01 00:00:08","price":1,"volume":3,"x":[1]}', 9),
+    ('{"symbol":"A","price":1,"timestampValue":"2024-01-01 00:00:09","price":2.5,"volume":"4","symbol":"B"}', 10),
+    ('{"symbol":"A","symbol":"B","price":1,"volume":3}', 11),                     # repeated key, no time
+    ('[1, 2]', 12), ('7', 13), (None, 14), ('', 15),
 ]
 
 
@@ -67,8 +70,10 @@ def test_lenient_parse_cases(spark):
     assert got[7][0] == "null"
     assert got[8][0] == '"InvalidCo"'
     assert got[9][:3] == ('"A"', '"2024-01-01 00:00:08"', 1.0)
+    assert got[10] == ('"B"', '"2024-01-01 00:00:09"', 2.5, 4.0)             # the last of a repeated key
+    assert all(got[i] == ("Invalid", "Invalid", 0.0, 0.0) for i in (11, 12, 13, 14, 15))
     kept = drop_invalid(parse_tick_lenient(df, keep=("offset",)))
-    assert sorted(r.offset for r in kept.collect()) == [1, 4, 5, 6, 7, 9]
+    assert sorted(r.offset for r in kept.collect()) == [1, 4, 5, 6, 7, 9, 10]
     cleaned = {r.offset: r for r in clean_ticks(kept).collect()}
     assert cleaned[1].symbol == "A" and cleaned[1].timestampvalue == "2024-01-01 00:00:01"
 

@@ -81,15 +81,59 @@ def test_property_random_ticks(spark, rows, n, chars):
     assert run(df, n, hot_rows=1) == brute(ticks, n)
 
 
-def test_hot_key_detection(spark, make_ticks):
-    from tickwise.operators.windows import chunk_width, hot_keys
-    rows = [("HOT", f"2024-01-{1 + i // 100:02d} 00:00:{i % 60:02d}", 1.0, 1, i) for i in range(2000)]
+def widths(df, target, time_col="timestampvalue"):
+    from tickwise.operators.windows import hot_keys
+    hot = hot_keys(df, "symbol", time_col, "tick_id", target)
+    return {} if hot is None else {r[0]: (r[1], r[2]) for r in hot.collect()}
+
+
+def test_hot_key_detection(make_ticks):
+    rows = [("HOT", f"2024-01-{1 + i // 100:02d} 00:{i % 60:02d}:00", 1.0, 1, i) for i in range(2000)]
     rows += [(f"c{i}", "2024-01-01 00:00:00", 1.0, 1, 10_000 + i) for i in range(100)]
-    hot = hot_keys(make_ticks(rows), "symbol", "timestampvalue", hot_rows=10)
-    assert [h[0] for h in hot] == ["HOT"]
-    assert chunk_width(1000, 29 * 86400, 100) == 10
-    assert chunk_width(10**6, 86400, 1000) == 16
-    assert chunk_width(10, None, 100) == 13
+    df = make_ticks(rows)
+    assert widths(df, 3000) == {}
+    assert {k: w for k, (w, _) in widths(df, 150).items()} == {"HOT": 10}      # a day holds 100
+    assert {k: w for k, (w, _) in widths(df, 50).items()} == {"HOT": 16}       # a minute holds 2
+    assert widths(df, 1)["HOT"][0] == 99                                       # not even a second is small enough
+    assert widths(df, 50, None)["HOT"] == (0, 50)                              # arrival order: ranges of tick_id
+
+
+def largest_chunk(df, n, **kw):
+    from tickwise.operators.windows import CHUNK
+    got = moving_avg_rows(df, n, keep_chunk=True, **kw)
+    return got.groupBy("symbol", CHUNK).count().agg({"count": "max"}).first()[0]
+
+
+def test_burst_in_one_second_null_symbol_and_quotes_are_split(make_ticks):
+    burst = [("HOT", "2024-01-01 09:00:00", float(i % 7), 1, i) for i in range(600)]
+    burst += [("HOT", f"2024-01-{d:02d} 09:00:00", 1.0, 1, 1000 + d) for d in range(2, 29)]
+    none = [(None, f"2024-01-01 09:{i // 60:02d}:{i % 60:02d}", float(i % 5), 2, 5000 + i) for i in range(600)]
+    df = make_ticks(burst + none)
+    want = brute(burst + none, 3)
+    assert run(df, 3, hot_rows=100) == want
+    assert largest_chunk(df, 3, hot_rows=100) <= 110
+    quoted = df.withColumn("timestampvalue", F.concat(F.lit('"'), "timestampvalue", F.lit('"')))
+    assert run(quoted, 3, hot_rows=100) == want
+    assert largest_chunk(quoted, 3, hot_rows=100) <= 110
+
+
+def test_window_longer_than_the_chunks(make_ticks):
+    rows = [("S", f"2024-01-01 {i // 20 // 60:02d}:{i // 20 % 60:02d}:{i % 20:02d}", float(i % 11), i % 3, i)
+            for i in range(1200)]
+    df = make_ticks(rows)
+    assert run(df, 200, hot_rows=25) == brute(rows, 200)
+    assert run(df, 200) == brute(rows, 200)
+
+
+def test_arrival_order_window_is_split_by_tick_id(make_ticks):
+    import random
+    rows = [("S", f"2024-01-01 00:00:{random.Random(i).randint(0, 59):02d}", float(i), i, i) for i in range(500)]
+    df = make_ticks(rows)
+    got = {r.tick_id: (r.avgprice, r.avgvolume)
+           for r in moving_avg_rows(df, 4, order=("tick_id",), hot_rows=60).collect()}
+    want = {i: (sum(range(max(0, i - 3), i + 1)) / min(4, i + 1),) * 2 for i in range(500)}
+    assert got == want
+    assert largest_chunk(df, 4, order=("tick_id",), hot_rows=60) <= 60
 
 
 def test_plan_shuffles_by_symbol_and_chunk(make_ticks):

@@ -18,10 +18,9 @@ from pyspark.sql import functions as F
 from ..functions.columns import (TOD_WIDTH, clean_quotes, deviation, round5, text_template,
                                  tod_of_raw)
 from .metrics import metrics_stream, metrics_stream_rounded
-from .windows import CHUNK, moving_avg_rows
+from .windows import moving_avg_rows
 
 TS = "timestampvalue"
-RAW_KEY = "_tw_key"      # the window's (uncleaned) partition key, kept with the chunk
 STOCK_COLS = ("symbol", TS, "price", "volume", "priceavg", "pricechange", "volumeavg",
               "volumechange", "ratio")
 ALERT_COLS = ("symbol", TS, "histratio", "currentratio", "ratiodeviation", "threshold")
@@ -41,53 +40,41 @@ def realtime_metrics(windowed: DataFrame, rounded: bool = True, clean: bool = Tr
     Keeps ``tick_id`` (arrival order) when present."""
     m = (metrics_stream_rounded if rounded else metrics_stream)(
         windowed.withColumn("volume", F.col("volume").cast("double")))
-    extra = [c for c in ("tick_id", CHUNK) if c in windowed.columns]
-    if CHUNK in windowed.columns:
-        extra.append(F.col("symbol").alias(RAW_KEY))
+    extra = [c for c in ("tick_id",) if c in windowed.columns]
     text = clean_quotes if clean else F.col
     return m.select(text("symbol").alias("symbol"), text(TS).alias(TS), *STOCK_COLS[2:], *extra)
 
 
-def realtime_ratio(ticks: DataFrame, n: int, rounded: bool = True,
-                   keep_chunk: bool = False) -> DataFrame:
-    """Q3 as a batch replay: count window over ticks in arrival order
-    (timestamp, then ``tick_id``) + stream metrics.  Emits one row per tick."""
-    w = moving_avg_rows(ticks, n, outputs=("priceavg", "volumeavg"), keep_chunk=keep_chunk)
-    return realtime_metrics(w, rounded)
+def realtime_ratio(ticks: DataFrame, n: int, rounded: bool = True, clean: bool = True) -> DataFrame:
+    """Q3 as a batch replay: count window over ticks ordered by (timestamp,
+    ``tick_id``) + stream metrics.  Emits one row per tick."""
+    w = moving_avg_rows(ticks, n, outputs=("priceavg", "volumeavg"))
+    return realtime_metrics(w, rounded, clean)
 
 
 def first_wins(df: DataFrame, keys=("symbol", TS), order: str = "tick_id") -> DataFrame:
-    """K2: keep the first row (smallest ``order``) per primary key, as a keyed
-    store that rejects duplicate inserts does.  One aggregation with partial
-    aggregation on the key (high-cardinality, no hot group).  ``order`` is
-    unique, so per-column ``min_by`` picks one row; on fixed-width columns it
-    stays a hash aggregation (a struct buffer would force a sort)."""
+    """K2: keep the first row (smallest ``order``, NULL last) per primary key,
+    as a keyed store that rejects duplicate inserts does.  The whole row is one
+    struct, so columns of different rows never mix, also where the order has
+    ties or NULLs (then the smallest row by the other columns is kept)."""
     others = [c for c in df.columns if c not in keys and c != order]
-    picked = [F.min_by(c, F.col(order)).alias(c) for c in others]
-    out = df.groupBy(*keys).agg(*picked, F.min(order).alias(order))
-    return out.select(*[c for c in df.columns if c in out.columns])
-
-
-# Primary key (symbol, timestampvalue) plus the window's partition columns (the
-# raw symbol text and the chunk, both functions of the key): grouping by them
-# is the same grouping for all input where a symbol is written one way, and
-# it reuses the window's hash partitioning instead of a second shuffle.
-PK_SAME_PARTITIONS = (RAW_KEY, CHUNK, "symbol", TS)
+    row = F.struct(F.col(order).isNull().alias("_last"), F.col(order).alias("_order"), *others)
+    out = df.groupBy(*keys).agg(F.min(row).alias("_row"))
+    return out.select(*[c if c in keys else F.col("_row._order" if c == order else f"_row.{c}").alias(c)
+                        for c in df.columns])
 
 
 def stock_rows(ticks: DataFrame, n: int, rounded: bool = True) -> DataFrame:
-    """The ``stock`` table content: metric rows, first insert per key wins."""
-    rows = realtime_ratio(ticks, n, rounded, keep_chunk=True)
-    return first_wins(rows, PK_SAME_PARTITIONS).select(*STOCK_COLS)
+    """The ``stock`` table content: metric rows, first insert per (cleaned)
+    key wins."""
+    return first_wins(realtime_ratio(ticks, n, rounded)).select(*STOCK_COLS)
 
 
 def hist_lookup_join(rows: DataFrame, hist: DataFrame, width: int = TOD_WIDTH,
                      ts_col: str = TS) -> DataFrame:
     """Attach ``histratio`` by symbol and time of day of the raw stream
     timestamp (an inner join: no history, no alert).  No broadcast hint: AQE
-    broadcasts the history only when its measured size is small; a stored
-    history is bounded with ``plans.broadcast.bounded_broadcast`` by the caller.
-    """
+    broadcasts the history only when its measured size is small."""
     h = hist.select(F.col("symbol").alias("_hs"), F.col(TS).alias("_ht"), "histratio")
     keyed = rows.withColumn("_tod", tod_of_raw(ts_col, width))
     return (keyed.join(h, (keyed["symbol"] == h["_hs"]) & (keyed["_tod"] == h["_ht"]))
@@ -102,7 +89,7 @@ def alert_rows(joined: DataFrame, threshold: float, rounded: bool = True) -> Dat
     deviation of exactly 99999.0 was never alerted); here unusable is NULL."""
     dev = deviation("ratio", "histratio")
     r = round5 if rounded else (lambda c: F.col(c))
-    extra = [c for c in ("tick_id", CHUNK, RAW_KEY) if c in joined.columns]
+    extra = [c for c in ("tick_id",) if c in joined.columns]
     return (joined.withColumn("_dev", dev)
                   .where(F.col("_dev").isNotNull() & (F.col("_dev") > F.lit(float(threshold))))
                   .select("symbol", TS, r("histratio").alias("histratio"),
@@ -114,9 +101,8 @@ def alert_rows(joined: DataFrame, threshold: float, rounded: bool = True) -> Dat
 def ratio_alerts(ticks: DataFrame, hist: DataFrame, n: int, threshold: float,
                  width: int = TOD_WIDTH, rounded: bool = True) -> DataFrame:
     """Q4: the ``stock_alert`` rows produced by the live ticks."""
-    rows = realtime_ratio(ticks, n, rounded, keep_chunk=True)
-    alerts = alert_rows(hist_lookup_join(rows, hist, width), threshold, rounded)
-    return first_wins(alerts, PK_SAME_PARTITIONS).select(*ALERT_COLS)
+    rows = realtime_ratio(ticks, n, rounded)
+    return first_wins(alert_rows(hist_lookup_join(rows, hist, width), threshold, rounded)).select(*ALERT_COLS)
 
 
 def alert_messages(alerts: DataFrame, with_numbers: bool = True) -> DataFrame:

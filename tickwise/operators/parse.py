@@ -9,13 +9,16 @@ read leniently (numeric text parses, other text and JSON null give 0).
 
 It is built on Spark's VARIANT type: ``try_parse_json`` (NULL for bad JSON),
 ``try_variant_get(.., 'variant')`` distinguishes a missing field (SQL NULL)
-from JSON null, and ``to_json`` of a sub-value gives its JSON text.  All of it
-runs inside whole-stage codegen, no Python.
+from JSON null, and ``to_json`` of a sub-value gives its JSON text.  VARIANT
+rejects an object with a repeated key, of which the source's parser kept the
+last value; such text is read as a map of texts instead (where a number in a
+text field therefore gets quotes, which :func:`clean_ticks` removes).
+No Python.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,18 +31,32 @@ FIELDS = ("symbol", "timestampValue", "price", "volume")
 def parse_tick_lenient(df: DataFrame, col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """``value`` JSON text -> ``symbol, timestampvalue`` (JSON text of the
     field) and ``price, volume`` (double)."""
-    v = F.try_parse_json(F.col(col))
-    field = {f: F.try_variant_get(v, f"$.{f}", "variant") for f in FIELDS}
-    ok = v.isNotNull()
+    text = F.col(col)
+    v = F.try_parse_json(text)
+    # only read where VARIANT gave up: entries of the object, the last of a repeated key
+    entries = F.when(v.isNull(), F.map_entries(F.from_json(text, "map<string,string>")))
+
+    def last(f: str) -> Column:
+        return F.try_element_at(F.filter(entries, lambda e: e["key"] == f), F.lit(-1))
+
+    def number(f: str) -> Column:
+        return F.coalesce(F.try_variant_get(v, f"$.{f}", "double"), last(f)["value"].try_cast("double"), F.lit(0.0))
+
+    def json_text(f: str) -> Column:
+        again = F.concat(F.lit('"'), F.replace(last(f)["value"], F.lit('"'), F.lit('\\"')), F.lit('"'))
+        return F.coalesce(F.to_json(F.try_variant_get(v, f"$.{f}", "variant")),
+                          F.when(last(f).isNotNull(), F.coalesce(again, F.lit("null"))))
+
+    ok = F.lit(True)
     for f in FIELDS:
-        ok = ok & field[f].isNotNull()
-    num = lambda f: F.coalesce(F.try_variant_get(v, f"$.{f}", "double"), F.lit(0.0))
+        ok = ok & (F.try_variant_get(v, f"$.{f}", "variant").isNotNull() | last(f).isNotNull())
+    ok = F.coalesce(ok, F.lit(False))
     return df.select(
         *keep,
-        F.when(ok, F.to_json(field["symbol"])).otherwise(F.lit(INVALID)).alias("symbol"),
-        F.when(ok, F.to_json(field["timestampValue"])).otherwise(F.lit(INVALID)).alias("timestampvalue"),
-        F.when(ok, num("price")).otherwise(F.lit(0.0)).alias("price"),
-        F.when(ok, num("volume")).otherwise(F.lit(0.0)).alias("volume"))
+        F.when(ok, json_text("symbol")).otherwise(F.lit(INVALID)).alias("symbol"),
+        F.when(ok, json_text("timestampValue")).otherwise(F.lit(INVALID)).alias("timestampvalue"),
+        F.when(ok, number("price")).otherwise(F.lit(0.0)).alias("price"),
+        F.when(ok, number("volume")).otherwise(F.lit(0.0)).alias("volume"))
 
 
 STRICT_SCHEMA = T.StructType([

@@ -6,29 +6,31 @@ all ticks would be one task over a third of the data.  :func:`moving_avg_rows`
 computes the same frame with bounded tasks by splitting a symbol into *chunks*
 of consecutive ticks:
 
-1. a chunk is a prefix of the timestamp text (day, hour, minute...).  A prefix
-   of a string is monotone in the string's order, so the chunks of a symbol are
-   consecutive ranges of its ticks;
+1. a chunk is a prefix of the timestamp text (month, day, hour, minute,
+   second), or a range of the tie-breaker within one timestamp, or, for windows
+   in arrival order, a range of the tie-breaker alone.  Each is monotone in the
+   window's order, so the chunks of a symbol are consecutive ranges of it;
 2. the last ``n-1`` ticks of each (symbol, chunk) are found with a
    ``row_number() <= n-1`` filter, which Spark runs as a partial
    ``WindowGroupLimit`` *before* the shuffle: only ``n-1`` rows per chunk and
    map task are exchanged;
-3. over those tail rows (``n-1`` per chunk, a small table), each chunk's first
-   tail row collects the ``n-1`` tail rows preceding it: exactly the ``n-1``
-   ticks preceding the chunk, however short the chunks in between are;
+3. these tail rows are numbered along the symbol; each chunk's first tail row
+   asks for the ``n-1`` numbers before its own, an equi-join on (symbol,
+   number): exactly the ``n-1`` ticks preceding the chunk, however short the
+   chunks in between are;
 4. these carried rows are unioned with the ticks and the frame is evaluated
    per (symbol, chunk); carried rows are dropped afterwards.
 
-Which symbols are split (``split="auto"``, the default): one aggregation
-(partial per task, no data shuffle beyond one row per key and task) counts the
-ticks per symbol and keeps the largest ones above ``hot_rows``, the ticks one
-task should sort (``spark.sql.files.maxPartitionBytes`` / 64 bytes per tick
-unless given).  At most ``MAX_HOT_KEYS`` of them are collected (a proven bound
-for the broadcast); if there are more, every symbol is chunked.  A hot symbol
-gets the coarsest prefix whose expected ticks per chunk (from its count and
-time span) stay under ``hot_rows``; all other symbols form one chunk each, i.e.
-the plain window, with no carry work.  ``split=True`` chunks every symbol with
-``chunk_chars``; ``split=False`` is the plain window.
+Which symbols are split (``split="auto"``, the default): one aggregation counts
+the ticks per symbol; symbols with more ticks than one task should sort
+(``hot_rows``; by default ``spark.sql.files.maxPartitionBytes`` / 64 bytes, and
+at least 32 windows, so that the tails stay a small part of a symbol) are
+hot.  Only for these a second aggregation counts the ticks per second and takes
+the coarsest prefix whose *largest* chunk stays within the target, so a burst
+is cut as finely as it needs.  The hot symbols are written as a small table and
+joined null-safely: by broadcast while they are few, else by shuffle.
+``split=True`` chunks every symbol by ``chunk_chars``; ``split=False`` is the
+plain window.
 
 The result equals the plain per-symbol window in every mode; the tie-breaker
 columns must make the order total (the source ordered by timestamp only, which
@@ -42,33 +44,22 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 DEFAULT_CHUNK_CHARS = 13   # "yyyy-MM-dd HH": one chunk per symbol and hour
-MAX_HOT_KEYS = 10_000      # hot symbols collected and broadcast at most
 TICK_BYTES = 64            # rough size of one tick row, for the task target
+WINDOWS_PER_CHUNK = 32     # a chunk is aimed to hold at least so many windows
+BROADCAST_KEYS = 10_000    # hot symbols joined by broadcast at most
 
-# Prefixes of "yyyy-MM-dd HH:mm:ss" and the time each one spans.
-PREFIXES = ((7, 31 * 86400), (10, 86400), (13, 3600), (16, 60), (19, 1))
+# Prefixes of "yyyy-MM-dd HH:mm:ss": month, day, hour, minute, second.
+PREFIXES = (7, 10, 13, 16, 19)
+WHOLE = 99                 # the whole timestamp text and a range of the tie-breaker
 
 CHUNK = "_tw_chunk"
 _CARRY = "_tw_carry"
-_RD = "_tw_rd"
-_CC = "_tw_cc"
-
-
-def chunk_width(count: int, span_seconds, target: float,
-                default: int = DEFAULT_CHUNK_CHARS) -> int:
-    """Coarsest timestamp prefix whose expected ticks per chunk stay within
-    ``target`` for a symbol with ``count`` ticks spread over ``span_seconds``
-    (``None`` when the timestamps are not parseable: the default width)."""
-    if span_seconds is None:
-        return default
-    span = max(float(span_seconds), 1.0)
-    for chars, seconds in PREFIXES:
-        if count * min(seconds / span, 1.0) <= target:
-            return chars
-    return PREFIXES[-1][0]
+_N = "_tw_number"
+_WIDTH = "_tw_width"
+_STEP = "_tw_step"
+_HOT = "_tw_hot"
 
 
 def task_rows(spark) -> int:
@@ -81,30 +72,53 @@ def task_rows(spark) -> int:
     return max(num // TICK_BYTES, 1)
 
 
-def hot_keys(df: DataFrame, key: str, order0: str, hot_rows: int):
-    """``[(key, prefix chars)]`` of the symbols with more than ``hot_rows``
-    ticks, largest first, or ``None`` when there are more than
-    ``MAX_HOT_KEYS`` of them (then everything is chunked).
+def time_text(c) -> Column:
+    """Timestamp text without the quotes it still has in a parsed message."""
+    return F.trim(F.translate(F.col(c).cast("string"), '"', " "))
+
 
-    First job: count per key (the order column is pruned from the scan),
-    keep the largest above ``hot_rows``.  Only if there are hot keys, a second
-    job reads their time span (their rows only, via a broadcast semi join)."""
-    counts = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-                .where(F.col("_n") > hot_rows).orderBy(F.desc("_n"))
-                .limit(MAX_HOT_KEYS + 1).collect())
-    if len(counts) > MAX_HOT_KEYS:
+def hot_keys(df: DataFrame, key: str, time_col: str | None, tie: str | None, target: int) -> DataFrame | None:
+    """``(key, width, step)`` of the symbols with more than ``target`` ticks,
+    or ``None`` when there are none.  ``width``: prefix of the timestamp text a
+    chunk is cut by (``WHOLE``: the whole text; 0: none), ``step``: length of
+    the tie-breaker ranges inside it."""
+    from ..session import new_path
+    spark = df.sparkSession
+    path = new_path(spark, "hot-counts")
+    df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > target).write.parquet(path)
+    counts = spark.read.parquet(path)
+    if counts.isEmpty():
         return None
-    if not counts:
-        return []
-    hot = df.sparkSession.createDataFrame(
-        [(r[0],) for r in counts], T.StructType([T.StructField(key, df.schema[key].dataType)]))
-    # the span only sizes the chunks: min/max of the parsed time (fixed width,
-    # a hash aggregate) instead of min/max of the text (a sort-based aggregate)
-    t = F.try_to_timestamp(F.col(order0).cast("string")).cast("long")
-    spans = {r[0]: r[1] for r in
-             df.join(F.broadcast(hot), key, "left_semi")
-               .groupBy(key).agg((F.max(t) - F.min(t)).alias("_span")).collect()}
-    return [(r[0], chunk_width(r[1], spans.get(r[0]), hot_rows)) for r in counts]
+    hot = counts.select(F.col(key).alias(_HOT), "n")
+    rows = df.join(small(hot.select(_HOT)), F.col(key).eqNullSafe(F.col(_HOT)), "left_semi")
+    ids = F.col(tie).cast("long") if tie else F.lit(None).cast("long")
+    span = (F.max("hi") - F.min("lo") + 1).cast("double")
+    if time_col is None:
+        sized = (rows.groupBy(F.col(key).alias(_HOT))
+                 .agg(F.count(F.lit(1)).alias("n"), F.min(ids).alias("lo"), F.max(ids).alias("hi"))
+                 .groupBy(_HOT).agg(F.lit(0).alias(_WIDTH),
+                                    F.greatest(F.lit(target), F.ceil(span * target / F.max("n"))).alias(_STEP)))
+    else:
+        seconds = (rows.groupBy(F.col(key).alias(_HOT), F.substring(time_text(time_col), 1, PREFIXES[-1]).alias("s"))
+                   .agg(F.count(F.lit(1)).alias("n"), F.min(ids).alias("lo"), F.max(ids).alias("hi")))
+        step = F.when(F.col("n") > target, F.greatest(
+            F.lit(1.0), F.floor((F.col("hi") - F.col("lo") + 1).cast("double") * target / F.col("n"))))
+        per_second = seconds.withColumn("step", step)
+        cuts = F.array(*[F.struct(F.lit(w).alias("w"), F.substring("s", 1, w).alias("p")) for w in PREFIXES])
+        largest = (per_second.select(_HOT, "n", "step", F.explode(cuts).alias("c"))
+                   .groupBy(_HOT, "c.w", "c.p").agg(F.sum("n").alias("n"), F.min("step").alias("step"))
+                   .groupBy(_HOT, "w").agg(F.max("n").alias("n"), F.min("step").alias("step")))
+        sized = largest.groupBy(_HOT).agg(
+            F.coalesce(F.min(F.when(F.col("n") <= target, F.col("w"))), F.lit(WHOLE)).alias(_WIDTH),
+            F.coalesce(F.min("step"), F.lit(float(target))).alias(_STEP))
+    path = new_path(spark, "hot-keys")
+    sized.select(_HOT, F.col(_WIDTH).cast("int"), F.col(_STEP).cast("long")).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def small(hot: DataFrame) -> DataFrame:
+    """Broadcast hint while the hot symbols are few."""
+    return F.broadcast(hot) if hot.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS else hot
 
 
 def moving_avg_rows(df: DataFrame, n: int, key: str = "symbol",
@@ -112,80 +126,68 @@ def moving_avg_rows(df: DataFrame, n: int, key: str = "symbol",
                     values: Sequence[str] = ("price", "volume"),
                     outputs: Sequence[str] = ("avgprice", "avgvolume"),
                     split: bool | str = "auto",
-                    chunk: Column | None = None,
                     chunk_chars: int = DEFAULT_CHUNK_CHARS,
                     hot_rows: int | None = None,
-                    keep_chunk: bool = False,
-                    time_col: str | None = None) -> DataFrame:
+                    time_col: str | None = "timestampvalue",
+                    keep_chunk: bool = False) -> DataFrame:
     """Append ``AVG(v) OVER (PARTITION BY key ORDER BY order ROWS n-1
     PRECEDING)`` for each value column.
 
-    ``time_col`` (default: the first order column) is the timestamp text the
-    chunks are cut from; order columns before it (e.g. a micro-batch id) are
-    part of every chunk, so chunks stay contiguous ranges of the order.
-
-    ``keep_chunk=True`` keeps the chunk column (``CHUNK``): the output is
-    hash-partitioned by (key, chunk), so a later aggregation grouped by
-    (key, chunk, ...) needs no further shuffle.
+    ``time_col`` is the timestamp text the chunks are cut from when it is part
+    of the order; the last order column is the tie-breaker.  Order columns
+    before them (e.g. a micro-batch id) are part of every chunk, so chunks stay
+    contiguous ranges of the order.  ``keep_chunk`` keeps the chunk column.
     """
     if n < 1:
         raise ValueError("window size must be >= 1")
     order = list(order)
     avgs = lambda w: [F.avg(F.col(v).cast("double")).over(w).alias(o)
                       for v, o in zip(values, outputs)]
-    if split is False or n == 1:
+
+    def plain() -> DataFrame:
         w = Window.partitionBy(key).orderBy(*order).rowsBetween(-(n - 1), 0)
         out = df.select("*", *avgs(w))
         return out.withColumn(CHUNK, F.lit("")) if keep_chunk else out
 
-    time_col = time_col or order[0]
-    lead = [F.col(c).cast("string") for c in order[:order.index(time_col)]]
-    ts = F.col(time_col).cast("string")
-
-    def cut(width) -> Column:
-        prefix = ts.substr(F.lit(1), width) if isinstance(width, Column) else F.substring(ts, 1, width)
-        return F.concat_ws("|", *lead, prefix) if lead else prefix
-
-    hot = None
-    if split == "auto" and chunk is None:
-        hot = hot_keys(df, key, time_col, hot_rows or task_rows(df.sparkSession))
-        if hot == []:
-            return moving_avg_rows(df, n, key, order, values, outputs, split=False,
-                                   keep_chunk=keep_chunk)
-    if hot:
-        hot_df = df.sparkSession.createDataFrame(hot, T.StructType([
-            T.StructField(key, df.schema[key].dataType), T.StructField(_CC, T.IntegerType())]))
-        # at most MAX_HOT_KEYS rows: a proven bound for the broadcast
-        marked = df.join(F.broadcast(hot_df), key, "left")
-        base = (marked.withColumn(CHUNK, F.when(F.col(_CC).isNull(), F.lit(""))
-                                           .otherwise(cut(F.col(_CC))))
-                      .drop(_CC))
-        split_rows = marked.where(F.col(_CC).isNotNull()).withColumn(CHUNK, cut(F.col(_CC)))
+    if split is False or n == 1:
+        return plain()
+    time_col = time_col if time_col in order else None
+    tie = order[-1] if order[-1] != time_col else None
+    lead = [F.col(c).cast("string") for c in order if c not in (time_col, tie)]
+    raw = F.col(time_col).cast("string") if time_col else F.lit("")
+    # a leading quote moves the prefix by one: quoted and bare texts sort apart
+    prefix = raw.substr(F.lit(1), F.col(_WIDTH) + F.when(raw.startswith('"'), 1).otherwise(0))
+    ids = F.floor(F.col(tie) / F.col(_STEP)).cast("string") if tie else F.lit("")
+    part = (F.when(F.col(_WIDTH) == 0, ids)
+            .when(F.col(_WIDTH) == WHOLE, F.concat_ws("|", raw, ids)).otherwise(prefix))
+    cut = F.concat_ws("|", *lead, F.coalesce(part, F.lit("-")))
+
+    if split == "auto":
+        target = max(hot_rows or task_rows(df.sparkSession), WINDOWS_PER_CHUNK * n if hot_rows is None else 1)
+        hot = hot_keys(df, key, time_col, tie, target)
+        if hot is None:
+            return plain()
+        marked = df.join(small(hot), F.col(key).eqNullSafe(F.col(_HOT)), "left").drop(_HOT)
     else:
-        c = chunk if chunk is not None else cut(chunk_chars)
-        base = df.withColumn(CHUNK, c)
-        split_rows = base
-
-    slim = split_rows.select(key, CHUNK, *order, *values)
+        marked = df.withColumn(_WIDTH, F.lit(chunk_chars if time_col else 0)).withColumn(_STEP, F.lit(1 << 20))
+    base = marked.withColumn(CHUNK, F.when(F.col(_WIDTH).isNull(), F.lit("")).otherwise(cut))
+    slim = base.where(F.col(_WIDTH).isNotNull()).select(key, CHUNK, *order, *values)
+    base = base.drop(_WIDTH, _STEP)
 
     # (2) last n-1 ticks of every (key, chunk): partial top-k before the shuffle
     w_desc = Window.partitionBy(key, CHUNK).orderBy(*[F.col(c).desc() for c in order])
-    tails = slim.withColumn(_RD, F.row_number().over(w_desc)).where(F.col(_RD) <= n - 1)
+    tails = slim.withColumn(_N, F.row_number().over(w_desc)).where(F.col(_N) <= n - 1)
 
-    # (3) the n-1 tail rows before each chunk's first tail row (chunks are
-    #     contiguous in the order, so the order alone sorts them)
+    # (3) tail rows numbered along the key; a chunk's first one asks for the n-1 before it
     w_key = Window.partitionBy(key).orderBy(*[F.col(c).asc() for c in order])
-    prev_chunk = F.lag(F.struct(F.col(CHUNK).alias("c"))).over(w_key)
-    first_of_chunk = prev_chunk.isNull() | ~prev_chunk["c"].eqNullSafe(F.col(CHUNK))
-    carried = (tails
-               .select(key, CHUNK,
-                       F.collect_list(F.struct(*order, *values))
-                        .over(w_key.rowsBetween(-(n - 1), -1)).alias("_prev"),
-                       first_of_chunk.alias("_first"))
-               .where("_first")
-               .select(key, CHUNK, F.explode("_prev").alias("_p"))
-               .select(key, CHUNK, *[F.col(f"_p.{c}").alias(c) for c in (*order, *values)],
-                       F.lit(True).alias(_CARRY)))
+    before = F.lag(F.struct(F.col(CHUNK).alias("c"))).over(w_key)
+    numbered = tails.select(key, CHUNK, *order, *values, F.row_number().over(w_key).alias(_N),
+                            (before.isNotNull() & ~before["c"].eqNullSafe(F.col(CHUNK))).alias("_first"))
+    asked = (numbered.where("_first")
+             .select(F.col(key).alias("_k"), F.col(CHUNK).alias("_c"),
+                     F.explode(F.sequence(F.greatest(F.col(_N) - (n - 1), F.lit(1)), F.col(_N) - 1)).alias("_a")))
+    carried = (asked.join(numbered, F.col("_k").eqNullSafe(F.col(key)) & (F.col("_a") == F.col(_N)))
+               .select(key, F.col("_c").alias(CHUNK), *order, *values, F.lit(True).alias(_CARRY)))
 
     # (4) frame per (key, chunk) over ticks + carried rows
     both = base.withColumn(_CARRY, F.lit(False)).unionByName(carried, allowMissingColumns=True)

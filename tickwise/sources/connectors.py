@@ -12,15 +12,16 @@ from pyspark.sql import functions as F
 
 
 def kafka_options(servers: str, topics: str | list[str], starting_offsets: str = "earliest",
-                  max_offsets_per_trigger: int | None = 1_000_000,
+                  max_offsets_per_trigger: int | None = None,
                   extra: dict | None = None) -> dict[str, str]:
     """Options of a Kafka tick source.  ``earliest`` as the ingest job used;
-    the checkpoint replaces consumer-group auto commit."""
+    the checkpoint replaces consumer-group auto commit.  Lost offsets fail the
+    query (Spark's default), and a micro-batch takes all that is new unless
+    ``max_offsets_per_trigger`` is given."""
     opts = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topics if isinstance(topics, str) else ",".join(topics),
         "startingOffsets": starting_offsets,
-        "failOnDataLoss": "false",
     }
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
