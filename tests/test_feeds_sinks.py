@@ -115,7 +115,8 @@ def test_upsert_last_wins(spark):
 def test_connector_options():
     o = C.kafka_options("h:9092", ["t1", "t2"])
     assert o["subscribe"] == "t1,t2" and o["startingOffsets"] == "earliest"
-    assert "maxOffsetsPerTrigger" in o
+    assert "maxOffsetsPerTrigger" not in o and "failOnDataLoss" not in o      # no cap, no silent loss
+    assert C.kafka_options("h:9092", "t", max_offsets_per_trigger=5)["maxOffsetsPerTrigger"] == "5"
     j = C.jdbc_query_options("jdbc:x", table="stock", partition_column="id", lower=0, upper=9,
                              num_partitions=4)
     assert j["numPartitions"] == "4" and j["dbtable"] == "stock"
@@ -132,12 +133,66 @@ def test_csv_sink(spark):
     assert sorted((r.symbol, float(r.ratio)) for r in back.collect()) == [("A", 1.0), ("B", 2.0)]
 
 
-def test_bounded_broadcast_falls_back_above_the_bound(spark):
-    from tickwise.plans.broadcast import bounded_broadcast
-    small = spark.range(10)
-    hinted, used = bounded_broadcast(small, max_rows=10)
-    assert used
-    plan = spark.range(100).join(hinted, "id")._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
-    plain, used = bounded_broadcast(small, max_rows=9)
-    assert not used and plain is small
+def test_first_wins_append_over_texts_that_are_no_dates(spark):
+    """Every key once, whatever its time text; a NULL time is a key like any other."""
+    odd = ["16/01/2024 09:00:00", "09:00:00.123", "2024,01,16 09:00", "{bad json} x", "2024-01-16 09:00:00", None, ""]
+    ddl = ALERT_DDL + ", tick_id long"
+    path = new_path(spark, "k2-odd")
+    for batch_id in range(2):
+        rows = [("A", t, float(batch_id), 2.0, 3.0, 0.0, 10 * batch_id + i) for i, t in enumerate(odd)]
+        first_wins_append(spark.createDataFrame(rows, ddl), path, batch_id, S.ALERT)
+    got = spark.read.parquet(path).collect()
+    assert sorted(map(str, (r.timestampvalue for r in got))) == sorted(map(str, odd))
+    assert {r.histratio for r in got} == {0.0}
+    folders = os.listdir(local_path(path))
+    assert sum(f.startswith("datevalue=") for f in folders) == 2
+
+
+def test_first_wins_keeps_whole_rows(spark):
+    from tickwise.operators.alerts import first_wins
+    ddl = ALERT_DDL + ", tick_id long"
+    rows = [("A", "t", 1.0, None, 3.0, 0.0, 5), ("A", "t", 2.0, 9.0, 1.0, 0.0, 5),
+            ("B", "t", 4.0, 5.0, 6.0, 0.0, None), ("B", "t", 7.0, 8.0, 9.0, 0.0, None)]
+    got = {r.symbol: tuple(r)[2:5] for r in first_wins(spark.createDataFrame(rows, ddl)).collect()}
+    assert got == {"A": (1.0, None, 3.0), "B": (4.0, 5.0, 6.0)}
+
+
+def test_only_a_missing_table_counts_as_empty(spark):
+    from tickwise.sources.sinks import read_or_none
+    path = new_path(spark, "broken")
+    assert read_or_none(spark, path) is None
+    os.makedirs(local_path(path))
+    assert read_or_none(spark, path) is None
+    with open(os.path.join(local_path(path), "x.parquet"), "w") as f:
+        f.write("no parquet file")
+    with pytest.raises(Exception):
+        read_or_none(spark, path).count()
+
+
+def test_payload_keys(spark):
+    out = new_path(spark, "keyed-payloads")
+    os.makedirs(local_path(out), exist_ok=True)
+
+    def writer(payload, key, _dir=local_path(out)):
+        with open(os.path.join(_dir, key), "w") as fh:
+            fh.write(payload)
+
+    df = spark.range(5).coalesce(1).selectExpr("cast(id as string) as json")
+    for _ in range(2):                        # sent again under the same keys
+        FD.post_json_payloads(df, writer, max_rows=2, batch_id=7)
+    assert sorted(os.listdir(local_path(out))) == ["7-0-0", "7-0-1", "7-0-2"]
+
+
+def test_shared_folder_is_required_on_a_cluster():
+    from tickwise.session import shared_dir
+
+    class Context:
+        master = "yarn"
+        getConf = lambda self: {}
+        getCheckpointDir = lambda self: None
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Session())

@@ -15,7 +15,7 @@ from tickwise.sources.streams import message_file_stream, stage_message_files
 from tickwise.sources.ticks import tick_messages
 from tickwise.streaming import feeds as SF
 from tickwise.streaming.ingest import start_ingest
-from tickwise.streaming.realtime import realtime_stream, start_metrics_sink, start_realtime_alerts
+from tickwise.streaming.realtime import BY_TIME, realtime_stream, start_metrics_sink, start_realtime_alerts
 
 SF001 = "/root/testdata/sf0.001"
 
@@ -121,15 +121,14 @@ def test_alert_job_and_feeds(spark):
 
 def test_wide_store_sink_equals_batch(spark):
     from tickwise.operators.alerts import realtime_ratio, wide_store_rows
-    from tickwise.plans.jobs import read_history
-    from tickwise.streaming.realtime import start_wide_store_sink
+    from tickwise.streaming.realtime import read_wide_store, start_wide_store_sink
     src, out = new_path(spark, "ws-src"), new_path(spark, "ws-out")
     stage_message_files(tick_messages(_ticks(spark)), src, 4, files_per_slice=1)
     q = start_wide_store_sink(spark, realtime_stream(message_file_stream(spark, src, max_files_per_trigger=1), 3,
                                                      rounded=False), out, new_path(spark, "ws-ckpt"))
     q.awaitTermination()
     assert q.exception() is None
-    got = read_history(spark, out)
+    got = read_wide_store(spark, out)
     want = wide_store_rows(realtime_ratio(_ticks(spark), 3, rounded=False))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
@@ -182,21 +181,44 @@ def test_ingest_into_bucketed_table(spark):
     assert spark.table("tw_ing.ticks").count() == msgs.count()
 
 
-def test_dedup_within_watermark_keeps_first(spark):
-    from tickwise.streaming.realtime import dedup_within_watermark
-    rows = [('{"symbol":"A","timestampValue":"2024-01-01 00:00:01","price":1,"volume":1}', 1),
-            ('{"symbol":"A","timestampValue":"2024-01-01 00:00:02","price":2,"volume":1}', 2),
-            ('{"symbol":"A","timestampValue":"2024-01-01 00:00:01","price":9,"volume":1}', 3)]
-    src = new_path(spark, "dd-src")
-    for part in (rows[:2], rows[2:]):          # the duplicate key arrives in a later micro-batch
-        spark.createDataFrame(part, "value string, offset long").write.mode("append").parquet(src)
-    out = new_path(spark, "dd-out")
-    stream = dedup_within_watermark(realtime_stream(message_file_stream(spark, src, max_files_per_trigger=1), 3))
-    q = start_metrics_sink(stream, out, new_path(spark, "dd-ckpt"), state_partitions=2)
+@pytest.mark.parametrize("slices", [1, 3, 10])
+def test_out_of_order_ticks_do_not_depend_on_micro_batches(spark, slices):
+    from tickwise.operators.windows import moving_avg_rows
+    from tickwise.streaming.count_window import count_window_stream, start_count_window_batches
+    from tickwise.streaming.realtime import parsed_ticks
+    msgs = tick_messages(X.scrambled_ticks(spark, SF001))
+    want = moving_avg_rows(parsed_ticks(msgs), 3, order=("tick_id",), outputs=("priceavg", "volumeavg"),
+                           split=False).select("tick_id", "priceavg", "volumeavg")
+    src, out = new_path(spark, "oo-src"), new_path(spark, "oo-out")
+    files = stage_message_files(msgs, src, slices)
+    stream = lambda: parsed_ticks(message_file_stream(spark, src, max_files_per_trigger=files))
+    q = start_metrics_sink(count_window_stream(stream(), 3), out, new_path(spark, "oo-ckpt"), state_partitions=2)
     q.awaitTermination()
-    assert q.exception() is None
-    got = sorted((r.timestampvalue, r.price) for r in spark.read.parquet(out).collect())
-    assert got == [("2024-01-01 00:00:01", 1.0), ("2024-01-01 00:00:02", 2.0)]
+    out2, state = new_path(spark, "oo-out"), new_path(spark, "oo-state")
+    q = start_count_window_batches(stream(), 3, out2, state, new_path(spark, "oo-ckpt"))
+    q.awaitTermination()
+    for path in (out, out2):
+        got = spark.read.parquet(path).select("tick_id", "priceavg", "volumeavg")
+        assert got.count() == want.count() and got.exceptAll(want).count() == 0
+    assert len(os.listdir(local_path(state))) <= 2          # old state versions are deleted
+
+
+def test_wide_store_micro_batches_write_only_their_rows(spark):
+    from tickwise.streaming.realtime import compact_wide_store, read_wide_store, start_wide_store_sink
+    schema = ("symbol string, timestampvalue string, price double, volume double, priceavg double, pricechange double, "
+              "volumeavg double, volumechange double, ratio double, tick_id long")
+    src, out = new_path(spark, "wsb-src"), new_path(spark, "wsb-out")
+    for i in range(10):
+        spark.createDataFrame([(f"S{i % 3}", "2024-01-01 09:00:00", *[float(i)] * 7, i)], schema).coalesce(1) \
+            .write.mode("append").parquet(src)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = start_wide_store_sink(spark, stream, out, new_path(spark, "wsb-ckpt"))
+    q.awaitTermination()
+    assert spark.read.parquet(out).groupBy("batch_id").count().agg(F.max("count")).first()[0] == 1
+    rows = {r.symbol: r.ratio for r in read_wide_store(spark, out).collect()}
+    assert rows == {"S0": 9.0, "S1": 7.0, "S2": 8.0}
+    small = compact_wide_store(spark, out, new_path(spark, "wsb-compact"))
+    assert {r.symbol: r.ratio for r in read_wide_store(spark, small).collect()} == rows
 
 
 def test_text_source_alert_feed_and_digest_streams(spark):
@@ -209,7 +231,7 @@ def test_text_source_alert_feed_and_digest_streams(spark):
     stock, alerts = new_path(spark, "t-stock"), new_path(spark, "t-alerts")
     q = start_realtime_alerts(spark, text_line_stream(spark, src), 3, X.THRESHOLD, stock, alerts,
                               new_path(spark, "t-ckpt"), hist=X.history(spark, SF001), width=5,
-                              state_partitions=2)
+                              state_partitions=2, order=BY_TIME)
     q.awaitTermination()
     assert q.exception() is None
     want = X.live_alerts(spark, SF001).select(*ALERT_COLS)

@@ -93,20 +93,33 @@ def alert_total(alerts: DataFrame) -> DataFrame:
     return alerts.agg(F.lit(TOTAL).alias("symbol"), F.count("symbol").alias("alerts"))
 
 
+def _total_of(counts: DataFrame) -> Column:
+    """``count(symbol)`` from the per-symbol counts (NULL symbols not counted)."""
+    known = F.sum(F.when(F.col("symbol").isNotNull(), F.col("alerts")))
+    return F.coalesce(known, F.lit(0)).cast("long")
+
+
 def alerts_with_total(alerts: DataFrame) -> DataFrame:
-    """Per-symbol counts ``UNION ALL`` the total row."""
+    """Per-symbol counts ``UNION ALL`` the total row.  The total is the sum
+    of the counts, so the alerts are read once and both branches share one
+    shuffle."""
     per = alerts.groupBy("symbol").agg(F.count(F.lit(1)).alias("alerts"))
-    return per.unionByName(alert_total(alerts))
+    return per.unionByName(per.agg(F.lit(TOTAL).alias("symbol"), _total_of(per).alias("alerts")))
+
+
+def pivot_counts(counts: DataFrame, symbols: Sequence[str] = PIVOT_SYMBOLS) -> DataFrame:
+    """One row with a column per listed symbol (NULL when it has no alert) and
+    ``TOTAL``, from per-symbol counts, in one aggregation."""
+    return counts.agg(*[F.max(F.when(F.col("symbol") == F.lit(s), F.col("alerts"))).alias(s) for s in symbols],
+                      F.greatest(_total_of(counts), F.max(F.when(F.col("symbol") == F.lit(TOTAL), F.col("alerts"))))
+                      .alias(TOTAL))
 
 
 def alert_pivot_feed(alerts: DataFrame, symbols: Sequence[str] = PIVOT_SYMBOLS) -> DataFrame:
-    """Q9 / A4: one row with a column per listed symbol (its alert count, NULL
-    when it has none) and ``TOTAL``.  The pivot values are fixed, so Spark needs
-    no extra job to find them; the aggregate is global (one small row)."""
-    counts = alerts_with_total(alerts)
-    cols = [F.max(F.when(F.col("symbol") == F.lit(s), F.col("alerts"))).alias(s)
-            for s in (*symbols, TOTAL)]
-    return counts.agg(*cols)
+    """Q9 / A4: the pivot of U1 over a fixed list, so Spark needs no extra job
+    to find the values (a symbol named like the total takes part in its
+    column, as in the union)."""
+    return pivot_counts(alerts.groupBy("symbol").agg(F.count(F.lit(1)).alias("alerts")), symbols)
 
 
 def java_ts_text(c) -> Column:
@@ -121,19 +134,20 @@ def java_ts_text(c) -> Column:
     return F.when(ok, F.concat(base, F.lit("."), F.when(frac == "", F.lit("0")).otherwise(frac)))
 
 
-def alert_digest(alerts: DataFrame, since: str | None = None) -> DataFrame:
+def alert_digest(alerts: DataFrame, since: str | None = None, ordered: bool = True) -> DataFrame:
     """Q10: one mail text per alert after the mark, in time order, with the
     subject ``STOCK PRICE ALERTS from <first> to <last>`` where first is the
     poll's first timestamp and last the running latest (W3).  Delivery is not
-    built; these rows are what would be sent."""
+    built; these rows are what would be sent.  ``alerts`` is read twice (first
+    timestamp, rows): pass a stored table, as the poller read one."""
     from .windows import running_first_last
     a = running_first_last(incremental_filter(alerts, since), TS)
     body = text_template(DIGEST_BODY, symbol="symbol", ts=TS, hist="histratio",
                          current="currentratio", deviation="ratiodeviation", threshold="threshold")
     subject = text_template(DIGEST_SUBJECT, first=java_ts_text("first_ts"),
                             last=java_ts_text("last_ts"))
-    return (a.select("symbol", TS, subject.alias("subject"), body.alias("body"))
-             .orderBy(TS, "symbol"))
+    out = a.select("symbol", TS, subject.alias("subject"), body.alias("body"))
+    return out.orderBy(TS, "symbol") if ordered else out
 
 
 def json_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -147,22 +161,36 @@ def count_payload_rows(df: DataFrame) -> DataFrame:
     return json_rows(df.select(*[F.col(c).cast("string").alias(c) for c in df.columns]))
 
 
-def post_json_payloads(json_df: DataFrame, writer: Callable[[str], None],
-                       max_rows: int = 10_000) -> None:
+def post_json_payloads(json_df: DataFrame, writer: Callable[..., None],
+                       max_rows: int = 10_000, batch_id: int | None = None) -> None:
     """Hand JSON arrays of at most ``max_rows`` rows to ``writer`` from each
-    task (no driver round trip, nothing sent for an empty partition).
+    task (no driver round trip, nothing sent for an empty partition; the source
+    sent one array per poll, so ``max_rows`` belongs to the writer's protocol).
+    Payloads of different tasks arrive in any order: consumers order by the
+    rows' time.  With ``batch_id``, ``writer(payload, key)`` also gets a key
+    (batch, partition, number) that is the same when a task is retried.
     ``writer`` must be picklable and should accept HTTP 200/202 semantics
     itself (raise on failure so the task retries)."""
     from ..session import ship_package
     ship_package(json_df.sparkSession)
 
     def send(rows: Iterable) -> None:
+        from pyspark import TaskContext
         buf: list[str] = []
+        sent = 0
+
+        def post() -> None:
+            payload = "[" + ",".join(buf) + "]"
+            if batch_id is None:
+                writer(payload)
+            else:
+                writer(payload, f"{batch_id}-{TaskContext.get().partitionId()}-{sent}")
+
         for r in rows:
             buf.append(r[0])
             if len(buf) >= max_rows:
-                writer("[" + ",".join(buf) + "]")
-                buf = []
+                post()
+                buf, sent = [], sent + 1
         if buf:
-            writer("[" + ",".join(buf) + "]")
+            post()
     json_df.foreachPartition(send)

@@ -15,8 +15,10 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import tick_json
 from ..operators.alerts import ratio_alerts, stock_rows
 from ..operators.history import hist_ratio_strict, ratio_query
+from ..session import new_path
 from ..sources.ticks import MINUTE_FORMAT, read_table, ticks_from_events
 
 # Fixed parameters -------------------------------------------------------------
@@ -25,6 +27,8 @@ THRESHOLD = -100.0               # alert threshold (documented usage example)
 TOD_WIDTH_TEST = 5               # time-of-day key "HH:mm" for lookups in tests
 SPLIT_DAY = "2024-01-16"         # history before, live from this day on
 FEED_MARK = "2024-01-23 00:00:00"  # high-water mark of the incremental feeds
+FLAW_PERIOD = 23                 # one message in so many has each flaw
+BURST_SYMBOL, BURST_TIME = "click", "2024-01-10 00:00:00"
 # -------------------------------------------------------------------------------
 
 
@@ -54,6 +58,11 @@ def history(spark: SparkSession, sf_dir: str, width: int = TOD_WIDTH_TEST) -> Da
     return hist_ratio_strict(trans, width)
 
 
+def history_of_all(spark: SparkSession, sf_dir: str, width: int = TOD_WIDTH_TEST) -> DataFrame:
+    """The same lookup over all ticks."""
+    return hist_ratio_strict(ratio_query(ticks(spark, sf_dir), None, WINDOW), width)
+
+
 def live_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ticks_from_events(events_before(spark, sf_dir, False))
 
@@ -69,6 +78,58 @@ def live_alerts(spark: SparkSession, sf_dir: str, width: int = TOD_WIDTH_TEST) -
                         THRESHOLD, width=width)
 
 
+def stored_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as a stored table, as the pollers read it."""
+    path = new_path(spark, "alerts")
+    live_alerts(spark, sf_dir).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def flawed_messages(ticks: DataFrame) -> DataFrame:
+    """Tick messages of which some are truncated, lack a field, hold JSON null
+    or a number as text, repeat a field or name an invalid symbol, by tick_id."""
+    case = F.pmod("tick_id", F.lit(FLAW_PERIOD))
+    symbol = F.when(case == 6, F.lit("InvalidCo")).otherwise(F.col("symbol"))
+    good = tick_json(symbol, "timestampvalue")
+    text = F.concat(F.lit('{"symbol":"'), "symbol", F.lit('","timestampValue":"'), "timestampvalue", F.lit('"'))
+    volume = F.concat(F.lit(',"volume":'), F.col("volume").cast("string"), F.lit("}"))
+    value = (F.when(case == 1, F.substring(good, 1, 20)).when(case == 2, F.concat(text, volume))
+             .when(case == 3, F.concat(text, F.lit(',"price":null'), volume))
+             .when(case == 4, F.concat(text, F.lit(',"price":"'), F.col("price").cast("string"), F.lit('"'), volume))
+             .when(case == 5, F.concat(F.lit('{"price":0,'), F.substring(good, 2, 1000))).otherwise(good))
+    return ticks.select(value.alias("value"), F.col("tick_id").alias("offset"))
+
+
+def scrambled_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks whose times lie up to ten minutes later, each by another amount:
+    in arrival order (``tick_id``) they are not in time order."""
+    events = read_table(spark, sf_dir, "events")
+    late = F.expr("ts + make_dt_interval(0, 0, 0, (event_id * 7919) % 600)")
+    return ticks_from_events(events.withColumn("ts", late))
+
+
+def whole_number_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks with prices in whole cents (so that long sums are exact); all of
+    one symbol in a single second."""
+    t = ticks(spark, sf_dir)
+    return t.withColumn("price", F.floor(F.col("price") * 100).cast("double")).withColumn(
+        "timestampvalue", F.when(F.col("symbol") == BURST_SYMBOL, F.lit(BURST_TIME)).otherwise(F.col("timestampvalue")))
+
+
+def odd_key_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with repeated keys, many of whose time texts are no times."""
+    hour = F.substring("timestampvalue", 1, 13)
+    part = lambda a, n: F.substring("timestampvalue", a, n)
+    case = F.pmod("tick_id", F.lit(5))
+    text = (F.when(case == 0, hour).when(case == 1, F.concat(part(9, 2), F.lit("/"), part(6, 2), F.lit("/"), part(1, 4)))
+            .when(case == 2, F.concat(F.lit("{bad json} "), part(1, 10)))
+            .when(case == 3, F.concat(part(1, 4), F.lit(","), part(6, 2), F.lit(","), part(9, 2))))
+    t = ticks(spark, sf_dir)
+    return t.select("symbol", text.alias("timestampvalue"), F.col("price").alias("histratio"),
+                    F.col("volume").cast("double").alias("currentratio"), F.col("tick_id").cast("double").alias("ratiodeviation"),
+                    F.lit(THRESHOLD).alias("threshold"), "tick_id")
+
+
 # ---- the same derivations in DuckDB SQL --------------------------------------
 
 def sql_ticks(fmt: str = "%Y-%m-%d %H:%M:%S", where: str = "") -> str:
@@ -178,6 +239,39 @@ def sql_parse_lenient(msg_sql: str) -> str:
             f"from ({msg_sql}) m")
 
 
+def sql_parse_flawed(ticks_sql: str) -> str:
+    """What the lenient parse makes of :func:`flawed_messages`."""
+    case = f"tick_id % {FLAW_PERIOD}"
+    bad = f"{case} in (1, 2)"
+    return (f"select case when {bad} then 'Invalid' when {case} = 6 then '\"InvalidCo\"' "
+            f"else '\"' || symbol || '\"' end as symbol, "
+            f"case when {bad} then 'Invalid' else '\"' || timestampvalue || '\"' end as timestampvalue, "
+            f"case when {bad} or {case} = 3 then 0.0 else price end as price, "
+            f"case when {bad} then 0.0 else cast(volume as double) end as volume, tick_id as \"offset\" "
+            f"from ({ticks_sql}) t")
+
+
+def sql_scrambled() -> str:
+    return ("select event_type as symbol, strftime(ts + to_seconds((event_id * 7919) % 600), '%Y-%m-%d %H:%M:%S') "
+            "as timestampvalue, value as price, cast(json_extract_string(props, '$.k') as int) as volume, "
+            "event_id as tick_id from events")
+
+
+def sql_whole_number() -> str:
+    return (f"select symbol, case when symbol = '{BURST_SYMBOL}' then '{BURST_TIME}' else timestampvalue end as "
+            f"timestampvalue, cast(floor(price * 100) as double) as price, volume, tick_id from ({sql_ticks()}) t")
+
+
+def sql_odd_keys() -> str:
+    part = lambda a, n: f"substring(timestampvalue, {a}, {n})"
+    return (f"select symbol, case tick_id % 5 when 0 then {part(1, 13)} "
+            f"when 1 then {part(9, 2)} || '/' || {part(6, 2)} || '/' || {part(1, 4)} "
+            f"when 2 then '{{bad json}} ' || {part(1, 10)} "
+            f"when 3 then {part(1, 4)} || ',' || {part(6, 2)} || ',' || {part(9, 2)} end as timestampvalue, "
+            f"price as histratio, cast(volume as double) as currentratio, cast(tick_id as double) as ratiodeviation, "
+            f"{THRESHOLD}::double as threshold, tick_id from ({sql_ticks()}) t")
+
+
 def sql_java_double(x: str) -> str:
     """``Double.toString`` text of a double in DuckDB SQL: plain decimal for
     1e-3 <= |x| < 1e7, otherwise ``d.dddE<n>``."""

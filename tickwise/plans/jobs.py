@@ -25,16 +25,14 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.columns import TOD_WIDTH
 from ..operators.history import hist_ratio_query, ratio_query
 from ..session import new_path
-from ..sources.sinks import RUN, append_table, latest_version, read_or_none, upsert_last_wins
+from ..sources.sinks import RUN, append_table, read_or_none, read_run, runs_of, upsert_last_wins
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame | None:
     """The latest run of a run-versioned history table (or the table itself
     when it has no runs)."""
-    h = read_or_none(spark, path)
-    if h is None or RUN not in h.columns:
-        return h
-    return latest_version(h)
+    runs = runs_of(spark, path)
+    return read_run(spark, path, runs[-1]) if runs else read_or_none(spark, path)
 
 
 def one_row_per_key(df: DataFrame, keys=("symbol", "timestampvalue")) -> DataFrame:
@@ -53,12 +51,7 @@ def _write_history(spark: SparkSession, trans: DataFrame, history_path: str, wid
     hist = one_row_per_key(hist_ratio_query(trans, width, rounded=rounded))
     target = f"{history_path.rstrip('/')}/{RUN}={run_id}"
     previous = read_history(spark, history_path) if upsert else None
-    if previous is None:
-        hist.write.mode("errorifexists").parquet(target)
-    else:
-        prev_path = new_path(spark, "history-prev")
-        previous.write.mode("errorifexists").parquet(prev_path)   # cut the lineage first
-        upsert_last_wins(spark, prev_path, hist, target)
+    upsert_last_wins(spark, previous, hist, target)
 
 
 def run_batch_ratio_job(spark: SparkSession, ticks_path: str, transformed_path: str,

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import history as H
 from ..operators import alerts as A
@@ -89,6 +90,19 @@ def q_moving_avg_rows_lineitem(spark, d):
         "symbol", TS, "price", "volume", "tick_id", "avgprice", "avgvolume")
 
 
+LONG = 200       # a window longer than a burst's share of a second
+
+
+@register("moving_avg_rows_long",
+          "select symbol, timestampvalue, price, volume, tick_id, avgprice, avgvolume from ("
+          + X.sql_window(X.sql_whole_number(), LONG) + ") q")
+def q_moving_avg_rows_long(spark, d):
+    """W1 over 200 rows with a small task target: symbols are split into chunks
+    about as long as the window, one symbol has all its ticks in one second."""
+    return moving_avg_rows(X.whole_number_ticks(spark, d), LONG, hot_rows=100).select(
+        "symbol", TS, "price", "volume", "tick_id", "avgprice", "avgvolume")
+
+
 _LINEITEM_TICKS_SQL = ("select cast(l_partkey as varchar) as symbol, "
                        "strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') as timestampvalue, "
                        "l_extendedprice as price, cast(l_quantity as int) as volume, "
@@ -127,6 +141,21 @@ def q_ratio_query(spark, d):
     return H.ratio_query(X.minute_ticks(spark, d), X.done_minute(spark, d), X.WINDOW)
 
 
+@register("ratio_query_by_symbol",
+          X.sql_metrics_batch(X.sql_window(
+              f"select * from ({T_MIN}) t where not exists (select 1 from ({DONE_MIN}) d "
+              "where d.timestampvalue = t.timestampvalue and d.symbol = t.symbol)")))
+def q_ratio_query_by_symbol(spark, d):
+    return H.ratio_query(X.minute_ticks(spark, d), X.done_minute(spark, d), X.WINDOW, by_symbol=True)
+
+
+@register("ratio_query_carry",
+          X.sql_metrics_batch(f"select * from ({X.sql_window(T_MIN)}) t where not exists "
+                              f"(select 1 from ({DONE_MIN}) d where d.timestampvalue = t.timestampvalue)"))
+def q_ratio_query_carry(spark, d):
+    return H.ratio_query(X.minute_ticks(spark, d), X.done_minute(spark, d), X.WINDOW, carry_history=True)
+
+
 # ---- A1, A2, J4, J2, Q2, A7 -------------------------------------------------------
 
 @register("hist_avg_ratio",
@@ -167,12 +196,16 @@ def q_hist_join_latest(spark, d):
     return H.hist_join_latest(H.hist_avg_ratio(t, W5), H.semi_latest(t, H.max_ts_by_tod(t, W5)), W5)
 
 
-def _sql_q2(rounded: bool) -> str:
+def _sql_q2(rounded: bool, trans: str = TRANS_ALL) -> str:
+    a1 = (f"select symbol, {TOD5} as timehhmmss, avg(ratio) as historicalratio "
+          f"from ({trans}) t group by all")
+    semi = (f"select * from ({trans}) t where timestampvalue in "
+            f"(select max(timestampvalue) from ({trans}) g group by symbol, {TOD5})")
     r = (lambda c: f"round({c}, 5) + 0.0") if rounded else (lambda c: c)
     return (f"select t2.symbol, t1.timehhmmss as timestampvalue, {r('t2.avgprice')} as avgprice, "
             f"{r('t2.pricechange')} as pricechange, {r('t2.avgvol')} as avgvolume, "
             f"{r('t2.volumechange')} as volumechange, {r('t2.ratio')} as ratio, "
-            f"{r('t1.historicalratio')} as histratio from ({_A1_SQL}) t1 join ({_SEMI_SQL}) t2 "
+            f"{r('t1.historicalratio')} as histratio from ({a1}) t1 join ({semi}) t2 "
             f"on t1.symbol = t2.symbol and t1.timehhmmss = substring(t2.timestampvalue, 12, {W5})")
 
 
@@ -230,14 +263,26 @@ def q_metrics_stream(spark, d):
     return A.realtime_ratio(X.ticks(spark, d), X.WINDOW, rounded=False)
 
 
-@register("historical_lookup", HIST_SQL)
+@register("historical_lookup", _sql_strict(TRANS_ALL))
 def q_historical_lookup(spark, d):
-    return X.history(spark, d)
+    return X.history_of_all(spark, d)
+
+
+STOCK_ALL_SQL = X.sql_first_wins(X.sql_realtime(T_ALL), X.STOCK_SQL_COLS)
 
 
-@register("stock_rows", STOCK_SQL)
+@register("stock_rows", STOCK_ALL_SQL)
 def q_stock_rows(spark, d):
-    return X.live_stock(spark, d)
+    return A.stock_rows(X.ticks(spark, d), X.WINDOW)
+
+
+@register("metrics_quoted",
+          "select '\"' || symbol || '\"' as symbol, '\"' || timestampvalue || '\"' as timestampvalue, price, volume, "
+          f"priceavg, pricechange, volumeavg, volumechange, ratio, tick_id from ({X.sql_realtime(T_ALL, rounded=False)}) m")
+def q_metrics_quoted(spark, d):
+    """The oldest stream variant: JSON quotes stay in the stored texts."""
+    parsed = P.parse_tick_lenient(_messages(spark, d), keep=("offset",)).withColumnRenamed("offset", "tick_id")
+    return A.realtime_ratio(parsed, X.WINDOW, rounded=False, clean=False)
 
 
 @register("hist_lookup_join", JOINED_SQL)
@@ -264,9 +309,9 @@ def q_incremental_filter(spark, d):
     return FD.incremental_filter(X.live_alerts(spark, d), MARK)
 
 
-@register("high_watermark", f"select max(timestampvalue) as high_watermark from ({STOCK_SQL}) s")
+@register("high_watermark", f"select max(timestampvalue) as high_watermark from ({STOCK_ALL_SQL}) s")
 def q_high_watermark(spark, d):
-    return FD.high_watermark(X.live_stock(spark, d))
+    return FD.high_watermark(A.stock_rows(X.ticks(spark, d), X.WINDOW))
 
 
 def _sql_dashboard(mark: str | None, ordered: bool = True) -> str:
@@ -339,9 +384,16 @@ def _messages(spark, d):
     return tick_messages(X.ticks(spark, d))
 
 
-@register("parse_tick_lenient", X.sql_parse_lenient(MSG_SQL))
+FLAWED_SQL = X.sql_parse_flawed(T_ALL)
+
+
+def _flawed(spark, d):
+    return P.parse_tick_lenient(X.flawed_messages(X.ticks(spark, d)), keep=("offset",))
+
+
+@register("parse_tick_lenient", FLAWED_SQL)
 def q_parse_tick_lenient(spark, d):
-    return P.parse_tick_lenient(_messages(spark, d), keep=("offset",))
+    return _flawed(spark, d)
 
 
 @register("parse_tick_strict",
@@ -357,18 +409,21 @@ def q_parse_tick_strict(spark, d):
 @register("clean_ticks",
           "select trim(replace(symbol, '\"', ' ')) as symbol, "
           "trim(replace(timestampvalue, '\"', ' ')) as timestampvalue, price, volume, \"offset\" "
-          f"from ({X.sql_parse_lenient(MSG_SQL)}) p where symbol not like '%Invalid%'")
+          f"from ({FLAWED_SQL}) p where symbol not like '%Invalid%'")
 def q_clean_ticks(spark, d):
-    parsed = P.parse_tick_lenient(_messages(spark, d), keep=("offset",))
-    return P.clean_ticks(P.drop_invalid(parsed))
+    return P.clean_ticks(P.drop_invalid(_flawed(spark, d)))
+
+
+@register("drop_invalid", f"select * from ({FLAWED_SQL}) p where symbol not like '%Invalid%'")
+def q_drop_invalid(spark, d):
+    return P.drop_invalid(_flawed(spark, d))
 
 
 @register("realtime_ratio_json",
           X.sql_realtime("select symbol, timestampvalue, price, volume, \"offset\" as tick_id from ("
-                         + X.sql_parse_lenient(MSG_SQL) + ") p where symbol not like '%Invalid%'"))
+                         + FLAWED_SQL + ") p where symbol not like '%Invalid%'"))
 def q_realtime_ratio_json(spark, d):
-    parsed = P.parse_tick_lenient(_messages(spark, d), keep=("offset",))
-    ticks = P.drop_invalid(parsed).withColumnRenamed("offset", "tick_id")
+    ticks = P.drop_invalid(_flawed(spark, d)).withColumnRenamed("offset", "tick_id")
     return A.realtime_ratio(ticks, X.WINDOW, rounded=True)
 
 
@@ -393,11 +448,12 @@ def _java_ts(c: str) -> str:
 
 
 @register("running_first_last",
-          f"select *, min(timestampvalue) over () as first_ts, timestampvalue as last_ts "
-          f"from ({ALERTS_SQL}) a where timestampvalue > '{MARK}'")
+          f"select *, first_value(timestampvalue) over w as first_ts, max(timestampvalue) over w as last_ts "
+          f"from ({ALERTS_SQL}) a where timestampvalue > '{MARK}' "
+          "window w as (order by timestampvalue, symbol rows between unbounded preceding and current row)")
 def q_running_first_last(spark, d):
     from ..operators.windows import running_first_last
-    return running_first_last(FD.incremental_filter(X.live_alerts(spark, d), MARK))
+    return running_first_last(FD.incremental_filter(X.stored_alerts(spark, d), MARK))
 
 
 @register("alert_digest",
@@ -410,7 +466,7 @@ def q_running_first_last(spark, d):
           + " as body from (select *, min(timestampvalue) over () as first_ts from ("
           + ALERTS_SQL + f") a where timestampvalue > '{MARK}') b order by timestampvalue, symbol")
 def q_alert_digest(spark, d):
-    return FD.alert_digest(X.live_alerts(spark, d), MARK)
+    return FD.alert_digest(X.stored_alerts(spark, d), MARK)
 
 
 # ---- streaming: W2 with keyed state, Q3, Q4 stream-static, K2 ---------------------------
@@ -418,7 +474,8 @@ def q_alert_digest(spark, d):
 from . import replay as R  # noqa: E402
 from ..streaming import realtime as RT  # noqa: E402
 from ..streaming.count_window import count_window_stream  # noqa: E402
-from ..sources.sinks import overwrite_table  # noqa: E402
+from .. import schemas as S  # noqa: E402
+from ..sources.sinks import first_wins_append, overwrite_table, write_batch  # noqa: E402
 from ..session import new_path  # noqa: E402
 
 PARSED_SQL = ("select symbol, timestampvalue, price, volume, \"offset\" as tick_id from ("
@@ -426,7 +483,7 @@ PARSED_SQL = ("select symbol, timestampvalue, price, volume, \"offset\" as tick_
 LIVE_MSG_SQL = X.sql_messages(T_LIVE)
 LIVE_PARSED_SQL = ("select symbol, timestampvalue, price, volume, \"offset\" as tick_id from ("
                    + X.sql_parse_lenient(LIVE_MSG_SQL) + ") p where symbol not like '%Invalid%'")
-_W = ("partition by symbol order by timestampvalue nulls first, tick_id nulls first "
+_W = ("partition by symbol order by tick_id nulls first "
       f"rows between {X.WINDOW - 1} preceding and current row")
 
 
@@ -448,15 +505,23 @@ def q_count_window_stream_split(spark, d):
     from ..streaming.count_window import start_count_window_batches
     stream = R.stage(spark, _messages(spark, d), "w2s")
     out = new_path(spark, "w2s-out")
-    q = start_count_window_batches(RT.parsed_ticks(stream), X.WINDOW, out,
-                                   new_path(spark, "w2s-state"), new_path(spark, "w2s-ckpt"))
-    q.awaitTermination()
-    if q.exception():
-        raise RuntimeError(str(q.exception()))
+    R.finish(start_count_window_batches(RT.parsed_ticks(stream), X.WINDOW, out,
+                                        new_path(spark, "w2s-state"), new_path(spark, "w2s-ckpt")))
     return spark.read.parquet(out).select("symbol", TS, "tick_id", "price", "volume",
                                           "priceavg", "volumeavg")
 
 
+@register("count_window_out_of_order",
+          f"select symbol, timestampvalue, tick_id, price, cast(volume as double) as volume, "
+          f"avg(price) over ({_W}) as priceavg, avg(volume) over ({_W}) as volumeavg from ("
+          "select '\"' || symbol || '\"' as symbol, '\"' || timestampvalue || '\"' as timestampvalue, price, volume, "
+          f"tick_id from ({X.sql_scrambled()}) s) t")
+def q_count_window_out_of_order(spark, d):
+    """W2 over ticks that do not arrive in time order, in ten micro-batches."""
+    stream = R.stage(spark, tick_messages(X.scrambled_ticks(spark, d)), "w2o")
+    return R.run_to_table(spark, count_window_stream(RT.parsed_ticks(stream), X.WINDOW), "w2o")
+
+
 @register("realtime_ratio_stream", X.sql_realtime(PARSED_SQL))
 def q_realtime_ratio_stream(spark, d):
     stream = R.stage(spark, _messages(spark, d), "q3")
@@ -477,9 +542,7 @@ def _run_alert_job(spark, d, fresh: bool):
     q = RT.start_realtime_alerts(spark, stream, X.WINDOW, X.THRESHOLD, stock, alerts,
                                  new_path(spark, "q4-ckpt"), width=W5,
                                  state_partitions=R.state_partitions(spark), **kw)
-    q.awaitTermination()
-    if q.exception():
-        raise RuntimeError(str(q.exception()))
+    R.finish(q)
     return stock, alerts
 
 
@@ -497,6 +560,78 @@ def q_stock_rows_stream(spark, d):
     return spark.read.parquet(stock).select(*A.STOCK_COLS)
 
 
+@register("ratio_alerts_fresh_stream", _SQL["ratio_alerts_stream"])
+def q_ratio_alerts_fresh_stream(spark, d):
+    """The history is read anew by every micro-batch."""
+    _, alerts = _run_alert_job(spark, d, fresh=True)
+    return spark.read.parquet(alerts).select(*A.ALERT_COLS)
+
+
+@register("keyed_append",
+          f"select {X.ALERT_SQL_COLS} from (select *, row_number() over (partition by symbol, timestampvalue "
+          f"order by case when tick_id % 3 = 0 then 0 else 1 end, tick_id) as rn from ({X.sql_odd_keys()}) o) k where rn = 1")
+def q_keyed_append(spark, d):
+    """K2 in two batches over keys whose time texts are mostly no times."""
+    rows, path = X.odd_key_rows(spark, d), new_path(spark, "keyed")
+    first = F.col("tick_id") % 3 == 0
+    for batch_id, batch in enumerate((rows.where(first), rows.where(~first), rows)):
+        first_wins_append(batch, path, batch_id, S.ALERT)
+    return spark.read.parquet(path).select(*A.ALERT_COLS)
+
+
+# ---- the batch job's tables: transformed rows, history (overwrite, upsert, partitioned) ----
+
+JOB_TRANS_SQL = (f"select * from ({DONE_MIN}) a union all select * from ({X.sql_ratio_query(T_MIN, DONE_MIN)}) b")
+_HIST_ORDER = ", ".join(f"{c} desc nulls last" for c in H.HISTORY_COLS[2:])
+
+
+def _sql_job_history(rounded: bool) -> str:
+    return (f"select {', '.join(H.HISTORY_COLS)} from (select *, row_number() over (partition by symbol, timestampvalue "
+            f"order by {_HIST_ORDER}) as rn from ({_sql_q2(rounded, JOB_TRANS_SQL)}) h) k where rn = 1")
+
+
+def _run_job_twice(spark, d, **kw):
+    """Raw ticks before the split day, a run, then all of them, another run."""
+    from .jobs import run_batch_ratio_job
+    raw, trans, hist = (new_path(spark, f"job-{x}") for x in ("raw", "trans", "hist"))
+    before = F.col(TS) < F.lit(X.SPLIT_DAY)
+    for run, part in enumerate((before, ~before)):
+        X.minute_ticks(spark, d).where(part).write.mode("append").parquet(raw)
+        run_batch_ratio_job(spark, raw, trans, hist, X.WINDOW, width=W5, run_id=run, **kw)
+    return trans, hist
+
+
+@register("batch_job_transformed", JOB_TRANS_SQL)
+def q_batch_job_transformed(spark, d):
+    return spark.read.parquet(_run_job_twice(spark, d)[0])
+
+
+@register("batch_job_partitioned", JOB_TRANS_SQL)
+def q_batch_job_partitioned(spark, d):
+    """The transformed table partitioned by symbol."""
+    return spark.read.parquet(_run_job_twice(spark, d, partitioned=True)[0]).select(*H.TRANSFORMED_COLS)
+
+
+@register("batch_job_history", _sql_job_history(True))
+def q_batch_job_history(spark, d):
+    from .jobs import read_history
+    return read_history(spark, _run_job_twice(spark, d)[1])
+
+
+@register("batch_job_history_upsert", _sql_job_history(False))
+def q_batch_job_history_upsert(spark, d):
+    from .jobs import read_history
+    return read_history(spark, _run_job_twice(spark, d, rounded=False, upsert=True)[1])
+
+
+@register("ingest", f"select symbol, timestampvalue, price, volume, tick_id from ({T_ALL}) t")
+def q_ingest(spark, d):
+    """Raw ticks by micro-batches of messages (strict parse, observed count)."""
+    from ..streaming.ingest import start_ingest
+    out = new_path(spark, "ingest")
+    R.finish(start_ingest(R.stage(spark, _messages(spark, d), "ingest"), out, new_path(spark, "ingest-ckpt"),
+                          trigger={"availableNow": True}))
+    return spark.read.parquet(out).select("symbol", TS, "price", "volume", "tick_id")
 
 # ---- payloads (sink_dashboard_json), short alert text (Q5 variant), wide-store rows -------
 
@@ -549,3 +684,42 @@ def q_alert_messages_short(spark, d):
           f"order by tick_id desc) as rn from ({X.sql_realtime(T_ALL, rounded=False)}) m) w where rn = 1")
 def q_wide_store_rows(spark, d):
     return A.wide_store_rows(A.realtime_ratio(X.ticks(spark, d), X.WINDOW, rounded=False))
+
+
+# ---- K1 feeds and the K3 store as streams -------------------------------------------------
+
+WIDE_SQL = _SQL["wide_store_rows"]
+
+
+@register("wide_store_stream", WIDE_SQL)
+def q_wide_store_stream(spark, d):
+    out = new_path(spark, "wide")
+    stream = RT.realtime_stream(R.stage(spark, _messages(spark, d), "wide"), X.WINDOW, rounded=False)
+    R.finish(RT.start_wide_store_sink(spark, stream, out, new_path(spark, "wide-ckpt")))
+    return RT.read_wide_store(spark, out)
+
+
+def _feed_table(spark, name, start):
+    """Run a feed over everything written so far; its rows as a table."""
+    out = new_path(spark, name)
+    R.finish(start(new_path(spark, f"{name}-ckpt"), lambda rows, batch_id: write_batch(rows, out, batch_id)))
+    return spark.read.parquet(out).drop("batch_id")
+
+
+@register("dashboard_feed_stream",
+          "select " + X.sql_json_object([(c, f'"{c}"', _DASH_KINDS.get(c, "double"))
+                                         for c in FD.DASHBOARD_COLUMNS])
+          + f" as json from ({_sql_dashboard(None, ordered=False)}) f")
+def q_dashboard_feed_stream(spark, d):
+    from ..streaming.feeds import start_dashboard_feed
+    stock, alerts = _run_alert_job(spark, d, fresh=False)
+    return _feed_table(spark, "dashboard", lambda ckpt, deliver: start_dashboard_feed(
+        spark, stock, alerts, ckpt, deliver=deliver))
+
+
+@register("alert_digest_stream", _SQL["alert_digest"].replace(f"where timestampvalue > '{MARK}'", ""))
+def q_alert_digest_stream(spark, d):
+    from ..streaming.feeds import start_alert_digest
+    _, alerts = _run_alert_job(spark, d, fresh=False)
+    return _feed_table(spark, "digest", lambda ckpt, deliver: start_alert_digest(
+        spark, alerts, ckpt, deliver=deliver))

@@ -1,6 +1,6 @@
 """Replay a table as a stream: stage its messages as ordered files in the
-shared folder, run a streaming job over them with ``availableNow`` in bounded
-micro-batches, and read back what the job wrote.
+shared folder, run a streaming job over them with ``availableNow``, and read
+back what the job wrote.
 """
 
 from __future__ import annotations
@@ -11,15 +11,22 @@ from ..session import new_path
 from ..sources.streams import message_file_stream, stage_message_files
 
 SLICES = 10          # micro-batches of a replay
-FILES_PER_SLICE = 2
 
 
 def stage(spark: SparkSession, messages: DataFrame, name: str,
           slices: int = SLICES) -> DataFrame:
-    """Write ``messages`` as ``slices`` ordered ranges; return the stream."""
+    """Write ``messages`` as ``slices`` ordered ranges; return the stream, one
+    range per micro-batch."""
     src = new_path(spark, f"{name}-src")
-    stage_message_files(messages, src, slices, files_per_slice=FILES_PER_SLICE)
-    return message_file_stream(spark, src, max_files_per_trigger=FILES_PER_SLICE)
+    files = stage_message_files(messages, src, slices)
+    return message_file_stream(spark, src, max_files_per_trigger=files)
+
+
+def finish(query) -> None:
+    """Wait for a replay to end; raise what ended it early."""
+    query.awaitTermination()
+    if query.exception():
+        raise RuntimeError(str(query.exception()))
 
 
 def state_partitions(spark: SparkSession) -> int:
@@ -32,7 +39,5 @@ def run_to_table(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame
     from ..streaming.realtime import start_metrics_sink
     out, ckpt = new_path(spark, f"{name}-out"), new_path(spark, f"{name}-ckpt")
     q = start_metrics_sink(stream, out, ckpt, state_partitions=state_partitions(spark))
-    q.awaitTermination()
-    if q.exception():
-        raise RuntimeError(str(q.exception()))
+    finish(q)
     return spark.read.parquet(out)

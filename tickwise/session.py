@@ -58,8 +58,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
     Lineage cuts, stream checkpoints and intermediate tables go there, never to
-    a machine-local temp folder. Only when the setting is absent (unit tests,
-    ad-hoc local runs) a private folder is created and registered.
+    a machine-local temp folder. Only when the setting is absent and the master
+    is ``local`` (unit tests, ad-hoc runs) a private folder is created and
+    registered; on a cluster a missing setting is an error.
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None)
@@ -71,6 +72,8 @@ def shared_dir(spark: SparkSession) -> str:
     if d:
         # set through setCheckpointDir: that path is <dir>/<app uuid>
         return d.rstrip("/")
+    if not sc.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
     d = tempfile.mkdtemp(prefix="tickwise-ckpt-")
     sc.setCheckpointDir(d)
     return d

@@ -5,9 +5,9 @@
 * overwrite of the historical table (``stock_transformation``);
 * K2 first-wins keyed append (``stock``, ``stock_alert``): a key already in
   the table keeps its row; the check reads only the table partitions of the
-  dates present in the batch;
+  dates present in the batch (rows whose time is no date share one partition);
 * K3 last-wins upsert: (table union batch) -> latest row per key, written to a
-  new version folder (a path being read is never overwritten);
+  new version folder, or appended per micro-batch and resolved by the reader;
 * per-micro-batch writes are idempotent: a batch writes its own
   ``batch_id=<id>`` partition with dynamic partition overwrite, so a replayed
   batch replaces its earlier attempt instead of appending twice.
@@ -22,11 +22,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from ..functions.columns import date_part
-
 KEYS = ("symbol", "timestampvalue")
 DATE = "datevalue"
 RUN = "run"          # version column of run-versioned tables (folders run=<id>)
+LISTED_DATES = 64    # date folders read one by one; beyond, the table is read and pruned
+
+# Spark's error conditions for a folder that is not there or holds no table yet.
+MISSING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -49,44 +51,43 @@ def overwrite_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+def read_or_none(spark: SparkSession, path: str, schema=None, **options) -> DataFrame | None:
+    """The table at ``path``, or ``None`` where there is none yet; any other
+    error is raised."""
+    reader = spark.read.options(**options)
     try:
-        return spark.read.parquet(path)
-    except AnalysisException:
+        return (reader.schema(schema) if schema is not None else reader).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in MISSING:
+            raise
         return None
 
 
-def latest_version(stored: DataFrame, before: int | None = None) -> DataFrame:
-    """Rows of the latest ``run`` (below ``before`` if given) of a
-    run-versioned table.  The latest id is a scalar subquery, so only that
-    version's files are read for the data."""
-    runs = stored if before is None else stored.where(F.col(RUN) < int(before))
-    latest = runs.select(F.max(RUN)).scalar()
-    return runs.where(F.col(RUN) == latest).drop(RUN)
+def runs_of(spark: SparkSession, path: str) -> list[int]:
+    """Version ids of a run-versioned table, by its folder names."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{RUN}=*")
+    found = fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(fs_path) or []
+    return sorted(int(f.getPath().getName().split("=")[1]) for f in found)
 
 
-def version_before(spark: SparkSession, path: str, batch_id: int, schema) -> DataFrame:
-    """State written by the previous micro-batch of a run-versioned table.
-    Micro-batch ids are consecutive, so ``run=<batch_id - 1>`` is read
-    directly (no listing of a folder that grows by one version per batch);
-    only if it is missing are the older versions listed and the latest taken.
-    Empty when nothing was written before ``batch_id``."""
-    names = [f.name for f in schema.fields]
-    try:
-        return spark.read.schema(schema).parquet(f"{path.rstrip('/')}/{RUN}={int(batch_id) - 1}")
-    except AnalysisException:
-        pass
-    stored = read_or_none(spark, path)
-    if stored is None or RUN not in stored.columns:
-        return spark.createDataFrame([], schema)
-    return latest_version(stored, batch_id).select(*names)
+def read_run(spark: SparkSession, path: str, run: int, schema=None) -> DataFrame | None:
+    return read_or_none(spark, f"{path.rstrip('/')}/{RUN}={int(run)}", schema)
 
 
-def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
+def drop_runs_before(spark: SparkSession, path: str, run: int) -> None:
+    """Delete the versions below ``run`` of a table this job writes."""
+    for old in runs_of(spark, path):
+        if old < run:
+            p = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{RUN}={old}")
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def version_before(spark: SparkSession, path: str, batch_id: int, schema) -> DataFrame:
+    """State written by the micro-batch before ``batch_id`` of a run-versioned
+    table (empty when there is none)."""
+    earlier = [r for r in runs_of(spark, path) if r < int(batch_id)]
+    found = read_run(spark, path, earlier[-1], schema) if earlier else None
+    return found if found is not None else spark.createDataFrame([], schema)
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
@@ -97,25 +98,35 @@ def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[
        .partitionBy(*partition_by, "batch_id").parquet(path))
 
 
+def date_of(ts: str = "timestampvalue"):
+    """Date of a time text, NULL where it starts with none: the partition of
+    the keyed tables, so junk text never becomes a folder name."""
+    return F.try_to_timestamp(F.substring(F.col(ts), 1, 10), F.lit("yyyy-MM-dd")).cast("date")
+
+
 def batch_bounds(df: DataFrame, ts: str = "timestampvalue"):
     """(dates, min ts, max ts) of one micro-batch, in one small job: the
-    partitions and the time range an earlier row with the same key can be in."""
-    r = df.agg(F.collect_set(date_part(ts)).alias("d"), F.min(ts).alias("lo"),
+    partitions (``None``: no date) and the time range an earlier row with the
+    same key can be in."""
+    day = date_of(ts)
+    r = df.agg(F.collect_set(day).alias("d"), F.max(day.isNull()).alias("n"), F.min(ts).alias("lo"),
                F.max(ts).alias("hi")).first()
-    return sorted(r["d"] or []), r["lo"], r["hi"]
+    return [*sorted(r["d"] or []), *([None] if r["n"] else [])], r["lo"], r["hi"]
 
 
 def read_dates(spark: SparkSession, path: str, schema, dates) -> DataFrame:
-    """Rows of a ``datevalue``-partitioned table in the given dates only: the
-    file listing covers just those date folders (a glob under ``basePath``),
-    not the whole table, which grows with every micro-batch."""
-    if not dates:
-        return spark.createDataFrame([], schema)
-    pattern = f"{path.rstrip('/')}/{DATE}={{{','.join(dates)}}}"
-    try:
-        return spark.read.schema(schema).option("basePath", path).parquet(pattern)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
+    """Rows of a ``datevalue``-partitioned table in the given dates only.  The
+    listing covers just those folders, not the whole table, which grows with
+    every micro-batch."""
+    empty = spark.createDataFrame([], schema)
+    if len(dates) > LISTED_DATES:
+        table = read_or_none(spark, path, schema)
+        return empty if table is None else table
+    for d in dates:
+        folder = "__HIVE_DEFAULT_PARTITION__" if d is None else d.isoformat()
+        part = read_or_none(spark, f"{path.rstrip('/')}/{DATE}={folder}", schema, basePath=path)
+        empty = empty if part is None else empty.unionByName(part)
+    return empty
 
 
 def rows_in_bounds(table: DataFrame, bounds, ts: str = "timestampvalue") -> DataFrame:
@@ -123,9 +134,12 @@ def rows_in_bounds(table: DataFrame, bounds, ts: str = "timestampvalue") -> Data
     pruning on ``datevalue`` plus parquet min/max skipping on ``ts`` (each
     micro-batch's files cover a narrow time range)."""
     dates, lo, hi = bounds
-    if not dates or lo is None:
-        return table.where(F.lit(False))
-    return table.where(F.col(DATE).isin(dates) & F.col(ts).between(lo, hi))
+    days = [d for d in dates if d is not None]
+    inside = F.col(DATE).isin(days) & F.col(ts).between(lo, hi) if days and lo is not None else F.lit(False)
+    if None in dates:
+        other = F.col(ts).isNull() if lo is None else F.col(ts).isNull() | F.col(ts).between(lo, hi)
+        inside = inside | (F.col(DATE).isNull() & other)
+    return table.where(inside)
 
 
 def write_batch_to_table(df: DataFrame, table: str, batch_id: int) -> None:
@@ -144,51 +158,59 @@ def write_batch_to_table(df: DataFrame, table: str, batch_id: int) -> None:
         spark.catalog.dropTempView(view)
 
 
+def keyed_schema(schema: T.StructType) -> T.StructType:
+    """Schema of a keyed table as written by :func:`first_wins_append`."""
+    return T.StructType(list(schema.fields)).add(DATE, T.DateType()).add("batch_id", T.IntegerType())
+
+
 def first_wins_append(batch: DataFrame, path: str, batch_id: int, schema,
-                      keys: Sequence[str] = KEYS, order: str = "tick_id") -> DataFrame:
+                      keys: Sequence[str] = KEYS, order: str = "tick_id") -> None:
     """K2: append the batch's first row per key unless the key is already in
     the table from an earlier batch.  The table is partitioned by
     ``datevalue``; only the batch's date folders are listed and only rows in
-    its time range are read.
-    Returns the rows written."""
+    its time range are read.  The deduplicated batch is computed once."""
     from ..operators.alerts import first_wins
     spark = batch.sparkSession
     b = first_wins(batch, keys, order) if order in batch.columns else batch.dropDuplicates(list(keys))
-    b = b.withColumn(DATE, date_part("timestampvalue"))
-    stored = T.StructType(list(schema.fields)).add(DATE, T.StringType()).add("batch_id", T.IntegerType())
-    bounds = batch_bounds(b)
-    existing = rows_in_bounds(read_dates(spark, path, stored, bounds[0]), bounds)
-    existing = existing.where(F.col("batch_id") < int(batch_id))
-    new = b.join(existing.select(*keys), list(keys), "left_anti")
-    out = new.select(*[f.name for f in schema.fields if f.name not in (DATE, "batch_id")], DATE)
-    write_batch(out, path, batch_id, (DATE,))
-    return out
-
-
-def upsert_last_wins(spark: SparkSession, current_path: str | None, batch: DataFrame,
+    b = b.withColumn(DATE, date_of()).persist()
+    try:
+        bounds = batch_bounds(b)
+        existing = rows_in_bounds(read_dates(spark, path, keyed_schema(schema), bounds[0]), bounds)
+        seen = existing.where(F.col("batch_id") < int(batch_id)).select(*[F.col(k).alias(f"_seen_{k}") for k in keys])
+        same = F.lit(True)
+        for k in keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"_seen_{k}"))
+        new = b.join(seen, same, "left_anti")
+        write_batch(new.select(*[f.name for f in schema.fields if f.name not in (DATE, "batch_id")], DATE),
+                    path, batch_id, (DATE,))
+    finally:
+        b.unpersist()
+
+
+def upsert_last_wins(spark: SparkSession, current: DataFrame | str | None, batch: DataFrame,
                      new_path: str, keys: Sequence[str] = KEYS, seq: str | None = None,
                      mode: str = "errorifexists") -> str:
     """K3: keep the latest row per key of (table union batch) and write it as
-    a new version at ``new_path``; the caller switches readers to it.  Rows of
-    the batch win over table rows; ``seq`` orders rows inside the batch."""
+    a new version at ``new_path``, a folder other than the current one; the
+    caller switches readers to it.  Rows of the batch win over table rows;
+    ``seq`` orders rows inside the batch."""
     b = batch.withColumn("_v", F.lit(1))
-    if seq is None:
-        b = b.withColumn("_s", F.lit(0))
-    else:
-        b = b.withColumn("_s", F.col(seq)).drop(seq)
-    parts = [b]
-    if current_path:
-        cur = spark.read.parquet(current_path).withColumn("_v", F.lit(0)).withColumn("_s", F.lit(0))
-        parts.insert(0, cur.select(*b.columns))
-    allrows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    others = [c for c in allrows.columns if c not in (*keys, "_v", "_s")]
-    latest = (allrows.groupBy(*keys)
-                     .agg(F.max_by(F.struct(*others), F.struct("_v", "_s")).alias("_r"))
-                     .select(*keys, *[f"_r.{c}" for c in others]))
-    latest.write.mode(mode).parquet(new_path)
+    b = b.withColumn("_s", F.lit(0)) if seq is None else b.withColumn("_s", F.col(seq)).drop(seq)
+    if isinstance(current, str):
+        current = spark.read.parquet(current)
+    if current is not None:
+        b = current.withColumn("_v", F.lit(0)).withColumn("_s", F.lit(0)).select(*b.columns).unionByName(b)
+    latest_per_key(b, keys, ("_v", "_s")).write.mode(mode).parquet(new_path)
     return new_path
 
 
+def latest_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The row with the largest ``order`` per key, without the order columns."""
+    others = [c for c in rows.columns if c not in (*keys, *order)]
+    return (rows.groupBy(*keys).agg(F.max_by(F.struct(*others), F.struct(*order)).alias("_r"))
+                .select(*keys, *[f"_r.{c}" for c in others]))
+
+
 def csv_table(df: DataFrame, path: str, files: int | None = None) -> None:
     """CSV sink (header, overwrite), one file per task.  ``files`` merges the
     output into that many files (the source wrote a single file); only for

@@ -8,17 +8,15 @@ every tick emits ``(last ts, last price, last volume, mean price, mean volume)``
 over the last ``min(n, seen)`` ticks, as the source's count window did.
 
 Arrival order: a shuffle does not keep it, so inside a micro-batch the ticks
-of a key are ordered by (timestamp text, tie-breaker) — the offset or tick id;
-across micro-batches the batch order is the arrival order.  A replay whose
-micro-batches are consecutive time ranges therefore equals the batch window
-``operators.windows.moving_avg_rows`` exactly.
-
-Group size: a key's rows in one micro-batch are one pandas frame, so the
-source must bound the batch (``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``,
-see ``tickwise.sources.streams``).  When one key can hold a large share of a
-micro-batch, use the skew-safe variant below (:func:`count_window_microbatch`):
-the same window per micro-batch with a state table instead of the state store,
-hot keys split into time chunks like the batch window.
+of a key are ordered by the message offset (``tick_id``) alone; across
+micro-batches the batch order is the arrival order.  The result therefore does
+not depend on where the micro-batches are cut, whatever the ticks' timestamps.
+
+Group size: a key's rows in one micro-batch are one pandas frame.  When one key
+can hold a large share of a micro-batch, use the skew-safe variant below
+(:func:`count_window_microbatch`): the same window per micro-batch with a state
+table instead of the state store, hot keys split into offset ranges like the
+batch window.
 """
 
 from __future__ import annotations
@@ -90,7 +88,7 @@ def _count_window_fn(n: int, key: str, order: Sequence[str]):
 
 
 def count_window_stream(ticks: DataFrame, n: int, key: str = "symbol",
-                        order: Sequence[str] = ("timestampvalue", "tick_id")) -> DataFrame:
+                        order: Sequence[str] = ("tick_id",)) -> DataFrame:
     """Streaming (or batch) DataFrame of ticks -> ticks with ``priceavg`` and
     ``volumeavg`` over the key's last ``n`` ticks.  Output mode: append."""
     if n < 1:
@@ -128,31 +126,32 @@ def count_window_microbatch(batch: DataFrame, batch_id: int, state_path: str, n:
                             key: str = "symbol") -> DataFrame:
     """W2 for one micro-batch without a per-key task: the batch's ticks are
     put after the key's last ``n-1`` ticks of earlier batches (the state
-    table version written by the previous batch), ordered by (batch id,
-    timestamp, tick id) = arrival order, and run through the hot-key-splitting
-    row window.  The new state version ``run=<batch_id>`` (last ``n-1`` ticks
+    table version written by the previous batch), ordered by (batch id, tick
+    id) = arrival order, and run through the hot-key-splitting row window.  The new state version ``run=<batch_id>`` (last ``n-1`` ticks
     per key, a partial top-k before its shuffle) is written before returning;
-    a replayed batch reads the versions before it and rewrites its own."""
+    a replayed batch reads the version before it and rewrites its own; versions
+    no replay can need any more are deleted."""
     from ..operators.windows import moving_avg_rows
-    from ..sources.sinks import RUN
+    from ..sources.sinks import RUN, drop_runs_before
     spark = batch.sparkSession
     rows = batch.select(key, "timestampvalue", "tick_id", F.col("price").cast("double").alias("price"),
                         F.col("volume").cast("double").alias("volume"),
                         F.lit(int(batch_id)).cast("long").alias(BATCH))
     prev = _latest_state(spark, state_path, batch_id, key, batch.schema[key].dataType)
     both = prev.withColumn(_CTX, F.lit(True)).unionByName(rows.withColumn(_CTX, F.lit(False)))
-    order = (BATCH, "timestampvalue", "tick_id")
+    order = (BATCH, "tick_id")
 
     w_last = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in order])
     state = (both.withColumn("_rd", F.row_number().over(w_last)).where(F.col("_rd") <= max(n - 1, 0))
                  .select(key, *STATE_COLS))
     state.write.mode("overwrite").parquet(f"{state_path.rstrip('/')}/{RUN}={int(batch_id)}")
+    drop_runs_before(spark, state_path, int(batch_id) - 1)      # the last batch may still be replayed
 
     # the window only needs the state of keys present in this batch
-    context = prev.join(rows.select(key).distinct(), key, "left_semi")
+    present = rows.select(F.col(key).alias("_tw_present")).distinct()
+    context = prev.join(present, F.col(key).eqNullSafe(F.col("_tw_present")), "left_semi")
     window_in = context.withColumn(_CTX, F.lit(True)).unionByName(rows.withColumn(_CTX, F.lit(False)))
-    out = moving_avg_rows(window_in, n, key, order=order, outputs=("priceavg", "volumeavg"),
-                          time_col="timestampvalue")
+    out = moving_avg_rows(window_in, n, key, order=order, outputs=("priceavg", "volumeavg"))
     return out.where(~F.col(_CTX)).drop(_CTX, BATCH)
 
 

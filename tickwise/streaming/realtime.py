@@ -12,8 +12,8 @@ count window with keyed state (W2) -> stream metrics (P4/P5) -> clean (P3).
 
 History lookup, two modes as in the source: *snapshot* (J3, the table is read
 once when the job starts and frozen with a reliable checkpoint) or *fresh*
-(J3b, re-read every micro-batch).  Either way it is broadcast only when its
-row count is under a fixed bound, else joined by shuffle.
+(J3b, re-read every micro-batch).  Either way AQE broadcasts it only when its
+measured size is small, else both sides are shuffled.
 """
 
 from __future__ import annotations
@@ -26,7 +26,6 @@ from .. import schemas as S
 from ..functions.columns import TOD_WIDTH
 from ..operators.alerts import STOCK_COLS, alert_rows, hist_lookup_join, realtime_metrics
 from ..operators.parse import drop_invalid, parse_tick_lenient
-from ..plans.broadcast import bounded_broadcast
 from ..sources.sinks import first_wins_append
 from .count_window import count_window_microbatch, count_window_stream
 
@@ -37,23 +36,14 @@ def parsed_ticks(messages: DataFrame) -> DataFrame:
         "offset", "tick_id")
 
 
-def realtime_stream(messages: DataFrame, n: int, rounded: bool = True) -> DataFrame:
-    """Q3: one metric row per valid tick (append mode)."""
-    return realtime_metrics(count_window_stream(parsed_ticks(messages), n), rounded)
+ARRIVAL = ("tick_id",)
+#: For sources without positions (text lines): by time, then a tie-breaker.
+BY_TIME = ("timestampvalue", "tick_id")
 
 
-def dedup_within_watermark(stream: DataFrame, delay: str = "1 hour",
-                           keys=("symbol", "timestampvalue")) -> DataFrame:
-    """K2 inside the stream: the first row per primary key wins among rows
-    whose event time (parsed from the timestamp text) lies within ``delay``
-    of the latest seen; the state store forgets keys behind the watermark.
-    The streaming-native alternative to the exact table check of
-    ``sources.sinks.first_wins_append`` when duplicates arrive close in time."""
-    ev = "_tw_event_time"
-    return (stream.withColumn(ev, F.try_to_timestamp(F.col("timestampvalue")))
-                  .withWatermark(ev, delay)
-                  .dropDuplicatesWithinWatermark(list(keys))
-                  .drop(ev))
+def realtime_stream(messages: DataFrame, n: int, rounded: bool = True, order=ARRIVAL) -> DataFrame:
+    """Q3: one metric row per valid tick (append mode)."""
+    return realtime_metrics(count_window_stream(parsed_ticks(messages), n, order=order), rounded)
 
 
 def _start(writer, spark: SparkSession, trigger: dict | None,
@@ -74,23 +64,22 @@ def start_realtime_alerts(spark: SparkSession, messages: DataFrame, n: int, thre
                           width: int = TOD_WIDTH, rounded: bool = True,
                           trigger: dict | None = None,
                           state_path: str | None = None,
-                          state_partitions: int | None = None) -> StreamingQuery:
+                          state_partitions: int | None = None, order=ARRIVAL) -> StreamingQuery:
     """Start Q3 + Q4 with the two sinks.  ``state_path`` given: the count
     window runs per micro-batch over a state table (skew-safe variant),
-    otherwise in the keyed state store."""
+    otherwise in the keyed state store.  ``order``: of a key's ticks inside a
+    micro-batch (state store only)."""
     if (hist is None) == (hist_path is None):
         raise ValueError("give the history as a DataFrame (snapshot) or a path (fresh)")
     snapshot = None
     if hist is not None:
-        frozen = hist.select("symbol", "timestampvalue", "histratio").checkpoint(eager=True)
-        snapshot, _ = bounded_broadcast(frozen)
+        snapshot = hist.select("symbol", "timestampvalue", "histratio").checkpoint(eager=True)
 
     def history() -> DataFrame:
         if snapshot is not None:
             return snapshot
         from ..plans.jobs import read_history
-        fresh = read_history(spark, hist_path).select("symbol", "timestampvalue", "histratio")
-        return bounded_broadcast(fresh)[0]
+        return read_history(spark, hist_path).select("symbol", "timestampvalue", "histratio")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if state_path is not None:
@@ -109,7 +98,7 @@ def start_realtime_alerts(spark: SparkSession, messages: DataFrame, n: int, thre
             if state_path is not None:
                 ticks.unpersist()
 
-    stream = realtime_stream(messages, n, rounded) if state_path is None else parsed_ticks(messages)
+    stream = realtime_stream(messages, n, rounded, order) if state_path is None else parsed_ticks(messages)
     w = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _start(w, spark, trigger, state_partitions)
 
@@ -126,24 +115,27 @@ def start_metrics_sink(stream: DataFrame, path: str, checkpoint: str,
 
 def start_wide_store_sink(spark: SparkSession, metrics: DataFrame, path: str, checkpoint: str,
                           trigger: dict | None = None) -> StreamingQuery:
-    """The wide-column-store feed (K3): each micro-batch's latest metrics per
-    (symbol, time of day) are merged over the previous version and written as
-    the version ``run=<batch_id>``; readers take the latest run
-    (``plans.jobs.read_history``).  A replayed batch rewrites its own version."""
-    from pyspark.sql import types as T
-    from ..operators.alerts import WIDE_STORE_COLS, wide_store_rows
-    from ..session import new_path
-    from ..sources.sinks import RUN, upsert_last_wins, version_before
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in WIDE_STORE_COLS[:2]]
-                          + [T.StructField(c, T.DoubleType()) for c in WIDE_STORE_COLS[2:]])
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        prev = None
-        if int(batch_id) > 0:
-            prev = new_path(spark, "wide-prev")       # cut the lineage before the merge
-            version_before(spark, path, batch_id, schema).write.parquet(prev)
-        target = f"{path.rstrip('/')}/{RUN}={int(batch_id)}"
-        upsert_last_wins(spark, prev, wide_store_rows(batch), target, mode="overwrite")
-
-    w = metrics.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return _start(w, spark, trigger)
+    """The wide-column-store feed (K3): each micro-batch appends its latest
+    metrics per (symbol, time of day) as ``batch_id=<id>`` (a replay replaces
+    them), so a micro-batch writes no more than it brings;
+    :func:`read_wide_store` takes the latest row per key."""
+    from ..operators.alerts import wide_store_rows
+    from ..sources.sinks import write_batch
+    w = metrics.writeStream.foreachBatch(
+        lambda batch, batch_id: write_batch(wide_store_rows(batch), path, batch_id))
+    return _start(w.option("checkpointLocation", checkpoint), spark, trigger)
+
+
+def read_wide_store(spark: SparkSession, path: str) -> DataFrame:
+    """The wide store's current rows: the last micro-batch's per key."""
+    from ..operators.alerts import WIDE_STORE_COLS
+    from ..sources.sinks import latest_per_key
+    return latest_per_key(spark.read.parquet(path), WIDE_STORE_COLS[:2], ("batch_id",)).select(*WIDE_STORE_COLS)
+
+
+def compact_wide_store(spark: SparkSession, path: str, new_path: str) -> str:
+    """Rewrite the store at ``new_path`` with one row per key (``batch_id`` -1,
+    so that later micro-batches still win)."""
+    rows = read_wide_store(spark, path)
+    rows.withColumn("batch_id", F.lit(-1)).write.partitionBy("batch_id").parquet(new_path)
+    return new_path
