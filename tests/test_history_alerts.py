@@ -119,3 +119,15 @@ def test_quotes_kept_when_not_cleaned(spark):
     w = moving_avg_rows(t, 3, outputs=("priceavg", "volumeavg"))
     assert realtime_metrics(w, clean=False).first().symbol == '"A"'
     assert realtime_metrics(w).first().symbol == "A"
+
+
+def test_latest_text_of_any_form(spark):
+    """The number path gives the text maximum, also among texts of other forms."""
+    from tickwise.operators.history import latest_by_tod
+    texts = ["2024-01-01 09:00:00", "2024-01-02 09:00:00", "2024-01-02 09:00:00.5", "2024-01-02 09:00", "x", None, "9999-99-99 09:00:00"]
+    rows = [(s, t, 0.0, 0.0, 0.0, 0.0, float(i)) for i, t in enumerate(texts) for s in ("A", "B") if (s, i) != ("B", 6)]
+    trans = spark.createDataFrame(rows, TRANS_DDL)
+    got = sorted(map(tuple, latest_by_tod(trans, averaged=True).collect()), key=repr)
+    want = sorted(map(tuple, trans.groupBy("symbol", F.substring("timestampvalue", 12, 8)).agg(
+        F.avg("ratio"), F.max("timestampvalue")).collect()), key=repr)
+    assert got == want

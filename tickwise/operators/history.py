@@ -46,10 +46,10 @@ def ratio_query(ticks: DataFrame, done: DataFrame | None, n: int,
     symbol get short windows).  ``carry_history=True`` evaluates the window
     over all ticks and keeps the delta rows, so runs chain seamlessly.
 
-    The delta (J1, a join against the whole history) is read three times by
+    The delta (J1, a join against the whole history) is read several times by
     the window (hot-key count, chunk tails, frames); ``materialize=True``
-    computes it once and cuts the lineage with a reliable ``checkpoint()``
-    in ``spark.checkpoint.dir`` (the delta holds only the new ticks).
+    computes it once into a parquet folder of the shared directory (the delta
+    holds only the new ticks), from which each reader takes its columns.
     """
     if done is None:
         windowed = moving_avg_rows(ticks, n)
@@ -58,9 +58,10 @@ def ratio_query(ticks: DataFrame, done: DataFrame | None, n: int,
     else:
         delta = delta_anti_join(ticks, done, by_symbol)
         if materialize:
-            from ..session import shared_dir
-            shared_dir(delta.sparkSession)            # a checkpoint folder must be set
-            delta = delta.checkpoint(eager=True)
+            from ..session import new_path
+            staged = new_path(delta.sparkSession, "delta")
+            delta.write.parquet(staged)
+            delta = delta.sparkSession.read.schema(delta.schema).parquet(staged)
         windowed = moving_avg_rows(delta, n)
     out = metrics_batch(windowed)
     return out.select("symbol", TS, "avgprice", "pricechange",
@@ -73,10 +74,30 @@ def hist_avg_ratio(trans: DataFrame, width: int = TOD_WIDTH) -> DataFrame:
                  .agg(F.avg("ratio").alias("historicalratio")))
 
 
+# The usual timestamp text, and how its 14 digits become text again.
+FULL_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
+DIGITS, AS_TEXT = r"^(....)(..)(..)(..)(..)(..)$", "$1-$2-$3 $4:$5:$6"
+
+
+def latest_by_tod(trans: DataFrame, width: int = TOD_WIDTH, averaged: bool = False) -> DataFrame:
+    """Latest timestamp (``max_ts``) and, if ``averaged``, the average ratio per
+    (symbol, time of day).  The maximum of a text would be a sort-based
+    aggregate over all rows; texts of the usual form are aggregated as numbers
+    (same order, fixed width, hash aggregate) and turned back into text, any
+    other text is a group of its own first.  Only the few group rows meet in
+    the final text maximum."""
+    usual = F.col(TS).rlike(FULL_TEXT)
+    number = F.when(usual, F.translate(TS, "-: ", "").cast("long"))
+    parts = trans.groupBy("symbol", tod(TS, width).alias("timehhmmss"), F.when(~usual, F.col(TS)).alias("_text")).agg(
+        F.max(number).alias("_number"), F.sum("ratio").alias("_sum"), F.count("ratio").alias("_n"))
+    text = F.regexp_replace(F.lpad(F.col("_number").cast("string"), 14, "0"), DIGITS, AS_TEXT)
+    mean = [F.try_divide(F.sum("_sum"), F.sum("_n")).alias("historicalratio")] if averaged else []
+    return parts.groupBy("symbol", "timehhmmss").agg(*mean, F.max(F.coalesce("_text", text)).alias("max_ts"))
+
+
 def max_ts_by_tod(trans: DataFrame, width: int = TOD_WIDTH) -> DataFrame:
     """A2: latest timestamp per (symbol, time of day)."""
-    return (trans.groupBy("symbol", tod(TS, width).alias("timehhmmss"))
-                 .agg(F.max(TS).alias("max_ts")))
+    return latest_by_tod(trans, width)
 
 
 def semi_latest(trans: DataFrame, latest: DataFrame, ts_col: str = "max_ts") -> DataFrame:
@@ -97,8 +118,7 @@ def hist_ratio_query(trans: DataFrame, width: int = TOD_WIDTH, rounded: bool = T
     A1 and A2 share one aggregation (one scan and one shuffle of the table);
     the second scan feeds the semi join.
     """
-    groups = (trans.groupBy("symbol", tod(TS, width).alias("timehhmmss"))
-                   .agg(F.avg("ratio").alias("historicalratio"), F.max(TS).alias("max_ts")))
+    groups = latest_by_tod(trans, width, averaged=True)
     latest_rows = semi_latest(trans, groups)
     j = hist_join_latest(groups.drop("max_ts"), latest_rows, width)
     r = round5 if rounded else (lambda c: F.col(c))

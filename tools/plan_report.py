@@ -15,8 +15,8 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-STREAMING = {"count_window_stream", "count_window_stream_split", "realtime_ratio_stream",
-             "ratio_alerts_stream", "stock_rows_stream"}
+# queries that run streaming or multi-step jobs: their plans are per micro-batch or per step
+JOBS = ("_stream", "stream_split", "out_of_order", "batch_job", "keyed_append", "ingest")
 
 
 def summarize(plan: str) -> dict:
@@ -36,27 +36,30 @@ def summarize(plan: str) -> dict:
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    import __spark_entry__ as E
+    from tickwise.plans import registry
     from tickwise.session import get_session
     spark = get_session("local[8]", 8)
     print(f"# Executed plans of the registered batch queries ({os.path.basename(sf_dir)}, local[8], "
           "8 shuffle partitions, AQE on)\n")
-    print("Generated by `tools/plan_report.py`. Streaming queries are not listed (their plans are "
-          "per micro-batch). `shuffles` counts exchanges in the final adaptive plan; the fixture "
-          "queries derive the `stock`/`stock_alert`/history tables from `events` on the fly, so "
-          "they repeat the upstream windows that a stored table would save. `ratio_query` reads its "
-          "checkpointed delta (the anti join against the history runs once, in the checkpoint job, "
-          "as the `delta_anti_join` row shows), hence no scan in its own plan.\n")
-    cols = ["shuffles", "scans", "broadcasts", "hash_aggs", "sort_aggs", "windows",
+    print("Generated by `tools/plan_report.py`. Queries that run streaming or multi-step jobs are not "
+          "listed. `jobs` counts the Spark jobs run while the query is built (hot-symbol counts of the row "
+          "window, the staged delta, stored alert tables); `shuffles` counts exchanges in the final adaptive "
+          "plan. The fixture queries derive the `stock`/`stock_alert`/history tables from `events` on the "
+          "fly, so they repeat the upstream windows that a stored table would save.\n")
+    cols = ["jobs", "shuffles", "scans", "broadcasts", "hash_aggs", "sort_aggs", "windows",
             "group_limits", "python", "pushed"]
     print("| query | " + " | ".join(cols) + " |")
     print("|---|" + "---|" * len(cols))
-    for name, fn in E.queries().items():
-        if name in STREAMING:
+    sc = spark.sparkContext
+    for name, fn in registry.queries().items():
+        if any(j in name for j in JOBS):
             continue
+        sc.setJobGroup(name, name)
         df = fn(spark, sf_dir)
+        jobs = len(sc.statusTracker().getJobIdsForGroup(name))
+        sc.setJobGroup("run", "run")
         df.write.format("noop").mode("overwrite").save()
-        s = summarize(df._jdf.queryExecution().executedPlan().toString())
+        s = summarize(df._jdf.queryExecution().executedPlan().toString()) | {"jobs": jobs}
         print(f"| {name} | " + " | ".join(str(s[c]) for c in cols) + " |", flush=True)
 
 
