@@ -86,3 +86,14 @@ def test_strict_parse_ok_and_fails(spark):
         df = spark.createDataFrame([bad], "value string, offset long")
         with pytest.raises(Exception):
             parse_tick_strict(df).collect()
+
+
+def test_ieee_division(spark):
+    from tickwise.functions.columns import ieee_divide
+    nan, inf = math.nan, math.inf
+    cases = [(1.0, 0.0, inf), (1.0, -0.0, -inf), (-1.0, 0.0, -inf), (-1.0, -0.0, inf), (0.0, 0.0, nan), (nan, 0.0, nan),
+             (inf, 0.0, inf), (6.0, -2.0, -3.0), (1.0, inf, 0.0), (None, 1.0, None), (1.0, None, None)]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b, _) in enumerate(cases)], "i int, a double, b double")
+    got = dict(df.select("i", ieee_divide("a", "b")).collect())
+    for i, (_, _, want) in enumerate(cases):
+        assert got[i] == want or (want is not None and math.isnan(want) and math.isnan(got[i])), cases[i]

@@ -65,10 +65,11 @@ def ratio_sql(pc, vc) -> Column:
 def ieee_divide(a, b) -> Column:
     """``a / b`` with IEEE-754 double semantics, ANSI-safe."""
     a, b = col(a).cast("double"), col(b).cast("double")
+    negative = b.cast("string") == "-0.0"            # the sign of a zero divisor counts
     return (F.when(a.isNull() | b.isNull(), F.lit(None).cast("double"))
             .when(b != 0, a / b)
             .when(F.isnan(a) | (a == 0), F.lit(NAN))
-            .when(a > 0, F.lit(INF))
+            .when((a > 0) != negative, F.lit(INF))
             .otherwise(F.lit(-INF)))
 
 
