@@ -84,11 +84,12 @@ def hot_keys(df: DataFrame, key: str, time_col: str | None, tie: str | None, tar
     the tie-breaker ranges inside it."""
     from ..session import new_path
     spark = df.sparkSession
-    path = new_path(spark, "hot-counts")
-    df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > target).write.parquet(path)
-    counts = spark.read.parquet(path)
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > target)
     if counts.isEmpty():
         return None
+    path = new_path(spark, "hot-counts")
+    counts.write.parquet(path)
+    counts = spark.read.schema(counts.schema).parquet(path)
     hot = counts.select(F.col(key).alias(_HOT), "n")
     rows = df.join(small(hot.select(_HOT)), F.col(key).eqNullSafe(F.col(_HOT)), "left_semi")
     ids = F.col(tie).cast("long") if tie else F.lit(None).cast("long")
@@ -112,8 +113,9 @@ def hot_keys(df: DataFrame, key: str, time_col: str | None, tie: str | None, tar
             F.coalesce(F.min(F.when(F.col("n") <= target, F.col("w"))), F.lit(WHOLE)).alias(_WIDTH),
             F.coalesce(F.min("step"), F.lit(float(target))).alias(_STEP))
     path = new_path(spark, "hot-keys")
-    sized.select(_HOT, F.col(_WIDTH).cast("int"), F.col(_STEP).cast("long")).write.parquet(path)
-    return spark.read.parquet(path)
+    sized = sized.select(_HOT, F.col(_WIDTH).cast("int"), F.col(_STEP).cast("long"))
+    sized.write.parquet(path)
+    return spark.read.schema(sized.schema).parquet(path)
 
 
 def small(hot: DataFrame) -> DataFrame:

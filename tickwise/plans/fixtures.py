@@ -81,8 +81,9 @@ def live_alerts(spark: SparkSession, sf_dir: str, width: int = TOD_WIDTH_TEST) -
 def stored_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same as a stored table, as the pollers read it."""
     path = new_path(spark, "alerts")
-    live_alerts(spark, sf_dir).write.parquet(path)
-    return spark.read.parquet(path)
+    alerts = live_alerts(spark, sf_dir)
+    alerts.write.parquet(path)
+    return spark.read.schema(alerts.schema).parquet(path)
 
 
 def flawed_messages(ticks: DataFrame) -> DataFrame:
