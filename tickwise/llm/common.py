@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import new_path
+from ..session import new_path, ship_package
 
 # ASCII capitals and their small letters (the contracts lower-case only A-Z).
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -26,6 +26,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def on_workers(df: DataFrame) -> DataFrame:
+    """``df``, once the Python workers can import this package."""
+    ship_package(df.sparkSession)
+    return df
+
+
 def fold(doc_id: Column, modulus: int) -> Column:
     """crc32(doc_id as text) mod ``modulus``; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % F.lit(modulus)

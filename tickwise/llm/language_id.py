@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold
+from .common import fold, on_workers
 
 FOLDS = 4
 HELD_OUT = 2
@@ -37,6 +37,7 @@ STEPS = 8                 # EM steps for each language set
 SMOOTHING = 0.5
 BATCH_BYTES = 1 << 20     # text handled together (bounds memory)
 MAX_SET = 4               # languages a document is tested for together
+MIN_SHARE = 1 / 3         # a document of which no language has this share is kept by no pipeline
 UNKNOWN = "und"
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -102,7 +103,7 @@ def _count(batches):
 def fit(docs: DataFrame):
     """(languages, log-probabilities [bucket, language])."""
     import numpy as np
-    train = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()
+    train = on_workers(docs).where(F.col("lang").isNotNull() & F.col("text").isNotNull()
                        & (fold(F.col("doc_id"), FOLDS) != HELD_OUT)).select("lang", "text")
     rows = (train.mapInArrow(_count, "lang string, bucket int, n long")
             .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas())   # languages x BUCKETS rows
@@ -198,7 +199,7 @@ def language_id(docs: DataFrame) -> DataFrame:
                     "found.lang_pred", "found.score"))
 
 
-def in_known_language(docs: DataFrame, min_share: float = 0.5) -> DataFrame:
+def in_known_language(docs: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
     """The documents of which at least ``min_share`` is in one learned
     language, unchanged; ``und`` and mixtures without such a share go."""
     return (language_id(docs).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_share))

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import on_workers, stored
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -62,7 +62,7 @@ def fingerprints(docs: DataFrame, words_per: int = SHINGLE_WORDS) -> DataFrame:
             fps = [fingerprint(t.as_py() or b"", words_per) for t in texts]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+    return on_workers(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         compute, "doc_id long, fp long")
 
 
@@ -141,7 +141,7 @@ def one_of_each_group(docs: DataFrame, words_per: int = SHINGLE_WORDS,
         for batch in column:
             yield pd.Series([fingerprint((t or "").encode(), words_per) for t in batch], dtype="int64")
 
-    rows = stored(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row"),
+    rows = stored(on_workers(docs).select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row"),
                               compute(F.col("text").cast("string")).alias("fp")), "op7-rows")
     prints = rows.select("row", F.col("doc.doc_id").cast("long").alias("id"), "fp")
     labels = component_labels(links(prints.select("fp").distinct(), max_bits))

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import on_workers, stored
 
 SCALE = 64
 TOP = 20
@@ -154,7 +154,7 @@ INDEX = "dims int, block long, ids binary, lowest long, bits int, slices binary"
 
 def bit_sliced_index(vectors: DataFrame) -> DataFrame:
     """The stored index: a row per block of about ``BLOCK_ROWS`` vectors."""
-    blocks = -(-vectors.count() // BLOCK_ROWS) or 1
+    blocks = -(-on_workers(vectors).count() // BLOCK_ROWS) or 1
     dealt = vectors.withColumn("block", F.pmod(F.xxhash64("vec_id", "q"), F.lit(blocks)))
     return stored(dealt.groupBy("dims", "block").applyInArrow(_build, INDEX), "op3-index")
 
