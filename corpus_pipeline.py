@@ -30,7 +30,7 @@ ORACLE_SQL = None
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which at least half is in one learned language."""
+    """Documents of which at least a third is in one learned language."""
     ship_package(spark)
     return in_known_language(docs)
 
