@@ -30,7 +30,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, stored
+from .common import fold, on_workers, stored
 
 FOLDS = 5
 HELD_OUT = 0
@@ -126,7 +126,8 @@ def _model_terms(sample: DataFrame, n0: int, n1: int) -> list[int]:
     apart = F.col("n1") / F.lit(float(n1)) - F.col("n0") / F.lit(float(n0))
     chi2 = apart * apart / (share * (1 - share) + 1e-9) * F.lit(n0 * n1 / (n0 + n1))
     best = both.withColumn("chi2", chi2).where(F.col("chi2") >= MIN_CHI2).orderBy(F.desc("chi2"), "term").limit(MODEL_TERMS)
-    return [r["term"] for r in best.select("term").collect()]
+    # stored first: the merge of the partitions' best is a task's work, not the driver's
+    return [r["term"] for r in stored(best, "op8-terms-chosen").orderBy(F.desc("chi2"), "term").select("term").collect()]
 
 
 def raw_score(ids, bias, weight, vector):
@@ -158,21 +159,27 @@ def _epoch(ids_of, labels, model, seed):
     return {"bias": bias, "w": w, "v": v, "gb": gb, "gw": gw, "gv": gv}
 
 
-def _pack(m):
+FIELDS = ["w", "gw", *[f"v{i}" for i in range(RANK)], *[f"g{i}" for i in range(RANK)]]
+
+
+def _table(m):
+    """A model as a matrix: a row per term, with the bias in a last row."""
     import numpy as np
-    return np.concatenate([np.array([m["bias"], m["gb"]]), m["w"], m["gw"], m["v"].ravel(), m["gv"].ravel()])
+    terms = np.column_stack((m["w"], m["gw"], m["v"], m["gv"]))
+    bias = np.zeros((1, len(FIELDS)))
+    bias[0, :2] = m["bias"], m["gb"]
+    return np.concatenate((terms, bias))
 
 
-def _unpack(a, n):
-    k = RANK * n
-    return {"bias": float(a[0]), "gb": float(a[1]), "w": a[2:2 + n], "gw": a[2 + n:2 + 2 * n],
-            "v": a[2 + 2 * n:2 + 2 * n + k].reshape(n, RANK), "gv": a[2 + 2 * n + k:].reshape(n, RANK)}
+def _model(t):
+    return {"bias": float(t[-1, 0]), "gb": float(t[-1, 1]), "w": t[:-1, 0], "gw": t[:-1, 1],
+            "v": t[:-1, 2:2 + RANK], "gv": t[:-1, 2 + RANK:]}
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> dict:
     """The model: ``terms`` (hash -> number), bias, weights and vectors."""
     import numpy as np
-    sample = stored(_sample(docs, labels), "op8-sample")
+    sample = stored(_sample(on_workers(docs), labels), "op8-sample")
     n = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     n0, n1 = n.get(0, 0), n.get(1, 0)
     prior = float(np.log((n1 + 1) / (n0 + 1)))
@@ -194,8 +201,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
 
     rows = stored(sample.mapInArrow(number, "label int, ids array<int>"), "op8-terms")
     rows = rows.repartition(-(-(n0 + n1) // PARTITION_ROWS), F.xxhash64("ids", "label"))
+    out = "id int, n double, " + ", ".join(f"{c} double" for c in FIELDS)
+    mean = [(F.sum(F.col(c) * F.col("n")) / F.sum("n")).alias(c) for c in FIELDS]
     for turn in range(ROUNDS):
-        shared = docs.sparkSession.sparkContext.broadcast(_pack(model))
+        shared = docs.sparkSession.sparkContext.broadcast(_table(model))
 
         def learn(batches, shared=shared, turn=turn):
             import numpy as np
@@ -205,12 +214,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
                 labels += b.column(0).to_pylist()
                 ids += [np.asarray(x, np.int64) for x in b.column(1).to_pylist()]
             if labels:
-                m = _epoch(ids, labels, _unpack(shared.value, k), turn)
-                yield pa.RecordBatch.from_pydict({"n": [len(labels)], "model": [_pack(m).tobytes()]})
-
-        parts = rows.mapInArrow(learn, "n long, model binary").collect()     # one model a partition
-        total = sum(p["n"] for p in parts)
-        model = _unpack(sum(np.frombuffer(p["model"]) * (p["n"] / total) for p in parts), k)
+                t = _table(_epoch(ids, labels, _model(shared.value), turn))
+                columns = [np.arange(len(t), dtype=np.int32), np.full(len(t), float(len(labels))), *t.T]
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns],
+                                                 names=["id", "n", *FIELDS])
+
+        # the partitions' models are averaged by Spark: one model reaches the driver
+        average = rows.mapInArrow(learn, out).groupBy("id").agg(*mean).toPandas().sort_values("id")
+        model = _model(average[FIELDS].to_numpy(np.float64))
         shared.unpersist()
     return model | {"terms": known}
 
