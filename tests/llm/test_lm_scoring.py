@@ -35,7 +35,7 @@ def rounded(df):
 
 def test_base_and_counts_match_brute_force(spark, monkeypatch):
     rows = awkward_rows()
-    for lookup, head in ((262_144, 32_768), (12, 5)):                 # with rare words joined too
+    for lookup, head in ((131_072, 32_768), (12, 5)):                 # with rare words joined too
         monkeypatch.setattr(op, "LOOKUP_WORDS", lookup)
         monkeypatch.setattr(op, "HEAD_WORDS", head)
         got = op.lm_scores(documents(spark, rows))

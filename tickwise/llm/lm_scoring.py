@@ -18,8 +18,8 @@ the start values only, then ``PASSES`` passes run over all training documents.
 The score is the exact log10 likelihood by the scaled forward recursion over
 the whole text.
 
-Counts of the ``LOOKUP_WORDS`` most frequent words travel with the encoder;
-counts of rarer words are joined by word, where no word is frequent.
+Counts of the most frequent words (at most ``LOOKUP_WORDS``) travel with the
+encoder; counts of rarer words are joined by word, where no word is frequent.
 
 Defined results: null text counts as empty (one token, the end); a null doc_id
 is in the fold of an empty id; repeated rows are scored, and trained on, like
@@ -35,12 +35,12 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, stored
+from .common import fold, on_workers, stored
 
 FOLDS = 7
 HELD_OUT = 2
 HEAD_WORDS = 32_768
-LOOKUP_WORDS = 262_144
+LOOKUP_WORDS = 131_072
 CLASSES = 1_024
 STATES = 16               # the last one emits the end, and only that
 PASSES = 3
@@ -83,10 +83,25 @@ def _count_words(batches):
 
 def word_counts(train: DataFrame) -> DataFrame:
     """(word, c) over all training texts; the end counts as the empty word."""
-    return (train.select(F.col("text").cast("string")).mapInArrow(_count_words, "word binary, n long")
+    return (on_workers(train).select(F.col("text").cast("string")).mapInArrow(_count_words, "word binary, n long")
             .groupBy("word").agg(F.sum("n").alias("c")))
 
 
+def _frequent(words: DataFrame, most: int) -> DataFrame:
+    """The words above a count that at most ``most`` words reach.  The count is
+    found in steps of about one per cent, from a small histogram, so that no
+    partition's candidates meet on the driver."""
+    step = F.floor(F.log2(F.col("c").cast("double")) * 64)
+    sizes = words.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect()    # at most 64 * 63 rows
+    least, total = 1 << 20, 0
+    for r in sorted(sizes, key=lambda r: -r["step"]):
+        total += r["n"]
+        if total > most:
+            break
+        least = r["step"]
+    return words.where(step >= least)
+
+
 class Vocabulary:
     """What the encoder needs: bounded by LOOKUP_WORDS and CLASSES."""
 
@@ -95,12 +110,13 @@ class Vocabulary:
         total = vocab.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
         self.n, self.v = total["n"] or 0, total["v"]
         words = vocab.where(F.length("word") > 0)
-        top = words.orderBy(F.desc("c"), "word").limit(LOOKUP_WORDS).collect()
-        self.index = {bytes(r["word"]): i for i, r in enumerate(top)}
-        counts = np.array([r["c"] for r in top], np.int64)
+        top = _frequent(words, LOOKUP_WORDS).select("word", "c").toArrow().sort_by(
+            [("c", "descending"), ("word", "ascending")])
+        self.index = {w: i for i, w in enumerate(top["word"].to_pylist())}
+        counts = top["c"].to_numpy().astype(np.int64)
         tail = words.groupBy(F.pmod(F.crc32(F.substring("word", -3, 3)), F.lit(CLASSES)).alias("k")).agg(
             F.sum("c").alias("n"), F.count("*").alias("v")).collect()
-        self.head = min(HEAD_WORDS, len(top))
+        self.head = min(HEAD_WORDS, len(counts))
         class_n, class_v = np.zeros(CLASSES), np.zeros(CLASSES)
         for r in tail:
             class_n[r["k"]], class_v[r["k"]] = r["n"], r["v"]
@@ -108,7 +124,8 @@ class Vocabulary:
         np.subtract.at(class_n, klass[:self.head], counts[:self.head])
         np.subtract.at(class_v, klass[:self.head], 1)
         self.end_id = self.head + CLASSES
-        self.ids = np.where(np.arange(len(top)) < self.head, np.arange(len(top)), self.head + klass).astype(np.int32)
+        rank = np.arange(len(counts))
+        self.ids = np.where(rank < self.head, rank, self.head + klass).astype(np.int32)
         self.log_count = np.log10(counts + 1.0)
         ends = vocab.where(F.length("word") == 0).first()
         self.ends = ends["c"] if ends else 0
