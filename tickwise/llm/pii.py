@@ -67,10 +67,10 @@ def _base(text: Column) -> dict[str, Column]:
         return F.length(d).between(*CARD_DIGITS) & luhn(d)
 
     return {
-        "email": matches(text, EMAIL),
-        "ip": F.filter(matches(text, IP), lambda s: s["value"].rlike(IP_PARTS)),
+        "email": matches(text, EMAIL, "@"),
+        "ip": F.filter(matches(text, IP, "."), lambda s: s["value"].rlike(IP_PARTS)),
         "card": F.filter(matches(text, CARD), card),
-        "phone": F.filter(matches(text, PHONE), lambda s: F.length(_digits(s["value"])).between(*PHONE_DIGITS)),
+        "phone": F.filter(matches(text, PHONE, "+"), lambda s: F.length(_digits(s["value"])).between(*PHONE_DIGITS)),
     }
 
 

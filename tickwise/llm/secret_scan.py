@@ -83,7 +83,7 @@ def secret_scan(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.struct("*").alias("doc"))
     base = rows.select(
         "doc", F.filter(matches(text, ASSIGN), lambda s: s["value"].rlike(ASSIGN_VALUE)).alias("assign"),
-        matches(text, ACCESS).alias("access"), matches(text, HEX).alias("hex"),
+        matches(text, ACCESS, "AKIA").alias("access"), matches(text, HEX).alias("hex"),
         matches(text, CANDIDATE).alias("candidates"))
     free = clear_of(F.col("candidates"), F.concat("assign", "access", "hex"))
     return (base.select("doc", "assign", "access", "hex", free.alias("free"))

@@ -15,10 +15,12 @@ MARK = "array<struct<start:int,rank:int,end:int,kind:string>>"
 CONTEXT = 64              # characters kept on either side of a match, for its context words
 
 
-def matches(text: Column, pattern: str) -> Column:
+def matches(text: Column, pattern: str, holds: str = "") -> Column:
     """Leftmost non-overlapping matches, in order: start and end in code
     points, the match, and what stands around it (between it and the next
-    match on either side, at most ``CONTEXT`` characters)."""
+    match on either side, at most ``CONTEXT`` characters).  Texts without any
+    match (at once those without ``holds``, a string every match holds) are not
+    cut up."""
     def walk(parts: Column, found: Column) -> Column:
         first = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
 
@@ -33,11 +35,12 @@ def matches(text: Column, pattern: str) -> Column:
 
         return F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), first, step, lambda acc: acc["out"])
 
+    empty = F.array().cast(f"array<{SPAN}>")
     both = F.array(F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"),
                             F.split(text, pattern, -1).alias("parts")))
     # bound to a variable, so that both lists are made once a row
-    return F.transform(both, lambda x: F.when(F.size(x["found"]) > 0, walk(x["parts"], x["found"]))
-                       .otherwise(F.array().cast(f"array<{SPAN}>")))[0]
+    cut = F.transform(both, lambda x: F.when(F.size(x["found"]) > 0, walk(x["parts"], x["found"])).otherwise(empty))[0]
+    return F.when(text.contains(holds) & text.rlike(pattern), cut).otherwise(empty)
 
 
 def marks(spans: Column, kind: str, rank: int) -> Column:
