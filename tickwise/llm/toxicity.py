@@ -200,7 +200,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
             yield pa.RecordBatch.from_arrays([b.column(0), ids], names=["label", "ids"])
 
     rows = stored(sample.mapInArrow(number, "label int, ids array<int>"), "op8-terms")
-    rows = rows.repartition(-(-(n0 + n1) // PARTITION_ROWS), F.xxhash64("ids", "label"))
+    rows = rows.coalesce(-(-(n0 + n1) // PARTITION_ROWS))      # bounded by the sample; no shuffle
     out = "id int, n double, " + ", ".join(f"{c} double" for c in FIELDS)
     mean = [(F.sum(F.col(c) * F.col("n")) / F.sum("n")).alias(c) for c in FIELDS]
     for turn in range(ROUNDS):
