@@ -25,7 +25,7 @@ import zlib
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import on_workers, stored
 
 CAPACITY = 4096
 END_ID = 1
@@ -45,16 +45,17 @@ def default_tokenizer() -> str:
 class WordEncoder:
     """Ids of a text as little-endian uint32 bytes.  The tokenizer never joins
     characters across a space or line feed, so each space-separated part is
-    encoded once and remembered."""
+    encoded once and remembered; unknown parts are encoded many at a time and
+    told apart by the places of their tokens."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.seen: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
 
     def __call__(self, text: str) -> bytes:
-        import numpy as np
         words = text.replace("\n", " ").split(" ")
         seen = self.seen
         try:
@@ -62,15 +63,27 @@ class WordEncoder:
         except KeyError:
             pass
         if len(seen) > CACHE_WORDS:
-            seen.clear()
-            seen[""] = b""
-        new = list(set(words).difference(seen))
-        for i in range(0, len(new), 4096):
-            part = new[i:i + 4096]
-            for w, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                seen[w] = np.asarray(e.ids, "<u4").tobytes()
+            self.older, self.seen = seen, {"": b""}
+            seen = self.seen
+        new = []
+        for w in set(words).difference(seen):
+            if w in self.older:
+                seen[w] = self.older[w]
+            else:
+                new.append(w)
+        for i in range(0, len(new), 1000):
+            self._learn(new[i:i + 1000])
         return b"".join([seen[w] for w in words])
 
+    def _learn(self, words: list[str]) -> None:
+        import numpy as np
+        e = self.tok.encode(" ".join(words), add_special_tokens=False)
+        begins = np.concatenate(([0], np.cumsum([len(w) + 1 for w in words])))
+        word_of = np.searchsorted(begins, [o[0] for o in e.offsets], side="right") - 1
+        ends = (4 * np.searchsorted(word_of, np.arange(len(words) + 1))).tolist()
+        ids = np.asarray(e.ids, "<u4").tobytes()
+        self.seen.update((w, ids[a:b]) for w, a, b in zip(words, ends, ends[1:]))
+
 
 _ENCODERS: dict[str, WordEncoder] = {}
 
@@ -102,7 +115,7 @@ def token_pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int =
             names = ["doc_id", "piece", "start", "length", "ids_crc32"]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=names)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, PIECES)
+    return on_workers(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, PIECES)
 
 
 class _Gaps:
