@@ -41,6 +41,18 @@ def test_learns_a_pair_that_is_harmful_only_together(spark):
     assert sum(got[i] == t for i, t in held) >= 0.95 * len(held)
 
 
+def test_a_bound_sample_keeps_the_balance_of_all_labels(spark, monkeypatch):
+    rows = [(i, "same words", "en", "s") for i in range(1000)]
+    marks = [(i, int(i % 10 == 0)) for i in range(1000)]
+    docs = documents(spark, rows)
+    share = np.mean([t for i, t in marks if zlib.crc32(str(i).encode()) % 5])
+    for most in (12_000, 200, 40):               # no label, the clean one, both are cut
+        monkeypatch.setattr(op, "TRAIN_ROWS", most)
+        got = op.toxicity_scores(docs, labels(spark, marks)).collect()
+        assert {r.predicted for r in got} == {0}
+        assert abs(got[0].score - share) < 0.05, most
+
+
 def test_factorization_adds_the_products_of_all_pairs():
     rng = np.random.default_rng(1)
     w, v = rng.random(6), rng.random((6, op.RANK))

@@ -12,8 +12,11 @@ The classifier is fitted on a bounded sample of the labelled training rows
 Spark, those that depend on the label (at most ``MODEL_TERMS``) are the model, and
 ``ROUNDS`` rounds of AdaGrad run on the sample's partitions in parallel, each
 from the average of the last round's models.  The model (terms x (1 + RANK)
-numbers) is the only thing that meets on the driver.  Every document is scored
-whole, in one pass without a shuffle.
+numbers) is the only thing that meets on the driver.  Where the bound leaves
+out more of one label than of the other, the sample's log-odds are moved to
+those of all training labels after training, so a score keeps its meaning
+whatever the size of the input.  Every document is scored whole, in one pass
+without a shuffle.
 
 Defined results: null or empty text has no term and gets the score of the bias
 alone; without training rows of both labels that is the smoothed share of the
@@ -79,18 +82,23 @@ class Terms:
         return sorted(found)
 
 
-def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def _sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float]:
     """(label, text) of the training sample; the ids chosen are bounded, so
-    they are broadcast and no text is shuffled."""
+    they are broadcast and no text is shuffled.  And by how much the log-odds
+    of all training labels lie above the sample's."""
+    import math
     known = (labels.select(F.col("doc_id").cast("long").alias("id"), F.col("toxic").cast("int").alias("label"))
              .where(F.col("id").isNotNull() & F.col("label").isin(0, 1)))
     one = (known.where(fold(F.col("id"), FOLDS) != HELD_OUT)
            .groupBy("id").agg(F.max("label").alias("label")))
+    n = {r["label"]: r["count"] for r in one.groupBy("label").count().collect()}
+    parts = [n[k] / min(n[k], TRAIN_ROWS) if k in n else 1.0 for k in (0, 1)]      # labels a chosen one stands for
     order = [F.xxhash64("id"), F.col("id")]
     chosen = (one.where("label = 0").orderBy(*order).limit(TRAIN_ROWS)
               .unionByName(one.where("label = 1").orderBy(*order).limit(TRAIN_ROWS)))
-    return docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(F.broadcast(chosen), "id").select(
+    sample = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(F.broadcast(chosen), "id").select(
         "label", "text")
+    return sample, math.log(parts[1] / parts[0])
 
 
 def _count_terms(batches):
@@ -179,7 +187,8 @@ def _model(t):
 def fit(docs: DataFrame, labels: DataFrame) -> dict:
     """The model: ``terms`` (hash -> number), bias, weights and vectors."""
     import numpy as np
-    sample = stored(_sample(on_workers(docs), labels), "op8-sample")
+    sample, offset = _sample(on_workers(docs), labels)
+    sample = stored(sample, "op8-sample")
     n = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     n0, n1 = n.get(0, 0), n.get(1, 0)
     prior = float(np.log((n1 + 1) / (n0 + 1)))
@@ -189,7 +198,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     model = {"bias": prior, "gb": 1.0, "w": np.zeros(k), "gw": np.ones(k),
              "v": np.random.default_rng(7).normal(0, 0.01, (k, RANK)), "gv": np.ones((k, RANK))}
     if not k:
-        return model | {"terms": known}
+        return model | {"terms": known, "bias": prior + offset}
     shared_terms = docs.sparkSession.sparkContext.broadcast(known)
 
     def number(batches):
@@ -223,7 +232,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
         average = rows.mapInArrow(learn, out).groupBy("id").agg(*mean).toPandas().sort_values("id")
         model = _model(average[FIELDS].to_numpy(np.float64))
         shared.unpersist()
-    return model | {"terms": known}
+    return model | {"terms": known, "bias": model["bias"] + offset}
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
