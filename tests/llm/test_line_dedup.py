@@ -49,5 +49,20 @@ def test_documents_of_boilerplate_only_go(spark):
     assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted(((r[0], r[3]) for r in want), key=repr)
 
 
+def test_passages_of_a_few_sites_go(spark):
+    """In the pipeline's form a line of over 50 words goes from 3 sites on; short lines and op6 keep to 10."""
+    docs, passages = [], {}
+    for sites in (2, 3, 5, 9):
+        passages[sites] = " ".join(f"p{sites}w{i}" for i in range(51))
+        short = " ".join(f"q{sites}w{i}" for i in range(50))
+        docs += [(100 * sites + i, f"own {sites} {i}\n{passages[sites]}\n{short}", "en", f"s{i}") for i in range(sites)]
+    got = {r.doc_id: r.text for r in op.without_boilerplate(documents(spark, docs)).collect()}
+    for i, text, *_ in docs:
+        sites, place = divmod(i, 100)
+        want = text if sites == 2 or place == 0 else text.replace(passages[sites] + "\n", "")
+        assert got[i] == want, i
+    assert run(spark, docs, 10) == brute(docs, 10)
+
+
 def test_empty_table(spark):
     assert op.line_dedup(documents(spark, [])).count() == 0

@@ -6,7 +6,7 @@ seen everywhere costs one small row per task.  Where the estimate is within
 its error of the threshold, the line's sites are counted exactly; clear cases
 need no further count.  A line spread over at least ``min_sites`` sites is
 boilerplate: it stays in the document with the smallest id that has it, and
-goes from all others.
+goes from all others.  The pipeline gives long lines a smaller spread.
 
 Lines are parted by line feeds and compared without surrounding spaces; blank
 lines are never boilerplate.  Defined results: null text has no line and stays
@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from .common import stored
 
 MIN_SITES = 10
+LONG_WORDS = 50           # lines of more words are passages:
+LONG_SITES = 3            # the pipeline takes them out from so many sites on (op6 has one threshold, as its SQL)
 LG_K = 10                 # 1024 registers: relative standard error about 1.04 / 32
 ERRORS = 4                # standard errors around the threshold that count as near
 
@@ -32,29 +34,33 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-def spread_lines(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
-    """(line, keeper): hashes of lines on at least ``min_sites`` sites, and the
-    smallest id of a document that has the line."""
+def spread_lines(lines: DataFrame, min_sites: int = MIN_SITES, long_sites: int | None = None) -> DataFrame:
+    """(line, keeper): hashes of lines on at least ``min_sites`` sites (long
+    ones: ``long_sites``, if given), and the smallest id of a document that
+    has the line."""
     counted = lines.groupBy("line").agg(
         F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LG_K))).alias("sites"),
-        F.min("id").alias("keeper"))
-    margin = 1 + ERRORS * 1.04 / (1 << (LG_K // 2)) * min_sites
-    seen = stored(counted.where(F.col("sites") >= min_sites - margin), "op6-spread")
-    near = seen.where(F.col("sites") < min_sites + margin).select("line", "keeper")
+        F.min("id").alias("keeper"), F.max("long").alias("long"))
+    least = F.when(F.col("long"), min_sites if long_sites is None else long_sites).otherwise(min_sites)
+    margin = 1 + ERRORS * 1.04 / (1 << (LG_K // 2)) * F.col("least")
+    seen = stored(counted.withColumn("least", least).where(F.col("sites") >= F.col("least") - margin), "op6-spread")
+    near = seen.where(F.col("sites") < F.col("least") + margin).select("line", "keeper", "least")
     exact = (lines.where(F.col("site").isNotNull()).select("line", "site").distinct()
-             .join(near, "line").groupBy("line").agg(F.count("*").alias("n"), F.min("keeper").alias("keeper"))
-             .where(F.col("n") >= min_sites).select("line", "keeper"))
-    return seen.where(F.col("sites") >= min_sites + margin).select("line", "keeper").unionByName(exact)
+             .join(near, "line").groupBy("line").agg(F.count("*").alias("n"), F.min("keeper").alias("keeper"),
+                                                     F.min("least").alias("least"))
+             .where(F.col("n") >= F.col("least")).select("line", "keeper"))
+    return seen.where(F.col("sites") >= F.col("least") + margin).select("line", "keeper").unionByName(exact)
 
 
-def line_dedup(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
+def line_dedup(docs: DataFrame, min_sites: int = MIN_SITES, long_sites: int | None = None) -> DataFrame:
     """``docs`` as struct column ``doc`` with n_lines, n_removed and the text
     that is left (null where the text is null)."""
     key = [F.col("doc_id").alias("id"), F.xxhash64("text").alias("print")]
     cut = docs.select(*key, F.col("source").alias("site"), F.posexplode(_lines(F.col("text"))).alias("at", "raw"))
     lines = stored(cut.where(F.trim("raw") != "").select(
-        "id", "print", "site", "at", F.xxhash64(F.trim("raw")).alias("line")), "op6-lines")
-    found = spread_lines(lines, min_sites)
+        "id", "print", "site", "at", F.xxhash64(F.trim("raw")).alias("line"),
+        (F.size(F.split(F.trim("raw"), " +")) > LONG_WORDS).alias("long")), "op6-lines")
+    found = spread_lines(lines, min_sites, long_sites)
     gone = (lines.select("id", "print", "at", "line").join(found, "line")
             .where(~F.col("id").eqNullSafe(F.col("keeper")))
             .groupBy("id", "print").agg(F.collect_set("at").alias("gone")))
@@ -73,9 +79,11 @@ def line_dedup(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
         F.when(F.col("gone").isNull(), text).otherwise(F.transform(F.array(_lines(text)), rest)[0]).alias("left"))
 
 
-def without_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
+def without_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES,
+                        long_sites: int | None = LONG_SITES) -> DataFrame:
     """``docs`` with the boilerplate lines gone from their texts; a document
-    that held nothing else goes."""
+    that held nothing else goes.  A line of over LONG_WORDS words does not
+    recur by chance, so fewer sites are enough."""
     blank = (F.col("n_removed") > 0) & (F.trim("left") == "")
-    return line_dedup(docs, min_sites).where(~blank).select(
+    return line_dedup(docs, min_sites, long_sites).where(~blank).select(
         F.col("doc").withField("text", F.col("left")).alias("doc")).select("doc.*")
