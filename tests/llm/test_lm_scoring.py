@@ -110,6 +110,55 @@ def test_training_beats_the_base_on_held_out_documents(spark):
     assert per_token("score") > per_token("base_score") + 0.1
 
 
+def test_every_frequent_word_has_its_own_emissions(spark, monkeypatch):
+    """Whatever travels whole: words of MIN_OWN training tokens and more are
+    counted by state, one by one, and scores follow the dense recursion."""
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(0)
+    words = [f"w{i}x" for i in range(60)]                             # of few classes: their ends are alike
+    weights = 1 / np.arange(1, 61)
+    rows = [(i, " ".join(rng.choice(words, rng.integers(1, 40), p=weights / weights.sum())), "en", "s")
+            for i in range(80)]
+    for name, n in (("HEAD_WORDS", 7), ("LOOKUP_WORDS", 12), ("PART_TOKENS", 100), ("BLOCK_TOKENS", 200)):
+        monkeypatch.setattr(op, name, n)
+    train = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 7 != 2]
+    counts = Counter(w for r in train for w in tokens(r[1]) if w)
+    docs = documents(spark, rows)
+    vocab = op.word_counts(docs.where(op.fold(F.col("doc_id"), op.FOLDS) != op.HELD_OUT))
+    v = op.Vocabulary(vocab)
+    encoded = op.encode(docs, v)
+    found = op.look_up(encoded, vocab, v)
+    resolved = op.resolve(encoded, found, v)
+    assert v.parts > 1 and resolved.select("block").distinct().count() > 1
+    own = found.where("block = -1").select("part", "c", F.lit(None).cast("binary").alias("sums"))
+    model = op.train_hmm(resolved, own, v)
+    head = [w for w, i in v.index.items() if i < v.head]
+    emit, mass = {}, model.emit.sum(axis=0)
+    for r in model.own.collect():
+        names = sorted(w for w, c in counts.items()
+                       if c >= op.MIN_OWN and w not in head and zlib.crc32(w) % v.parts == r.part)
+        assert [counts[w] for w in names] == r.c
+        sums = op._matrix_of(bytes(r.sums))
+        assert np.allclose(sums.sum(axis=1), r.c, rtol=1e-3)          # each token is in some state
+        e = op._own_emissions(r.c, bytes(r.sums), model.share, model.mass)
+        mass = mass + e.sum(axis=0)
+        emit |= dict(zip(names, e))
+    assert len(emit) > 20 and set(emit) | set(head) == {w for w, c in counts.items() if c >= op.MIN_OWN}
+    assert np.allclose(mass, 1)
+    emit |= {w: model.emit[i] for w, i in v.index.items() if i < v.head}
+    got = {r.doc_id: r.score for r in op.scores(resolved, model, v).collect()}
+    for i, text, *_ in rows:
+        now, total = np.eye(op.STATES)[-1], 0.0
+        for w in tokens(text):
+            k = v.klass(w)
+            inside = 1.0 if w in emit or not w else (counts[w] + 1) / 10 ** v.log_class[k]
+            e = np.append(emit[w] if w in emit else model.emit[v.head + k], 0) if w else np.eye(op.STATES)[-1]
+            now = now @ model.trans * e
+            total += math.log10(now.sum() * inside)
+            now /= now.sum()
+        assert abs(got[i] - total) < 1e-3, i
+
+
 def test_classes_match_between_spark_and_python(spark):
     from pyspark.sql import functions as F
     words = [b"a", b"ab", b"abc", b"abcd", "é".encode(), "日本".encode()]

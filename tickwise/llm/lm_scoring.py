@@ -1,25 +1,30 @@
 """Language-model scoring with a hidden Markov model over words.
 
-Words are counted over all training documents.  The ``HEAD_WORDS`` most
-frequent words have emissions of their own; every other word, seen or not,
-belongs to one of ``CLASSES`` classes by its last three bytes, a state emits
-the class, and the class gives the word with add-one smoothing of its count
-(one unknown word a class).  The end of a document is emitted by a state of
-its own, from which the next document starts, so documents laid end to end
-have exactly the likelihood they have apart, and many lanes of documents run
-through the recursions together.
-
-Training is Baum-Welch: every task runs the scaled forward-backward recursion
-over its documents and returns expected counts, Spark sums them, and the new
-parameters (states x emissions, bounded by the parameters above) go out with
-the next pass; a rare word's shares in the states are drawn to the overall
-ones, so that a word seen once is not tied to one state.  ``WARM_PASSES`` passes over one document in ``WARM_PART`` give
-the start values only, then ``PASSES`` passes run over all training documents.
-The score is the exact log10 likelihood by the scaled forward recursion over
-the whole text.
-
-Counts of the most frequent words (at most ``LOOKUP_WORDS``) travel with the
-encoder; counts of rarer words are joined by word, where no word is frequent.
+Words are counted over all training documents.  Every word seen at least
+``MIN_OWN`` times there has emissions of its own, however many such words there
+are; the truly rare ones and the unseen belong to one of ``CLASSES`` classes by
+their last three bytes, a state emits the class, and the class gives the word
+with add-one smoothing of its count (one unknown word a class).  The end of a
+document is emitted by a state of its own, from which the next document
+starts, so documents laid end to end have exactly the likelihood they have
+apart, and many lanes of documents run through the recursions together.
+
+Training is Baum-Welch: the scaled forward-backward recursion over the
+documents gives expected counts, Spark sums them, and the new parameters go
+out with the next pass; a word's shares in the states are drawn to the overall
+ones, so that a word is not tied to one state by a few tokens.  The emissions
+of the ``HEAD_WORDS`` most frequent words and of the classes travel whole with
+every pass.  Those of all other words are a table in parts by hash of the word
+(it grows with the input and never meets on the driver): each block of
+documents (about ``BLOCK_TOKENS`` tokens) is sent those of the words it has,
+and gives back their expected counts.  ``WARM_PASSES`` passes over one document
+in ``WARM_PART``, by hash of its id, give start values only, with words that
+do not travel whole telling nothing; then ``PASSES`` passes run over all
+training documents.  The score is the exact log10 likelihood by the scaled
+forward recursion over the whole text.
+
+Words that are not among the most frequent (at most ``LOOKUP_WORDS``) are
+looked up part by part, once for each block.
 
 Defined results: null text counts as empty (one token, the end); a null doc_id
 is in the fold of an empty id; repeated rows are scored, and trained on, like
@@ -39,8 +44,12 @@ from .common import fold, on_workers, stored
 
 FOLDS = 7
 HELD_OUT = 2
-HEAD_WORDS = 32_768
+MIN_OWN = 5               # training words seen so often have emissions of their own
+HEAD_WORDS = 32_768       # of these, as many travel whole with every pass, the others to the blocks that have them
 LOOKUP_WORDS = 131_072
+BLOCK_TOKENS = 8_000_000  # tokens of the documents that share the emissions sent to them
+PART_TOKENS = 500_000     # training tokens of the words that a task looks up, or re-estimates
+CHUNK, SALT = 4_096, 8    # the counts of the words that travel whole are summed in so many rows and shares of the blocks
 CLASSES = 1_024
 STATES = 16               # the last one emits the end, and only that
 PASSES = 3
@@ -51,8 +60,8 @@ BATCH_TOKENS = 400_000    # tokens that run through the recursions together
 LANES = 512
 COUNTED_WORDS = 400_000   # words a task counts before it hands them on
 
-ENCODED = ("row long, doc_id long, held_out boolean, n_tokens long, known long, base double, inside double, "
-           "ids array<int>, words array<binary>, counts array<int>")
+DOCUMENT = ("row long, doc_id long, held_out boolean, n_tokens long, known long, base double, inside double, "
+            "ids array<int>")
 
 
 def _tokens(text: bytes | None) -> list[bytes]:
@@ -112,23 +121,25 @@ class Vocabulary:
         words = vocab.where(F.length("word") > 0)
         top = _frequent(words, LOOKUP_WORDS).select("word", "c").toArrow().sort_by(
             [("c", "descending"), ("word", "ascending")])
-        self.index = {w: i for i, w in enumerate(top["word"].to_pylist())}
         counts = top["c"].to_numpy().astype(np.int64)
-        tail = words.groupBy(F.pmod(F.crc32(F.substring("word", -3, 3)), F.lit(CLASSES)).alias("k")).agg(
+        self.head = min(HEAD_WORDS, int((counts >= MIN_OWN).sum()))
+        here = (np.arange(len(counts)) < self.head) | (counts < MIN_OWN)      # the others are looked up in parts
+        counts = counts[here]
+        self.index = {w: i for i, w in enumerate(top.filter(here)["word"].to_pylist())}
+        rare = words.where(F.col("c") < MIN_OWN)
+        tail = rare.groupBy(F.pmod(F.crc32(F.substring("word", -3, 3)), F.lit(CLASSES)).alias("k")).agg(
             F.sum("c").alias("n"), F.count("*").alias("v")).collect()
-        self.head = min(HEAD_WORDS, len(counts))
         class_n, class_v = np.zeros(CLASSES), np.zeros(CLASSES)
         for r in tail:
             class_n[r["k"]], class_v[r["k"]] = r["n"], r["v"]
         klass = np.array([self.klass(w) for w in self.index], np.int64)
-        np.subtract.at(class_n, klass[:self.head], counts[:self.head])
-        np.subtract.at(class_v, klass[:self.head], 1)
         self.end_id = self.head + CLASSES
         rank = np.arange(len(counts))
         self.ids = np.where(rank < self.head, rank, self.head + klass).astype(np.int32)
         self.log_count = np.log10(counts + 1.0)
         ends = vocab.where(F.length("word") == 0).first()
         self.ends = ends["c"] if ends else 0
+        self.parts = max(1, -(-int(self.n - self.ends - counts.sum()) // PART_TOKENS))
         self.log_class = np.log10(class_n + class_v + 1)
         self.emitted = np.concatenate((counts[:self.head], class_n, [self.ends])).astype(np.float64)
 
@@ -139,54 +150,187 @@ class Vocabulary:
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """A row per document: its emission ids, what is known of its base score
-    and of the words inside their classes, and its rare words to be joined."""
+    """A row per document (part -1): its emission ids and what is known of its
+    base score and of the words inside their classes.  Words that are not in
+    the vocabulary's index are numbered within a block of documents, by ids
+    above the end's; a row per block and part has them."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches):
-        from collections import Counter
+        import zlib
 
         import numpy as np
         import pyarrow as pa
+        from pyspark import TaskContext
         v = shared.value
         find, per_token = v.index.get, math.log10(v.n + v.v + 1)
+        block, held, others = TaskContext.get().partitionId() << 24, 0, {}
+        schema = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("row", pa.int64()), ("doc_id", pa.int64()),
+                            ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("known", pa.int64()),
+                            ("base", pa.float64()), ("inside", pa.float64()), ("ids", pa.list_(pa.int32())),
+                            ("words", pa.list_(pa.binary())), ("at", pa.list_(pa.int32()))])
+
+        def looked_up():
+            parts = {}
+            for w, q in others.items():
+                ws, at = parts.setdefault(zlib.crc32(w) % v.parts, ([], []))
+                ws.append(w)
+                at.append(q)
+            rows = [{"block": block, "part": p, "words": ws, "at": at} for p, (ws, at) in parts.items()]
+            return pa.RecordBatch.from_pylist(rows, schema)
+
         for b in batches:
-            ids, sizes, words, counts, splits = [], [], [], [], [0]
-            n_tokens, known, base, inside = [], [], [], []
+            blocks, ids, sizes, n_tokens, known, base, inside, done = [], [], [], [], [], [], [], []
             for text in b.column(3).cast(pa.binary()):
+                if held >= BLOCK_TOKENS:
+                    done.append(looked_up())
+                    block, held, others = block + 1, 0, {}
                 tokens = _tokens(text.as_py())
                 at = np.fromiter([find(t, -1) for t in tokens], np.int64, len(tokens))
                 rare = np.flatnonzero(at < 0)
                 of = v.ids[at] if len(v.ids) else np.zeros(len(at), np.int32)
                 seen = v.log_count[at[at >= 0]].sum()
-                within = seen - v.log_count[at[(at >= 0) & (at < v.head)]].sum()
-                if len(rare):
-                    extra = Counter([tokens[i] for i in rare.tolist()])
-                    of[rare] = [v.head + v.klass(tokens[i]) for i in rare.tolist()]
-                    words += extra.keys()
-                    counts += extra.values()
-                splits.append(len(words))
-                classes = of[of >= v.head] - v.head
+                classes = of[(at >= 0) & (of >= v.head)] - v.head
+                within = v.log_count[at[at >= v.head]].sum() - v.log_class[classes].sum()
+                of[rare] = [v.end_id + 1 + others.setdefault(tokens[i], len(others)) for i in rare.tolist()]
                 ids.append(np.append(of, v.end_id).astype(np.int32))
                 sizes.append(len(ids[-1]))
+                held += sizes[-1]
+                blocks.append(block)
                 n_tokens.append(len(tokens) + 1)
                 known.append(len(tokens) - len(rare) + (v.ends > 0))
                 base.append(float(seen + math.log10(v.ends + 1) - per_token * (len(tokens) + 1)))
-                inside.append(float(within - v.log_class[classes].sum()))
+                inside.append(float(within))
             offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
             values = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32))
-            splits = pa.array(splits, pa.int32())
+            n = len(ids)
             yield pa.RecordBatch.from_arrays([
-                b.column(0), b.column(1), b.column(2), pa.array(n_tokens, pa.int64()), pa.array(known, pa.int64()),
-                pa.array(base, pa.float64()), pa.array(inside, pa.float64()),
-                pa.ListArray.from_arrays(offsets, values),
-                pa.ListArray.from_arrays(splits, pa.array(words, pa.binary())),
-                pa.ListArray.from_arrays(splits, pa.array(counts, pa.int32()))],
-                names=[c.split()[0] for c in ENCODED.split(", ")])
+                pa.array(blocks, pa.int64()), pa.array([-1] * n, pa.int32()), b.column(0), b.column(1), b.column(2),
+                pa.array(n_tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()),
+                pa.array(inside, pa.float64()), pa.ListArray.from_arrays(offsets, values),
+                pa.nulls(n, schema.field("words").type), pa.nulls(n, schema.field("at").type)], schema=schema)
+            yield from done
+        yield looked_up()
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"),
                        (fold(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"), F.col("text").cast("string"))
-    return stored(rows.mapInArrow(run, ENCODED), "op2-encoded")
+    return stored(rows.mapInArrow(run, f"block long, part int, {DOCUMENT}, words array<binary>, at array<int>"),
+                  "op2-encoded")
+
+
+def _free(df: DataFrame) -> None:
+    """Let Spark delete the shuffle files of tables that are no longer used:
+    it does when the driver collects its garbage."""
+    import gc
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
+def _both(left: DataFrame, right: DataFrame, key: str, run, schema: str) -> DataFrame:
+    """``run`` over the rows that both tables have of a key, as Arrow tables."""
+    return left.groupBy(key).cogroup(right.groupBy(key)).applyInArrow(run, schema)
+
+
+def look_up(encoded: DataFrame, vocab: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(block, part, at, c, own): counts of the blocks' words, part by part; own
+    is the word's number among the part's words with emissions of their own, or
+    -1 - its class.  Rows with block -1 have the counts of the former."""
+    shared = encoded.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def run(asked, words):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        v = shared.value
+        words = words.sort_by("word").combine_chunks()
+        c, klass = words["c"].to_numpy(), words["klass"].to_numpy()
+        mine = np.flatnonzero(c >= MIN_OWN)
+        mine = mine[[w not in v.index for w in words["word"].take(pa.array(mine)).to_pylist()]]
+        own = -1 - klass
+        own[mine] = np.arange(len(mine))
+        c, own = np.append(c, 0), np.append(own, 0)              # last: an unknown word
+        out = {k: [] for k in ("block", "part", "at", "c", "own")}
+        if len(mine):
+            for k, x in (("block", -1), ("part", words["part"][0].as_py()), ("at", None), ("c", c[mine]), ("own", None)):
+                out[k].append(x)
+        if asked.num_rows:
+            ask = pa.concat_arrays(asked["words"].chunks)
+            flat, sizes = ask.flatten(), pc.list_value_length(ask).to_numpy()
+            found = pc.index_in(flat, value_set=words["word"]).fill_null(len(c) - 1).to_numpy()
+            cs, owns = c[found], own[found]
+            new = np.flatnonzero(found == len(c) - 1)
+            owns[new] = [-1 - v.klass(w) for w in flat.take(pa.array(new)).to_pylist()]
+            ends = np.cumsum(sizes)[:-1]
+            out["block"] += asked["block"].to_pylist()
+            out["part"] += asked["part"].to_pylist()
+            out["at"] += [x.values for x in pa.concat_arrays(asked["at"].chunks)]
+            out["c"] += np.split(cs, ends)
+            out["own"] += np.split(owns.astype(np.int32), ends)
+        return pa.table(out, pa.schema([
+            ("block", pa.int64()), ("part", pa.int32()), ("at", pa.list_(pa.int32())), ("c", pa.list_(pa.int64())),
+            ("own", pa.list_(pa.int32()))]))
+
+    part = F.pmod(F.crc32("word"), F.lit(vocabulary.parts)).cast("int").alias("part")
+    klass = F.pmod(F.crc32(F.substring("word", -3, 3)), F.lit(CLASSES)).alias("klass")
+    found = _both(encoded.where("part >= 0").select("block", "part", "at", "words"),
+                  vocab.where(F.length("word") > 0).select(part, "word", "c", klass), "part", run,
+                  "block long, part int, at array<int>, c array<long>, own array<int>")
+    return stored(found, "op2-found")
+
+
+def resolve(encoded: DataFrame, found: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """The documents with each looked-up word's class, or its number among the
+    block's own words (ids above the end's, by part and number in the part);
+    and a row per block and part with those words' numbers in the part."""
+    shared = encoded.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def run(docs, found):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        v = shared.value
+        docs = docs.combine_chunks()
+        found = found.sort_by("part").combine_chunks()
+        at, seen, own = (found[k].combine_chunks().flatten().to_numpy() for k in ("at", "c", "own"))
+        of_row = np.repeat(np.arange(found.num_rows), pc.list_value_length(found["at"]).to_numpy())
+        c, to, inside = np.zeros(len(at)), np.zeros(len(at), np.int32), np.zeros(len(at))
+        c[at] = seen
+        mine = np.flatnonzero(own >= 0)
+        mine = mine[np.lexsort((own[mine], of_row[mine]))]
+        to[at[mine]] = v.end_id + 1 + np.arange(len(mine))
+        rest = np.flatnonzero(own < 0)
+        to[at[rest]] = v.head - 1 - own[rest]
+        inside[at[rest]] = np.log10(seen[rest] + 1) - v.log_class[-1 - own[rest]]
+        splits = np.searchsorted(of_row[mine], np.arange(found.num_rows + 1)).astype(np.int32)
+        places = pa.table({"block": found["block"], "part": found["part"],
+                           "at": pa.ListArray.from_arrays(pa.array(splits), pa.array(own[mine], pa.int32()))})
+        places = places.filter(pa.array(np.diff(splits) > 0))
+        lists = pa.concat_arrays(docs["ids"].chunks) if docs.num_rows else pa.array([], pa.list_(pa.int32()))
+        offsets = lists.offsets.to_numpy()
+        values = lists.values.to_numpy()[offsets[0]:offsets[-1]].copy()
+        place = np.flatnonzero(values > v.end_id)
+        q = values[place] - v.end_id - 1
+        of = np.repeat(np.arange(docs.num_rows), np.diff(offsets))[place]
+        add = lambda x: np.bincount(of, weights=x, minlength=docs.num_rows)
+        values[place] = to[q]
+        out = pa.table({"block": docs["block"], "part": pa.array([-1] * docs.num_rows, pa.int32()),
+                        "row": docs["row"], "doc_id": docs["doc_id"], "held_out": docs["held_out"],
+                        "n_tokens": docs["n_tokens"],
+                        "known": pa.array(docs["known"].to_numpy() + add(c[q] > 0).astype(np.int64)),
+                        "base": pa.array(docs["base"].to_numpy() + add(np.log10(c[q] + 1))),
+                        "inside": pa.array(docs["inside"].to_numpy() + add(inside[q])),
+                        "ids": pa.ListArray.from_arrays(pa.array(offsets - offsets[0], pa.int32()), pa.array(values)),
+                        "at": pa.nulls(docs.num_rows, pa.list_(pa.int32()))})
+        for name in out.column_names:
+            if name not in places.column_names:
+                places = places.append_column(name, pa.nulls(places.num_rows, out.schema.field(name).type))
+        return pa.concat_tables([out, places.select(out.column_names)])
+
+    rows = _both(encoded.where("part = -1").drop("part", "words", "at"), found.where("block >= 0"), "block", run,
+                 f"block long, part int, {DOCUMENT}, at array<int>")
+    out = stored(rows, "op2-rows")
+    _free(encoded)
+    return out
 
 
 def _lanes(lengths):
@@ -288,33 +432,70 @@ def start_model(vocabulary: Vocabulary):
     return trans / trans.sum(axis=1, keepdims=True), p[:, None] * noise / (p[:, None] * noise).sum(axis=0)
 
 
-def _tables(trans, emit):
-    """The model as the recursions use it: the end state's column, and a last
-    row for the padding, which every state emits."""
+def _tables(trans, emit, own=None):
+    """The model as the recursions use it: the end state's column, the rows of
+    a block's own words, and a last row for the padding, which every state
+    emits.  Without ``own``, one row stands for all own words and tells nothing."""
     import numpy as np
-    full = np.zeros((len(emit) + 2, STATES), np.float32)
-    full[:-2, :-1] = emit
-    full[-2, -1] = 1
+    own = np.ones((1, STATES - 1), np.float32) if own is None else own
+    full = np.zeros((len(emit) + 2 + len(own), STATES), np.float32)
+    full[:len(emit), :-1] = emit
+    full[len(emit), -1] = 1
+    full[len(emit) + 1:-1, :-1] = own
     full[-1] = 1
     return trans.astype(np.float32), full
 
 
-def baum_welch_pass(rows: DataFrame, trans, emit, vocabulary: Vocabulary):
-    """One pass over ``rows``: the re-estimated (transitions, emissions)."""
+def _shares(counts, share):
+    """Of each word, its tokens' shares in the states, drawn to the overall ones."""
+    return (counts + SHRINK * share) / (counts.sum(axis=1) + SHRINK)[:, None]
+
+
+def _grid(ids, emit):
+    """The documents as a grid over the ids they have: (grid, places, these
+    ids, their emissions with the padding's)."""
+    import numpy as np
+    used = np.flatnonzero(np.bincount(np.concatenate(ids), minlength=len(emit)))
+    number = np.zeros(len(emit), np.int64)
+    number[used] = np.arange(len(used))
+    grid, places = _matrix([number[x] for x in ids], len(used))
+    return grid, places, used, np.concatenate((emit[used], emit[-1:]))
+
+
+def _count(batches, trans, emit):
+    """Expected transitions and emissions of the documents of ``batches``."""
+    import numpy as np
+    moves, counts = np.zeros((STATES, STATES)), np.zeros((len(emit) - 1, STATES))
+    for _, _, ids in _groups(batches):
+        grid, _, used, local = _grid([np.minimum(x, len(emit) - 2) for x in ids], emit)
+        m, c = expected_counts(grid, trans, local, len(used))
+        moves += m
+        counts[used] += c
+    return moves, counts
+
+
+def _estimate(moves, counts, vocabulary: Vocabulary, own_total=0.0, own_mass=None):
+    """(transitions, emissions, overall shares, mass of the states' emissions)
+    from the sums; ``own_mass`` gives that of the own words from the shares."""
+    moves = moves + 0.1
+    counts = counts[:, :-1] + 1e-6
+    total = counts.sum(axis=0) + own_total
+    share = total / total.sum()
+    emit = (vocabulary.emitted[:-1] + 0.5)[:, None] * _shares(counts, share)
+    mass = emit.sum(axis=0) + (own_mass(share) if own_mass else 0)
+    return moves / moves.sum(axis=1, keepdims=True), emit / mass, share, mass
+
+
+def warm_pass(rows: DataFrame, trans, emit, vocabulary: Vocabulary):
+    """One pass over the warm-up part, in which own words tell nothing."""
     import numpy as np
     shared = rows.sparkSession.sparkContext.broadcast(_tables(trans, emit))
-    pad = vocabulary.end_id + 1
+    size = vocabulary.end_id
 
     def run(batches):
-        import numpy as np
         import pyarrow as pa
-        trans, emit = shared.value
-        moves, counts = np.zeros((STATES, STATES)), np.zeros((pad, STATES))
-        for _, _, ids in _groups(batches):
-            m, c = expected_counts(_matrix(ids, pad)[0], trans, emit, pad)
-            moves += m
-            counts += c
-        used = np.flatnonzero(counts[:-1].any(axis=1))
+        moves, counts = _count(batches, *shared.value)
+        used = np.flatnonzero(counts[:size].any(axis=1))
         rows = np.concatenate((moves, counts[used]))
         ids = np.concatenate((-1 - np.arange(STATES), used))
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32())] + [
@@ -326,65 +507,182 @@ def baum_welch_pass(rows: DataFrame, trans, emit, vocabulary: Vocabulary):
               .groupBy("id").agg(*[F.sum(c).alias(c) for c in columns]).toPandas())   # bounded by the model
     shared.unpersist()
     sums, ids = summed[columns].to_numpy(np.float64), summed["id"].to_numpy()
-    moves, counts = np.zeros((STATES, STATES)), np.zeros((pad - 1, STATES))
+    moves, counts = np.zeros((STATES, STATES)), np.zeros((size, STATES))
     moves[-1 - ids[ids < 0]] = sums[ids < 0]
     counts[ids[ids >= 0]] = sums[ids >= 0]
-    moves += 0.1
-    counts = counts[:, :-1] + 1e-6
-    share = counts.sum(axis=0) / counts.sum()
-    shares = (counts + SHRINK * share) / (counts.sum(axis=1) + SHRINK)[:, None]
-    emit = (vocabulary.emitted[:-1] + 0.5)[:, None] * shares
-    return moves / moves.sum(axis=1, keepdims=True), emit / emit.sum(axis=0)
+    return _estimate(moves, counts, vocabulary)[:2]
 
 
-def likelihoods(rows: DataFrame, trans, emit, vocabulary: Vocabulary) -> DataFrame:
-    """(row, path): log10 likelihood of each document's emission ids."""
-    shared = rows.sparkSession.sparkContext.broadcast(_tables(trans, emit))
-    pad = vocabulary.end_id + 1
+class Model:
+    """Transitions and the emissions of head words and classes; ``own`` has the
+    other words' (part, c, sums) in Spark: counts of the words and, after a
+    pass, their expected counts by state."""
 
-    def run(batches):
+    def __init__(self, trans, emit, own: DataFrame):
+        self.trans, self.emit, self.own = trans, emit, own
+        self.share = self.mass = None
+
+
+def _matrix_of(blob: bytes, columns: int = STATES - 1):
+    import numpy as np
+    return np.frombuffer(blob, np.float32).reshape(-1, columns)
+
+
+def _own_emissions(c, sums, share, mass):
+    import numpy as np
+    counts = _matrix_of(sums).astype(np.float64) + 1e-6
+    return (np.array(c, np.float64) + 0.5)[:, None] * _shares(counts, share) / mass
+
+
+def sent(rows: DataFrame, model: Model) -> DataFrame:
+    """(block, part, at, emit): the emissions of own words, for each block that has them."""
+    if model.share is None:                                  # nothing is known yet: they tell nothing
+        return rows.where("part >= 0").select("block", "part", "at", F.lit(None).cast("binary").alias("emit"))
+    share, mass = model.share, model.mass
+
+    def run(places, own):
         import numpy as np
         import pyarrow as pa
-        trans, emit = shared.value
-        for b, group, ids in _groups(batches, 1):
-            grid, places = _matrix(ids, pad)
-            logs = np.log10(forward(grid, trans, emit)[1].astype(np.float64)).ravel()
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(group)),
-                                              pa.array([float(logs[p].sum()) for p in places])], names=["row", "path"])
+        out = []
+        for r in own.to_pylist():
+            emit = _own_emissions(r["c"], r["sums"], share, mass).astype(np.float32)
+            out = [emit[x.as_py()].tobytes() for x in places["at"]]
+        return pa.table({"block": places["block"], "part": places["part"], "at": places["at"],
+                         "emit": pa.array(out, pa.binary())})
+
+    return _both(rows.where("part >= 0").select("block", "part", "at"), model.own, "part", run,
+                 "block long, part int, at array<int>, emit binary")
+
+
+def _with_own(found, trans, emit):
+    """(block's parts in order, the model's tables with the block's own words)."""
+    import numpy as np
+    found = found.sort_by("part")
+    blobs = [np.ones((len(at.values), STATES - 1), np.float32) if x is None else _matrix_of(x)
+             for at, x in zip(found["at"], found["emit"].to_pylist())]
+    return found, _tables(trans, emit, np.concatenate(blobs) if blobs else np.zeros((0, STATES - 1), np.float32))
 
-    return rows.select("row", "ids").mapInArrow(run, "row long, path double")
 
+def full_pass(rows: DataFrame, model: Model, vocabulary: Vocabulary) -> Model:
+    """One pass over all training rows, with every word's own counts."""
+    import numpy as np
+    spark = rows.sparkSession
+    shared = spark.sparkContext.broadcast((model.trans, model.emit))
+    size = vocabulary.end_id
+    share_of_blocks = SALT
 
-def train_hmm(rows: DataFrame, vocabulary: Vocabulary):
+    def learn(docs, found):
+        import pyarrow as pa
+        out = {"part": [], "at": [], "sums": []}
+        if docs.num_rows:
+            found, (trans, emit) = _with_own(found, *shared.value)
+            moves, counts = _count(docs.select(["ids"]).combine_chunks().to_batches(), trans, emit)
+            own = counts[size + 1:, :-1].astype(np.float32)
+            salt, whole = docs["block"][0].as_py() % share_of_blocks, np.concatenate(
+                (moves, np.append(own.sum(axis=0, dtype=np.float64), 0)[None], counts[:size])).astype(np.float32)
+            for i in range(0, len(whole), CHUNK):
+                out["part"].append(-1 - (i // CHUNK * share_of_blocks + salt))
+                out["at"].append(None)
+                out["sums"].append(whole[i:i + CHUNK].tobytes())
+            held = 0
+            for part, at in zip(found["part"].to_pylist(), found["at"].to_pylist()):
+                out["part"].append(part)
+                out["at"].append(at)
+                out["sums"].append(own[held:held + len(at)].tobytes())
+                held += len(at)
+        return pa.table(out, pa.schema([("part", pa.int32()), ("at", pa.list_(pa.int32())), ("sums", pa.binary())]))
+
+    def add(counted, own):
+        import pyarrow as pa
+        schema = pa.schema([("part", pa.int32()), ("c", pa.list_(pa.int64())), ("sums", pa.binary())])
+        if own.num_rows:
+            total = np.zeros((len(own["c"][0]), STATES - 1))
+            for at, sums in zip(counted["at"], counted["sums"]):
+                total[at.values.to_numpy()] += _matrix_of(sums.as_py())
+        else:
+            total = sum(_matrix_of(x.as_py(), STATES).astype(np.float64) for x in counted["sums"])
+        part = (own if own.num_rows else counted)["part"].slice(0, 1)
+        return pa.table([part, own["c"].slice(0, 1) if own.num_rows else pa.nulls(1, schema.field("c").type),
+                         pa.array([total.astype(np.float32).tobytes()])], schema=schema)
+
+    train = rows.where("part = -1 and not held_out").select("block", "ids")
+    counted = _both(train, sent(rows, model), "block", learn, "part int, at array<int>, sums binary")
+    summed = stored(_both(counted, model.own.select("part", "c"), "part", add, "part int, c array<long>, sums binary"),
+                    "op2-model")
+    shared.unpersist()
+    whole = np.zeros((STATES + 1 + size, STATES))
+    for r in summed.where("part < 0").collect():             # bounded by HEAD_WORDS, CLASSES and SALT
+        i = (-1 - r["part"]) // SALT * CHUNK
+        x = _matrix_of(bytes(r["sums"]), STATES)
+        whole[i:i + len(x)] += x
+    own = summed.where("part >= 0")
+    columns = [f"s{s}" for s in range(STATES - 1)]
+
+    def own_mass(share):
+        def run(batches):
+            import pyarrow as pa
+            for b in batches:
+                for r in b.to_pylist():
+                    mass = _own_emissions(r["c"], r["sums"], share, 1.0).sum(axis=0)
+                    yield pa.RecordBatch.from_pydict({c: [float(x)] for c, x in zip(columns, mass)})
+
+        total = own.mapInArrow(run, ", ".join(f"{c} double" for c in columns)).agg(*[F.sum(c) for c in columns]).first()
+        return np.array([x or 0.0 for x in total])
+
+    out = Model(model.trans, model.emit, own)
+    out.trans, out.emit, out.share, out.mass = _estimate(
+        whole[:STATES], whole[STATES + 1:], vocabulary, whole[STATES, :-1], own_mass)
+    _free(rows)
+    return out
+
+
+def scores(rows: DataFrame, model: Model, vocabulary: Vocabulary) -> DataFrame:
+    """The result rows: log10 likelihood of each document's emission ids, and
+    of the words inside their classes."""
+    shared = rows.sparkSession.sparkContext.broadcast((model.trans, model.emit))
+    train_tokens = vocabulary.n
+
+    def run(docs, found):
+        import numpy as np
+        import pyarrow as pa
+        path = np.zeros(docs.num_rows)
+        if docs.num_rows:
+            _, (trans, emit) = _with_own(found, *shared.value)
+            numbers = pa.array(np.arange(docs.num_rows))
+            for b, group, ids in _groups(docs.select(["ids"]).append_column("n", numbers).combine_chunks().to_batches()):
+                grid, places, _, local = _grid(ids, emit)
+                logs = np.log10(forward(grid, trans, local)[1].astype(np.float64)).ravel()
+                path[b.column(1).to_numpy()[group]] = [logs[p].sum() for p in places]
+        return pa.table({"doc_id": docs["doc_id"], "held_out": docs["held_out"], "n_tokens": docs["n_tokens"],
+                         "n_known": docs["known"], "train_tokens": pa.array([train_tokens] * docs.num_rows, pa.int64()),
+                         "base_score": docs["base"], "score": pa.array(path + docs["inside"].to_numpy(), pa.float64())})
+
+    docs = rows.where("part = -1").drop("part", "row", "at")
+    return _both(docs, sent(rows, model), "block", run, "doc_id long, held_out boolean, n_tokens long, n_known long, "
+                 "train_tokens long, base_score double, score double")
+
+
+def train_hmm(rows: DataFrame, own: DataFrame, vocabulary: Vocabulary) -> Model:
     """Warm-up passes on a part, then full passes over all training rows."""
-    train = rows.where(~F.col("held_out")).select("row", "ids")
     trans, emit = start_model(vocabulary)
-    if not vocabulary.n:
-        return trans, emit
-    part = stored(train.where(F.pmod(F.xxhash64("row"), F.lit(WARM_PART)) == 0), "op2-warm")
-    if not part.isEmpty():
-        for _ in range(WARM_PASSES):
-            trans, emit = baum_welch_pass(part, trans, emit, vocabulary)
-    for _ in range(PASSES):
-        trans, emit = baum_welch_pass(train, trans, emit, vocabulary)
-    return trans, emit
+    if vocabulary.n:
+        part = stored(rows.where("part = -1 and not held_out").where(
+            F.pmod(F.xxhash64("doc_id"), F.lit(WARM_PART)) == 0).select("ids"), "op2-warm")
+        if not part.isEmpty():
+            for _ in range(WARM_PASSES):
+                trans, emit = warm_pass(part, trans, emit, vocabulary)
+    model = Model(trans, emit, own)
+    for _ in range(PASSES if vocabulary.n else 0):
+        model = full_pass(rows, model, vocabulary)
+    return model
 
 
 def lm_scores(docs: DataFrame) -> DataFrame:
     """One row per document: the add-one unigram base and the model's score."""
     vocab = stored(word_counts(docs.where(fold(F.col("doc_id"), FOLDS) != HELD_OUT)), "op2-words")
     vocabulary = Vocabulary(vocab)
-    rows = encode(docs, vocabulary)
-    trans, emit = train_hmm(rows, vocabulary)
-    rare = rows.select("row", F.explode(F.arrays_zip("words", "counts")).alias("w"))
-    joined = (rare.select("row", F.col("w.words").alias("word"), F.col("w.counts").alias("times"))
-              .join(vocab.hint("shuffle_hash"), "word")
-              .groupBy("row").agg(F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("rare_log"),
-                                  F.sum("times").alias("rare_known")))
-    return (rows.select("row", "doc_id", "held_out", "n_tokens", "known", "base", "inside")
-            .join(likelihoods(rows, trans, emit, vocabulary), "row").join(joined, "row", "left")
-            .select("doc_id", "held_out", "n_tokens",
-                    (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-                    F.lit(vocabulary.n).cast("long").alias("train_tokens"),
-                    (F.col("base") + F.coalesce("rare_log", F.lit(0.0))).alias("base_score"),
-                    (F.col("path") + F.col("inside") + F.coalesce("rare_log", F.lit(0.0))).alias("score")))
+    encoded = encode(docs, vocabulary)
+    found = look_up(encoded, vocab, vocabulary)
+    rows = resolve(encoded, found, vocabulary)
+    own = found.where("block = -1").select("part", "c", F.lit(None).cast("binary").alias("sums"))
+    return scores(rows, train_hmm(rows, own, vocabulary), vocabulary)
