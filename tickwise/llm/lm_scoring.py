@@ -328,9 +328,7 @@ def resolve(encoded: DataFrame, found: DataFrame, vocabulary: Vocabulary) -> Dat
 
     rows = _both(encoded.where("part = -1").drop("part", "words", "at"), found.where("block >= 0"), "block", run,
                  f"block long, part int, {DOCUMENT}, at array<int>")
-    out = stored(rows, "op2-rows")
-    _free(encoded)
-    return out
+    return stored(rows, "op2-rows")
 
 
 def _lanes(lengths):
@@ -632,7 +630,6 @@ def full_pass(rows: DataFrame, model: Model, vocabulary: Vocabulary) -> Model:
     out = Model(model.trans, model.emit, own)
     out.trans, out.emit, out.share, out.mass = _estimate(
         whole[:STATES], whole[STATES + 1:], vocabulary, whole[STATES, :-1], own_mass)
-    _free(rows)
     return out
 
 
@@ -674,6 +671,7 @@ def train_hmm(rows: DataFrame, own: DataFrame, vocabulary: Vocabulary) -> Model:
     model = Model(trans, emit, own)
     for _ in range(PASSES if vocabulary.n else 0):
         model = full_pass(rows, model, vocabulary)
+        _free(rows)                                          # here, as the pass itself still holds its tables
     return model
 
 
@@ -684,5 +682,6 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     encoded = encode(docs, vocabulary)
     found = look_up(encoded, vocab, vocabulary)
     rows = resolve(encoded, found, vocabulary)
+    _free(rows)
     own = found.where("block = -1").select("part", "c", F.lit(None).cast("binary").alias("sums"))
     return scores(rows, train_hmm(rows, own, vocabulary), vocabulary)
