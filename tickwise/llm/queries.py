@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .best_fit_packing import best_fit_packing
+from .bpe_coding import bpe_decode, bpe_encode
 from .common import table
 from .decontamination import contamination
 from .language_id import language_id
@@ -143,6 +144,13 @@ def op10(spark, sf_dir):
     return secret_digests(secret_scan(table(spark, sf_dir, "documents")))
 
 
+def op11(spark, sf_dir):
+    coded = bpe_decode(bpe_encode(table(spark, sf_dir, "documents")))
+    return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                        F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def queries():
     return {
         "op1_best_fit_packing": op1,
@@ -155,6 +163,7 @@ def queries():
         "op8_toxicity": op8,
         "op9_decontamination": op9,
         "op10_secret_scan": op10,
+        "op11_bpe_coding": op11,
     }
 
 
