@@ -88,6 +88,8 @@ def test_tables(spark, monkeypatch):
     assert got.columns == ["doc_id", "ids", "decoded"]
     want = [(r[0], *library(r[1] or "")) for r in rows]
     assert sorted(((r[0], bytes(r[1]), r[2]) for r in got.collect()), key=repr) == sorted(want, key=repr)
+    together = op.bpe_encode(documents(spark, rows), decoded=True)
+    assert together.columns == got.columns and sorted(map(str, together.collect())) == sorted(map(str, got.collect()))
     empty = op.bpe_decode(op.bpe_encode(documents(spark, [])))
     assert empty.columns == got.columns and empty.count() == 0
 

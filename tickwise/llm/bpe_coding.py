@@ -36,14 +36,14 @@ from pyspark.sql import functions as F
 
 from .common import on_workers
 
-CACHE_WORDS = 300_000     # words whose ids a worker remembers (memory bound, no effect on results)
+CACHE_WORDS = 150_000     # words whose ids a worker remembers (memory bound, no effect on results)
 CACHE_PAIRS = 500_000     # token pairs whose test is remembered within a long word (likewise)
 LONG_WORD = 64            # bytes above which a word is encoded alone (likewise)
-LEARN_WORDS = 50_000      # shorter words encoded together at most (likewise)
-PART_BYTES = 4_000_000    # characters of text, or bytes of ids, worked on together
+LEARN_WORDS = 20_000      # shorter words encoded together at most (likewise)
+PART_BYTES = 1_000_000    # characters of text, or bytes of ids, worked on together
 
 #: Up to here the classes of letters, numbers and spaces are the same in every Unicode version;
-#: texts with later characters are cut by the tokenizer file's own pre-tokeniser.
+#: texts with later characters are cut by the library's pre-tokeniser.
 STABLE = 0x24F
 
 
@@ -207,7 +207,7 @@ class PrefixEncoder:
 
     def __init__(self, path: str):
         import numpy as np
-        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
         self.vocabulary = Vocabulary(path)
         self.ends = SuffixMatcher(self.vocabulary.tokens())
         self.fits = PairTest(self.vocabulary)
@@ -216,7 +216,7 @@ class PrefixEncoder:
             self.lengths[i] = len(t)
         self.words = word_pattern()
         self.late = re.compile(f"[^\\x00-{chr(STABLE)}]")
-        self.own = Tokenizer.from_file(path).pre_tokenizer
+        self.own = ByteLevel(add_prefix_space=False)
         added = sorted(self.vocabulary.added, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
         self.seen: dict[str, bytes] = {}
@@ -329,6 +329,8 @@ def _encoder(path: str) -> PrefixEncoder:
 
 
 def _bytes_of(path: str) -> dict[int, bytes]:
+    if path in _ENCODERS:
+        return _ENCODERS[path].vocabulary.bytes_of
     if path not in _BYTES:
         _BYTES[path] = Vocabulary(path).bytes_of
     return _BYTES[path]
@@ -363,21 +365,24 @@ def _parts(batch):
         yield ids, values
 
 
-def bpe_encode(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
-    """(doc_id, ids) for every row; ids: little-endian uint32, in order."""
+def bpe_encode(docs: DataFrame, tokenizer: str | None = None, decoded: bool = False) -> DataFrame:
+    """(doc_id, ids) for every row; ids: little-endian uint32, in order.  With
+    ``decoded`` also what :func:`bpe_decode` makes of the ids, in the same pass."""
     path = tokenizer or default_tokenizer()
 
     def run(batches):
         import pyarrow as pa
         encode = _encoder(path)
         for b in batches:
-            for ids, texts in _parts(b):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(encode([t or "" for t in texts]), pa.binary())],
-                    names=["doc_id", "ids"])
+            for doc_ids, texts in _parts(b):
+                ids = encode([t or "" for t in texts])
+                columns = [pa.array(doc_ids, pa.int64()), pa.array(ids, pa.binary())]
+                if decoded:
+                    columns.append(pa.array([decode(i, _bytes_of(path)) for i in ids], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"][:len(columns)])
 
     return on_workers(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, ids binary")
+        run, "doc_id long, ids binary" + (", decoded string" if decoded else ""))
 
 
 def bpe_decode(encoded: DataFrame, tokenizer: str | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .best_fit_packing import best_fit_packing
-from .bpe_coding import bpe_decode, bpe_encode
+from .bpe_coding import bpe_encode
 from .common import table
 from .decontamination import contamination
 from .language_id import language_id
@@ -145,7 +145,7 @@ def op10(spark, sf_dir):
 
 
 def op11(spark, sf_dir):
-    coded = bpe_decode(bpe_encode(table(spark, sf_dir, "documents")))
+    coded = bpe_encode(table(spark, sf_dir, "documents"), decoded=True)
     return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                         F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
