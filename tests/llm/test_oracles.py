@@ -5,7 +5,7 @@ import __spark_entry__ as E
 from oracle_check import check, duck
 
 SF = "/root/testdata/sf0.001"
-NAMES = ["op3_topk_search", "op6_line_dedup", "op9_decontamination"]
+NAMES = ["op3_topk_search", "op6_line_dedup", "op9_decontamination", "op12_collocations"]
 
 
 def test_every_operator_has_a_query():

@@ -174,7 +174,8 @@ def _renumbered(chunks: DataFrame, numbers: DataFrame, apply) -> DataFrame:
         return pa.table({"chunk": pa.array([key[0].as_py()] * len(out), pa.int64()), "symbols": pa.array(out, pa.binary())})
 
     return (chunks.select("chunk", "symbols").groupBy("chunk")
-            .cogroup(numbers.select("chunk", "a", "b", "id").groupBy("chunk")).applyInArrow(run, schema))
+            .cogroup(numbers.select("chunk", "a", "b", "id").toDF("of", "a", "b", "id").groupBy("of"))
+            .applyInArrow(run, schema))
 
 
 def _of_words(codes: bytes, local, _, ids):
@@ -244,8 +245,7 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = M
         kept.append(table.select("lang", "phrase", F.col("f").alias("a"), F.lit(size).alias("size")))
     shares = reduce(DataFrame.union, [t.select("lang", "phrase", "f") for t in tables])
     cut = reduce(DataFrame.union, kept).withColumn("k", F.explode(F.sequence(F.lit(1), F.col("size") - 1)))
-    head, rest = F.substring_index("phrase", " ", 1), F.expr("substring_index(phrase, ' ', k - size)")
-    head = F.expr("substring_index(phrase, ' ', k)")
+    head, rest = F.expr("substring_index(phrase, ' ', k)"), F.expr("substring_index(phrase, ' ', k - size)")
     scored = (cut.select("*", head.alias("head"), rest.alias("rest"))
               .join(shares.select("lang", F.col("phrase").alias("head"), F.col("f").alias("l")), ["lang", "head"])
               .join(shares.select("lang", F.col("phrase").alias("rest"), F.col("f").alias("r")), ["lang", "rest"])

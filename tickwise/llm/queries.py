@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from .best_fit_packing import best_fit_packing
 from .bpe_coding import bpe_encode
+from .collocations import collocations
 from .common import table
 from .decontamination import contamination
 from .language_id import language_id
@@ -151,6 +152,51 @@ def op11(spark, sf_dir):
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op12(spark, sf_dir):
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+SQL_OP12 = """
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) as piece
+  from documents
+), words as (
+  select lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda w: w <> '') as w from pieces
+), totals as (
+  select lang, sum(len(w)) as n from words group by lang
+), starts as (
+  select lang, w, m, unnest(range(0, len(w) - m + 1)) as s
+  from words cross join (values (1), (2), (3), (4), (5)) sizes(m) where len(w) >= m
+), f as (
+  select lang, m, w[s + 1:s + m] as p, count(*) as f from starts group by all having count(*) >= 100
+), inside as (
+  select distinct lang, p[i + 1:i + size] as p, f
+  from (select lang, p, f, size, unnest(range(0, m - size + 1)) as i
+        from f cross join (values (2), (3), (4)) sizes(size) where m > size)
+), candidates as (
+  select f.* from f where m >= 2
+    and not exists (select 1 from inside i where i.lang = f.lang and i.p = f.p and 100 * i.f >= 100 * f.f)
+), cut as (
+  select c.lang, c.p, c.f as a, k, l.f as l, r.f as r, n,
+         (1000::hugeint * c.f * n) // (l.f::hugeint * r.f) as score
+  from (select *, unnest(range(1, m)) as k from candidates) c
+  join f l on l.lang = c.lang and l.p = c.p[1:k]
+  join f r on r.lang = c.lang and r.p = c.p[k + 1:c.m]
+  join totals on totals.lang = c.lang
+), lowest as (
+  select *, row_number() over (partition by lang, p order by score, k) as place from cut
+), ranked as (
+  select lang, array_to_string(p, ' ') as phrase, a, l, r, n, score,
+         row_number() over (partition by lang order by score desc, a desc, array_to_string(p, ' ')) as rank
+  from lowest where place = 1
+)
+select lang, cast(rank as bigint) as rank, phrase, cast(a as bigint) as a, cast(l as bigint) as l,
+       cast(r as bigint) as r, cast(n as bigint) as n, cast(score as bigint) as score
+from ranked where rank <= 2000
+"""
+
+
 def queries():
     return {
         "op1_best_fit_packing": op1,
@@ -164,6 +210,7 @@ def queries():
         "op9_decontamination": op9,
         "op10_secret_scan": op10,
         "op11_bpe_coding": op11,
+        "op12_collocations": op12,
     }
 
 
@@ -172,4 +219,5 @@ def oracle_sql():
         "op3_topk_search": SQL_OP3,
         "op6_line_dedup": SQL_OP6,
         "op9_decontamination": SQL_OP9,
+        "op12_collocations": SQL_OP12,
     }
