@@ -37,7 +37,7 @@ from .common import ASCII_LOWER, ASCII_UPPER, on_workers, stored
 MIN_COUNT = 100
 MAX_WORDS = 5
 TOP = 2000
-CHUNK_TOKENS = 1 << 19    # words of a chunk, about (a piece is never cut); no effect on results
+CHUNK_TOKENS = 1 << 17    # words of a chunk, about (a piece is never cut); no effect on results
 SLICE = 1 << 22           # bytes of text split at a time
 TILE = 1 << 10
 DENSE = TILE * TILE // 8  # pairs from which a tile is counted in a dense array
@@ -45,7 +45,7 @@ DENSE = TILE * TILE // 8  # pairs from which a tile is counted in a dense array
 BREAKS = b".,;:!?\x0A\x0B\x0C\x0D"
 _TABLE = bytes.maketrans(ASCII_UPPER.encode() + BREAKS + b"\t", ASCII_LOWER.encode() + b"\n" * len(BREAKS) + b" ")
 
-CHUNKS = "lang string, tokens long, words array<string>, counts array<long>, codes binary"
+CHUNKS = "chunk long, lang string, local long, word string, n long, codes binary"
 
 
 class _Numbers(dict):
@@ -81,42 +81,55 @@ class _Chunk:
             at = end
         self.codes.append(np.array([-1], np.int32))
 
-    def row(self) -> tuple:
+    def result(self) -> tuple:
+        """The words, how often each occurs, and the text as places in them."""
         import numpy as np
         codes = np.concatenate(self.codes)
         counts = np.bincount(codes[codes >= 0], minlength=len(self.numbers) - 2)
-        words = [w.decode("utf-8", "replace") for w in list(self.numbers)[2:]]
-        return int(counts.sum()), words, counts, codes.tobytes()
+        return [w.decode("utf-8", "replace") for w in list(self.numbers)[2:]], counts, codes.tobytes()
 
 
 def word_chunks(docs: DataFrame) -> DataFrame:
-    """Rows of (lang, tokens, words, counts, codes): int32 places in ``words``
-    of about ``CHUNK_TOKENS`` words, -1 between pieces."""
+    """Texts in chunks of one language and about ``CHUNK_TOKENS`` words.  Rows
+    (chunk, lang, local, word, n) for a chunk's distinct words, numbered by
+    ``local``, and a row (chunk, lang, codes): these numbers (int32) in the
+    order of the text, -1 between pieces."""
     def run(batches):
+        import numpy as np
         import pyarrow as pa
+        from pyspark import TaskContext
+        names = ["chunk", "lang", "local", "word", "n", "codes"]
+        next_id = TaskContext.get().partitionId() << 32
+        chunks: dict[str, _Chunk] = {}
 
-        def out(lang, chunk):
-            tokens, words, counts, codes = chunk.row()
-            columns = [pa.array([lang]), pa.array([tokens], pa.int64()), pa.array([words], pa.list_(pa.string())),
-                       pa.array([counts], pa.list_(pa.int64())), pa.array([codes], pa.binary())]
-            return pa.RecordBatch.from_arrays(columns, names=["lang", "tokens", "words", "counts", "codes"])
+        def out(lang):
+            nonlocal next_id
+            words, counts, codes = chunks.pop(lang).result()
+            size = len(words)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([next_id], pa.int64()), pa.array([lang]), pa.nulls(1, pa.int64()), pa.nulls(1, pa.string()),
+                 pa.nulls(1, pa.int64()), pa.array([codes], pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(size, next_id, np.int64)), pa.array([lang] * size, pa.string()),
+                 pa.array(np.arange(size, dtype=np.int64)), pa.array(words, pa.string()),
+                 pa.array(counts.astype(np.int64)), pa.nulls(size, pa.binary())], names=names)
+            next_id += 1
 
-        chunks: dict[str, _Chunk] = {}
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1)):
                 chunk = chunks.setdefault(lang, _Chunk())
                 chunk.add(text.as_py() or b"")
                 if chunk.size >= CHUNK_TOKENS:
-                    yield out(lang, chunks.pop(lang))
+                    yield from out(lang)
                 elif sum(c.size for c in chunks.values()) >= 4 * CHUNK_TOKENS:
-                    for lang in list(chunks):
-                        yield out(lang, chunks.pop(lang))
-        for lang, chunk in chunks.items():
-            yield out(lang, chunk)
+                    for each in list(chunks):
+                        yield from out(each)
+        for lang in list(chunks):
+            yield from out(lang)
 
     rows = on_workers(docs).select(F.coalesce(F.col("lang").cast("string"), F.lit("und")),
                                    F.col("text").cast("string").cast("binary"))
-    return rows.mapInArrow(run, CHUNKS).withColumn("chunk", F.monotonically_increasing_id())
+    return rows.mapInArrow(run, CHUNKS)
 
 
 def tile_counts(a, b):
@@ -209,17 +222,18 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT,
     and more: (id, lang, phrase, last, f, a, b), a and b being the ids of the
     phrase without its last and without its first word; and (lang, n)."""
     chunks = stored(word_chunks(docs), "op12-words")
-    totals = stored(chunks.groupBy("lang").agg(F.sum("tokens").alias("n")), "op12-totals")
-    places = chunks.select("chunk", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("local", "of")).select(
-        "chunk", "lang", "local", F.col("of.words").alias("phrase"), F.col("of.counts").alias("n"))
-    counted = places.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
+    places = chunks.where(F.col("codes").isNull()).select("chunk", "lang", "local", F.col("word").alias("phrase"), "n")
+    counts = stored(places.groupBy("lang", "phrase").agg(F.sum("n").alias("f")), "op12-counts")
+    totals = stored(counts.groupBy("lang").agg(F.sum("f").alias("n")), "op12-totals")
+    counted = counts.where(F.col("f") >= min_count)
     words = with_sequence(counted, F.desc("f"), "lang", "phrase", column="id", name="op12-numbers")
     none = F.lit(None).cast("long")
     tables = [stored(words.select("id", "lang", "phrase", F.col("phrase").alias("last"), "f", none.alias("a"),
                                   none.alias("b")), "op12-phrases")]
     numbers = places.join(tables[0].select("lang", "phrase", "id"), ["lang", "phrase"]).select(
-        "chunk", F.col("local").cast("long").alias("a"), F.lit(0).cast("long").alias("b"), "id")
-    level = stored(_renumbered(chunks.withColumnRenamed("codes", "symbols"), numbers, _of_words), "op12-symbols")
+        "chunk", F.col("local").alias("a"), F.lit(0).cast("long").alias("b"), "id")
+    texts = chunks.where(F.col("codes").isNotNull()).select("chunk", F.col("codes").alias("symbols"))
+    level = stored(_renumbered(texts, numbers, _of_words), "op12-symbols")
     while True:
         counted = (chunk_pairs(level).groupBy("a", "b").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count))
         found = with_sequence(counted, F.desc("f"), "a", "b", column="id", name="op12-numbers")

@@ -17,6 +17,7 @@ from .pii import pii_spans
 from .secret_scan import digests as secret_digests
 from .secret_scan import secret_scan
 from .simhash_dedup import hex16, simhash_components
+from .spelling_variants import spelling_variants
 from .toxicity import toxicity_scores
 from .topk_search import QUERY_EVERY, exact_top_k, quantised
 
@@ -197,6 +198,10 @@ from ranked where rank <= 2000
 """
 
 
+def op13(spark, sf_dir):
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def queries():
     return {
         "op1_best_fit_packing": op1,
@@ -211,6 +216,7 @@ def queries():
         "op10_secret_scan": op10,
         "op11_bpe_coding": op11,
         "op12_collocations": op12,
+        "op13_spelling_variants": op13,
     }
 
 
