@@ -56,14 +56,16 @@ def test_against_brute_force(spark, min_count, top):
 
 
 def test_small_chunks_slices_and_tiles_change_nothing(spark, monkeypatch):
-    for name, value in (("CHUNK_TOKENS", 50), ("SLICE", 7), ("TILE", 4), ("DENSE", 3)):
+    for name, value in (("ROW_TOKENS", 20), ("COUNT_PAIRS", 30), ("SLICE", 7), ("TILE", 4), ("DENSE", 3)):
         monkeypatch.setattr(op, name, value)
     rows = phrases(150)
     # the workers import the module afresh: the parts they run are tested here
     chunk = op._Chunk()
     for r in rows:
         chunk.add((r[1] or "").encode())
-    words, counts, codes = chunk.result()
+    words, counts, parts = chunk.result()
+    assert len(parts) > 20 and all(np.frombuffer(p, np.int32)[-1] == -1 for p in parts)
+    codes = b"".join(parts)
     stream, lower = [], lambda t: "".join(c.lower() if "A" <= c <= "Z" else c for c in t)
     for r in rows:
         for piece in re.split("[.,;:!?\x0a-\x0d]", lower(r[1])):
@@ -75,10 +77,19 @@ def test_small_chunks_slices_and_tiles_change_nothing(spark, monkeypatch):
     a, b = rng.zipf(1.3, 5000) % 4000, rng.zipf(1.3, 5000) % 4000
     x, y, n = op.tile_counts(a, b)
     assert Counter(zip(a.tolist(), b.tolist())) == dict(zip(zip(x.tolist(), y.tolist()), n.tolist()))
+    for rows in (phrases(60), [(1, None, None, None)]):      # parts of chunks, bound when the job is made
+        got = op.collocations(documents(spark, rows), min_count=4)
+        assert sorted(map(tuple, got.collect())) == brute(rows, 4)
     none = np.array([], np.int64)
     assert [len(c) for c in op.tile_counts(none, none)] == [0, 0, 0]
 
 
+def test_rows_of_a_chunk_use_some_of_its_words():
+    local, ids = np.array([7, 1, 0]), np.array([70, 10, 0])
+    for codes, want in (([0, 1, -1, 2], [0, 10, -1, -1]), ([7, -1], [70, -1]), ([9, 1], [-1, 10]), ([], [])):
+        assert op._of_words(np.array(codes, np.int32).tobytes(), local, None, ids).tolist() == want
+
+
 def test_awkward_rows(spark):
     rows = awkward_rows()
     got = op.collocations(documents(spark, rows), min_count=3)

@@ -37,7 +37,9 @@ from .common import ASCII_LOWER, ASCII_UPPER, on_workers, stored
 MIN_COUNT = 100
 MAX_WORDS = 5
 TOP = 2000
-CHUNK_TOKENS = 1 << 17    # words of a chunk, about (a piece is never cut); no effect on results
+CHUNK_TOKENS = 1 << 18    # words of a chunk, about; no effect on results
+ROW_TOKENS = 1 << 15      # words of a row of a chunk, about (a piece is never cut); likewise
+COUNT_PAIRS = 1 << 20     # pairs counted together, about; likewise
 SLICE = 1 << 22           # bytes of text split at a time
 TILE = 1 << 10
 DENSE = TILE * TILE // 8  # pairs from which a tile is counted in a dense array
@@ -82,18 +84,24 @@ class _Chunk:
         self.codes.append(np.array([-1], np.int32))
 
     def result(self) -> tuple:
-        """The words, how often each occurs, and the text as places in them."""
+        """The words, how often each occurs, and the text as places in them,
+        cut at ends of pieces into rows."""
         import numpy as np
         codes = np.concatenate(self.codes)
         counts = np.bincount(codes[codes >= 0], minlength=len(self.numbers) - 2)
-        return [w.decode("utf-8", "replace") for w in list(self.numbers)[2:]], counts, codes.tobytes()
+        rows, ends, at = [], np.flatnonzero(codes < 0), 0
+        while at < len(codes):
+            k = min(np.searchsorted(ends, at + ROW_TOKENS), len(ends) - 1)     # the last code is an end
+            rows.append(codes[at:ends[k] + 1].tobytes())
+            at = int(ends[k]) + 1
+        return [w.decode("utf-8", "replace") for w in list(self.numbers)[2:]], counts, rows
 
 
 def word_chunks(docs: DataFrame) -> DataFrame:
     """Texts in chunks of one language and about ``CHUNK_TOKENS`` words.  Rows
     (chunk, lang, local, word, n) for a chunk's distinct words, numbered by
-    ``local``, and a row (chunk, lang, codes): these numbers (int32) in the
-    order of the text, -1 between pieces."""
+    ``local``, and rows (chunk, lang, codes): these numbers (int32) in the order
+    of the text, -1 between pieces."""
     def run(batches):
         import numpy as np
         import pyarrow as pa
@@ -104,15 +112,17 @@ def word_chunks(docs: DataFrame) -> DataFrame:
 
         def out(lang):
             nonlocal next_id
-            words, counts, codes = chunks.pop(lang).result()
-            size = len(words)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([next_id], pa.int64()), pa.array([lang]), pa.nulls(1, pa.int64()), pa.nulls(1, pa.string()),
-                 pa.nulls(1, pa.int64()), pa.array([codes], pa.binary())], names=names)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(size, next_id, np.int64)), pa.array([lang] * size, pa.string()),
-                 pa.array(np.arange(size, dtype=np.int64)), pa.array(words, pa.string()),
-                 pa.array(counts.astype(np.int64)), pa.nulls(size, pa.binary())], names=names)
+            words, counts, rows = chunks.pop(lang).result()
+            for codes in rows:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([next_id], pa.int64()), pa.array([lang]), pa.nulls(1, pa.int64()),
+                     pa.nulls(1, pa.string()), pa.nulls(1, pa.int64()), pa.array([codes], pa.binary())], names=names)
+            for i in range(0, len(words), ROW_TOKENS):
+                part = words[i:i + ROW_TOKENS]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(part), next_id, np.int64)), pa.array([lang] * len(part), pa.string()),
+                     pa.array(np.arange(i, i + len(part), dtype=np.int64)), pa.array(part, pa.string()),
+                     pa.array(counts[i:i + len(part)].astype(np.int64)), pa.nulls(len(part), pa.binary())], names=names)
             next_id += 1
 
         for b in batches:
@@ -161,16 +171,32 @@ def _pairs_at(symbols: bytes):
     return s[at], s[at + 1], at, len(s)
 
 
-def chunk_pairs(chunks: DataFrame) -> DataFrame:
-    """(chunk, a, b, n): how often symbol b follows a, chunk by chunk."""
+def counted_pairs(chunks: DataFrame, by_chunk: bool) -> DataFrame:
+    """(chunk, a, b, n): how often symbol b follows a; ``by_chunk``: each
+    chunk's pairs by themselves, else many chunks' together (chunk: null)."""
     def run(batches):
         import numpy as np
         import pyarrow as pa
+
+        def out(chunk, held):
+            a, b, n = tile_counts(*(np.concatenate(c) for c in zip(*held)))
+            for i in range(0, len(a), ROW_TOKENS):
+                x, y, z = a[i:i + ROW_TOKENS], b[i:i + ROW_TOKENS], n[i:i + ROW_TOKENS].astype(np.int64)
+                of = pa.array(np.full(len(x), chunk, np.int64)) if by_chunk else pa.nulls(len(x), pa.int64())
+                yield pa.RecordBatch.from_arrays([of, pa.array(x), pa.array(y), pa.array(z)],
+                                                 names=["chunk", "a", "b", "n"])
+
+        held, size, last = [], 0, None
         for batch in batches:
             for chunk, symbols in zip(batch.column(0).to_pylist(), batch.column(1)):
-                a, b, n = tile_counts(*_pairs_at(symbols.as_py())[:2])
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), chunk, np.int64)), pa.array(a), pa.array(b),
-                                                  pa.array(n.astype(np.int64))], names=["chunk", "a", "b", "n"])
+                if held and (size >= COUNT_PAIRS or by_chunk and chunk != last):
+                    yield from out(last, held)
+                    held, size = [], 0
+                a, b = _pairs_at(symbols.as_py())[:2]
+                held.append((a, b))
+                size, last = size + len(a), chunk
+        if held:
+            yield from out(last, held)
 
     return chunks.select("chunk", "symbols").mapInArrow(run, "chunk long, a long, b long, n long")
 
@@ -194,7 +220,8 @@ def _renumbered(chunks: DataFrame, numbers: DataFrame, apply) -> DataFrame:
 def _of_words(codes: bytes, local, _, ids):
     import numpy as np
     codes = np.frombuffer(codes, np.int32)
-    number = np.full(codes.max(initial=-1) + 2, -1, np.int64)     # the last one is for -1
+    size = max(codes.max(initial=-1), local.max(initial=-1)) + 2
+    number = np.full(size, -1, np.int64)         # the last one is for -1
     number[local] = ids
     return number[codes]
 
@@ -202,7 +229,7 @@ def _of_words(codes: bytes, local, _, ids):
 def _of_pairs(symbols: bytes, a, b, ids):
     import numpy as np
     x, y, at, size = _pairs_at(symbols)
-    known = np.unique(np.concatenate((a, b)))
+    known = np.unique(np.concatenate((a, b)))     # a pair may come twice, with the same id
     out = np.full(size, -1, np.int64)
     if not len(known):
         return out
@@ -235,7 +262,7 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT,
     texts = chunks.where(F.col("codes").isNotNull()).select("chunk", F.col("codes").alias("symbols"))
     level = stored(_renumbered(texts, numbers, _of_words), "op12-symbols")
     while True:
-        counted = (chunk_pairs(level).groupBy("a", "b").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count))
+        counted = (counted_pairs(level, False).groupBy("a", "b").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count))
         found = with_sequence(counted, F.desc("f"), "a", "b", column="id", name="op12-numbers")
         first = tables[-1].select(F.col("id").alias("a"), "lang", F.col("phrase").alias("head"))
         then = tables[-1].select(F.col("id").alias("b"), "last")
@@ -244,7 +271,7 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT,
         tables.append(found)
         if len(tables) == max_words or found.isEmpty():
             return tables, totals
-        numbers = chunk_pairs(level).join(found.select("a", "b", "id"), ["a", "b"])
+        numbers = counted_pairs(level, True).join(found.select("a", "b", "id"), ["a", "b"])
         level = stored(_renumbered(level, numbers, _of_pairs), "op12-symbols")
 
 
