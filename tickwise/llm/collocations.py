@@ -39,7 +39,7 @@ MAX_WORDS = 5
 TOP = 2000
 CHUNK_TOKENS = 1 << 18    # words of a chunk, about; no effect on results
 ROW_TOKENS = 1 << 15      # words of a row of a chunk, about (a piece is never cut); likewise
-COUNT_PAIRS = 1 << 20     # pairs counted together, about; likewise
+COUNT_PAIRS = 1 << 18     # pairs counted together, about; likewise
 SLICE = 1 << 22           # bytes of text split at a time
 TILE = 1 << 10
 DENSE = TILE * TILE // 8  # pairs from which a tile is counted in a dense array
