@@ -496,6 +496,31 @@ def q_count_window_stream(spark, d):
     return R.run_to_table(spark, count_window_stream(RT.parsed_ticks(stream), X.WINDOW), "w2")
 
 
+def _register_replays():
+    for slices in (1, 3):
+        @register(f"count_window_stream_{slices}mb", _SQL["count_window_stream"])
+        def q(spark, d, slices=slices):
+            """W2 cut into as many micro-batches."""
+            stream = R.stage(spark, _messages(spark, d), "w2", slices)
+            return R.run_to_table(spark, count_window_stream(RT.parsed_ticks(stream), X.WINDOW), "w2")
+
+
+_register_replays()
+_ONE = "order by tick_id nulls first rows between 99 preceding and current row"
+
+
+@register("count_window_hot_key",
+          f"select 'all' as symbol, timestampvalue, tick_id, cast(floor(price * 100) as double) as price, "
+          f"cast(volume as double) as volume, avg(cast(floor(price * 100) as double)) over ({_ONE}) as priceavg, "
+          f"avg(volume) over ({_ONE}) as volumeavg from ({PARSED_SQL}) t")
+def q_count_window_hot_key(spark, d):
+    """W2 over 100 ticks, all of one key, in three micro-batches, of which only
+    a thousand rows are put in order in memory at a time."""
+    ticks = RT.parsed_ticks(R.stage(spark, _messages(spark, d), "w2h", 3))
+    one = ticks.withColumn("symbol", F.lit("all")).withColumn("price", F.floor(F.col("price") * 100).cast("double"))
+    return R.run_to_table(spark, count_window_stream(one, 100, held_rows=1000), "w2h")
+
+
 @register("count_window_stream_split",
           f"select symbol, timestampvalue, tick_id, price, cast(volume as double) as volume, "
           f"avg(price) over ({_W}) as priceavg, avg(volume) over ({_W}) as volumeavg "

@@ -123,23 +123,35 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
-class shuffle_partitions:
-    """Context manager: ``spark.sql.shuffle.partitions`` set to ``n`` inside
-    (unchanged for ``None``).  A streaming query copies the session settings
-    when it starts and keeps the number of state partitions in its checkpoint,
-    so wrapping ``start()`` fixes the number of state store partitions of a
-    new query without touching the caller's session afterwards."""
+class session_settings:
+    """Context manager: session settings inside, the old ones after.  A
+    streaming query copies the settings when it starts, so wrapping ``start()``
+    fixes them for that query without touching the caller's session."""
 
-    def __init__(self, spark: SparkSession, n: int | None):
-        self.spark, self.n, self.old = spark, n, None
+    def __init__(self, spark: SparkSession, settings: dict[str, str]):
+        self.spark, self.settings, self.old = spark, settings, {}
 
     def __enter__(self):
-        if self.n:
-            self.old = self.spark.conf.get("spark.sql.shuffle.partitions")
-            self.spark.conf.set("spark.sql.shuffle.partitions", str(int(self.n)))
+        for k, v in self.settings.items():
+            self.old[k] = self.spark.conf.get(k, None)
+            self.spark.conf.set(k, v)
         return self
 
     def __exit__(self, *exc):
-        if self.n:
-            self.spark.conf.set("spark.sql.shuffle.partitions", self.old)
+        for k, v in self.old.items():
+            if v is None:
+                self.spark.conf.unset(k)
+            else:
+                self.spark.conf.set(k, v)
         return False
+
+
+def keyed_state(spark: SparkSession, partitions: int | None = None) -> session_settings:
+    """Settings a query with keyed state is started with: the RocksDB state
+    store, and ``partitions`` state store partitions where given (kept in the
+    checkpoint, so they stay as they are on later starts)."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    settings = {key: DEFAULT_CONF[key]}
+    if partitions:
+        settings["spark.sql.shuffle.partitions"] = str(int(partitions))
+    return session_settings(spark, settings)

@@ -1,46 +1,40 @@
 """Sliding count window (size n, slide 1) per key over a stream.
 
 Structured Streaming has no count window, so it is a keyed stateful operator
-(``applyInPandasWithState``): the state of a key is its last ``n-1`` prices and
-volumes (O(n) per key, independent of the data size).  Each micro-batch brings
-a key's new ticks; they are put in arrival order, prepended with the state and
-every tick emits ``(last ts, last price, last volume, mean price, mean volume)``
-over the last ``min(n, seen)`` ticks, as the source's count window did.
+(``transformWithStateInPandas``, see ``keyed_window``): the state of a key is
+its last ``n-1`` prices and volumes (O(n) per key, independent of the data
+size).  Each micro-batch brings a key's new ticks; they are put in arrival
+order and every tick emits ``(last ts, last price, last volume, mean price,
+mean volume)`` over the last ``min(n, seen)`` ticks, as the source's count
+window did.
 
 Arrival order: a shuffle does not keep it, so inside a micro-batch the ticks
 of a key are ordered by the message offset (``tick_id``) alone; across
 micro-batches the batch order is the arrival order.  The result therefore does
 not depend on where the micro-batches are cut, whatever the ticks' timestamps.
 
-Group size: a key's rows in one micro-batch are one pandas frame.  When one key
-can hold a large share of a micro-batch, use the skew-safe variant below
-(:func:`count_window_microbatch`): the same window per micro-batch with a state
-table instead of the state store, hot keys split into offset ranges like the
-batch window.
+Group size: a key's rows are taken as an iterator and put in order a range at a
+time, so one key may hold a whole micro-batch.  Its windows are still computed
+by one task; where that is too slow, :func:`count_window_microbatch` splits hot
+keys into offset ranges like the batch window, with a state table instead of
+the state store.
 """
 
 from __future__ import annotations
 
 import warnings
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
 
-# PySpark's state serializer concatenates frames with all-NA columns; recent
-# pandas warns about that on every group.  Silence that one message.
+# frames with all-NA columns are concatenated; recent pandas warns about that
+# on every group.  Silence that one message.
 warnings.filterwarnings("ignore", message="The behavior of DataFrame concatenation with empty",
                         category=FutureWarning)
 
-STATE_SCHEMA = T.StructType([
-    T.StructField("prices", T.ArrayType(T.DoubleType())),
-    T.StructField("volumes", T.ArrayType(T.DoubleType())),
-])
-
 
 def window_means(prev: np.ndarray, new: np.ndarray, n: int) -> np.ndarray:
     """Mean over the last ``min(n, seen)`` values for every new value, summed
@@ -58,53 +52,27 @@ def window_means(prev: np.ndarray, new: np.ndarray, n: int) -> np.ndarray:
     return s / cnt
 
 
-def _count_window_fn(n: int, key: str, order: Sequence[str]):
-    order = list(order)
-
-    def fn(k: tuple, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(pdfs), ignore_index=True)
-        if pdf.empty:
-            return
-        pdf = pdf.sort_values(order, kind="stable", na_position="first").reset_index(drop=True)
-        if state.exists:
-            prev_p, prev_v = state.get
-            prev_p = np.asarray(prev_p or [], dtype="float64")
-            prev_v = np.asarray(prev_v or [], dtype="float64")
-        else:
-            prev_p = prev_v = np.zeros(0)
-        price = pdf["price"].astype("float64").to_numpy()
-        volume = pdf["volume"].astype("float64").to_numpy()
-        pdf["priceavg"] = window_means(prev_p, price, n)
-        pdf["volumeavg"] = window_means(prev_v, volume, n)
-        keep = n - 1
-        all_p = np.concatenate([prev_p, price])[-keep:] if keep else np.zeros(0)
-        all_v = np.concatenate([prev_v, volume])[-keep:] if keep else np.zeros(0)
-        state.update((all_p.tolist(), all_v.tolist()))
-        pdf["price"] = price
-        pdf["volume"] = volume
-        yield pdf
-
-    return fn
-
-
 def count_window_stream(ticks: DataFrame, n: int, key: str = "symbol",
-                        order: Sequence[str] = ("tick_id",)) -> DataFrame:
-    """Streaming (or batch) DataFrame of ticks -> ticks with ``priceavg`` and
-    ``volumeavg`` over the key's last ``n`` ticks.  Output mode: append."""
+                        order: Sequence[str] = ("tick_id",), held_rows: int | None = None) -> DataFrame:
+    """Streaming DataFrame of ticks -> ticks with ``priceavg`` and
+    ``volumeavg`` over the key's last ``n`` ticks.  Output mode: append.  Start
+    it with the RocksDB state store (``session.DEFAULT_CONF``, or
+    ``session.keyed_state`` around ``start()``).  ``held_rows``: rows of a key
+    put in order in memory at a time (no effect on results)."""
+    from ..session import ship_package
+    from .keyed_window import HELD_ROWS, CountWindow
     if n < 1:
         raise ValueError("window size must be >= 1")
-    from ..session import ship_package
-    ship_package(ticks.sparkSession)           # the state function runs in Python workers
+    ship_package(ticks.sparkSession)           # the processor runs in Python workers
     cols = [key, *[c for c in ("timestampvalue", "tick_id") if c in ticks.columns and c != key]]
     src = ticks.select(*cols, "price", "volume")
     fields = {f.name: f for f in src.schema.fields}
     out_schema = T.StructType([fields[c] for c in cols] + [
         T.StructField("price", T.DoubleType()), T.StructField("volume", T.DoubleType()),
         T.StructField("priceavg", T.DoubleType()), T.StructField("volumeavg", T.DoubleType())])
-    return src.groupBy(key).applyInPandasWithState(
-        _count_window_fn(n, key, [c for c in order if c in cols]),
-        outputStructType=out_schema, stateStructType=STATE_SCHEMA,
-        outputMode="append", timeoutConf=GroupStateTimeout.NoTimeout)
+    processor = CountWindow(n, [c for c in order if c in cols], held_rows or HELD_ROWS)
+    return src.groupBy(key).transformWithStateInPandas(
+        processor, outputStructType=out_schema, outputMode="Append", timeMode="None")
 
 
 # ---- skew-safe variant: count window per micro-batch with a state table ------------

@@ -52,9 +52,9 @@ def _start(writer, spark: SparkSession, trigger: dict | None,
     query with keyed state gets ``state_partitions`` state store partitions
     (default: ``spark.sql.shuffle.partitions``); size it to the key count and
     state size: it cannot change later without a new checkpoint."""
-    from ..session import shuffle_partitions
+    from ..session import keyed_state
     w = writer.trigger(**(trigger or {"availableNow": True}))
-    with shuffle_partitions(spark, state_partitions):
+    with keyed_state(spark, state_partitions):
         return w.start()
 
 
