@@ -121,11 +121,16 @@ def hist_ratio_query(trans: DataFrame, width: int = TOD_WIDTH, rounded: bool = T
     groups = latest_by_tod(trans, width, averaged=True)
     latest_rows = semi_latest(trans, groups)
     j = hist_join_latest(groups.drop("max_ts"), latest_rows, width)
+    return history_columns(j, rounded)
+
+
+def history_columns(joined: DataFrame, rounded: bool = True) -> DataFrame:
+    """The history table's columns of Q2's join."""
     r = round5 if rounded else (lambda c: F.col(c))
-    return j.select("symbol", F.col("timehhmmss").alias(TS),
-                    r("avgprice").alias("avgprice"), r("pricechange").alias("pricechange"),
-                    r("avgvol").alias("avgvolume"), r("volumechange").alias("volumechange"),
-                    r("ratio").alias("ratio"), r("historicalratio").alias("histratio"))
+    return joined.select("symbol", F.col("timehhmmss").alias(TS),
+                         r("avgprice").alias("avgprice"), r("pricechange").alias("pricechange"),
+                         r("avgvol").alias("avgvolume"), r("volumechange").alias("volumechange"),
+                         r("ratio").alias("ratio"), r("historicalratio").alias("histratio"))
 
 
 def hist_ratio_strict(trans: DataFrame, width: int = TOD_WIDTH, rounded: bool = True) -> DataFrame:
@@ -142,6 +147,45 @@ def hist_ratio_strict(trans: DataFrame, width: int = TOD_WIDTH, rounded: bool =
                     r("_last.ratio").alias("ratio"), r("historicalratio").alias("histratio"))
 
 
+# ---- Q2 kept up to date run by run ---------------------------------------------------
+#
+# A run's new rows have timestamps of their own (J1), so what Q2 needs of all
+# earlier rows is one row per (symbol, time of day), and the rows at timestamps
+# that are the latest of some group: a group's latest timestamp stays one of
+# these or becomes one of the new rows'.
+
+GROUPS = "symbol string, timehhmmss string, total double, n long, max_ts string"
+
+
+def group_partials(trans: DataFrame, width: int = TOD_WIDTH) -> DataFrame:
+    """Sum and count of the ratios and latest timestamp per (symbol, time of day)."""
+    latest = latest_by_tod(trans, width)
+    sums = trans.groupBy("symbol", tod(TS, width).alias("timehhmmss")).agg(
+        F.coalesce(F.sum("ratio"), F.lit(0.0)).alias("total"), F.count("ratio").alias("n"))
+    same = [F.col(f"s.{c}").eqNullSafe(F.col(f"l.{c}")) for c in ("symbol", "timehhmmss")]
+    return sums.alias("s").join(latest.alias("l"), same[0] & same[1]).select("s.*", "l.max_ts")
+
+
+def merged_groups(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Groups of earlier runs and of this one, merged."""
+    both = old.unionByName(new)
+    return both.groupBy("symbol", "timehhmmss").agg(
+        F.sum("total").alias("total"), F.sum("n").alias("n"), F.max("max_ts").alias("max_ts"))
+
+
+def rows_at_latest(kept: DataFrame, delta: DataFrame, groups: DataFrame) -> DataFrame:
+    """The rows at timestamps that are now the latest of some group: from those
+    kept by the run before and from the new rows."""
+    return semi_latest(kept.unionByName(delta.select(*kept.columns)), groups)
+
+
+def hist_ratio_from_groups(groups: DataFrame, latest_rows: DataFrame, width: int = TOD_WIDTH,
+                           rounded: bool = True) -> DataFrame:
+    """Q2, faithful, from merged groups and the rows at latest timestamps."""
+    mean = groups.select("symbol", "timehhmmss", F.try_divide("total", "n").alias("historicalratio"))
+    return history_columns(hist_join_latest(mean, latest_rows, width), rounded)
+
+
 def tod_avg_price_volume(ticks: DataFrame, width: int = TOD_WIDTH) -> DataFrame:
     """``avg(price), avg(volume)`` per (symbol, time of day)."""
     return (ticks.groupBy("symbol", tod(TS, width).alias("timehhmmss"))

@@ -117,6 +117,15 @@ def whole_number_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
         "timestampvalue", F.when(F.col("symbol") == BURST_SYMBOL, F.lit(BURST_TIME)).otherwise(F.col("timestampvalue")))
 
 
+def mixed_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks whose time texts are seconds, minutes, hours, or no valid date."""
+    case = F.pmod("tick_id", F.lit(7))
+    part = lambda a, n: F.substring("timestampvalue", a, n)
+    text = (F.when(case == 0, part(1, 16)).when(case == 1, part(1, 13))
+            .when(case == 2, F.concat(part(1, 8), F.lit("31 "), part(12, 5))).otherwise(F.col("timestampvalue")))
+    return ticks(spark, sf_dir).withColumn("timestampvalue", text)
+
+
 def odd_key_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows with repeated keys, many of whose time texts are no times."""
     hour = F.substring("timestampvalue", 1, 13)
@@ -263,6 +272,13 @@ def sql_whole_number() -> str:
             f"timestampvalue, cast(floor(price * 100) as double) as price, volume, tick_id from ({sql_ticks()}) t")
 
 
+def sql_mixed() -> str:
+    part = lambda a, n: f"substring(timestampvalue, {a}, {n})"
+    return (f"select symbol, case tick_id % 7 when 0 then {part(1, 16)} when 1 then {part(1, 13)} "
+            f"when 2 then {part(1, 8)} || '31 ' || {part(12, 5)} else timestampvalue end as timestampvalue, "
+            f"price, volume, tick_id from ({sql_ticks()}) t")
+
+
 def sql_odd_keys() -> str:
     part = lambda a, n: f"substring(timestampvalue, {a}, {n})"
     return (f"select symbol, case tick_id % 5 when 0 then {part(1, 13)} "

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.columns import TOD_WIDTH
 from ..operators.history import hist_ratio_query, ratio_query
 from ..session import new_path
-from ..sources.sinks import RUN, append_table, read_or_none, read_run, runs_of, upsert_last_wins
+from ..sources.sinks import RUN, append_partitioned_by_symbol, append_table, read_or_none, read_run, runs_of, upsert_last_wins
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame | None:
@@ -63,12 +63,104 @@ def run_batch_ratio_job(spark: SparkSession, ticks_path: str, transformed_path:
     ticks = spark.read.parquet(ticks_path)
     done = read_or_none(spark, transformed_path)
     rows = ratio_query(ticks, done, n)
-    append_table(rows, transformed_path, ("symbol",) if partitioned else ())
+    if partitioned:
+        append_partitioned_by_symbol(rows, transformed_path)
+    else:
+        append_table(rows, transformed_path)
     _write_history(spark, spark.read.parquet(transformed_path), history_path, width, rounded,
                    upsert, run_id)
     return run_id
 
 
+STATE_PARTS = ("index", "groups", "latest", "log")      # written in this order
+LOG = "rows long"
+
+
+class RunState:
+    """What an incremental run keeps for the next one, in ``<path>/run=<id>``:
+    index rows of its new timestamps (:mod:`operators.delta_index`), merged
+    groups and the rows at latest timestamps (see ``operators.history``), and
+    at last the number of transformed rows there are, which makes it valid."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def folder(self, run: int, part: str) -> str:
+        return f"{self.path}/{RUN}={run}/{part}"
+
+    def valid_runs(self) -> list[int]:
+        return [r for r in runs_of(self.spark, self.path)
+                if read_or_none(self.spark, self.folder(r, "log"), LOG) is not None]
+
+    def fits(self, run: int, done: DataFrame | None) -> bool:
+        """Whether the transformed table still has the rows it had then."""
+        known = self.spark.read.schema(LOG).parquet(self.folder(run, "log")).first()[0]
+        return known == (0 if done is None else done.count())
+
+    def read(self, run: int, part: str, schema) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(self.folder(run, part))
+
+    def write(self, run: int, part: str, rows: DataFrame) -> DataFrame:
+        rows.write.mode("overwrite").parquet(self.folder(run, part))
+        return self.read(run, part, rows.schema)
+
+
+def run_incremental_ratio_job(spark: SparkSession, ticks_path: str, transformed_path: str, history_path: str,
+                              state_path: str, n: int, width: int = TOD_WIDTH, rounded: bool = True,
+                              run_id: int | None = None) -> int:
+    """The batch ratio job at the cost of its new rows: J1 looks ticks up in
+    the index of transformed timestamps, Q2 merges the new rows into the stored
+    groups; the transformed table is appended to, its rows are not read (but
+    for their number, from the file footers).  Where the state does not fit the
+    table (first run, a run that failed after its append, rows added by
+    another job) it is made anew from the whole table."""
+    from pyspark.sql import functions as F
+
+    from .. import schemas as S
+    from ..operators.delta_index import delta_by_index, index_rows, read_index
+    from ..operators.history import (GROUPS, TRANSFORMED_COLS, group_partials, hist_ratio_from_groups, merged_groups,
+                                     rows_at_latest)
+    run_id = int(run_id if run_id is not None else time.time() * 1000)
+    state, done = RunState(spark, state_path), read_or_none(spark, transformed_path)
+    runs = [r for r in state.valid_runs() if r < run_id]
+    row_schema = spark.createDataFrame([], S.TRANSFORMED).select(*TRANSFORMED_COLS).schema
+    if runs and state.fits(runs[-1], done):
+        last = runs[-1]
+        groups, latest = state.read(last, "groups", GROUPS), state.read(last, "latest", row_schema)
+        known = read_index(spark, [state.folder(r, "index") for r in runs])
+        before = state.spark.read.schema(LOG).parquet(state.folder(last, "log")).first()[0]
+    else:
+        whole = spark.createDataFrame([], row_schema) if done is None else done.select(*TRANSFORMED_COLS)
+        rebuilt = new_path(spark, "state")
+        index_rows(whole).write.parquet(f"{rebuilt}/index")
+        group_partials(whole, width).write.parquet(f"{rebuilt}/groups")
+        groups = spark.read.schema(GROUPS).parquet(f"{rebuilt}/groups")
+        latest = rows_at_latest(whole, whole.limit(0), groups)
+        known, before = read_index(spark, [f"{rebuilt}/index"]), whole.count()
+        runs = []
+
+    index_path = new_path(spark, "index")
+    known.write.parquet(index_path)
+    delta = delta_by_index(spark.read.parquet(ticks_path), spark.read.schema(known.schema).parquet(index_path))
+    staged = new_path(spark, "transformed-delta")
+    ratio_query(delta, None, n).write.parquet(staged)
+    new = spark.read.schema(row_schema).parquet(staged)
+    append_table(new, transformed_path)
+
+    # a first index holds all that is known; later ones only what is new
+    rows = index_rows(new)
+    if not runs:
+        rows = rows.unionByName(spark.read.schema(known.schema).parquet(index_path).select(*rows.columns))
+    state.write(run_id, "index", rows)
+    groups = state.write(run_id, "groups", merged_groups(groups, group_partials(new, width)))
+    latest = state.write(run_id, "latest", rows_at_latest(latest, new, groups))
+    hist = one_row_per_key(hist_ratio_from_groups(groups, latest, width, rounded))
+    upsert_last_wins(spark, None, hist, f"{history_path.rstrip('/')}/{RUN}={run_id}", mode="overwrite")
+    total = new.agg((F.count("*") + F.lit(int(before))).alias("rows"))
+    state.write(run_id, "log", total)
+    return run_id
+
+
 def create_bucketed_tables(spark: SparkSession, ticks_table: str, transformed_table: str,
                            buckets: int, location: str | None = None) -> None:
     """Create the raw tick and transformed tables, both bucketed (and sorted)

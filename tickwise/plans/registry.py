@@ -649,6 +649,57 @@ def q_batch_job_history_upsert(spark, d):
     return read_history(spark, _run_job_twice(spark, d, rounded=False, upsert=True)[1])
 
 
+# the incremental job: J1 by bitmaps of timestamps, Q2 from merged groups, over texts of several forms
+_MIX = X.sql_mixed()
+_MIX1 = X.sql_ratio_query(f"select * from ({_MIX}) t where timestampvalue < '{X.SPLIT_DAY}'")
+_MIX2 = (f"select * from ({_MIX1}) a union all "
+         + X.sql_ratio_query(f"select * from ({_MIX}) t where symbol <> 'view'", _MIX1))
+MIXED_TRANS_SQL = f"select * from ({_MIX2}) a union all select * from ({X.sql_ratio_query(_MIX, _MIX2)}) b"
+
+
+def _run_incremental(spark, d):
+    """Three runs: the ticks before the split day, then those of all symbols
+    but one, then all."""
+    from .jobs import run_incremental_ratio_job
+    raw, trans, hist, state = (new_path(spark, f"inc-{x}") for x in ("raw", "trans", "hist", "state"))
+    before, late = F.col(TS) < F.lit(X.SPLIT_DAY), F.col("symbol") == "view"
+    for run, part in enumerate((before, ~before & ~late, ~before & late)):
+        X.mixed_ticks(spark, d).where(part).write.mode("append").parquet(raw)
+        run_incremental_ratio_job(spark, raw, trans, hist, state, X.WINDOW, width=W5, run_id=run)
+    return trans, hist
+
+
+@register("incremental_job_transformed", MIXED_TRANS_SQL)
+def q_incremental_job_transformed(spark, d):
+    return spark.read.parquet(_run_incremental(spark, d)[0])
+
+
+@register("incremental_job_history",
+          f"select {', '.join(H.HISTORY_COLS)} from (select *, row_number() over (partition by symbol, timestampvalue "
+          f"order by {_HIST_ORDER}) as rn from ({_sql_q2(True, MIXED_TRANS_SQL)}) h) k where rn = 1")
+def q_incremental_job_history(spark, d):
+    from .jobs import read_history
+    return read_history(spark, _run_incremental(spark, d)[1])
+
+
+_UP1, _UP2 = HIST_SQL, _sql_strict(X.sql_ratio_query(f"select * from ({T_LIVE}) t where symbol in ('click', 'view')"))
+_KEYED = "symbol, timestampvalue, avgprice, pricechange, avgvolume, volumechange, ratio, histratio"
+
+
+@register("history_upsert_buckets",
+          f"select {_KEYED} from ({_UP2}) b union all select {_KEYED} from ({_UP1}) a where not exists "
+          f"(select 1 from ({_UP2}) c where c.symbol = a.symbol and c.timestampvalue = a.timestampvalue)")
+def q_history_upsert_buckets(spark, d):
+    """K3: the second batch changes some keys of the first, misses others and
+    brings new ones; only buckets with its keys are written again."""
+    from ..sources.sinks import upsert_buckets
+    path, live = new_path(spark, "upsert-buckets"), F.col("symbol").isin("click", "view")
+    later = H.hist_ratio_strict(H.ratio_query(X.live_ticks(spark, d).where(live), None, X.WINDOW), W5)
+    for batch in (X.history(spark, d), later):
+        upsert_buckets(batch, path, 16)
+    return spark.read.parquet(path).select(*H.HISTORY_COLS)
+
+
 @register("ingest", f"select symbol, timestampvalue, price, volume, tick_id from ({T_ALL}) t")
 def q_ingest(spark, d):
     """Raw ticks by micro-batches of messages (strict parse, observed count)."""

@@ -41,8 +41,10 @@ def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 def append_partitioned_by_symbol(df: DataFrame, path: str) -> None:
     """The partitioned form of the transformed table (partition column last).
-    Many symbols mean many folders: use it for a few hundred symbols at most."""
-    append_table(df, path, ("symbol",))
+    Rows are dealt by symbol first: the adaptive rebalance splits a large symbol
+    over several tasks and gives many small ones to one, so a symbol gets a file
+    per task's share of it, not one per task of the whole job."""
+    append_table(df.hint("rebalance", "symbol"), path, ("symbol",))
 
 
 def overwrite_table(df: DataFrame, path: str) -> None:
@@ -204,6 +206,43 @@ def upsert_last_wins(spark: SparkSession, current: DataFrame | str | None, batch
     return new_path
 
 
+BUCKET = "bucket"     # partition column of a bucketed table
+
+
+def bucket_of(keys: Sequence[str], buckets: int):
+    return F.pmod(F.xxhash64(*keys), F.lit(int(buckets))).cast("int")
+
+
+def upsert_buckets(batch: DataFrame, path: str, buckets: int, keys: Sequence[str] = KEYS,
+                   seq: str | None = None) -> list[int]:
+    """K3 in place: the table at ``path`` is partitioned by a hash of the keys,
+    and only buckets that hold a key of the batch are read and replaced
+    (dynamic partition overwrite); rows of the batch win, ``seq`` orders them
+    inside it.  The merged buckets are written aside first, so the table is not
+    read while it is replaced and a failed run can be repeated.  Returns the
+    buckets replaced (at most ``buckets``); the number of buckets must be the
+    same on every call.  Null keys are keys like any other."""
+    from ..session import new_path
+    spark = batch.sparkSession
+    rows = batch.withColumn(BUCKET, bucket_of(keys, buckets))
+    rows = rows.withColumn("_s", F.lit(0)) if seq is None else rows.withColumnRenamed(seq, "_s")
+    changed = sorted(r[0] for r in rows.select(BUCKET).distinct().collect())
+    if not changed:
+        return []
+    schema = T.StructType([f for f in rows.schema.fields if f.name not in ("_s", BUCKET)]).add(BUCKET, T.IntegerType())
+    table = read_or_none(spark, path, schema)
+    rows = rows.withColumn("_v", F.lit(1))
+    if table is not None:
+        old = table.where(F.col(BUCKET).isin(changed)).withColumn("_v", F.lit(0)).withColumn(
+            "_s", F.lit(None).cast(rows.schema["_s"].dataType))
+        rows = rows.unionByName(old)
+    merged, aside = latest_per_key(rows, (*keys, BUCKET), ("_v", "_s")), new_path(spark, "upsert")
+    merged.write.parquet(aside)
+    (spark.read.schema(merged.schema).parquet(aside).repartition(min(len(changed), buckets), BUCKET)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path))
+    return changed
+
+
 def latest_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row with the largest ``order`` per key, without the order columns."""
     others = [c for c in rows.columns if c not in (*keys, *order)]
