@@ -64,13 +64,13 @@ def test_small_chunks_slices_and_tiles_change_nothing(spark, monkeypatch):
     for r in rows:
         chunk.add((r[1] or "").encode())
     words, counts, parts = chunk.result()
-    assert len(parts) > 20 and all(np.frombuffer(p, np.int32)[-1] == -1 for p in parts)
-    codes = b"".join(parts)
+    assert len(parts) > 20 and all(op.unpacked(p)[-1] == -1 for p in parts)
+    codes = np.concatenate([op.unpacked(p) for p in parts])
     stream, lower = [], lambda t: "".join(c.lower() if "A" <= c <= "Z" else c for c in t)
     for r in rows:
         for piece in re.split("[.,;:!?\x0a-\x0d]", lower(r[1])):
             stream += re.findall("[^\x20\x09]+", piece) + [None]
-    got = [None if c < 0 else words[c] for c in np.frombuffer(codes, np.int32).tolist()]
+    got = [None if c < 0 else words[c] for c in codes.tolist()]
     assert got == stream
     assert dict(zip(words, counts.tolist())) == Counter(w for w in stream if w)
     rng = np.random.default_rng(1)
@@ -87,7 +87,15 @@ def test_small_chunks_slices_and_tiles_change_nothing(spark, monkeypatch):
 def test_rows_of_a_chunk_use_some_of_its_words():
     local, ids = np.array([7, 1, 0]), np.array([70, 10, 0])
     for codes, want in (([0, 1, -1, 2], [0, 10, -1, -1]), ([7, -1], [70, -1]), ([9, 1], [-1, 10]), ([], [])):
-        assert op._of_words(np.array(codes, np.int32).tobytes(), local, None, ids).tolist() == want
+        assert op._of_words(op.packed(np.array(codes, np.int64)), local, None, ids).tolist() == want
+
+
+def test_symbols_are_packed_whole():
+    for top in (-1, 0, 254, 255, 65_534, 65_535, (1 << 32) - 2, (1 << 32) - 1, 1 << 40):
+        row = np.array([top, -1, max(top - 1, -1)], np.int64)
+        assert op.unpacked(op.packed(row)).tolist() == row.tolist()
+    assert [op.packed(np.array([t]))[0] for t in (254, 255, 65_534, 65_535, 1 << 32)] == [1, 2, 2, 4, 8]
+    assert op.unpacked(op.packed(np.array([], np.int64))).tolist() == []
 
 
 def test_awkward_rows(spark):

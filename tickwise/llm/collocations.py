@@ -50,6 +50,20 @@ _TABLE = bytes.maketrans(ASCII_UPPER.encode() + BREAKS + b"\t", ASCII_LOWER.enco
 CHUNKS = "chunk long, lang string, local long, word string, n long, codes binary"
 
 
+def packed(symbols) -> bytes:
+    """Symbols from -1 on, in as few bytes each as the largest needs."""
+    import numpy as np
+    size = 1
+    while int(symbols.max(initial=-1)) + 1 >= 1 << 8 * size:
+        size *= 2
+    return bytes([size]) + (symbols + 1).astype(f"<u{size}").tobytes()
+
+
+def unpacked(row: bytes):
+    import numpy as np
+    return np.frombuffer(row, f"<u{row[0]}", offset=1).astype(np.int64) - 1
+
+
 class _Numbers(dict):
     """A chunk's words, numbered as they come."""
 
@@ -92,7 +106,7 @@ class _Chunk:
         rows, ends, at = [], np.flatnonzero(codes < 0), 0
         while at < len(codes):
             k = min(np.searchsorted(ends, at + ROW_TOKENS), len(ends) - 1)     # the last code is an end
-            rows.append(codes[at:ends[k] + 1].tobytes())
+            rows.append(packed(codes[at:ends[k] + 1]))
             at = int(ends[k]) + 1
         return [w.decode("utf-8", "replace") for w in list(self.numbers)[2:]], counts, rows
 
@@ -100,8 +114,8 @@ class _Chunk:
 def word_chunks(docs: DataFrame) -> DataFrame:
     """Texts in chunks of one language and about ``CHUNK_TOKENS`` words.  Rows
     (chunk, lang, local, word, n) for a chunk's distinct words, numbered by
-    ``local``, and rows (chunk, lang, codes): these numbers (int32) in the order
-    of the text, -1 between pieces."""
+    ``local``, and rows (chunk, lang, codes): these numbers in the order of the
+    text, -1 between pieces (:func:`packed`)."""
     def run(batches):
         import numpy as np
         import pyarrow as pa
@@ -166,7 +180,7 @@ def tile_counts(a, b):
 def _pairs_at(symbols: bytes):
     """Neighbouring symbols: both numbers, and the places of the first."""
     import numpy as np
-    s = np.frombuffer(symbols, np.int64)
+    s = unpacked(symbols)
     at = np.flatnonzero((s[:-1] >= 0) & (s[1:] >= 0))
     return s[at], s[at + 1], at, len(s)
 
@@ -209,7 +223,7 @@ def _renumbered(chunks: DataFrame, numbers: DataFrame, apply) -> DataFrame:
     def run(key, old, new):
         import pyarrow as pa
         columns = [c.to_numpy() for c in new.select(["a", "b", "id"]).columns]
-        out = [apply(v.as_py(), *columns).tobytes() for v in old.column("symbols")]
+        out = [packed(apply(v.as_py(), *columns)) for v in old.column("symbols")]
         return pa.table({"chunk": pa.array([key[0].as_py()] * len(out), pa.int64()), "symbols": pa.array(out, pa.binary())})
 
     return (chunks.select("chunk", "symbols").groupBy("chunk")
@@ -219,7 +233,7 @@ def _renumbered(chunks: DataFrame, numbers: DataFrame, apply) -> DataFrame:
 
 def _of_words(codes: bytes, local, _, ids):
     import numpy as np
-    codes = np.frombuffer(codes, np.int32)
+    codes = unpacked(codes)
     size = max(codes.max(initial=-1), local.max(initial=-1)) + 2
     number = np.full(size, -1, np.int64)         # the last one is for -1
     number[local] = ids
