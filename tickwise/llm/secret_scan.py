@@ -1,14 +1,17 @@
 """Secret scan: fixed forms, and sliding-window entropy of candidate strings.
 
-Base kinds are three patterns.  Beyond them, every run of 20 or more base64
-characters that no base match overlaps is a candidate; a window of 20
-characters slides over it, and the window's Shannon entropy follows from the
-count of each character, of which a step changes two.  A candidate whose
-highest window reaches its character class's limit (hexadecimal or base64) is
-a span of kind ``entropy``, unless the allow-list knows it (placeholders,
-UUIDs, sequences).  Base spans always stay.
-
-Defined results: null text counts as empty; repeated rows give repeated result
+Base kinds are three patterns.  Beyond them, runs of base64 characters are
+candidates: what base matches and allow-listed words (placeholders, sequences)
+leave of a run, in pieces of 20 and more characters that are no UUID.  A window
+of 20 characters slides over a piece; a step changes the counts of two
+characters, the one that comes and the one that goes, and both follow from the
+19 characters between them, so a step costs the same in a run of any length.
+Weights are whole numbers, so nothing drifts.  A piece whose highest window
+reaches its character class's limit (hexadecimal or base64) is a span of kind
+``entropy``.  Base spans always stay.
+
+Defined results: null text counts as empty; very long texts and runs are
+scanned whole; spans that start together are listed base kinds first; repeated rows give repeated result
 rows; an empty table gives no row; only ``doc_id`` and ``text`` are read, other
 columns pass through in ``doc``.
 """
@@ -20,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .spans import clear_of, marks, matches, written
+from .spans import marks, matches, written
 
 # The base patterns.  Possessive repetition changes no match, as
 # nothing follows it; a hex or access run that is too short fails at every
@@ -31,51 +34,91 @@ ASSIGN_VALUE = r"""^(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20
 ACCESS = r"AKIA[A-Z0-9]{14,}+"
 HEX = r"[0-9a-f]{16,}+"
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}+"
-ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-# Strings that look random to no reader.
-ALLOWED = (r"(?i)example|sample|dummy|placeholder|changeme|your[_-]|redacted|xxxx|lorem|foobar"
-           r"|0123456789|123456789|abcdefgh|deadbeef"
-           r"|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$")
+# Words that look random to no reader; they are cut out of a run.
+ALLOWED = ("example", "sample", "dummy", "placeholder", "changeme", "your_", "your-", "redacted", "xxxx", "lorem",
+           "foobar", "0123456789", "123456789", "abcdefgh", "deadbeef")
+UUID = "(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 
 WINDOW = 20
 HEX_LIMIT = 3.0           # bits a character, of at most 4
 BASE64_LIMIT = 3.8        # bits a character, of at most log2(20) = 4.32
 
 
+SCALE = 1 << 40           # weights of counts, c * log2(c), as whole numbers
+
+
+def weight(count: int) -> int:
+    return round(count * math.log2(count) * SCALE) if count > 1 else 0
+
+
+def bits(total: Column, window: int = WINDOW) -> Column:
+    """Shannon entropy of a window from the sum of its counts' weights."""
+    return F.lit(math.log2(window)) - total.cast("double") / F.lit(float(SCALE * window))
+
+
 def window_entropy(value: Column, window: int = WINDOW) -> Column:
     """Highest Shannon entropy (bits a character) of any window of ``value``,
-    a string over ``ALPHABET`` of at least ``window`` characters."""
-    def weight(c: Column) -> Column:
-        return F.when(c > 1, c * F.log2(c.cast("double"))).otherwise(F.lit(0.0))
-
-    def bump(counts: Column, at: Column, by: int) -> Column:
-        return F.transform(counts, lambda c, j: F.when(j + 1 == at, c + by).otherwise(c))
-
-    def slide(acc: Column, i: Column) -> Column:
-        come = F.instr(F.lit(ALPHABET), F.substring(value, i, F.lit(1)))
-        go = F.when(i > window, F.instr(F.lit(ALPHABET), F.substring(value, i - window, F.lit(1)))).otherwise(0)
-        had = F.get(acc["counts"], come - 1)
-        grown = bump(acc["counts"], come, 1)
-        total = acc["total"] - weight(had) + weight(had + 1)
-        lost = F.get(grown, go - 1)
-        total = F.when(go > 0, total - weight(lost) + weight(lost - 1)).otherwise(total)
-        entropy = F.lit(math.log2(window)) - total / F.lit(float(window))
-        return F.struct(bump(grown, go, -1).alias("counts"), total.alias("total"),
-                        F.when(i >= window, F.greatest(acc["best"], entropy)).otherwise(acc["best"]).alias("best"))
-
-    first = F.struct(F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"), F.lit(0.0).alias("total"),
-                     F.lit(0.0).alias("best"))
-    return F.aggregate(F.sequence(F.lit(1), F.length(value)), first, slide, lambda acc: acc["best"])
+    an ASCII string of at least ``window`` characters."""
+    gain = F.array(*[F.lit(weight(c + 1) - weight(c)) for c in range(window)])    # of one more of a character
+
+    def counted(codes: Column, at: Column, direction: int) -> Column:
+        """The gain of the character at ``at`` over the window - 1 characters
+        before (-1) or after (1) it."""
+        def of(x: Column) -> Column:
+            same = [F.when(F.get(codes, at + direction * k) == x, 1).otherwise(0) for k in range(1, window)]
+            return F.get(gain, sum(same[1:], same[0]))
+        return F.transform(F.array(F.get(codes, at)), of)[0]
+
+    def changes(codes: Column) -> Column:
+        def change(i: Column) -> Column:
+            return counted(codes, i, -1) - F.when(i >= window, counted(codes, i - window, 1)).otherwise(F.lit(0))
+        return F.transform(F.sequence(F.lit(0), F.size(codes) - 1), change)
+
+    def slide(acc: Column, change: Column) -> Column:
+        total, seen = acc["total"] + change, acc["seen"] + 1
+        return F.struct(total.alias("total"), seen.alias("seen"),
+                        F.when(seen >= window, F.least(acc["least"], total)).otherwise(acc["least"]).alias("least"))
+
+    first = F.struct(F.lit(0).cast("long").alias("total"), F.lit(0).alias("seen"), F.lit(weight(window)).alias("least"))
+    codes = F.array(F.transform(F.split(value, ""), lambda c: F.ascii(c)))
+    least = F.transform(codes, lambda c: F.aggregate(changes(F.filter(c, lambda x: x > 0)), first, slide,
+                                                     lambda acc: acc["least"]))[0]
+    return bits(least, window)
 
 
 def suspicious(value: Column) -> Column:
-    """Whether a candidate mixes digits and letters, is not allowed and has a
-    window as mixed as its class asks for."""
+    """Whether a piece mixes digits and letters, is no UUID and has a window
+    as mixed as its class asks for."""
     limit = F.when(value.rlike("^[0-9A-Fa-f]+$"), HEX_LIMIT).otherwise(BASE64_LIMIT)
-    return (value.rlike("[0-9]") & value.rlike("[A-Za-z]") & ~value.rlike(ALLOWED)
+    return (value.rlike("[0-9]") & value.rlike("[A-Za-z]") & ~value.rlike(UUID)
             & (window_entropy(value) >= limit))
 
 
+def masked(run: Column, taken: Column) -> Column:
+    """A run's characters, blank where base spans or allowed words are."""
+    met = F.filter(taken, lambda t: (run["start"] < t["end"]) & (t["start"] < run["end"]))
+
+    def blank(value: Column, t: Column) -> Column:
+        at = F.greatest(t["start"] - run["start"], F.lit(0))
+        size = F.least(t["end"], run["end"]) - run["start"] - at
+        return F.overlay(value, F.repeat(F.lit(" "), size), at + 1, size)
+
+    value = F.aggregate(met, run["value"], blank)
+    for word in ALLOWED:
+        value = F.regexp_replace(value, f"(?i){word}", " " * len(word))
+    return value
+
+
+def entropy_spans(runs: Column, taken: Column) -> Column:
+    """The suspicious pieces of candidate runs."""
+    def of(run: Column) -> Column:
+        pieces = F.filter(matches(masked(run, taken), CANDIDATE), lambda s: suspicious(s["value"]))
+        return F.transform(pieces, lambda s: F.struct((s["start"] + run["start"]).alias("start"),
+                                                      (s["end"] + run["start"]).alias("end"), s["value"].alias("value"),
+                                                      s["before"].alias("before"), s["after"].alias("after")))
+    return F.flatten(F.transform(runs, of))
+
+
 def secret_scan(docs: DataFrame) -> DataFrame:
     """``docs`` as struct column ``doc`` with the base spans of each kind
     (``assign``, ``access``, ``hex``) and the added ones (``entropy``)."""
@@ -85,10 +128,8 @@ def secret_scan(docs: DataFrame) -> DataFrame:
         "doc", F.filter(matches(text, ASSIGN), lambda s: s["value"].rlike(ASSIGN_VALUE)).alias("assign"),
         matches(text, ACCESS, "AKIA").alias("access"), matches(text, HEX).alias("hex"),
         matches(text, CANDIDATE).alias("candidates"))
-    free = clear_of(F.col("candidates"), F.concat("assign", "access", "hex"))
-    return (base.select("doc", "assign", "access", "hex", free.alias("free"))
-            .select("doc", "assign", "access", "hex",
-                    F.filter("free", lambda s: suspicious(s["value"])).alias("entropy")))
+    return base.select("doc", "assign", "access", "hex", entropy_spans(
+        F.col("candidates"), F.concat("assign", "access", "hex")).alias("entropy"))
 
 
 def digests(found: DataFrame) -> DataFrame:
