@@ -80,9 +80,9 @@ def window_entropy(value: Column, window: int = WINDOW) -> Column:
                         F.when(seen >= window, F.least(acc["least"], total)).otherwise(acc["least"]).alias("least"))
 
     first = F.struct(F.lit(0).cast("long").alias("total"), F.lit(0).alias("seen"), F.lit(weight(window)).alias("least"))
-    codes = F.array(F.transform(F.split(value, ""), lambda c: F.ascii(c)))
-    least = F.transform(codes, lambda c: F.aggregate(changes(F.filter(c, lambda x: x > 0)), first, slide,
-                                                     lambda acc: acc["least"]))[0]
+    # bound to a variable, so that the characters are taken apart once
+    codes = F.array(F.filter(F.transform(F.split(value, ""), lambda c: F.ascii(c)), lambda x: x > 0))
+    least = F.transform(codes, lambda c: F.aggregate(changes(c), first, slide, lambda acc: acc["least"]))[0]
     return bits(least, window)
 
 
