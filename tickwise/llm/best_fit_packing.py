@@ -13,13 +13,16 @@ length:
 
 Defined results: null text counts as empty (one piece holding the end id);
 repeated rows are packed like any other row; an empty table gives no row; only
-``doc_id`` and ``text`` are read, so other columns may have any name.
+``doc_id`` and ``text`` are read, so other columns may have any name.  Very long
+texts are encoded whole and cut into pieces; pieces of one length (ties) are
+ranked by doc_id, piece and checksum.
 """
 
 from __future__ import annotations
 
 import bisect
 import os
+import struct
 import zlib
 
 from pyspark.sql import DataFrame, Window
@@ -29,6 +32,7 @@ from .common import on_workers, stored
 
 CAPACITY = 4096
 END_ID = 1
+PART_CHARS = 1_000_000    # text encoded together
 CACHE_WORDS = 300_000     # words whose ids a worker remembers (memory bound, no effect on results)
 GROUP_ROWS = 500          # aimed rows of one length ranked together
 MAX_SALTS = 4096          # parts a length is cut into at most
@@ -43,10 +47,12 @@ def default_tokenizer() -> str:
 
 
 class WordEncoder:
-    """Ids of a text as little-endian uint32 bytes.  The tokenizer never joins
+    """Ids of texts as little-endian uint32 bytes.  The tokenizer never joins
     characters across a space or line feed, so each space-separated part is
-    encoded once and remembered; unknown parts are encoded many at a time and
-    told apart by the places of their tokens."""
+    encoded once and remembered.  Unknown parts of many texts are encoded
+    together: those of small ASCII letters are words to the pre-tokenizer, so
+    the model takes them as they are; the others are told apart by the places
+    of their tokens."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -55,25 +61,22 @@ class WordEncoder:
         self.seen: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
 
-    def __call__(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        seen = self.seen
-        try:
-            return b"".join([seen[w] for w in words])
-        except KeyError:
-            pass
-        if len(seen) > CACHE_WORDS:
-            self.older, self.seen = seen, {"": b""}
-            seen = self.seen
-        new = []
-        for w in set(words).difference(seen):
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        words = [t.replace("\n", " ").split(" ") for t in texts]
+        if len(self.seen) > CACHE_WORDS:
+            self.older, self.seen = self.seen, {"": b""}
+        seen, rare = self.seen, []
+        for w in set().union(*words).difference(seen):
             if w in self.older:
                 seen[w] = self.older[w]
+            elif w.isascii() and w.isalpha():
+                ids = [t.id for t in self.tok.model.tokenize(w.lower())]
+                seen[w] = struct.pack(f"<{len(ids)}I", *ids)
             else:
-                new.append(w)
-        for i in range(0, len(new), 1000):
-            self._learn(new[i:i + 1000])
-        return b"".join([seen[w] for w in words])
+                rare.append(w)
+        for i in range(0, len(rare), 1000):
+            self._learn(rare[i:i + 1000])
+        return [b"".join([seen[w] for w in ws]) for ws in words]
 
     def _learn(self, words: list[str]) -> None:
         import numpy as np
@@ -94,6 +97,19 @@ def _encoder(path: str) -> WordEncoder:
     return _ENCODERS[path]
 
 
+def encoded(batch, encode: WordEncoder):
+    """(doc_id, ids) of an Arrow batch of (doc_id, text), ``PART_CHARS`` at a time."""
+    held, texts, size = [], [], 0
+    for doc_id, text in zip(batch.column(0), batch.column(1)):
+        held.append(doc_id.as_py())
+        texts.append(text.as_py() or "")
+        size += len(texts[-1])
+        if size > PART_CHARS:
+            yield from zip(held, encode(texts))
+            held, texts, size = [], [], 0
+    yield from zip(held, encode(texts))
+
+
 def token_pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY,
                  end_id: int = END_ID) -> DataFrame:
     """Every document's ids (end id last), cut into pieces of ``capacity``."""
@@ -105,8 +121,8 @@ def token_pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int =
         encode = _encoder(path)
         for b in batches:
             out = [], [], [], [], []
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1)):
-                ids = encode(text.as_py() or "") + end
+            for doc_id, ids in encoded(b, encode):
+                ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]
                     for column, v in zip(out, (doc_id, k, at // 4, len(part) // 4, zlib.crc32(part))):
