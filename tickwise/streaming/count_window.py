@@ -25,33 +25,18 @@ from __future__ import annotations
 import warnings
 from collections.abc import Sequence
 
-import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .keyed_window import window_means  # noqa: F401  (part of this module's interface)
+
 # frames with all-NA columns are concatenated; recent pandas warns about that
 # on every group.  Silence that one message.
 warnings.filterwarnings("ignore", message="The behavior of DataFrame concatenation with empty",
                         category=FutureWarning)
 
 
-def window_means(prev: np.ndarray, new: np.ndarray, n: int) -> np.ndarray:
-    """Mean over the last ``min(n, seen)`` values for every new value, summed
-    oldest first (the same left-to-right sum as a SQL row frame)."""
-    x = np.concatenate([prev, new]).astype("float64")
-    start = len(prev)
-    idx = np.arange(start, len(x))
-    s = np.zeros(len(idx))
-    cnt = np.zeros(len(idx))
-    for lag in range(n - 1, -1, -1):          # oldest element of the frame first
-        j = idx - lag
-        ok = j >= 0
-        s[ok] = s[ok] + x[j[ok]]
-        cnt[ok] += 1
-    return s / cnt
-
-
 def count_window_stream(ticks: DataFrame, n: int, key: str = "symbol",
                         order: Sequence[str] = ("tick_id",), held_rows: int | None = None) -> DataFrame:
     """Streaming DataFrame of ticks -> ticks with ``priceavg`` and
@@ -60,17 +45,20 @@ def count_window_stream(ticks: DataFrame, n: int, key: str = "symbol",
     ``session.keyed_state`` around ``start()``).  ``held_rows``: rows of a key
     put in order in memory at a time (no effect on results)."""
     from ..session import ship_package
-    from .keyed_window import HELD_ROWS, CountWindow
+    from pyspark import cloudpickle
+    from . import keyed_window
     if n < 1:
         raise ValueError("window size must be >= 1")
-    ship_package(ticks.sparkSession)           # the processor runs in Python workers
+    ship_package(ticks.sparkSession)
+    # the processor is also started beside the driver, where shipped files are not on the path
+    cloudpickle.register_pickle_by_value(keyed_window)
     cols = [key, *[c for c in ("timestampvalue", "tick_id") if c in ticks.columns and c != key]]
     src = ticks.select(*cols, "price", "volume")
     fields = {f.name: f for f in src.schema.fields}
     out_schema = T.StructType([fields[c] for c in cols] + [
         T.StructField("price", T.DoubleType()), T.StructField("volume", T.DoubleType()),
         T.StructField("priceavg", T.DoubleType()), T.StructField("volumeavg", T.DoubleType())])
-    processor = CountWindow(n, [c for c in order if c in cols], held_rows or HELD_ROWS)
+    processor = keyed_window.CountWindow(n, [c for c in order if c in cols], held_rows or keyed_window.HELD_ROWS)
     return src.groupBy(key).transformWithStateInPandas(
         processor, outputStructType=out_schema, outputMode="Append", timeMode="None")
 

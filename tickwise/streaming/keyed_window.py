@@ -31,6 +31,22 @@ def range_of(values: pd.Series, width: int = RANGE) -> pd.Series:
     return values.map(lambda t: "" if t is None else "t" + t[:MINUTE_TEXT])
 
 
+def window_means(prev: np.ndarray, new: np.ndarray, n: int) -> np.ndarray:
+    """Mean over the last ``min(n, seen)`` values for every new value, summed
+    oldest first (the same left-to-right sum as a SQL row frame)."""
+    x = np.concatenate([prev, new]).astype("float64")
+    start = len(prev)
+    idx = np.arange(start, len(x))
+    s = np.zeros(len(idx))
+    cnt = np.zeros(len(idx))
+    for lag in range(n - 1, -1, -1):          # oldest element of the frame first
+        j = idx - lag
+        ok = j >= 0
+        s[ok] = s[ok] + x[j[ok]]
+        cnt[ok] += 1
+    return s / cnt
+
+
 class CountWindow(StatefulProcessor):
     """Mean price and volume over the last ``min(n, seen)`` ticks for every
     tick of a key."""
@@ -76,7 +92,6 @@ class CountWindow(StatefulProcessor):
 
     def window(self, frame: pd.DataFrame, seen: list[tuple]) -> tuple[pd.DataFrame, list[tuple]]:
         """The frame in order with its means, and the ticks the next one needs."""
-        from .count_window import window_means
         if self.order:
             frame = frame.sort_values(self.order, kind="stable", na_position="first")
         frame = frame.reset_index(drop=True)
