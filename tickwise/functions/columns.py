@@ -113,3 +113,11 @@ def tick_json(symbol="symbol", ts="timestampValue", price="price", volume="volum
     """JSON text of one tick, as produced by the tick generator."""
     return F.to_json(F.struct(col(symbol).alias("symbol"), col(ts).alias("timestampValue"),
                               col(price).alias("price"), col(volume).alias("volume")))
+
+
+def arrival_position(topic: str = "topic", partition: str = "partition", offset: str = "offset") -> Column:
+    """Place of a message in a source of several topics, as one text whose order
+    is the order of (topic, partition, offset): the numbers have fixed widths
+    and the blank sorts before every character of a topic name."""
+    return F.concat_ws(" ", F.col(topic), F.lpad(F.col(partition).cast("string"), 10, "0"),
+                       F.lpad(F.col(offset).cast("string"), 20, "0"))

@@ -28,6 +28,7 @@ TOD_WIDTH_TEST = 5               # time-of-day key "HH:mm" for lookups in tests
 SPLIT_DAY = "2024-01-16"         # history before, live from this day on
 FEED_MARK = "2024-01-23 00:00:00"  # high-water mark of the incremental feeds
 FLAW_PERIOD = 23                 # one message in so many has each flaw
+PART_DAYS = ("2024-01-21", "2024-01-26")   # where replays in three parts are cut
 BURST_SYMBOL, BURST_TIME = "click", "2024-01-10 00:00:00"
 # -------------------------------------------------------------------------------
 
@@ -67,6 +68,21 @@ def live_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ticks_from_events(events_before(spark, sf_dir, False))
 
 
+def three_parts(ticks: DataFrame) -> list[DataFrame]:
+    """Ticks up to, between and from the days of ``PART_DAYS``."""
+    part = sum((F.col("timestampvalue") >= d).cast("int") for d in PART_DAYS)
+    return [ticks.where(part == i) for i in range(len(PART_DAYS) + 1)]
+
+
+def two_topic_messages(ticks: DataFrame) -> DataFrame:
+    """Tick messages of two topics of three partitions whose offsets clash."""
+    t = F.col("tick_id")
+    return ticks.select(tick_json(ts="timestampvalue").alias("value"),
+                        F.when(t % 2 == 0, F.lit("ticks-b")).otherwise(F.lit("ticks")).alias("topic"),
+                        (F.floor(t / 2) % 3).cast("int").alias("partition"),
+                        F.floor(t / 6).cast("long").alias("offset"))
+
+
 def live_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``stock`` table: real-time metric rows of the live ticks."""
     return stock_rows(live_ticks(spark, sf_dir), WINDOW)
@@ -189,9 +205,14 @@ def _nz(x: str) -> str:
     return f"(case when isnan({x}) then 0.0 else {x} end)"
 
 
-def sql_realtime(ticks_sql: str, rounded: bool = True) -> str:
+SQL_PART = " + ".join(f"cast(timestampvalue >= '{d}' as int)" for d in PART_DAYS)
+SQL_POSITION = "case when tick_id % 2 = 0 then 'ticks-b' else 'ticks' end, tick_id // 2 % 3, tick_id // 6"
+
+
+def sql_realtime(ticks_sql: str, rounded: bool = True,
+                 order: str = "timestampvalue nulls first, tick_id nulls first") -> str:
     """Stream metrics (P4, P5 when rounded) over the count window, in SQL."""
-    w = ("partition by symbol order by timestampvalue nulls first, tick_id nulls first "
+    w = (f"partition by symbol order by {order} "
          f"rows between {WINDOW - 1} preceding and current row")
     win = (f"select symbol, timestampvalue, price, cast(volume as double) as volume, tick_id, "
            f"avg(price) over ({w}) as priceavg, avg(volume) over ({w}) as volumeavg "
@@ -208,9 +229,9 @@ def sql_realtime(ticks_sql: str, rounded: bool = True) -> str:
             f"from ({raw}) m")
 
 
-def sql_first_wins(src: str, cols: str) -> str:
+def sql_first_wins(src: str, cols: str, order: str = "tick_id") -> str:
     return (f"select {cols} from (select *, row_number() over (partition by symbol, "
-            f"timestampvalue order by tick_id) as rn_fw from ({src}) s) f where rn_fw = 1")
+            f"timestampvalue order by {order}) as rn_fw from ({src}) s) f where rn_fw = 1")
 
 
 STOCK_SQL_COLS = ("symbol, timestampvalue, price, volume, priceavg, pricechange, volumeavg, "

@@ -476,6 +476,7 @@ from ..streaming import realtime as RT  # noqa: E402
 from ..streaming.count_window import count_window_stream  # noqa: E402
 from .. import schemas as S  # noqa: E402
 from ..sources.sinks import first_wins_append, overwrite_table, write_batch  # noqa: E402
+from ..sources.streams import message_file_stream  # noqa: E402
 from ..session import new_path  # noqa: E402
 
 PARSED_SQL = ("select symbol, timestampvalue, price, volume, \"offset\" as tick_id from ("
@@ -592,6 +593,128 @@ def q_ratio_alerts_fresh_stream(spark, d):
     return spark.read.parquet(alerts).select(*A.ALERT_COLS)
 
 
+# ---- three micro-batches with restarts: log, polls, failure, changing history, two topics ----
+
+def _run_parts(spark, d, name, parts=None, each=None, read=None, **kw):
+    """The alert job over the live ticks in three parts, started anew for each;
+    ``each(part, stock, alerts)`` is called after a part, and ``before`` a
+    start.  Returns the paths of stock and alerts."""
+    src, ckpt, stock, alerts = (new_path(spark, f"{name}-{x}") for x in ("src", "ckpt", "stock", "alerts"))
+    if parts is None:
+        parts = [tick_messages(t) for t in X.three_parts(X.live_ticks(spark, d))]
+    read = read or (lambda path: message_file_stream(spark, path))
+    before, fails = kw.pop("before", None), kw.pop("fails", ())
+    if "hist_path" not in kw:
+        kw["hist"] = X.history(spark, d)
+
+    def start(part, between=None):
+        return RT.start_realtime_alerts(spark, read(src), X.WINDOW, X.THRESHOLD, stock, alerts, ckpt, width=W5,
+                                        state_partitions=R.state_partitions(spark), between=between, **kw)
+
+    def fail(batch_id):
+        raise RuntimeError(f"{FAILURE} {batch_id}")
+
+    def run(part):
+        if before:
+            before(part)
+        if part in fails:
+            R.expect_failure(start(part, fail), FAILURE)
+            if before:
+                before(part, again=True)
+        return start(part)
+
+    for i, part in enumerate(parts):
+        R.in_parts([part], src, lambda _: run(i))
+        if each:
+            each(i, stock, alerts)
+    return stock, alerts
+
+
+FAILURE = "write stopped on purpose in micro-batch"
+_LIVE_STOCK_SQL = X.sql_first_wins(X.sql_realtime(LIVE_PARSED_SQL), X.STOCK_SQL_COLS)
+_LOG_SQL = "select {part} as batch_id, count(*) as rows, max(timestampvalue) as mark from ({src}) t group by 1"
+
+
+@register("ingest_log", _LOG_SQL.format(part=X.SQL_PART, src=T_ALL))
+def q_ingest_log(spark, d):
+    """Rows and latest time of each ingested micro-batch."""
+    from ..streaming.batch_log import read_log
+    from ..streaming.ingest import start_ingest
+    src, out, log, ckpt = (new_path(spark, f"ingest-log-{x}") for x in ("src", "out", "log", "ckpt"))
+    R.in_parts([tick_messages(t) for t in X.three_parts(X.ticks(spark, d))], src, lambda _: start_ingest(
+        message_file_stream(spark, src), out, ckpt, trigger={"availableNow": True}, log_path=log))
+    return read_log(spark, log)
+
+
+@register("stock_log",
+          f"select batch_id, rows, mark, max(mark) over (order by batch_id) as high_watermark from ("
+          + _LOG_SQL.format(part=X.SQL_PART, src=_LIVE_STOCK_SQL) + ") l")
+def q_stock_log(spark, d):
+    """Rows appended to ``stock`` per micro-batch and the mark a poll
+    after it starts from, read from the log alone; the second micro-batch fails
+    between its writes and is replayed."""
+    from ..streaming.batch_log import logged_watermark, read_log
+    log, out = new_path(spark, "stock-log"), new_path(spark, "stock-marks")
+    _run_parts(spark, d, "log", stock_log=log, fails=(1,),
+               each=lambda i, stock, alerts: write_batch(logged_watermark(spark, log), out, i))
+    return read_log(spark, log).join(spark.read.parquet(out), "batch_id")
+
+
+@register("restart_after_failure",
+          f"select 'stock' as kind, symbol, timestampvalue, ratio as number from ({_LIVE_STOCK_SQL}) s union all "
+          f"select 'alert', symbol, timestampvalue, ratiodeviation from ({_SQL['ratio_alerts_stream']}) a")
+def q_restart_after_failure(spark, d):
+    """The second micro-batch fails after its first write and is replayed after a restart."""
+    stock, alerts = _run_parts(spark, d, "fail", fails=(1,))
+    return spark.read.parquet(stock).select(F.lit("stock").alias("kind"), "symbol", TS, F.col("ratio").alias("number")).unionByName(
+        spark.read.parquet(alerts).select(F.lit("alert").alias("kind"), "symbol", TS, F.col("ratiodeviation").alias("number")))
+
+
+_HIST_BY_PART = " union all ".join(
+    f"select {i} as part, symbol, timestampvalue, histratio * {f:.1f} as histratio from ({HIST_SQL}) h{i}"
+    for i, f in enumerate((1, -2, 0.5)))
+
+
+@register("ratio_alerts_changing_history",
+          X.sql_first_wins(X.sql_alert_rows(
+              "select r.*, h.histratio from (select *, " + X.SQL_PART + " as part from ("
+              + X.sql_realtime(LIVE_PARSED_SQL) + f") q) r join ({_HIST_BY_PART}) h on r.symbol = h.symbol and "
+              f"r.part = h.part and substring(split_part(r.timestampvalue, ' ', 2), 1, {W5}) = h.timestampvalue"),
+              X.ALERT_SQL_COLS))
+def q_ratio_alerts_changing_history(spark, d):
+    """The history has a new run before each micro-batch; the second one
+    fails after its first write, and another run is there when it is replayed:
+    it joins the run of its first attempt."""
+    from ..sources.sinks import RUN
+    hist_path, first = new_path(spark, "hist-runs"), new_path(spark, "hist-first")
+    X.history(spark, d).write.parquet(first)
+
+    def new_run(part, again=False):
+        factor = 7.0 if again else (1.0, -2.0, 0.5)[part]
+        hist = spark.read.parquet(first).withColumn("histratio", F.col("histratio") * factor)
+        overwrite_table(hist, f"{hist_path}/{RUN}={2 * part + again}")
+
+    _, alerts = _run_parts(spark, d, "fresh", hist_path=hist_path, before=new_run, fails=(1,))
+    return spark.read.parquet(alerts).select(*A.ALERT_COLS)
+
+
+_TOPIC_ORDER = f"{X.SQL_PART}, {X.SQL_POSITION}"
+_LIVE_QUOTED_SQL = ("select '\"' || symbol || '\"' as symbol, timestampvalue, price, volume, tick_id from (" + T_LIVE + ") q")
+
+
+@register("stock_rows_two_topics",
+          X.sql_first_wins(X.sql_realtime(_LIVE_QUOTED_SQL, order=_TOPIC_ORDER), X.STOCK_SQL_COLS, _TOPIC_ORDER))
+def q_stock_rows_two_topics(spark, d):
+    """P1, W2 and K2 over messages of two topics whose offsets clash: windows
+    and first rows follow (topic, partition, offset) inside a micro-batch."""
+    from ..sources.connectors import with_positions
+    from ..sources.streams import TOPIC_SCHEMA
+    parts = [X.two_topic_messages(t) for t in X.three_parts(X.live_ticks(spark, d))]
+    stock, _ = _run_parts(spark, d, "topics", parts, read=lambda path: with_positions(
+        message_file_stream(spark, path, schema=TOPIC_SCHEMA)))
+    return spark.read.parquet(stock).select(*A.STOCK_COLS)
+
+
 @register("keyed_append",
           f"select {X.ALERT_SQL_COLS} from (select *, row_number() over (partition by symbol, timestampvalue "
           f"order by case when tick_id % 3 = 0 then 0 else 1 end, tick_id) as rn from ({X.sql_odd_keys()}) o) k where rn = 1")
@@ -793,6 +916,24 @@ def q_dashboard_feed_stream(spark, d):
         spark, stock, alerts, ckpt, deliver=deliver))
 
 
+@register("dashboard_feed_polls",
+          f"select {X.SQL_PART.replace(TS, 'tmst')} as poll, "
+          + X.sql_json_object([(c, f'"{c}"', _DASH_KINDS.get(c, "double")) for c in FD.DASHBOARD_COLUMNS])
+          + f" as json from ({_sql_dashboard(None, ordered=False)}) f")
+def q_dashboard_feed_polls(spark, d):
+    """K1: three polls of the dashboard feed, one after each micro-batch of the
+    alert job; each resumes from its checkpoint and delivers only new rows."""
+    from ..streaming.feeds import start_dashboard_feed
+    ckpt, out = new_path(spark, "polls-ckpt"), new_path(spark, "polls")
+
+    def poll(i, stock, alerts):
+        R.finish(start_dashboard_feed(spark, stock, alerts, ckpt, deliver=lambda rows, batch_id: write_batch(
+            rows.withColumn("poll", F.lit(i)), out, batch_id)))
+
+    _run_parts(spark, d, "polls", each=poll)
+    return spark.read.parquet(out).drop("batch_id")
+
+
 @register("alert_digest_stream", _SQL["alert_digest"].replace(f"where timestampvalue > '{MARK}'", ""))
 def q_alert_digest_stream(spark, d):
     from ..streaming.feeds import start_alert_digest

@@ -5,6 +5,7 @@ back what the job wrote.
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import new_path
@@ -22,6 +23,15 @@ def stage(spark: SparkSession, messages: DataFrame, name: str,
     return message_file_stream(spark, src, max_files_per_trigger=files)
 
 
+def in_parts(parts, src: str, start) -> None:
+    """Write each of ``parts`` (message tables) to ``src`` and run ``start(part
+    number)``, a query over it, to its end: a micro-batch per part, with a
+    restart from the checkpoint between them."""
+    for i, part in enumerate(parts):
+        part.write.mode("append").parquet(src)
+        finish(start(i))
+
+
 def finish(query) -> None:
     """Wait for a replay to end; raise what ended it early."""
     query.awaitTermination()
@@ -29,6 +39,17 @@ def finish(query) -> None:
         raise RuntimeError(str(query.exception()))
 
 
+def expect_failure(query, text: str) -> None:
+    """Wait for a query that is to fail with ``text``; raise if it does not."""
+    try:
+        query.awaitTermination()
+    except StreamingQueryException as e:
+        if text not in str(e):
+            raise
+        return
+    raise RuntimeError(f"the query did not fail with: {text}")
+
+
 def state_partitions(spark: SparkSession) -> int:
     """State store partitions of a replay: one per core of the cluster."""
     return spark.sparkContext.defaultParallelism

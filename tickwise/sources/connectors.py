@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import arrival_position
+
 
 def kafka_options(servers: str, topics: str | list[str], starting_offsets: str = "earliest",
                   max_offsets_per_trigger: int | None = None,
@@ -32,12 +34,21 @@ def kafka_options(servers: str, topics: str | list[str], starting_offsets: str =
 def kafka_stream(spark: SparkSession, servers: str, topics, **kw) -> DataFrame:
     """Streaming ``(value, offset)`` from Kafka: the message value as text and
     the partition offset (arrival order within a partition; a symbol's ticks
-    share a partition when the producer keys by symbol)."""
+    share a partition when the producer keys by symbol).  Offsets of several
+    topics clash, so with more than one topic ``offset`` is the text of
+    :func:`~tickwise.functions.columns.arrival_position`, which orders windows and first-wins rows alike."""
     reader = spark.readStream.format("kafka")
     for k, v in kafka_options(servers, topics, **kw).items():
         reader = reader.option(k, v)
-    return reader.load().select(F.col("value").cast("string").alias("value"),
-                                F.col("offset").cast("long").alias("offset"))
+    several = "," in topics if isinstance(topics, str) else len(topics) > 1
+    return with_positions(reader.load()) if several else reader.load().select(
+        F.col("value").cast("string").alias("value"), F.col("offset").cast("long").alias("offset"))
+
+
+def with_positions(messages: DataFrame) -> DataFrame:
+    """``(value, topic, partition, offset)`` messages -> ``(value, offset)``
+    with the arrival position as ``offset``."""
+    return messages.select(F.col("value").cast("string").alias("value"), arrival_position().alias("offset"))
 
 
 def jdbc_query_options(url: str, query: str | None = None, table: str | None = None,

@@ -76,6 +76,20 @@ def read_run(spark: SparkSession, path: str, run: int, schema=None) -> DataFrame
     return read_or_none(spark, f"{path.rstrip('/')}/{RUN}={int(run)}", schema)
 
 
+def pinned_run(spark: SparkSession, path: str, pins: str, batch_id: int) -> int | None:
+    """The version of the table at ``path`` that micro-batch ``batch_id`` reads:
+    the latest at its first attempt, kept in the folder ``pins``, so that a
+    replay reads the same version whatever was written since (``None``: the
+    table had no version yet)."""
+    pin = read_or_none(spark, f"{pins.rstrip('/')}/batch_id={int(batch_id)}", "run long")
+    if pin is not None:
+        return pin.first()[0]
+    runs = runs_of(spark, path)
+    run = runs[-1] if runs else None
+    write_batch(spark.range(0, 1, 1, 1).select(F.lit(run).cast("long").alias("run")), pins, batch_id)
+    return run
+
+
 def drop_runs_before(spark: SparkSession, path: str, run: int) -> None:
     """Delete the versions below ``run`` of a table this job writes."""
     for old in runs_of(spark, path):
@@ -166,11 +180,13 @@ def keyed_schema(schema: T.StructType) -> T.StructType:
 
 
 def first_wins_append(batch: DataFrame, path: str, batch_id: int, schema,
-                      keys: Sequence[str] = KEYS, order: str = "tick_id") -> None:
+                      keys: Sequence[str] = KEYS, order: str = "tick_id", log=None) -> None:
     """K2: append the batch's first row per key unless the key is already in
     the table from an earlier batch.  The table is partitioned by
     ``datevalue``; only the batch's date folders are listed and only rows in
-    its time range are read.  The deduplicated batch is computed once."""
+    its time range are read.  The deduplicated batch is computed once.
+    ``log`` (a ``streaming.batch_log.BatchLog``) gets the count and latest time
+    of the rows appended."""
     from ..operators.alerts import first_wins
     spark = batch.sparkSession
     b = first_wins(batch, keys, order) if order in batch.columns else batch.dropDuplicates(list(keys))
@@ -183,8 +199,12 @@ def first_wins_append(batch: DataFrame, path: str, batch_id: int, schema,
         for k in keys:
             same = same & F.col(k).eqNullSafe(F.col(f"_seen_{k}"))
         new = b.join(seen, same, "left_anti")
+        if log is not None:
+            new = log.observed(new)
         write_batch(new.select(*[f.name for f in schema.fields if f.name not in (DATE, "batch_id")], DATE),
                     path, batch_id, (DATE,))
+        if log is not None:
+            log.store()
     finally:
         b.unpersist()
 

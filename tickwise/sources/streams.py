@@ -18,6 +18,13 @@ MESSAGE_SCHEMA = T.StructType([
     T.StructField("offset", T.LongType()),
 ])
 
+TOPIC_SCHEMA = T.StructType([
+    T.StructField("value", T.StringType()),
+    T.StructField("topic", T.StringType()),
+    T.StructField("partition", T.IntegerType()),
+    T.StructField("offset", T.LongType()),
+])
+
 
 def _files(spark: SparkSession, fmt: str, max_files_per_trigger: int | None):
     reader = spark.readStream.format(fmt)
@@ -25,10 +32,11 @@ def _files(spark: SparkSession, fmt: str, max_files_per_trigger: int | None):
 
 
 def message_file_stream(spark: SparkSession, path: str, fmt: str = "parquet",
-                        max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming ``(value, offset)`` from message files (parquet or JSON lines)
-    dropped into ``path``; oldest files first."""
-    return _files(spark, fmt, max_files_per_trigger).schema(MESSAGE_SCHEMA).load(path)
+                        max_files_per_trigger: int | None = None,
+                        schema: T.StructType = MESSAGE_SCHEMA) -> DataFrame:
+    """Streaming ``(value, offset)`` (or the columns of ``schema``) from message
+    files (parquet or JSON lines) dropped into ``path``; oldest files first."""
+    return _files(spark, fmt, max_files_per_trigger).schema(schema).load(path)
 
 
 def text_line_stream(spark: SparkSession, path: str,

@@ -17,40 +17,49 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.parse import parse_tick_strict
 from ..sources.sinks import write_batch, write_batch_to_table
+from .batch_log import BatchLog
 
 log = logging.getLogger(__name__)
 
 INGEST_INTERVAL = "60 seconds"
 
 
-def load_batch(batch: DataFrame, batch_id: int, target: str, table: bool = False) -> int:
+def load_batch(batch: DataFrame, batch_id: int, target: str, table: bool = False,
+               log_path: str | None = None) -> int:
     """Parse and append one micro-batch to a parquet folder or (``table``) a
-    catalog table partitioned by ``batch_id``; returns the number of rows."""
+    catalog table partitioned by ``batch_id``; returns the number of rows.
+    ``log_path``: rows and latest time of the batch go to that table
+    (``batch_log``); an empty batch is not logged."""
     if batch.isEmpty():
         return 0
-    obs = Observation(f"ingest_{batch_id}")
     keep = ("offset",) if "offset" in batch.columns else ()
     ticks = parse_tick_strict(batch, keep=keep)
     if keep:
         # the message offset is the tie-breaker of ticks sharing a timestamp
         ticks = ticks.withColumnRenamed("offset", "tick_id")
-    ticks = ticks.observe(obs, F.count(F.lit(1)).alias("rows"))
+    if log_path is not None:
+        batch_log = BatchLog(log_path, batch_id)
+        ticks = batch_log.observed(ticks)
+    else:
+        obs = Observation(f"ingest_{batch_id}")
+        ticks = ticks.observe(obs, F.count(F.lit(1)).alias("rows"))
     if table:
         write_batch_to_table(ticks, target, batch_id)
     else:
         write_batch(ticks, target, batch_id)
-    n = int(obs.get["rows"])
+    n = int(obs.get["rows"]) if log_path is None else batch_log.store()
     log.info("batch %s: %s ticks appended to %s", batch_id, n, target)
     return n
 
 
 def start_ingest(messages: DataFrame, target: str, checkpoint: str,
-                 trigger: dict | None = None, table: bool = False) -> StreamingQuery:
+                 trigger: dict | None = None, table: bool = False,
+                 log_path: str | None = None) -> StreamingQuery:
     """``messages`` (streaming, ``value`` text) -> raw tick table at
     ``target`` (a folder, or a catalog table name with ``table=True``, e.g.
     the bucketed table of ``plans.jobs.create_bucketed_tables``); every
     ``INGEST_INTERVAL`` by default."""
     w = (messages.writeStream
-         .foreachBatch(lambda b, i: load_batch(b, i, target, table))
+         .foreachBatch(lambda b, i: load_batch(b, i, target, table, log_path))
          .option("checkpointLocation", checkpoint))
     return w.trigger(**(trigger or {"processingTime": INGEST_INTERVAL})).start()

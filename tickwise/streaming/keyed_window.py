@@ -11,6 +11,7 @@ key's whole micro-batch.  The last ``n-1`` ticks of a key are a list state.
 from __future__ import annotations
 
 import pickle
+import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -20,15 +21,20 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 HELD_ROWS = 100_000       # rows of a key ordered in memory; no effect on results
 RANGE = 100_000           # arrival positions of a range (positions are unique)
 MINUTE_TEXT = 16          # a range of ordering texts: the same first characters
+POSITION = r" \d{20}$"     # end of an arrival position (functions.columns.arrival_position)
+OFFSET_DIGITS = 5         # a range of arrival positions: the same text but for so many last digits
 
 
 def range_of(values: pd.Series, width: int = RANGE) -> pd.Series:
-    """The range an order value is in: whole numbers by width, texts by their
+    """The range an order value is in: whole numbers by width, arrival positions
+    by topic, partition and leading digits of the offset, other texts by their
     minute; rows without a value come first, as a range of their own."""
     if pd.api.types.is_numeric_dtype(values):
         filled = values.fillna(0).astype("int64")
         return ((filled // width) * 2 + 1).where(values.notna(), -(1 << 62)).map(lambda k: f"{k + (1 << 62):020d}")
-    return values.map(lambda t: "" if t is None else "t" + t[:MINUTE_TEXT])
+    known = values.dropna()
+    end = -OFFSET_DIGITS if len(known) and re.search(POSITION, known.iloc[0]) else MINUTE_TEXT
+    return values.map(lambda t: "" if t is None else "t" + t[:end])
 
 
 def window_means(prev: np.ndarray, new: np.ndarray, n: int) -> np.ndarray:

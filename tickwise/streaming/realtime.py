@@ -12,12 +12,15 @@ count window with keyed state (W2) -> stream metrics (P4/P5) -> clean (P3).
 
 History lookup, two modes as in the source: *snapshot* (J3, the table is read
 once when the job starts and frozen with a reliable checkpoint) or *fresh*
-(J3b, re-read every micro-batch).  Either way AQE broadcasts it only when its
+(J3b, the latest run of the history at the micro-batch's first attempt; the run
+is noted beside the checkpoint, so a replay joins the same one).  Either way AQE broadcasts it only when its
 measured size is small, else both sides are shuffled.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -26,7 +29,8 @@ from .. import schemas as S
 from ..functions.columns import TOD_WIDTH
 from ..operators.alerts import STOCK_COLS, alert_rows, hist_lookup_join, realtime_metrics
 from ..operators.parse import drop_invalid, parse_tick_lenient
-from ..sources.sinks import first_wins_append
+from ..sources.sinks import first_wins_append, pinned_run, read_or_none, read_run
+from .batch_log import BatchLog
 from .count_window import count_window_microbatch, count_window_stream
 
 
@@ -64,24 +68,31 @@ def start_realtime_alerts(spark: SparkSession, messages: DataFrame, n: int, thre
                           width: int = TOD_WIDTH, rounded: bool = True,
                           trigger: dict | None = None,
                           state_path: str | None = None,
-                          state_partitions: int | None = None, order=ARRIVAL) -> StreamingQuery:
+                          state_partitions: int | None = None, order=ARRIVAL,
+                          stock_log: str | None = None,
+                          between: Callable[[int], None] | None = None) -> StreamingQuery:
     """Start Q3 + Q4 with the two sinks.  ``state_path`` given: the count
     window runs per micro-batch over a state table (skew-safe variant),
     otherwise in the keyed state store.  ``order``: of a key's ticks inside a
-    micro-batch (state store only)."""
+    micro-batch (state store only).  ``stock_log``: table of the rows and latest
+    time appended to ``stock`` per micro-batch (``batch_log``).  ``between`` is
+    called with the batch id after the first write and before the second; if it
+    raises, the micro-batch fails there and is replayed on the next start."""
     if (hist is None) == (hist_path is None):
         raise ValueError("give the history as a DataFrame (snapshot) or a path (fresh)")
     snapshot = None
     if hist is not None:
         snapshot = hist.select("symbol", "timestampvalue", "histratio").checkpoint(eager=True)
 
-    def history() -> DataFrame:
+    def history(batch_id: int) -> DataFrame:
         if snapshot is not None:
             return snapshot
-        from ..plans.jobs import read_history
-        return read_history(spark, hist_path).select("symbol", "timestampvalue", "histratio")
+        run = pinned_run(spark, hist_path, f"{checkpoint.rstrip('/')}/history_runs", batch_id)
+        found = read_or_none(spark, hist_path) if run is None else read_run(spark, hist_path, run)
+        return found.select("symbol", "timestampvalue", "histratio")
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        hist_now = history(batch_id)
         if state_path is not None:
             ticks = batch.persist()
             batch = realtime_metrics(count_window_microbatch(ticks, batch_id, state_path, n),
@@ -90,8 +101,11 @@ def start_realtime_alerts(spark: SparkSession, messages: DataFrame, n: int, thre
         try:
             stock = batch.select(*STOCK_COLS, "tick_id",
                                  F.current_timestamp().alias("insertflag"))
-            first_wins_append(stock, stock_path, batch_id, S.STOCK)
-            alerts = alert_rows(hist_lookup_join(batch, history(), width), threshold, rounded)
+            first_wins_append(stock, stock_path, batch_id, S.STOCK,
+                              log=None if stock_log is None else BatchLog(stock_log, batch_id))
+            if between is not None:
+                between(batch_id)
+            alerts = alert_rows(hist_lookup_join(batch, hist_now, width), threshold, rounded)
             first_wins_append(alerts, alert_path, batch_id, S.ALERT)
         finally:
             batch.unpersist()
