@@ -672,7 +672,7 @@ def q_restart_after_failure(spark, d):
 
 _HIST_BY_PART = " union all ".join(
     f"select {i} as part, symbol, timestampvalue, histratio * {f:.1f} as histratio from ({HIST_SQL}) h{i}"
-    for i, f in enumerate((1, -2, 0.5)))
+    for i, f in enumerate((1, -2, 3)))
 
 
 @register("ratio_alerts_changing_history",
@@ -690,7 +690,7 @@ def q_ratio_alerts_changing_history(spark, d):
     X.history(spark, d).write.parquet(first)
 
     def new_run(part, again=False):
-        factor = 7.0 if again else (1.0, -2.0, 0.5)[part]
+        factor = 7.0 if again else (1.0, -2.0, 3.0)[part]
         hist = spark.read.parquet(first).withColumn("histratio", F.col("histratio") * factor)
         overwrite_table(hist, f"{hist_path}/{RUN}={2 * part + again}")
 
