@@ -41,6 +41,43 @@ def test_learns_a_pair_that_is_harmful_only_together(spark):
     assert sum(got[i] == t for i, t in held) >= 0.95 * len(held)
 
 
+def test_learns_a_pair_of_words_alike_in_both_labels(spark):
+    """Label 1 if both words are there or neither: each alone says nothing."""
+    rng = random.Random(3)
+    filler = [f"w{x}{y}" for x in "abcdefghij" for y in "abcdefghij"]
+    rows, marks = [], []
+    for i in range(1600):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        words = rng.choices(filler, k=12) + ["zap"] * a + ["quux"] * b
+        rng.shuffle(words)
+        rows.append((i, " ".join(words), "en", "s"))
+        marks.append((i, int(a == b)))
+    got = {r.doc_id: r.predicted for r in op.toxicity_scores(documents(spark, rows), labels(spark, marks)).collect()}
+    held = [(i, t) for i, t in marks if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert sum(got[i] == t for i, t in held) >= 0.95 * len(held)
+
+
+def test_score_equals_the_plain_sum_over_pairs(spark):
+    """Brute force: distinct terms of a text, bias, weights and every pair."""
+    rows = [(i, f"{'bad' if i % 3 else 'good'} word{i % 7} Word{i % 5}, x{i % 2}", "en", "s") for i in range(300)]
+    docs, marks = documents(spark, rows), labels(spark, [(i, int(i % 3 > 0)) for i in range(300)])
+    model = op.fit(docs, marks)
+    got = {r.doc_id: r.score for r in op.toxicity_scores(docs, marks).collect()}
+    for i, text, *_ in rows:
+        hashes = {h for token in text.lower().split() for h in op._terms_of(token)}
+        ids = sorted({model["terms"][h] for h in hashes if h in model["terms"]})
+        z = model["bias"] + sum(model["w"][a] for a in ids) + sum(
+            model["v"][a] @ model["v"][b] for n, a in enumerate(ids) for b in ids[n + 1:])
+        assert abs(got[i] - 1 / (1 + np.exp(-z))) < 1e-6
+
+
+def test_terms_beyond_the_buckets_share_them(spark, monkeypatch):
+    monkeypatch.setattr(op, "BUCKETS", 3)
+    sample = spark.createDataFrame([(0, "aa bb cc dd ee")] * 5 + [(1, "aa")] * 2, "label int, text string")
+    of = op._buckets(sample)
+    assert len(of) == 5 and set(of.values()) == {0, 1, 2} and of[op._terms_of("aa")[0]] == 0
+
+
 def test_a_bound_sample_keeps_the_balance_of_all_labels(spark, monkeypatch):
     rows = [(i, "same words", "en", "s") for i in range(1000)]
     marks = [(i, int(i % 10 == 0)) for i in range(1000)]

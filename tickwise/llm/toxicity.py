@@ -9,10 +9,14 @@ cannot do.
 
 The classifier is fitted on a bounded sample of the labelled training rows
 (``TRAIN_ROWS`` of each label, by hash of their id): its terms are counted by
-Spark, those that depend on the label (at most ``MODEL_TERMS``) are the model, and
+Spark, all that are in ``MIN_ROWS`` rows or more are hashed into at most ``BUCKETS``
+buckets (numbered from the most frequent on, so that beyond ``BUCKETS`` terms a
+frequent one shares its bucket with rarer ones only), and
 ``ROUNDS`` rounds of AdaGrad run on the sample's partitions in parallel, each
-from the average of the last round's models.  The model (terms x (1 + RANK)
-numbers) is the only thing that meets on the driver.  Where the bound leaves
+from the average of the last round's models.  No term is left out for being alike
+in both labels: what matters may be a pair of such terms.  The model (buckets x (1 + RANK)
+numbers) and the sample's terms (at most its words / ``MIN_ROWS``) are all that
+meets on the driver.  A task returns what it changed, not the whole model.  Where the bound leaves
 out more of one label than of the other, the sample's log-odds are moved to
 those of all training labels after training, so a score keeps its meaning
 whatever the size of the input.  Every document is scored whole, in one pass
@@ -38,9 +42,8 @@ from .common import fold, on_workers, stored
 FOLDS = 5
 HELD_OUT = 0
 TRAIN_ROWS = 12_000       # labelled rows of each label, at most
-MODEL_TERMS = 8_192
+BUCKETS = 1 << 16         # of terms in the model
 MIN_ROWS = 4              # sample rows a term must be in
-MIN_CHI2 = 10.83          # and how far from independent of the label (chi-square, p = 0.001)
 RANK = 4
 ROUNDS = 20
 PARTITION_ROWS = 3_000    # sample rows that one partition learns from
@@ -102,40 +105,33 @@ def _sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float]:
 
 
 def _count_terms(batches):
-    """Per task: in how many rows of each label a term is."""
+    """Per task: in how many rows a term is."""
     from collections import Counter
 
     import pyarrow as pa
-    terms, counts = Terms(), (Counter(), Counter())
+    terms, counts = Terms(), Counter()
 
     def rows():
-        keys = list(counts[0].keys() | counts[1].keys())
-        out = pa.RecordBatch.from_pydict({"term": keys, "n0": [counts[0][k] for k in keys],
-                                          "n1": [counts[1][k] for k in keys]},
-                                         schema=pa.schema([(c, pa.int64()) for c in ("term", "n0", "n1")]))
-        counts[0].clear()
-        counts[1].clear()
+        out = pa.RecordBatch.from_pydict({"term": list(counts), "n": list(counts.values())},
+                                         schema=pa.schema([("term", pa.int64()), ("n", pa.int64())]))
+        counts.clear()
         return out
 
     for b in batches:
-        for label, text in zip(b.column(0).to_pylist(), b.column(1)):
-            counts[label].update(terms(text.as_py()))
-            if len(counts[0]) + len(counts[1]) > 500_000:
+        for text in b.column(1):
+            counts.update(terms(text.as_py()))
+            if len(counts) > 500_000:
                 yield rows()
     yield rows()
 
 
-def _model_terms(sample: DataFrame, n0: int, n1: int) -> list[int]:
-    """The terms whose presence differs most between the labels (chi-square)."""
-    both = (sample.mapInArrow(_count_terms, "term long, n0 long, n1 long")
-            .groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-            .where(F.col("n0") + F.col("n1") >= MIN_ROWS))
-    share = (F.col("n0") + F.col("n1")) / F.lit(float(n0 + n1))
-    apart = F.col("n1") / F.lit(float(n1)) - F.col("n0") / F.lit(float(n0))
-    chi2 = apart * apart / (share * (1 - share) + 1e-9) * F.lit(n0 * n1 / (n0 + n1))
-    best = both.withColumn("chi2", chi2).where(F.col("chi2") >= MIN_CHI2).orderBy(F.desc("chi2"), "term").limit(MODEL_TERMS)
-    # stored first: the merge of the partitions' best is a task's work, not the driver's
-    return [r["term"] for r in stored(best, "op8-terms-chosen").orderBy(F.desc("chi2"), "term").select("term").collect()]
+def _buckets(sample: DataFrame) -> dict[int, int]:
+    """Bucket of every term in ``MIN_ROWS`` sample rows or more."""
+    import numpy as np
+    found = (sample.mapInArrow(_count_terms, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+             .where(F.col("n") >= MIN_ROWS).toArrow())
+    term, n = found["term"].to_numpy(), found["n"].to_numpy()
+    return {int(t): i % BUCKETS for i, t in enumerate(term[np.lexsort((term, -n))])}
 
 
 def raw_score(ids, bias, weight, vector):
@@ -192,9 +188,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     n = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     n0, n1 = n.get(0, 0), n.get(1, 0)
     prior = float(np.log((n1 + 1) / (n0 + 1)))
-    terms = _model_terms(sample, n0, n1) if n0 and n1 else []
-    known = {t: i for i, t in enumerate(terms)}
-    k = len(terms)
+    known = _buckets(sample) if n0 and n1 else {}
+    k = min(len(known), BUCKETS)
     model = {"bias": prior, "gb": 1.0, "w": np.zeros(k), "gw": np.ones(k),
              "v": np.random.default_rng(7).normal(0, 0.01, (k, RANK)), "gv": np.ones((k, RANK))}
     if not k:
@@ -210,8 +205,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
 
     rows = stored(sample.mapInArrow(number, "label int, ids array<int>"), "op8-terms")
     rows = rows.coalesce(-(-(n0 + n1) // PARTITION_ROWS))      # bounded by the sample; no shuffle
-    out = "id int, n double, " + ", ".join(f"{c} double" for c in FIELDS)
-    mean = [(F.sum(F.col(c) * F.col("n")) / F.sum("n")).alias(c) for c in FIELDS]
+    out = "id int, " + ", ".join(f"{c} float" for c in FIELDS)
+    total = [F.sum(c).alias(c) for c in FIELDS]
     for turn in range(ROUNDS):
         shared = docs.sparkSession.sparkContext.broadcast(_table(model))
 
@@ -223,14 +218,18 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
                 labels += b.column(0).to_pylist()
                 ids += [np.asarray(x, np.int64) for x in b.column(1).to_pylist()]
             if labels:
-                t = _table(_epoch(ids, labels, _model(shared.value), turn))
-                columns = [np.arange(len(t), dtype=np.int32), np.full(len(t), float(len(labels))), *t.T]
+                # this partition's share of the change of the average model
+                change = (_table(_epoch(ids, labels, _model(shared.value), turn)) - shared.value) * (len(labels) / (n0 + n1))
+                used = np.flatnonzero(change.any(axis=1))
+                columns = [used.astype(np.int32), *change[used].T.astype(np.float32)]
                 yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns],
-                                                 names=["id", "n", *FIELDS])
+                                                 names=["id", *FIELDS])
 
         # the partitions' models are averaged by Spark: one model reaches the driver
-        average = rows.mapInArrow(learn, out).groupBy("id").agg(*mean).toPandas().sort_values("id")
-        model = _model(average[FIELDS].to_numpy(np.float64))
+        change = rows.mapInArrow(learn, out).groupBy("id").agg(*total).toPandas()
+        table = _table(model)
+        table[change["id"]] += change[FIELDS].to_numpy(np.float64)
+        model = _model(table)
         shared.unpersist()
     return model | {"terms": known, "bias": model["bias"] + offset}
 
