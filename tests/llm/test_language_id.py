@@ -48,6 +48,58 @@ def test_mixture_proportions_and_set_choice():
     assert share[0] == share[1] == 1.0 and 0.7 < share[2] < 0.85
 
 
+def _plain(text, logp):
+    """One document, word by word: EM from equal shares for every set of the
+    most probable languages, the best by penalised likelihood."""
+    bucket, word = op.trigrams(text)
+    words = [[sum(float(logp[b, k]) for b, w in zip(bucket, word) if w == x) for k in range(logp.shape[1])]
+             for x in range(word.max() + 1)]
+    like = [[np.exp(max(v - max(row), -40)) for v in row] for row in words]
+
+    def em(pi):
+        for _ in range(op.STEPS):
+            new = [0.0] * len(pi)
+            for row in like:
+                total = sum(a * p for a, p in zip(row, pi))
+                for k, (a, p) in enumerate(zip(row, pi)):
+                    new[k] += a * p / total / len(like)
+            pi = new
+        return pi
+
+    n = logp.shape[1]
+    full = em([1 / n] * n)
+    order = sorted(range(n), key=lambda k: -full[k])
+    best = None
+    for size in range(1, n + 1):
+        pi = [1 / size if k in order[:size] else 0.0 for k in range(n)]
+        pi = em(pi) if size > 1 else pi
+        value = sum(np.log(sum(a * p for a, p in zip(row, pi))) for row in like) - 0.5 * (size - 1) * np.log(len(like))
+        if best is None or value > best[0]:
+            best = value, max(range(n), key=lambda k: pi[k]), max(pi), size
+    return best[1:]
+
+
+def test_infer_equals_a_plain_version_for_sets_of_any_size():
+    rng = np.random.default_rng(5)
+    vocabulary = [[("".join(rng.choice(list(letters), 5))).encode() for _ in range(30)]
+                  for letters in ("abcd", "efgh", "ijkl", "mnop", "qrst", "uvwx")]
+    logp = np.full((op.BUCKETS, 6), 0.01)
+    for k, words in enumerate(vocabulary):
+        logp[:, k] += np.bincount(op.trigrams(b" ".join(words))[0], minlength=op.BUCKETS)
+    logp = np.log(logp / logp.sum(axis=0)).astype(np.float32)
+    texts = [b" ".join(w for k in langs for w in vocabulary[k][:20])
+             for langs in ((0,), (1, 2), (0, 2, 5), (5, 4, 3, 2, 1), (0, 1, 2, 3, 4, 5), (3, 3, 3, 1))]
+    lang, share = op.infer(texts, logp)
+    sizes = []
+    for i, t in enumerate(texts):
+        want_lang, want_share, size = _plain(t, logp)
+        sizes.append(size)
+        assert abs(share[i] - want_share) < 1e-5, i
+        if i in (0, 5):                       # the others have languages of equal shares
+            assert lang[i] == want_lang
+    assert sizes[3:5] == [5, 6]
+
+
 def test_long_text_in_parts_gives_the_same_result(monkeypatch):
     logp = np.log(np.random.default_rng(0).dirichlet(np.ones(op.BUCKETS), 3).T).astype(np.float32)
     text = b"one two three four five six seven " * 50

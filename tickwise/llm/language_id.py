@@ -36,7 +36,6 @@ BUCKETS = 1 << 15
 STEPS = 8                 # EM steps for each language set
 SMOOTHING = 0.5
 BATCH_BYTES = 1 << 20     # text handled together (bounds memory)
-MAX_SET = 4               # languages a document is tested for together
 MIN_SHARE = 1 / 3         # a document of which no language has this share is kept by no pipeline
 UNKNOWN = "und"
 
@@ -153,7 +152,10 @@ def infer(texts: list[bytes], logp):
     full = _mixture(like, starts, sizes, np.full((len(texts), n_langs), 1 / n_langs))
     order = np.argsort(-full, axis=1, kind="stable")
     lang, share, best = np.zeros(len(texts), int), np.ones(len(texts)), np.full(len(texts), -np.inf)
-    for size in range(1, min(n_langs, MAX_SET) + 1):
+    for size in range(1, n_langs + 1):
+        # no word's scaled likelihood is above 1, so no larger set can be better than its penalty
+        if (-0.5 * (size - 1) * np.log(sizes) <= best).all():
+            break
         pi = np.zeros_like(full)
         np.put_along_axis(pi, order[:, :size], 1 / size, axis=1)
         if size > 1:
