@@ -141,26 +141,30 @@ def raw_score(ids, bias, weight, vector):
     return bias + weight[ids].sum() + 0.5 * float(s @ s - (v * v).sum())
 
 
-def _epoch(ids_of, labels, model, seed):
-    """One AdaGrad pass over the rows, in a shuffled order."""
+def _epoch(ids_of, labels, table, seed):
+    """The model's table after one AdaGrad pass over the rows, in a shuffled
+    order; a row's terms are fetched and put back once."""
     import numpy as np
-    bias, w, v = model["bias"], model["w"].copy(), model["v"].copy()
-    gb, gw, gv = model["gb"], model["gw"].copy(), model["gv"].copy()
+    t = table.copy()
+    bias, gb = t[-1, 0], t[-1, 1]
     for r in np.random.default_rng(seed).permutation(len(labels)):
         ids = ids_of[r]
-        x = v[ids]
-        s = x.sum(axis=0)
-        z = bias + w[ids].sum() + 0.5 * float(s @ s - (x * x).sum())
+        x = t[ids]
+        w, gw, v, gv = x[:, 0], x[:, 1], x[:, 2:2 + RANK], x[:, 2 + RANK:]
+        s = v.sum(axis=0)
+        z = bias + w.sum() + 0.5 * float(s @ s - (v * v).sum())
         g = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels[r]
         gb += g * g
         bias -= RATE * g / np.sqrt(gb)
-        d = g + DECAY * w[ids]
-        gw[ids] += d * d
-        w[ids] -= RATE * d / np.sqrt(gw[ids])
-        d = np.clip(g * (s - x), -1, 1) + DECAY * x
-        gv[ids] += d * d
-        v[ids] -= 0.2 * RATE * d / np.sqrt(gv[ids])
-    return {"bias": bias, "w": w, "v": v, "gb": gb, "gw": gw, "gv": gv}
+        d = g + DECAY * w
+        gw += d * d
+        w -= RATE * d / np.sqrt(gw)
+        d = np.clip(g * (s - v), -1, 1) + DECAY * v
+        gv += d * d
+        v -= 0.2 * RATE * d / np.sqrt(gv)
+        t[ids] = x
+    t[-1, :2] = bias, gb
+    return t
 
 
 FIELDS = ["w", "gw", *[f"v{i}" for i in range(RANK)], *[f"g{i}" for i in range(RANK)]]
@@ -219,7 +223,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
                 ids += [np.asarray(x, np.int64) for x in b.column(1).to_pylist()]
             if labels:
                 # this partition's share of the change of the average model
-                change = (_table(_epoch(ids, labels, _model(shared.value), turn)) - shared.value) * (len(labels) / (n0 + n1))
+                change = (_epoch(ids, labels, shared.value, turn) - shared.value) * (len(labels) / (n0 + n1))
                 used = np.flatnonzero(change.any(axis=1))
                 columns = [used.astype(np.int32), *change[used].T.astype(np.float32)]
                 yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns],
