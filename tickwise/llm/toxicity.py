@@ -220,7 +220,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
             labels, ids = [], []
             for b in batches:
                 labels += b.column(0).to_pylist()
-                ids += [np.asarray(x, np.int64) for x in b.column(1).to_pylist()]
+                cuts, values = b.column(1).offsets.to_numpy(), b.column(1).values.to_numpy().astype(np.int64)
+                ids += [values[i:j] for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
             if labels:
                 # this partition's share of the change of the average model
                 change = (_epoch(ids, labels, shared.value, turn) - shared.value) * (len(labels) / (n0 + n1))
@@ -230,9 +231,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
                                                  names=["id", *FIELDS])
 
         # the partitions' models are averaged by Spark: one model reaches the driver
-        change = rows.mapInArrow(learn, out).groupBy("id").agg(*total).toPandas()
+        change = rows.mapInArrow(learn, out).groupBy("id").agg(*total).toArrow()
         table = _table(model)
-        table[change["id"]] += change[FIELDS].to_numpy(np.float64)
+        table[change["id"].to_numpy()] += np.column_stack([change[c].to_numpy() for c in FIELDS])
         model = _model(table)
         shared.unpersist()
     return model | {"terms": known, "bias": model["bias"] + offset}
