@@ -54,6 +54,30 @@ def test_matches_brute_force(spark, max_windows):
     assert sorted((tuple(r) for r in got.collect()), key=repr) == brute(rows(), benchmark())
 
 
+def test_texts_of_one_hash_are_told_apart(spark, monkeypatch):
+    """Windows and document words of equal length share a hash here."""
+    monkeypatch.setattr(op.F, "xxhash64", lambda c: F.length(c).cast("long"))
+    items = spark.createDataFrame(benchmark(), "item_id long, text string")
+    some = [r for r in rows() if len(r[1] or "") < 2000]
+    got = op.contamination(documents(spark, some), items, max_windows=0).select(
+        "doc.doc_id", "n_words", "n_hit", "items", "contaminated")
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == brute(some, benchmark())
+
+
+def test_a_large_benchmark_stays_in_spark(spark):
+    """More windows than travel with the query; one passage is in a third of the rows."""
+    import random
+    rng = random.Random(4)
+    word = lambda: "w" + str(rng.randint(0, 400))
+    bench = [(i, " ".join(word() for _ in range(rng.choice([3, 13, 20, 40])))) for i in range(300)]
+    made = [(i, " ".join([*(word() for _ in range(30)), bench[0 if i % 3 == 0 else i % 300][1], word()]), "en", "a")
+            for i in range(150)]
+    items = spark.createDataFrame(bench, "item_id long, text string")
+    got = op.contamination(documents(spark, made), items, max_windows=100).select(
+        "doc.doc_id", "n_words", "n_hit", "items", "contaminated")
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == brute(made, bench)
+
+
 def test_contaminated_documents_go_and_others_stay_unchanged(spark):
     items = spark.createDataFrame(benchmark(), "item_id long, text string").where(F.length("text") > 20)
     docs = documents(spark, rows())

@@ -7,15 +7,19 @@ window at that place compared, word by word, with the benchmark's.  The scan
 needs no shuffle: a document's hits, their union and the items are computed in
 its own row.
 
-The windows travel with the query only up to ``MAX_WINDOWS``; a larger
-benchmark is split into blocks of that size, each block scans the stored
-words, and a document's hits of all blocks are put together by its row.
+The windows travel with the query only up to ``MAX_WINDOWS``.  A larger benchmark
+stays in Spark: the hash of the words at every place of a document meets the
+hashes of the stored windows in a join, and a document's hits are put together
+by its row and compared word by word with the windows found, so that two texts
+of one hash are told apart.
 
 Defined results: null text has no words (zero counts, not contaminated); null
 or blank items have no window, items with a null id still mark words but are
 not counted; repeated rows give repeated result rows, repeated items count
-once by id; without benchmark rows nothing is hit; only ``doc_id``, ``text``
-and ``item_id``, ``text`` are read.
+once by id; without benchmark rows nothing is hit; an empty ``documents`` table
+gives no row; very long texts are scanned whole; of a window's equally long words
+the first is the anchor, which changes no result; only ``doc_id``, ``text`` and
+``item_id``, ``text`` are read.
 """
 
 from __future__ import annotations
@@ -86,6 +90,31 @@ def window_hits(words: Column, block: list) -> Column:
     return F.when(F.size(words) > 0, F.transform(F.array(words), scan)[0]).otherwise(F.array().cast(HIT))
 
 
+def joined_hits(rows: DataFrame, grams: DataFrame) -> DataFrame:
+    """(row, hits) of the rows (row, w) with a place whose words have the hash
+    of a window; ``hits`` holds these places with the windows' words, yet to be
+    compared.  A place sends its hash alone, and no window leaves Spark."""
+    lengths = sorted(r["words"] for r in grams.select("words").distinct().collect())     # at most WINDOW_WORDS
+
+    def places(n: int) -> Column:
+        starts = F.when(F.size("w") >= n, F.sequence(F.lit(0), F.size("w") - n)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.struct(
+            i.alias("start"), F.lit(n).alias("words"),
+            F.xxhash64(F.array_join(F.slice("w", i + 1, n), " ")).alias("hash")))
+
+    probes = rows.select("row", F.explode(F.concat(*[places(n) for n in lengths])).alias("p")).select("row", "p.*")
+    known = grams.select(F.xxhash64("window").alias("hash"), "words", "window", "items")
+    return (probes.join(known, ["hash", "words"]).groupBy("row")
+            .agg(F.collect_list(F.struct("start", "words", "items", "window")).alias("hits")))
+
+
+def _same_words(words: Column, hits: Column) -> Column:
+    """The hits whose window is what the document has there."""
+    real = F.filter(hits, lambda h: F.array_join(F.slice(words, h["start"] + 1, h["words"]), " ") == h["window"])
+    return F.transform(real, lambda h: F.struct(h["start"].alias("start"), h["words"].alias("words"),
+                                                h["items"].alias("items")))
+
+
 def _covered(hits: Column) -> Column:
     """How many words lie inside at least one hit."""
     spans = F.array_sort(F.transform(hits, lambda h: F.struct(h["start"].alias("s"),
@@ -111,16 +140,9 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS,
     else:
         rows = stored(rows.select("doc", F.monotonically_increasing_id().alias("row"),
                                   word_list(F.col("doc.text")).alias("w")), "op9-words")
-        blocks = -(-n // max_windows) * 2
-        dealt = grams.withColumn("block", F.pmod(F.xxhash64("window", "at"), F.lit(blocks)))
-        parts = None
-        for b in range(blocks):
-            part = rows.select("row", F.explode(window_hits(
-                F.col("w"), dealt.where(F.col("block") == b).collect())).alias("hit"))
-            parts = part if parts is None else parts.unionByName(part)
-        hits = parts.groupBy("row").agg(F.collect_list("hit").alias("hits"))
-        hit = (rows.select("row", "doc", F.size("w").cast("long").alias("n_words")).join(hits, "row", "left")
-               .select("doc", "n_words", F.coalesce("hits", F.array().cast(HIT)).alias("hits")))
+        hit = (rows.join(joined_hits(rows, grams), "row", "left")
+               .select("doc", F.size("w").cast("long").alias("n_words"),
+                       F.coalesce(_same_words(F.col("w"), F.col("hits")), F.array().cast(HIT)).alias("hits")))
     found = F.array_sort(F.array_distinct(F.flatten(F.transform("hits", lambda h: h["items"]))))
     return (hit.select("doc", "n_words", _covered(F.col("hits")).alias("n_hit"), found.alias("items"))
             .select("doc", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items",
