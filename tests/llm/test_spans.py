@@ -115,6 +115,21 @@ def test_patterns_of_seeds_discover_unseen_identifiers(spark):
     assert got[101].spans == "" and got[102].spans == "" and got[0].n_phone == 1
 
 
+def test_a_number_takes_the_kind_of_its_patterns(spark):
+    """13 to 15 digits may be a card or a phone; a dotted quad of few digits an address."""
+    cards = ["4111111111111111", "5105105105105100", "4012888888881881", "5555555555554444"]
+    made = [(i, f"text {i} ring phone +49 30 1234{i:04d} now", "en", "a") for i in range(8)]
+    made += [(20 + i, f"text {i} charge card {c} today", "en", "a") for i, c in enumerate(cards)]
+    made += [(40 + i, f"text {i} from host 10.0.{i}.1 came", "en", "a") for i in range(8)]
+    made += [(100, "ring phone 0049 30 12345678 now", "en", "a"), (101, "charge card 00493012345679 today", "en", "a"),
+             (102, "from host 999.1.2.3 came", "en", "a"), (103, "ring phone 1234567890123456 now", "en", "a")]
+    got = {r.doc_id: r for r in pii.digests(pii.pii_spans(documents(spark, made))).collect()}
+    assert got[100].spans == "phone:11:27" and got[100].n_phone == 0
+    assert got[101].spans == "card:12:26" and got[101].n_card == 0
+    assert got[102].spans == "ip:10:19" and got[102].n_ip == 0
+    assert got[103].spans == ""                       # too long for a phone, and no card's pattern is beside it
+
+
 def test_common_words_are_no_patterns(spark):
     made = [(i, f"the cat saw the +1 ({i:03d}) 555-{1000 + i} the dog the end", "en", "a") for i in range(20)]
     made += [(100, "the 217 555 0199 the", "en", "a")]

@@ -2,19 +2,22 @@
 
 Four patterns find the seed entities.  The word before and the word after an
 entity are its lexical patterns.  Strings of looser shape that no seed covers
-(an address without a dotted domain, a number of seven digits or more that
-fails its kind's test) are candidate instances.  Patterns and instances form a
+(an address without a dotted domain, a dotted quad, a number of seven digits or
+more that fails its kind's test) are candidate instances, of every kind that
+their form allows: a number of 13 to 15 digits may be a card or a phone.  Patterns and instances form a
 bipartite graph, scored iteratively by Spark: a pattern's score is the share
 of its word's occurrences in the corpus that stand next to an instance of the
 kind, weighted by the instances' confidence (seeds: 1); an instance's
 confidence is the noisy-or of its patterns' scores.  Only patterns seen with
 ``MIN_INSTANCES`` different instances, one a seed, take part.  Candidates whose
 confidence reaches ``MIN_CONFIDENCE`` are added spans, of the kind whose
-patterns found them.  Base spans always stay; the counts are those of base
+patterns found them (of several, the most confident; a tie goes to the kind
+listed first).  Base spans always stay; the counts are those of base
 spans.
 
 Defined results: null text counts as empty; repeated rows give repeated result
-rows; an empty table gives no row; a null doc_id is kept; only ``doc_id`` and
+rows; an empty table gives no row; a null doc_id is kept; very long texts are
+searched whole; only ``doc_id`` and
 ``text`` are read.
 """
 
@@ -37,9 +40,11 @@ CARD = r"[0-9](?:[\x20-]?[0-9]){13,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 IP_PARTS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?:\.|$)){4}$"
 LOOSE = (r"(?:(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++)"
+         r"|(?:(?<![0-9.])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++(?![0-9.]))"
          r"|(?:[+(]?[0-9](?:[().\x20/-]{0,2}+[0-9]){6,}+)")
 CARD_DIGITS = (14, 19)
 PHONE_DIGITS = (10, 15)
+LOOSE_CARD_DIGITS = 13    # a number of so many digits or more may be a card, of up to 15 digits a phone
 
 ROUNDS = 3
 MIN_INSTANCES = 3
@@ -74,11 +79,14 @@ def _base(text: Column) -> dict[str, Column]:
     }
 
 
-def _shape(value: Column) -> Column:
-    """The kind a candidate could be."""
-    return (F.when(value.contains("@"), "email")
-            .when(value.rlike(r"^[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+$"), "ip")
-            .when(F.length(_digits(value)) >= 13, "card").otherwise("phone"))
+def _shapes(value: Column) -> Column:
+    """The kinds a candidate could be."""
+    n = F.length(_digits(value))
+    return (F.when(value.contains("@"), F.array(F.lit("email")))
+            .when(value.rlike(r"^[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+$"), F.array(F.lit("ip")))
+            .when(n > PHONE_DIGITS[1], F.array(F.lit("card")))
+            .when(n >= LOOSE_CARD_DIGITS, F.array(F.lit("card"), F.lit("phone")))
+            .otherwise(F.array(F.lit("phone"))))
 
 
 def _tagged(spans: Column, kind: str) -> Column:
@@ -96,7 +104,7 @@ def _instances(entities: DataFrame) -> DataFrame:
 
 
 def confident_instances(entities: DataFrame, texts: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(kind, value) of the candidates that the patterns vouch for.  ``entities``
+    """(kind, value, belief) of the candidates that the patterns vouch for.  ``entities``
     holds seeds and candidates with their contexts, ``texts`` the whole texts."""
     pattern = ["kind", "side", "word"]
     edges = stored(_instances(entities).groupBy(*pattern, "value")
@@ -117,7 +125,8 @@ def confident_instances(entities: DataFrame, texts: DataFrame, rounds: int = ROU
         belief = stored(graph.join(scores, pattern).groupBy("kind", "value")
                         .agg(F.when(F.max("seed"), 1.0).otherwise(1 - F.exp(doubt)).alias("belief"),
                              F.max("seed").alias("seed")), "op5-belief")
-    return belief.where(~F.col("seed") & (F.col("belief") >= MIN_CONFIDENCE)).select("kind", "value")
+    return belief.where(~F.col("seed") & (F.col("belief") >= MIN_CONFIDENCE)).select(
+        "kind", "value", "belief")
 
 
 def pii_spans(docs: DataFrame) -> DataFrame:
@@ -130,16 +139,20 @@ def pii_spans(docs: DataFrame) -> DataFrame:
     located = stored(located.withColumn("loose", clear_of(F.col("loose"), F.concat(*KINDS))), "op5-located")
 
     tagged = F.concat(*[_tagged(F.col(k), k) for k in KINDS],
-                      F.transform("loose", lambda s: F.struct(_shape(s["value"]).alias("kind"),
-                                                              F.lit(False).alias("seed"), s.alias("s"))))
+                      F.flatten(F.transform("loose", lambda s: F.transform(_shapes(s["value"]), lambda k: F.struct(
+                          k.alias("kind"), F.lit(False).alias("seed"), s.alias("s"))))))
     found = confident_instances(located.select(F.explode(tagged).alias("e")).select("e.*"), rows)
     key = F.when(F.col("kind") == "email", F.lower("s.value")).otherwise(_digits(F.col("s.value")))
+    first = F.array(*[F.lit(k) for k in reversed(KINDS)])
+    best = F.max(F.struct(F.round("belief", 9).alias("belief"), F.array_position(first, F.col("kind")).alias("order"),
+                          "kind"))
     added = (located.select("doc_id", "print", F.explode("loose").alias("s"))
-             .withColumn("kind", _shape(F.col("s.value"))).withColumn("value", key)
+             .withColumn("kind", F.explode(_shapes(F.col("s.value")))).withColumn("value", key)
              .join(found, ["kind", "value"])
-             .groupBy(F.col("doc_id").alias("a_id"), F.col("print").alias("a_print"))
-             .agg(F.collect_set(F.struct(F.col("s.start").alias("start"), F.col("s.end").alias("end"), "kind"))
-                  .alias("added")))
+             .groupBy(F.col("doc_id").alias("a_id"), F.col("print").alias("a_print"), "s.start", "s.end")
+             .agg(best.alias("best"))
+             .groupBy("a_id", "a_print")
+             .agg(F.collect_set(F.struct("start", "end", F.col("best.kind").alias("kind"))).alias("added")))
     return (located.join(added, F.col("doc_id").eqNullSafe(F.col("a_id")) & (F.col("print") == F.col("a_print")), "left")
             .select("doc_id", *KINDS, "added"))
 
