@@ -114,3 +114,36 @@ def test_stage_keeps_clean_documents_unchanged(spark):
     kept = op.in_known_language(docs)
     assert kept.columns == docs.columns
     assert {r.doc_id for r in kept.collect()} >= {20, 35, 49} and not {1, 2, 3, 9} & {r.doc_id for r in kept.collect()}
+
+
+def test_stage_drops_text_of_no_learned_language(spark):
+    """Planted junk goes, clean text (learned from or not) stays."""
+    import base64
+    import random
+    rng = random.Random(1)
+
+    def made(alphabet, n):
+        return " ".join("".join(rng.choice(alphabet) for _ in range(rng.randint(2, 10))) for _ in range(n))
+
+    latin, cyrillic = "abcdefghijklmnopqrstuvwxyz", "".join(chr(c) for c in range(0x430, 0x450))
+    junk = [t for _ in range(20) for t in (made(latin, 200), made(latin, 8), made(cyrillic, 200), made("0123456789abcdef", 200),
+                                           base64.b64encode(rng.randbytes(1500)).decode())]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    n = docs.count()
+    planted = spark.createDataFrame([(10**9 + i, t, None) for i, t in enumerate(junk)], docs.schema)
+    kept = {r.doc_id for r in op.in_known_language(docs.unionByName(planted)).select("doc_id").collect()}
+    assert not [i for i in kept if i >= 10**9]
+    assert len(kept) == n
+
+
+def test_background_takes_words_of_no_language():
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("abcd"), 5)).encode() for _ in range(30)]
+    counts = np.full((op.BUCKETS, 1), op.SMOOTHING)
+    counts[:, 0] += 5000 * np.bincount(op.trigrams(b" ".join(words))[0], minlength=op.BUCKETS)
+    langs, logp = op.with_background(["xx"], np.log(counts / counts.sum(axis=0)))
+    other = ["".join(rng.choice(list("wxyz"), 5)).encode() for _ in range(30)]
+    lang, share = op.infer([b" ".join(words), b" ".join(other), b" ".join(words[:20] + other[:10])], logp)
+    assert langs == ["xx", "und"] and lang.tolist() == [0, 1, 0]
+    assert share[0] > 0.99 and share[1] > 0.99 and abs(share[2] - 2 / 3) < 0.01
+    assert op.with_background([], None) == ([], None)

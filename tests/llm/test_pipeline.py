@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 def brute(spark, docs, items):
     """Rows (doc_id, text, lang, source) after the first four stages; ids are distinct."""
-    found = {r.doc.doc_id: r for r in language_id(docs).collect()}
+    found = {r.doc.doc_id: r for r in language_id(docs, background=True).collect()}
     rows = [(r.doc_id, r.text, r.lang, r.source) for r in docs.collect()]
     rows = [r for r in rows if found[r[0]].lang_pred != "und" and found[r[0]].score >= 1 / 3]
     cut = {i: (removed, left) for i, _, removed, left in brute_lines(rows, 10)}

@@ -9,14 +9,23 @@ highest likelihood less a penalty per language (half the logarithm of the
 number of words, BIC) is taken; the prediction is its largest language, the
 score that language's proportion.
 
+The pipeline's stage adds one more component to the mixture, a background under
+which every trigram is equally likely: text of no learned language (random
+strings, encoded data, other scripts) is more likely under it than under any of
+them, and a document of which the background is the largest part goes.  A
+trigram of a learned language is several times likelier there than in the
+background, so clean text, seen or not, stays.  ``op4_language_id`` names a
+learned language for every text with a letter, and has no background.
+
 Trigram counts cover all training rows; they are summed per task and by Spark,
 and only the table (languages x ``BUCKETS``) meets on the driver.
 
 Defined results: text that is null or without a letter is ``und`` with score
 0, as is every text when nothing was learned; null langs are not learned from;
-repeated rows give repeated result rows; an empty table gives no row; only
-``doc_id``, ``text`` and ``lang`` are read, and a prediction reads the text
-alone.
+repeated rows give repeated result rows; an empty table gives no row; a very long
+text is taken whole, in parts cut at spaces; of languages with equal shares the
+first in alphabetical order is taken; only ``doc_id``, ``text`` and ``lang`` are
+read, and a prediction reads the text alone.
 """
 
 from __future__ import annotations
@@ -168,9 +177,19 @@ def infer(texts: list[bytes], logp):
     return lang, share
 
 
-def predictor(docs: DataFrame):
+def with_background(langs: list[str], logp):
+    """The model with a last component, named ``UNKNOWN``, of equal trigrams."""
+    import numpy as np
+    if not langs:
+        return langs, logp
+    return [*langs, UNKNOWN], np.column_stack((logp, np.full(BUCKETS, -np.log(BUCKETS), np.float32)))
+
+
+def predictor(docs: DataFrame, background: bool = False):
     """Learn from ``docs``; a function from a text column to (lang_pred, score)."""
     langs, logp = fit(docs)
+    if background:
+        langs, logp = with_background(langs, logp)
     shared = docs.sparkSession.sparkContext.broadcast((langs, logp))
 
     @F.pandas_udf("lang_pred string, score double")
@@ -193,9 +212,9 @@ def predictor(docs: DataFrame):
     return predict
 
 
-def language_id(docs: DataFrame) -> DataFrame:
+def language_id(docs: DataFrame, background: bool = False) -> DataFrame:
     """``docs`` as struct column ``doc``, with held_out, lang_pred and score."""
-    predict = predictor(docs)
+    predict = predictor(docs, background)
     return (docs.select(F.struct("*").alias("doc")).withColumn("found", predict(F.col("doc.text").cast("string")))
             .select("doc", (fold(F.col("doc.doc_id"), FOLDS) == HELD_OUT).alias("held_out"),
                     "found.lang_pred", "found.score"))
@@ -203,6 +222,7 @@ def language_id(docs: DataFrame) -> DataFrame:
 
 def in_known_language(docs: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
     """The documents of which at least ``min_share`` is in one learned
-    language, unchanged; ``und`` and mixtures without such a share go."""
-    return (language_id(docs).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_share))
+    language, unchanged; ``und``, text that is mostly background and mixtures
+    without such a share go."""
+    return (language_id(docs, background=True).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_share))
             .select("doc.*"))
