@@ -36,6 +36,7 @@ import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from .common import fold, on_workers, stored
 
@@ -51,36 +52,58 @@ RATE = 0.5
 DECAY = 1e-5
 PREFIXES = (3, 4, 5)
 CACHE_TOKENS = 300_000    # tokens whose terms a worker remembers
+MARKS = ".,;:!?\"'()"         # often around a word; no letters
 
+HALF = 1 << 63
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+def _words(token: str) -> list[str]:
+    """Runs of letters."""
+    plain = token.strip(MARKS)
+    return [plain] if plain.isalpha() else _WORD.findall(token)
+
+
+def _begins(word: str) -> list[str]:
+    return [f"{word[:n]}-" for n in PREFIXES if len(word) >= n]
+
+
 def _terms_of(token: str) -> list[int]:
-    from xxhash import xxh3_64_intdigest as h
-    out = []
-    for w in _WORD.findall(token):
-        out.append(h(w))
-        out.extend(h(f"{w[:n]}-") for n in PREFIXES if len(w) >= n)
-    return [x - (1 << 63) for x in out]
+    return [xxh3_64_intdigest(t) - HALF for w in _words(token) for t in (w, *_begins(w))]
 
 
 class Terms:
-    """Distinct hashed terms of a text; with ``known``, their numbers there."""
+    """Distinct hashed terms of a text; with ``known``, their numbers there.
+    Tokens, and with ``known`` the beginnings of words, are remembered."""
 
     def __init__(self, known: dict[int, int] | None = None):
-        self.known, self.seen = known, {}
+        self.known, self.seen, self.begun = known, {}, {}
+
+    def _numbers(self, token: str) -> list[int]:
+        known, out = self.known, []
+        for w in _words(token):
+            begin = w[:PREFIXES[-1]]
+            ids = self.begun.get(begin)
+            if ids is None:
+                hashes = [xxh3_64_intdigest(t) - HALF for t in _begins(begin)]
+                ids = self.begun[begin] = [known[x] for x in hashes if x in known]
+            whole = known.get(xxh3_64_intdigest(w) - HALF)
+            if whole is not None:
+                out.append(whole)
+            out += ids
+        return out
 
     def __call__(self, text: str) -> list[int]:
         if len(self.seen) > CACHE_TOKENS:
             self.seen.clear()
+        if len(self.begun) > CACHE_TOKENS:
+            self.begun.clear()
+        of = _terms_of if self.known is None else self._numbers
         seen, found = self.seen, set()
         for token in set((text or "").lower().split()):
             ids = seen.get(token)
             if ids is None:
-                ids = _terms_of(token)
-                if self.known is not None:
-                    ids = [self.known[x] for x in ids if x in self.known]
-                seen[token] = ids
+                ids = seen[token] = of(token)
             found.update(ids)
         return sorted(found)
 
