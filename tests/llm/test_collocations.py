@@ -116,3 +116,53 @@ def test_empty_tables(spark):
     for rows in ([], [(1, None, None, None), (2, "only a few words", "en", "a")]):
         got = op.collocations(documents(spark, rows))
         assert got.columns == COLUMNS and got.count() == 0
+
+
+def test_many_slices_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(op, "SLICE_KEYS", 200)
+    rows = phrases(200, seed=9)
+    got = op.collocations(documents(spark, rows), min_count=6)
+    assert sorted(map(tuple, got.collect())) == brute(rows, 6)
+
+
+def test_pairs_travel_in_slices_of_few_bytes(spark):
+    rng = np.random.default_rng(3)
+    chunks = [rng.integers(-1, 3000, 20_000) for _ in range(3)]
+    level = spark.createDataFrame([(c, bytearray(op.packed(s))) for c, s in enumerate(chunks)],
+                                  "chunk long, symbols binary").coalesce(1)
+    want = [Counter((x, y) for x, y in zip(s.tolist(), s[1:].tolist()) if x >= 0 and y >= 0) for s in chunks]
+    asked = op.asked_pairs(level, 4).collect()
+    assert len(asked) == 3 * 4        # a row for each chunk and slice, not one for each pair
+    assert sum(len(r["a"]) + len(r["b"]) + len(r["counts"]) for r in asked) < 6 * sum(map(len, want))
+    for c, pairs in enumerate(want):
+        got = {}
+        for r in asked:
+            if r["chunk"] == c:
+                got.update(zip(zip(op.sums(r["a"]).tolist(), op.unpacked(r["b"]).tolist()), op.unpacked(r["counts"]).tolist()))
+        assert got == pairs
+    rows = op.numbered_pairs(op.asked_pairs(level, 4), 4, 2).collect()
+    found = {(r["left"], r["right"]): (r["id"], r["f"]) for r in rows if r["chunk"] is None}
+    total = sum(want, Counter())
+    assert {p: f for p, (_, f) in found.items()} == {p: f for p, f in total.items() if f >= 2}
+    assert len({i for i, _ in found.values()}) == len(found) > 10
+    for c, pairs in enumerate(want):
+        got = {}
+        for r in rows:
+            if r["chunk"] == c:
+                got.update(zip(zip(op.sums(r["a"]).tolist(), op.unpacked(r["b"]).tolist()), op.unpacked(r["ids"]).tolist()))
+        assert got == {p: found[p][0] for p in pairs if p in found}
+
+
+def test_a_chunk_without_pairs_is_asked_nothing(spark):
+    level = spark.createDataFrame([(1, bytearray(op.packed(np.array([4, -1, 5])))), (2, bytearray(op.packed(np.array([-1]))))],
+                                  "chunk long, symbols binary")
+    assert op.asked_pairs(level, 4).collect() == []
+    assert op.numbered_pairs(op.asked_pairs(level, 4), 4, 1).collect() == []
+
+
+def test_symbols_without_a_neighbour_are_left_out():
+    for old, new in (([], []), ([3], []), ([-1, -1], []), ([3, -1, 4, 5, -1, -1, 6, 7], [4, 5, -1, 6, 7]),
+                     ([1, 2, 3, -1, 4, -1, 5, 6, -1], [1, 2, 3, -1, 5, 6, -1])):
+        assert op._linked(np.array(old, np.int64)).tolist() == new
+    for numbers in ([], [0], [5, 5, 9, 70_000]):
+        assert op.sums(op.steps(np.array(numbers, np.int64))).tolist() == numbers

@@ -26,6 +26,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_shuffles(df: DataFrame) -> None:
+    """Let Spark delete the shuffle files of tables that are no longer used:
+    it does when the driver collects its garbage."""
+    import gc
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
 def on_workers(df: DataFrame) -> DataFrame:
     """``df``, once the Python workers can import this package."""
     ship_package(df.sparkSession)

@@ -40,7 +40,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, on_workers, stored
+from .common import fold, free_shuffles, on_workers, stored
 
 FOLDS = 7
 HELD_OUT = 2
@@ -218,14 +218,6 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                   "op2-encoded")
 
 
-def _free(df: DataFrame) -> None:
-    """Let Spark delete the shuffle files of tables that are no longer used:
-    it does when the driver collects its garbage."""
-    import gc
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
-
-
 def _both(left: DataFrame, right: DataFrame, key: str, run, schema: str) -> DataFrame:
     """``run`` over the rows that both tables have of a key, as Arrow tables."""
     return left.groupBy(key).cogroup(right.groupBy(key)).applyInArrow(run, schema)
@@ -671,7 +663,7 @@ def train_hmm(rows: DataFrame, own: DataFrame, vocabulary: Vocabulary) -> Model:
     model = Model(trans, emit, own)
     for _ in range(PASSES if vocabulary.n else 0):
         model = full_pass(rows, model, vocabulary)
-        _free(rows)                                          # here, as the pass itself still holds its tables
+        free_shuffles(rows)                                  # here, as the pass itself still holds its tables
     return model
 
 
@@ -682,6 +674,6 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     encoded = encode(docs, vocabulary)
     found = look_up(encoded, vocab, vocabulary)
     rows = resolve(encoded, found, vocabulary)
-    _free(rows)
+    free_shuffles(rows)
     own = found.where("block = -1").select("part", "c", F.lit(None).cast("binary").alias("sums"))
     return scores(rows, train_hmm(rows, own, vocabulary), vocabulary)
