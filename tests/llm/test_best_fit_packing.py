@@ -94,3 +94,20 @@ def test_hot_length_is_ranked_in_parts(spark, monkeypatch):
     rows = [(i, "one two three", "en", "a") for i in range(200)]
     got = op.best_fit_packing(documents(spark, rows), capacity=16).collect()
     assert len(got) == 200 and check_places(got, 16) == 50
+
+
+def test_words_and_marks_without_the_whole_tokenizer(monkeypatch):
+    encode = op.WordEncoder(op.default_tokenizer())
+    latin = [chr(c) for c in range(0xA0, 0x180)]
+    marks = [m for m in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"]
+    words = (["Haus", "ÉTÉ", "straße", "ñandú,", "end.", "end...", "Ende?!", "x$$$", "END.", "it's", "we'll,", "a<|endoftext|>",
+              "<|startoftext|>", "b|>", "e\u0301t\u00e9.", "ÿ", "Ÿ", "µm", "ªº", "a×b", "a1.", "...", ".a", "İ.", "ſ,"]
+             + ["Wort" + m for m in marks] + ["wört" + m + n for m in marks for n in marks[::5]]
+             + ["A" + c + "b." for c in latin] + latin)
+    whole = [np.asarray(encode.tok.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in words]
+    assert encode(words) == whole
+    assert op.WordEncoder(op.default_tokenizer())([" ".join(words)]) == [
+        np.asarray(encode.tok.encode(" ".join(words), add_special_tokens=False).ids, "<u4").tobytes()]
+    plain = op.WordEncoder(op.default_tokenizer())
+    monkeypatch.setattr(plain, "_learn", lambda words: pytest.fail(f"encoded as other text: {words}"))
+    plain(["Plain words, ÉTÉ and straße... (end) ###".replace("(", "").replace(" ###", "###")])

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import bisect
 import os
+import re
 import struct
 import zlib
 
@@ -37,6 +38,11 @@ CACHE_WORDS = 300_000     # words whose ids a worker remembers (memory bound, no
 GROUP_ROWS = 500          # aimed rows of one length ranked together
 MAX_SALTS = 4096          # parts a length is cut into at most
 
+# Letters whose capitals and small ones Unicode pairs within Latin-1, in normal form as they stand; the marks of
+# ASCII but ' (it begins contractions) and those of added tokens, < | and >.
+LATIN_SMALL = "ßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
+PLAIN = re.compile(f"([A-Za-z{LATIN_SMALL}ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ]+)([!-&(-/:;=?@[-`{{}}~]*)").fullmatch
+
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECES + ", sequence_id long, offset long"
 
@@ -49,15 +55,17 @@ def default_tokenizer() -> str:
 class WordEncoder:
     """Ids of texts as little-endian uint32 bytes.  The tokenizer never joins
     characters across a space or line feed, so each space-separated part is
-    encoded once and remembered.  Unknown parts of many texts are encoded
-    together: those of small ASCII letters are words to the pre-tokenizer, so
-    the model takes them as they are; the others are told apart by the places
-    of their tokens."""
+    encoded once and remembered.  An unknown part of Latin letters and marks
+    after them is a word and a run of marks to the pre-tokenizer, so the model
+    takes each as it is; other unknown parts of many texts are encoded together
+    and told apart by the places of their tokens."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
+        split = self.tok.pre_tokenizer.pre_tokenize_str
+        self.symbols = {ord(c): split(c)[0][0] for c in LATIN_SMALL}       # as the model has them
         self.seen: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
 
@@ -69,15 +77,25 @@ class WordEncoder:
         for w in set().union(*words).difference(seen):
             if w in self.older:
                 seen[w] = self.older[w]
-            elif w.isascii() and w.isalpha():
-                ids = [t.id for t in self.tok.model.tokenize(w.lower())]
-                seen[w] = struct.pack(f"<{len(ids)}I", *ids)
+            elif plain := PLAIN(w):
+                word, marks = plain.groups()
+                ids = marks and seen.get(word) or self._ids(word.lower())
+                seen[w] = ids + self._marks(marks) if marks else ids
             else:
                 rare.append(w)
         for i in range(0, len(rare), 1000):
             self._learn(rare[i:i + 1000])
         return [b"".join([seen[w] for w in ws]) for ws in words]
 
+    def _ids(self, word: str) -> bytes:
+        ids = [t.id for t in self.tok.model.tokenize(word if word.isascii() else word.translate(self.symbols))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _marks(self, marks: str) -> bytes:
+        if marks not in self.seen:
+            self.seen[marks] = self._ids(marks)
+        return self.seen[marks]
+
     def _learn(self, words: list[str]) -> None:
         import numpy as np
         e = self.tok.encode(" ".join(words), add_special_tokens=False)
