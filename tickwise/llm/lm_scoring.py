@@ -60,18 +60,78 @@ BATCH_TOKENS = 400_000    # tokens that run through the recursions together
 LANES = 512
 COUNTED_WORDS = 400_000   # words a task counts before it hands them on
 
-DOCUMENT = ("row long, doc_id long, held_out boolean, n_tokens long, known long, base double, inside double, "
-            "ids array<int>")
+DOCUMENT = "doc_id long, held_out boolean, n_tokens long, known long, base double, inside double, ids binary"
+ASKED = "at int, seen binary, own binary, c array<long>"
 
 
-def _tokens(text: bytes | None) -> list[bytes]:
-    """Words of the A-Z lower-cased text (bytes.lower and bytes.split know ASCII only)."""
-    return (text or b"").lower().split()
+def _tokens(texts):
+    """Words of the A-Z lower-cased texts (Arrow's ASCII functions know A-Z and
+    the six blanks only): (numbers into the distinct words, these, words of
+    each text)."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.string()).fill_null("")))
+    words = lists.flatten().dictionary_encode()
+    numbers, distinct = words.indices.to_numpy(), words.dictionary.cast(pa.binary()).to_pylist()
+    sizes = pc.list_value_length(lists).to_numpy().astype(np.int64)
+    if b"" in distinct:                                   # beside blanks at a text's ends
+        blank = distinct.index(b"")
+        there = numbers != blank
+        before = np.concatenate(([0], np.cumsum(there)))
+        sizes = np.diff(before[np.concatenate(([0], np.cumsum(sizes)))])
+        numbers = numbers[there]
+        numbers = numbers - (numbers > blank)
+        del distinct[blank]
+    return numbers, distinct, sizes
+
+
+def _packed(values):
+    """Whole numbers below 2^28 in 1 to 4 bytes each, seven bits a byte, the
+    last one below 128: (bytes, places after each number)."""
+    import numpy as np
+    size = 1 + (values >= 1 << 7).astype(np.int64) + (values >= 1 << 14) + (values >= 1 << 21)
+    ends = np.cumsum(size)
+    out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    for k in range(4):
+        has = np.flatnonzero(size > k)
+        out[ends[has] - size[has] + k] = (values[has] >> 7 * k & 127) | (size[has] > k + 1).astype(values.dtype) << 7
+    return out, ends
+
+
+def _unpacked(blob):
+    import numpy as np
+    data = np.frombuffer(blob, np.uint8)
+    ends = np.flatnonzero(data < 128)
+    starts = np.concatenate(([0], ends + 1))[:len(ends)]
+    values = (data[starts] & 127).astype(np.int32)
+    for k in (1, 2, 3):
+        has = np.flatnonzero(ends - starts >= k)
+        values[has] |= (data[starts[has] + k] & 127).astype(np.int32) << 7 * k
+    return values
+
+
+def _squeezed(values) -> bytes:
+    """Numbers of one type as planes of their bytes, which compress better."""
+    import numpy as np
+    import pyarrow as pa
+    raw = np.ascontiguousarray(values)
+    planes = raw.view(np.uint8).reshape(-1, raw.itemsize).T.tobytes()
+    return len(planes).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def _loose(blob: bytes, dtype):
+    import numpy as np
+    import pyarrow as pa
+    size = int.from_bytes(blob[:8], "little")
+    planes = np.frombuffer(pa.decompress(blob[8:], size, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).ravel()
 
 
 def _count_words(batches):
     from collections import Counter
 
+    import numpy as np
     import pyarrow as pa
     counts: Counter = Counter()
 
@@ -82,11 +142,12 @@ def _count_words(batches):
         return out
 
     for b in batches:
-        for text in b.column(0).cast(pa.binary()):
-            counts.update(_tokens(text.as_py()))
-            counts[b""] += 1                              # the end: no word is empty
-            if len(counts) > COUNTED_WORDS:
-                yield rows()
+        numbers, words, sizes = _tokens(b.column(0))
+        for w, n in zip(words, np.bincount(numbers, minlength=len(words)).tolist()):
+            counts[w] += n
+        counts[b""] += len(sizes)                         # the end: no word is empty
+        if len(counts) > COUNTED_WORDS:
+            yield rows()
     yield rows()
 
 
@@ -150,71 +211,87 @@ class Vocabulary:
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """A row per document (part -1): its emission ids and what is known of its
-    base score and of the words inside their classes.  Words that are not in
-    the vocabulary's index are numbered within a block of documents, by ids
-    above the end's; a row per block and part has them."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    """A row per document (part -1): its emission ids, packed, and what is known
+    of its base score and of the words inside their classes.  Words that are not
+    in the vocabulary's index are numbered within a block of documents, by ids
+    above the end's, part after part; a row per block and part has them, in the
+    order of their numbers, and the first number."""
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(vocabulary)
 
     def run(batches):
         import zlib
 
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
         from pyspark import TaskContext
         v = shared.value
         find, per_token = v.index.get, math.log10(v.n + v.v + 1)
-        block, held, others = TaskContext.get().partitionId() << 24, 0, {}
-        schema = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("row", pa.int64()), ("doc_id", pa.int64()),
+        block, held, others, waiting = TaskContext.get().partitionId() << 24, 0, {}, []
+        schema = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("doc_id", pa.int64()),
                             ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("known", pa.int64()),
-                            ("base", pa.float64()), ("inside", pa.float64()), ("ids", pa.list_(pa.int32())),
-                            ("words", pa.list_(pa.binary())), ("at", pa.list_(pa.int32()))])
-
-        def looked_up():
-            parts = {}
-            for w, q in others.items():
-                ws, at = parts.setdefault(zlib.crc32(w) % v.parts, ([], []))
-                ws.append(w)
-                at.append(q)
-            rows = [{"block": block, "part": p, "words": ws, "at": at} for p, (ws, at) in parts.items()]
-            return pa.RecordBatch.from_pylist(rows, schema)
-
-        for b in batches:
-            blocks, ids, sizes, n_tokens, known, base, inside, done = [], [], [], [], [], [], [], []
-            for text in b.column(3).cast(pa.binary()):
+                            ("base", pa.float64()), ("inside", pa.float64()), ("ids", pa.binary()),
+                            ("words", pa.binary()), ("at", pa.int32())])
+
+        def finished():
+            words = list(others)
+            part = np.fromiter((zlib.crc32(w) % v.parts for w in words), np.int64, len(words))
+            order = np.argsort(part, kind="stable")
+            number = np.empty(len(order), np.int32)
+            number[order] = np.arange(len(order))
+            while waiting:
+                columns, ids, sizes = waiting.pop(0)
+                rare = np.flatnonzero(ids > v.end_id)
+                ids[rare] = v.end_id + 1 + number[ids[rare] - v.end_id - 1]
+                blob, ends = _packed(ids)
+                offsets = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(sizes)))]
+                n = len(sizes)
+                packed = pa.Array.from_buffers(pa.binary(), n, [
+                    None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(blob)])
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([block] * n, pa.int64()), pa.array([-1] * n, pa.int32()), *columns, packed,
+                    pa.nulls(n, pa.binary()), pa.nulls(n, pa.int32())], schema=schema)
+            first = np.searchsorted(part[order], np.arange(v.parts + 1)).tolist()
+            yield pa.RecordBatch.from_pylist([
+                {"block": block, "part": p, "words": b"\n".join(words[q] for q in order[a:b].tolist()), "at": a}
+                for p, (a, b) in enumerate(zip(first, first[1:])) if a < b], schema)
+
+        for whole in batches:
+            size = np.cumsum(pc.binary_length(whole.column(2).cast(pa.binary())).fill_null(0).to_numpy())
+            cuts = np.flatnonzero(np.diff(size // BLOCK_TOKENS, append=-1)) + 1      # fewer tokens than bytes
+            for first, last in zip([0, *cuts.tolist()], cuts.tolist()):
+                b = whole.slice(first, last - first)
                 if held >= BLOCK_TOKENS:
-                    done.append(looked_up())
+                    yield from finished()
                     block, held, others = block + 1, 0, {}
-                tokens = _tokens(text.as_py())
-                at = np.fromiter([find(t, -1) for t in tokens], np.int64, len(tokens))
-                rare = np.flatnonzero(at < 0)
-                of = v.ids[at] if len(v.ids) else np.zeros(len(at), np.int32)
-                seen = v.log_count[at[at >= 0]].sum()
-                classes = of[(at >= 0) & (of >= v.head)] - v.head
-                within = v.log_count[at[at >= v.head]].sum() - v.log_class[classes].sum()
-                of[rare] = [v.end_id + 1 + others.setdefault(tokens[i], len(others)) for i in rare.tolist()]
-                ids.append(np.append(of, v.end_id).astype(np.int32))
-                sizes.append(len(ids[-1]))
-                held += sizes[-1]
-                blocks.append(block)
-                n_tokens.append(len(tokens) + 1)
-                known.append(len(tokens) - len(rare) + (v.ends > 0))
-                base.append(float(seen + math.log10(v.ends + 1) - per_token * (len(tokens) + 1)))
-                inside.append(float(within))
-            offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
-            values = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32))
-            n = len(ids)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(blocks, pa.int64()), pa.array([-1] * n, pa.int32()), b.column(0), b.column(1), b.column(2),
-                pa.array(n_tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()),
-                pa.array(inside, pa.float64()), pa.ListArray.from_arrays(offsets, values),
-                pa.nulls(n, schema.field("words").type), pa.nulls(n, schema.field("at").type)], schema=schema)
-            yield from done
-        yield looked_up()
-
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"),
+                numbers, words, sizes = _tokens(b.column(2))
+                of_word = np.fromiter((find(w, -1) for w in words), np.int64, len(words))
+                id_of, log_c, inside = (np.zeros(len(words), t) for t in (np.int32, float, float))
+                there = np.flatnonzero(of_word >= 0)
+                id_of[there] = v.ids[of_word[there]]
+                log_c[there] = v.log_count[of_word[there]]
+                rare = there[of_word[there] >= v.head]
+                inside[rare] = log_c[rare] - v.log_class[id_of[rare] - v.head]
+                for i in np.flatnonzero(of_word < 0).tolist():
+                    id_of[i] = v.end_id + 1 + others.setdefault(words[i], len(others))
+                of = np.repeat(np.arange(len(sizes)), sizes)
+                add = lambda x: np.bincount(of, weights=x[numbers], minlength=len(sizes))
+                n_tokens = sizes + 1
+                known = add((of_word >= 0).astype(float)).astype(np.int64) + (v.ends > 0)
+                base = add(log_c) + math.log10(v.ends + 1) - per_token * n_tokens
+                ids = np.full(int(n_tokens.sum()), v.end_id, np.int32)
+                ids[np.arange(len(numbers)) + of] = id_of[numbers]
+                waiting.append(((b.column(0), b.column(1), pa.array(n_tokens), pa.array(known), pa.array(base),
+                                 pa.array(add(inside))), ids, n_tokens))
+                held += len(ids)
+        yield from finished()
+
+    rows = docs.select(F.col("doc_id").cast("long"),
                        (fold(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"), F.col("text").cast("string"))
-    return stored(rows.mapInArrow(run, f"block long, part int, {DOCUMENT}, words array<binary>, at array<int>"),
+    # few tasks, so that blocks fill up and few of them share a word, but enough for all cores
+    tasks = max(vocabulary.n * FOLDS // (FOLDS - 1) // BLOCK_TOKENS, 2 * spark.sparkContext.defaultParallelism)
+    return stored(rows.coalesce(tasks).mapInArrow(run, f"block long, part int, {DOCUMENT}, words binary, at int"),
                   "op2-encoded")
 
 
@@ -224,9 +301,9 @@ def _both(left: DataFrame, right: DataFrame, key: str, run, schema: str) -> Data
 
 
 def look_up(encoded: DataFrame, vocab: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(block, part, at, c, own): counts of the blocks' words, part by part; own
-    is the word's number among the part's words with emissions of their own, or
-    -1 - its class.  Rows with block -1 have the counts of the former."""
+    """(block, part, at, seen, own, c): counts of the blocks' words, part by
+    part; own is the word's number among the part's words with emissions of
+    their own, or -1 - its class.  Rows with block -1 have the counts of the former."""
     shared = encoded.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(asked, words):
@@ -238,89 +315,58 @@ def look_up(encoded: DataFrame, vocab: DataFrame, vocabulary: Vocabulary) -> Dat
         c, klass = words["c"].to_numpy(), words["klass"].to_numpy()
         mine = np.flatnonzero(c >= MIN_OWN)
         mine = mine[[w not in v.index for w in words["word"].take(pa.array(mine)).to_pylist()]]
-        own = -1 - klass
+        own = (-1 - klass).astype(np.int32)
         own[mine] = np.arange(len(mine))
-        c, own = np.append(c, 0), np.append(own, 0)              # last: an unknown word
-        out = {k: [] for k in ("block", "part", "at", "c", "own")}
+        c, own = np.append(c, 0), np.append(own, 0).astype(np.int32)         # last: an unknown word
+        out = []
         if len(mine):
-            for k, x in (("block", -1), ("part", words["part"][0].as_py()), ("at", None), ("c", c[mine]), ("own", None)):
-                out[k].append(x)
-        if asked.num_rows:
-            ask = pa.concat_arrays(asked["words"].chunks)
-            flat, sizes = ask.flatten(), pc.list_value_length(ask).to_numpy()
-            found = pc.index_in(flat, value_set=words["word"]).fill_null(len(c) - 1).to_numpy()
-            cs, owns = c[found], own[found]
+            out.append({"block": -1, "part": words["part"][0].as_py(), "c": c[mine]})
+        for r in asked.to_pylist():
+            ask = pa.array(r["words"].split(b"\n"), pa.binary())
+            found = pc.index_in(ask, value_set=words["word"]).fill_null(len(c) - 1).to_numpy()
+            owns = own[found]
             new = np.flatnonzero(found == len(c) - 1)
-            owns[new] = [-1 - v.klass(w) for w in flat.take(pa.array(new)).to_pylist()]
-            ends = np.cumsum(sizes)[:-1]
-            out["block"] += asked["block"].to_pylist()
-            out["part"] += asked["part"].to_pylist()
-            out["at"] += [x.values for x in pa.concat_arrays(asked["at"].chunks)]
-            out["c"] += np.split(cs, ends)
-            out["own"] += np.split(owns.astype(np.int32), ends)
-        return pa.table(out, pa.schema([
-            ("block", pa.int64()), ("part", pa.int32()), ("at", pa.list_(pa.int32())), ("c", pa.list_(pa.int64())),
-            ("own", pa.list_(pa.int32()))]))
+            owns[new] = [-1 - v.klass(w) for w in ask.take(pa.array(new)).to_pylist()]
+            out.append({"block": r["block"], "part": r["part"], "at": r["at"], "seen": _squeezed(c[found]),
+                        "own": _squeezed(owns)})
+        return pa.Table.from_pylist(out, pa.schema([
+            ("block", pa.int64()), ("part", pa.int32()), ("at", pa.int32()), ("seen", pa.binary()),
+            ("own", pa.binary()), ("c", pa.list_(pa.int64()))]))
 
     part = F.pmod(F.crc32("word"), F.lit(vocabulary.parts)).cast("int").alias("part")
     klass = F.pmod(F.crc32(F.substring("word", -3, 3)), F.lit(CLASSES)).alias("klass")
     found = _both(encoded.where("part >= 0").select("block", "part", "at", "words"),
                   vocab.where(F.length("word") > 0).select(part, "word", "c", klass), "part", run,
-                  "block long, part int, at array<int>, c array<long>, own array<int>")
+                  f"block long, part int, {ASKED}")
     return stored(found, "op2-found")
 
 
 def resolve(encoded: DataFrame, found: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """The documents with each looked-up word's class, or its number among the
-    block's own words (ids above the end's, by part and number in the part);
-    and a row per block and part with those words' numbers in the part."""
-    shared = encoded.sparkSession.sparkContext.broadcast(vocabulary)
+    """The documents of each block, and a row per block and part with what was
+    found of the words numbered there: both stay where they are stored, and a
+    pass puts them together (see :func:`_places`)."""
+    return encoded.where("part = -1").drop("words", "at").unionByName(
+        found.where("block >= 0").drop("c"), allowMissingColumns=True)
+
+
+def _places(found, head: int, end_id: int):
+    """What was found of a block's words: (its rows by part, the emission id of
+    each number above the end's - a class, or one of the block's own words, by
+    part and number - and, row by row, the own words' numbers in the parts)."""
+    import numpy as np
+    found = found.sort_by("at")
+    owns = [_loose(x, np.int32) for x in found["own"].to_pylist()]
+    own = np.concatenate([np.zeros(0, np.int32), *owns])
+    mine = own >= 0
+    return found, np.where(mine, end_id + np.cumsum(mine), head - 1 - own).astype(np.int32), [x[x >= 0] for x in owns]
 
-    def run(docs, found):
-        import numpy as np
-        import pyarrow as pa
-        import pyarrow.compute as pc
-        v = shared.value
-        docs = docs.combine_chunks()
-        found = found.sort_by("part").combine_chunks()
-        at, seen, own = (found[k].combine_chunks().flatten().to_numpy() for k in ("at", "c", "own"))
-        of_row = np.repeat(np.arange(found.num_rows), pc.list_value_length(found["at"]).to_numpy())
-        c, to, inside = np.zeros(len(at)), np.zeros(len(at), np.int32), np.zeros(len(at))
-        c[at] = seen
-        mine = np.flatnonzero(own >= 0)
-        mine = mine[np.lexsort((own[mine], of_row[mine]))]
-        to[at[mine]] = v.end_id + 1 + np.arange(len(mine))
-        rest = np.flatnonzero(own < 0)
-        to[at[rest]] = v.head - 1 - own[rest]
-        inside[at[rest]] = np.log10(seen[rest] + 1) - v.log_class[-1 - own[rest]]
-        splits = np.searchsorted(of_row[mine], np.arange(found.num_rows + 1)).astype(np.int32)
-        places = pa.table({"block": found["block"], "part": found["part"],
-                           "at": pa.ListArray.from_arrays(pa.array(splits), pa.array(own[mine], pa.int32()))})
-        places = places.filter(pa.array(np.diff(splits) > 0))
-        lists = pa.concat_arrays(docs["ids"].chunks) if docs.num_rows else pa.array([], pa.list_(pa.int32()))
-        offsets = lists.offsets.to_numpy()
-        values = lists.values.to_numpy()[offsets[0]:offsets[-1]].copy()
-        place = np.flatnonzero(values > v.end_id)
-        q = values[place] - v.end_id - 1
-        of = np.repeat(np.arange(docs.num_rows), np.diff(offsets))[place]
-        add = lambda x: np.bincount(of, weights=x, minlength=docs.num_rows)
-        values[place] = to[q]
-        out = pa.table({"block": docs["block"], "part": pa.array([-1] * docs.num_rows, pa.int32()),
-                        "row": docs["row"], "doc_id": docs["doc_id"], "held_out": docs["held_out"],
-                        "n_tokens": docs["n_tokens"],
-                        "known": pa.array(docs["known"].to_numpy() + add(c[q] > 0).astype(np.int64)),
-                        "base": pa.array(docs["base"].to_numpy() + add(np.log10(c[q] + 1))),
-                        "inside": pa.array(docs["inside"].to_numpy() + add(inside[q])),
-                        "ids": pa.ListArray.from_arrays(pa.array(offsets - offsets[0], pa.int32()), pa.array(values)),
-                        "at": pa.nulls(docs.num_rows, pa.list_(pa.int32()))})
-        for name in out.column_names:
-            if name not in places.column_names:
-                places = places.append_column(name, pa.nulls(places.num_rows, out.schema.field(name).type))
-        return pa.concat_tables([out, places.select(out.column_names)])
-
-    rows = _both(encoded.where("part = -1").drop("part", "words", "at"), found.where("block >= 0"), "block", run,
-                 f"block long, part int, {DOCUMENT}, at array<int>")
-    return stored(rows, "op2-rows")
+
+def _resolved(values, to, end_id: int):
+    """Ids of documents with those above the end's as :func:`_places` has them."""
+    import numpy as np
+    rare = np.flatnonzero(values > end_id)
+    values[rare] = to[values[rare] - end_id - 1]
+    return values
 
 
 def _lanes(lengths):
@@ -337,24 +383,19 @@ def _lanes(lengths):
     return place, max(load for load, _ in loads), lanes
 
 
-def _groups(batches, column: int = 0):
-    """Documents of a batch, by length, in groups of about BATCH_TOKENS:
-    (numbers in the batch, their ids)."""
+def _groups(docs):
+    """A table's documents, by length, in groups of about BATCH_TOKENS: (numbers
+    in the table, their ids end to end, the places between them)."""
     import numpy as np
-    for b in batches:
-        lists = b.column(column)
-        offsets = lists.offsets.to_numpy()
-        values = lists.values.to_numpy()
-        sizes = np.diff(offsets)
-        group, held = [], 0
-        for i in np.argsort(sizes, kind="stable").tolist():
-            group.append(i)
-            held += int(sizes[i])
-            if held >= BATCH_TOKENS:
-                yield b, group, [values[offsets[j]:offsets[j + 1]] for j in group]
-                group, held = [], 0
-        if group:
-            yield b, group, [values[offsets[j]:offsets[j + 1]] for j in group]
+    sizes = docs["n_tokens"].to_numpy()
+    order = np.argsort(sizes, kind="stable")
+    ends, first = np.cumsum(sizes[order]), 0
+    while first < len(order):
+        held = ends[first - 1] if first else 0
+        last = min(len(order), int(np.searchsorted(ends, held + BATCH_TOKENS)) + 1)
+        yield (order[first:last], _unpacked(b"".join(docs["ids"].take(order[first:last]).to_pylist())),
+               ends[first:last - 1] - held)
+        first = last
 
 
 def _matrix(ids, pad: int):
@@ -378,11 +419,12 @@ def forward(grid, trans, emit):
     scale = np.empty((steps, lanes), np.float32)
     now = np.zeros((lanes, trans.shape[0]), np.float32)
     now[:, -1] = 1                                        # a document starts after an end
+    ones, there, c = np.ones(trans.shape, np.float32), np.empty_like(now), np.empty_like(now)
     for t in range(steps):
-        now = (now @ trans) * emit[grid[t]]
-        c = now.sum(axis=1)
-        now /= c[:, None]
-        alpha[t], scale[t] = now, c
+        now = np.matmul(now, trans, out=alpha[t])
+        now *= np.take(emit, grid[t], axis=0, out=there, mode="clip")
+        now /= np.matmul(now, ones, out=c)                # the sum, in every column
+        scale[t] = c[:, 0]
     return alpha, scale
 
 
@@ -395,14 +437,17 @@ def expected_counts(grid, trans, emit, pad: int):
     start = np.zeros((lanes, states), np.float32)
     start[:, -1] = 1
     beta = np.ones((lanes, states), np.float32)
-    back = np.ascontiguousarray(trans.T)
+    back, after = np.ascontiguousarray(trans.T), np.empty_like(beta)
+    live = grid != pad
+    whole = live.all(axis=1)
     for t in range(steps - 1, -1, -1):
-        after = emit[grid[t]] * beta / scale[t][:, None]
-        live = (grid[t] != pad).astype(np.float32)[:, None]
+        np.take(emit, grid[t], axis=0, out=after, mode="clip")
+        after *= beta
+        after /= scale[t][:, None]
         before = alpha[t - 1] if t else start
-        moves += before.T @ (after * live)
-        alpha[t] *= beta * live
-        beta = after @ back
+        moves += before.T @ (after if whole[t] else after * live[t][:, None])
+        alpha[t] *= beta                                  # padding is counted as id ``pad``, which goes
+        np.matmul(after, back, out=beta)
     moves *= trans
     flat, gamma = grid.ravel(), alpha.reshape(-1, states)
     counts = np.stack([np.bincount(flat, weights=gamma[:, s], minlength=pad + 1) for s in range(states)], axis=1)
@@ -452,12 +497,12 @@ def _grid(ids, emit):
     return grid, places, used, np.concatenate((emit[used], emit[-1:]))
 
 
-def _count(batches, trans, emit):
-    """Expected transitions and emissions of the documents of ``batches``."""
+def _count(docs, to, end_id: int, trans, emit):
+    """Expected transitions and emissions of a table's documents."""
     import numpy as np
     moves, counts = np.zeros((STATES, STATES)), np.zeros((len(emit) - 1, STATES))
-    for _, _, ids in _groups(batches):
-        grid, _, used, local = _grid([np.minimum(x, len(emit) - 2) for x in ids], emit)
+    for _, values, cuts in _groups(docs):
+        grid, _, used, local = _grid(np.split(_resolved(values, to, end_id), cuts), emit)
         m, c = expected_counts(grid, trans, local, len(used))
         moves += m
         counts[used] += c
@@ -480,12 +525,16 @@ def warm_pass(rows: DataFrame, trans, emit, vocabulary: Vocabulary):
     """One pass over the warm-up part, in which own words tell nothing."""
     import numpy as np
     shared = rows.sparkSession.sparkContext.broadcast(_tables(trans, emit))
-    size = vocabulary.end_id
+    size, none = vocabulary.end_id, np.array([vocabulary.end_id + 1])
 
     def run(batches):
         import pyarrow as pa
-        moves, counts = _count(batches, *shared.value)
-        used = np.flatnonzero(counts[:size].any(axis=1))
+        moves, counts = np.zeros((STATES, STATES)), np.zeros((size, STATES))
+        for b in batches:
+            m, c = _count(pa.Table.from_batches([b]), none, size, *shared.value)
+            moves += m
+            counts += c[:size]
+        used = np.flatnonzero(counts.any(axis=1))
         rows = np.concatenate((moves, counts[used]))
         ids = np.concatenate((-1 - np.arange(STATES), used))
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32())] + [
@@ -493,7 +542,7 @@ def warm_pass(rows: DataFrame, trans, emit, vocabulary: Vocabulary):
             names=["id"] + [f"s{s}" for s in range(STATES)])
 
     columns = [f"s{s}" for s in range(STATES)]
-    summed = (rows.select("ids").mapInArrow(run, "id int, " + ", ".join(f"{c} float" for c in columns))
+    summed = (rows.select("n_tokens", "ids").mapInArrow(run, "id int, " + ", ".join(f"{c} float" for c in columns))
               .groupBy("id").agg(*[F.sum(c).alias(c) for c in columns]).toPandas())   # bounded by the model
     shared.unpersist()
     sums, ids = summed[columns].to_numpy(np.float64), summed["id"].to_numpy()
@@ -518,39 +567,52 @@ def _matrix_of(blob: bytes, columns: int = STATES - 1):
     return np.frombuffer(blob, np.float32).reshape(-1, columns)
 
 
+def _half_shares(sums, share):
+    """Words' shares in the states, in half precision: so they are sent, and
+    the states' mass is summed from what is sent."""
+    import numpy as np
+    return _shares(_matrix_of(sums).astype(np.float64) + 1e-6, share).astype(np.float16)
+
+
 def _own_emissions(c, sums, share, mass):
     import numpy as np
-    counts = _matrix_of(sums).astype(np.float64) + 1e-6
-    return (np.array(c, np.float64) + 0.5)[:, None] * _shares(counts, share) / mass
+    return (np.array(c, np.float64) + 0.5)[:, None] * _half_shares(sums, share) / mass
 
 
-def sent(rows: DataFrame, model: Model) -> DataFrame:
-    """(block, part, at, emit): the emissions of own words, for each block that has them."""
+def sent(rows: DataFrame, model: Model, *more: str) -> DataFrame:
+    """(block, part, at, own, weight, shares): for each block its own words'
+    counts (and a half) and shares in the states, and the columns ``more``."""
+    found = rows.where("part >= 0").select("block", "part", "at", "own", *more)
     if model.share is None:                                  # nothing is known yet: they tell nothing
-        return rows.where("part >= 0").select("block", "part", "at", F.lit(None).cast("binary").alias("emit"))
-    share, mass = model.share, model.mass
+        return found.withColumns({k: F.lit(None).cast("binary") for k in ("weight", "shares")})
+    share = model.share
 
     def run(places, own):
         import numpy as np
         import pyarrow as pa
-        out = []
+        weight, shares = [None] * places.num_rows, [None] * places.num_rows
         for r in own.to_pylist():
-            emit = _own_emissions(r["c"], r["sums"], share, mass).astype(np.float32)
-            out = [emit[x.as_py()].tobytes() for x in places["at"]]
-        return pa.table({"block": places["block"], "part": places["part"], "at": places["at"],
-                         "emit": pa.array(out, pa.binary())})
+            all_weights, all_shares = (np.array(r["c"]) + 0.5).astype(np.float32), _half_shares(r["sums"], share)
+            for i, x in enumerate(places["own"].to_pylist()):
+                x = _loose(x, np.int32)
+                x = x[x >= 0]
+                if len(x):
+                    weight[i], shares[i] = _squeezed(all_weights[x]), _squeezed(all_shares[x])
+        return places.append_column("weight", pa.array(weight, pa.binary())).append_column(
+            "shares", pa.array(shares, pa.binary()))
 
-    return _both(rows.where("part >= 0").select("block", "part", "at"), model.own, "part", run,
-                 "block long, part int, at array<int>, emit binary")
+    kinds = "".join(f", {k} binary" for k in more)
+    return _both(found, model.own, "part", run, f"block long, part int, at int, own binary{kinds}, weight binary, shares binary")
 
 
-def _with_own(found, trans, emit):
-    """(block's parts in order, the model's tables with the block's own words)."""
+def _with_own(found, mine, mass, trans, emit):
+    """The model's tables with the block's own words."""
     import numpy as np
-    found = found.sort_by("part")
-    blobs = [np.ones((len(at.values), STATES - 1), np.float32) if x is None else _matrix_of(x)
-             for at, x in zip(found["at"], found["emit"].to_pylist())]
-    return found, _tables(trans, emit, np.concatenate(blobs) if blobs else np.zeros((0, STATES - 1), np.float32))
+    own = [np.zeros((0, STATES - 1), np.float32)]
+    for at, w, x in zip(mine, found["weight"].to_pylist(), found["shares"].to_pylist()):
+        own.append(np.ones((len(at), STATES - 1), np.float32) if x is None else (
+            _loose(w, np.float32)[:, None] * _loose(x, np.float16).reshape(-1, STATES - 1) / mass).astype(np.float32))
+    return _tables(trans, emit, np.concatenate(own))
 
 
 def full_pass(rows: DataFrame, model: Model, vocabulary: Vocabulary) -> Model:
@@ -558,45 +620,55 @@ def full_pass(rows: DataFrame, model: Model, vocabulary: Vocabulary) -> Model:
     import numpy as np
     spark = rows.sparkSession
     shared = spark.sparkContext.broadcast((model.trans, model.emit))
-    size = vocabulary.end_id
+    size, head, mass = vocabulary.end_id, vocabulary.head, model.mass
     share_of_blocks = SALT
 
     def learn(docs, found):
         import pyarrow as pa
-        out = {"part": [], "at": [], "sums": []}
+        out = {"part": [], "at": [], "n": [], "sums": []}
         if docs.num_rows:
-            found, (trans, emit) = _with_own(found, *shared.value)
-            moves, counts = _count(docs.select(["ids"]).combine_chunks().to_batches(), trans, emit)
-            own = counts[size + 1:, :-1].astype(np.float32)
+            found, to, mine = _places(found, head, size)
+            trans, emit = _with_own(found, mine, mass, *shared.value)
+            moves, counts = _count(docs, to, size, trans, emit)
+            own = counts[size + 1:, :-1]
             salt, whole = docs["block"][0].as_py() % share_of_blocks, np.concatenate(
-                (moves, np.append(own.sum(axis=0, dtype=np.float64), 0)[None], counts[:size])).astype(np.float32)
+                (moves, np.append(own.sum(axis=0), 0)[None], counts[:size])).astype(np.float32)
             for i in range(0, len(whole), CHUNK):
                 out["part"].append(-1 - (i // CHUNK * share_of_blocks + salt))
                 out["at"].append(None)
+                out["n"].append(None)
                 out["sums"].append(whole[i:i + CHUNK].tobytes())
             held = 0
-            for part, at in zip(found["part"].to_pylist(), found["at"].to_pylist()):
-                out["part"].append(part)
-                out["at"].append(at)
-                out["sums"].append(own[held:held + len(at)].tobytes())
+            for part, at in zip(found["part"].to_pylist(), mine):
+                sums = own[held:held + len(at)]
                 held += len(at)
-        return pa.table(out, pa.schema([("part", pa.int32()), ("at", pa.list_(pa.int32())), ("sums", pa.binary())]))
+                n = sums.sum(axis=1)
+                seen = np.flatnonzero(n > 0)                 # not those of held-out documents only
+                if len(seen):
+                    out["part"].append(part)
+                    out["at"].append(_squeezed(at[seen]))
+                    out["n"].append(_squeezed(np.rint(n[seen]).astype(np.float32)))
+                    out["sums"].append(_squeezed((sums[seen] / n[seen, None]).astype(np.float16)))
+        return pa.table(out, pa.schema([("part", pa.int32()), ("at", pa.binary()), ("n", pa.binary()),
+                                        ("sums", pa.binary())]))
 
     def add(counted, own):
         import pyarrow as pa
         schema = pa.schema([("part", pa.int32()), ("c", pa.list_(pa.int64())), ("sums", pa.binary())])
         if own.num_rows:
             total = np.zeros((len(own["c"][0]), STATES - 1))
-            for at, sums in zip(counted["at"], counted["sums"]):
-                total[at.values.to_numpy()] += _matrix_of(sums.as_py())
+            for r in counted.to_pylist():
+                shares = _loose(r["sums"], np.float16).reshape(-1, STATES - 1).astype(np.float64)
+                n = _loose(r["n"], np.float32) / shares.sum(axis=1)
+                total[_loose(r["at"], np.int32)] += n[:, None] * shares
         else:
             total = sum(_matrix_of(x.as_py(), STATES).astype(np.float64) for x in counted["sums"])
         part = (own if own.num_rows else counted)["part"].slice(0, 1)
         return pa.table([part, own["c"].slice(0, 1) if own.num_rows else pa.nulls(1, schema.field("c").type),
                          pa.array([total.astype(np.float32).tobytes()])], schema=schema)
 
-    train = rows.where("part = -1 and not held_out").select("block", "ids")
-    counted = _both(train, sent(rows, model), "block", learn, "part int, at array<int>, sums binary")
+    train = rows.where("part = -1 and not held_out").select("block", "n_tokens", "ids")
+    counted = _both(train, sent(rows, model), "block", learn, "part int, at binary, n binary, sums binary")
     summed = stored(_both(counted, model.own.select("part", "c"), "part", add, "part int, c array<long>, sums binary"),
                     "op2-model")
     shared.unpersist()
@@ -628,35 +700,62 @@ def full_pass(rows: DataFrame, model: Model, vocabulary: Vocabulary) -> Model:
 def scores(rows: DataFrame, model: Model, vocabulary: Vocabulary) -> DataFrame:
     """The result rows: log10 likelihood of each document's emission ids, and
     of the words inside their classes."""
-    shared = rows.sparkSession.sparkContext.broadcast((model.trans, model.emit))
-    train_tokens = vocabulary.n
+    shared = rows.sparkSession.sparkContext.broadcast((model.trans, model.emit, vocabulary.log_class))
+    train_tokens, size, head, mass = vocabulary.n, vocabulary.end_id, vocabulary.head, model.mass
 
     def run(docs, found):
         import numpy as np
         import pyarrow as pa
-        path = np.zeros(docs.num_rows)
+        known, base, score = (np.array(docs[k].to_numpy()) for k in ("known", "base", "inside"))
         if docs.num_rows:
-            _, (trans, emit) = _with_own(found, *shared.value)
-            numbers = pa.array(np.arange(docs.num_rows))
-            for b, group, ids in _groups(docs.select(["ids"]).append_column("n", numbers).combine_chunks().to_batches()):
-                grid, places, _, local = _grid(ids, emit)
+            found, to, mine = _places(found, head, size)
+            *model, log_class = shared.value
+            trans, emit = _with_own(found, mine, mass, *model)
+            c = np.concatenate([np.zeros(0, np.int64)] + [_loose(x, np.int64) for x in found["seen"].to_pylist()])
+            log_c, rest = np.log10(c + 1), np.flatnonzero(to < size)
+            inside = np.zeros(len(c))
+            inside[rest] = log_c[rest] - log_class[to[rest] - head]
+            for group, values, cuts in _groups(docs):
+                rare = np.flatnonzero(values > size)
+                q, of = values[rare] - size - 1, np.searchsorted(cuts, rare, side="right")
+                add = lambda x: np.bincount(of, weights=x[q], minlength=len(group))
+                known[group] += add(c > 0).astype(np.int64)
+                base[group] += add(log_c)
+                grid, places, _, local = _grid(np.split(_resolved(values, to, size), cuts), emit)
                 logs = np.log10(forward(grid, trans, local)[1].astype(np.float64)).ravel()
-                path[b.column(1).to_numpy()[group]] = [logs[p].sum() for p in places]
+                score[group] += add(inside) + [logs[p].sum() for p in places]
         return pa.table({"doc_id": docs["doc_id"], "held_out": docs["held_out"], "n_tokens": docs["n_tokens"],
-                         "n_known": docs["known"], "train_tokens": pa.array([train_tokens] * docs.num_rows, pa.int64()),
-                         "base_score": docs["base"], "score": pa.array(path + docs["inside"].to_numpy(), pa.float64())})
+                         "n_known": pa.array(known, pa.int64()),
+                         "train_tokens": pa.array([train_tokens] * docs.num_rows, pa.int64()),
+                         "base_score": pa.array(base, pa.float64()), "score": pa.array(score, pa.float64())})
+
+    docs = rows.where("part = -1").select("block", *(x.split()[0] for x in DOCUMENT.split(", ")))
+    return _both(docs, sent(rows, model, "seen"), "block", run, "doc_id long, held_out boolean, n_tokens long, "
+                 "n_known long, train_tokens long, base_score double, score double")
+
+
+def _warm_part(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(n_tokens, ids) of the warm-up documents, own words under one id."""
+    size, head = vocabulary.end_id, vocabulary.head
+
+    def run(docs, found):
+        import numpy as np
+        import pyarrow as pa
+        _, to, _ = _places(found, head, size)
+        to = np.minimum(to, size + 1)
+        ids = [_packed(_resolved(_unpacked(x), to, size))[0].tobytes() for x in docs["ids"].to_pylist()]
+        return pa.table({"n_tokens": docs["n_tokens"], "ids": pa.array(ids, pa.binary())})
 
-    docs = rows.where("part = -1").drop("part", "row", "at")
-    return _both(docs, sent(rows, model), "block", run, "doc_id long, held_out boolean, n_tokens long, n_known long, "
-                 "train_tokens long, base_score double, score double")
+    docs = rows.where("part = -1 and not held_out").where(F.pmod(F.xxhash64("doc_id"), F.lit(WARM_PART)) == 0)
+    return stored(_both(docs.select("block", "n_tokens", "ids"), rows.where("part >= 0").select("block", "at", "own"),
+                        "block", run, "n_tokens long, ids binary"), "op2-warm")
 
 
 def train_hmm(rows: DataFrame, own: DataFrame, vocabulary: Vocabulary) -> Model:
     """Warm-up passes on a part, then full passes over all training rows."""
     trans, emit = start_model(vocabulary)
     if vocabulary.n:
-        part = stored(rows.where("part = -1 and not held_out").where(
-            F.pmod(F.xxhash64("doc_id"), F.lit(WARM_PART)) == 0).select("ids"), "op2-warm")
+        part = _warm_part(rows, vocabulary)
         if not part.isEmpty():
             for _ in range(WARM_PASSES):
                 trans, emit = warm_pass(part, trans, emit, vocabulary)
