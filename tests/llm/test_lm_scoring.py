@@ -165,3 +165,43 @@ def test_classes_match_between_spark_and_python(spark):
     got = spark.createDataFrame([(w,) for w in words], "word binary").select(
         "word", F.pmod(F.crc32(F.substring("word", -3, 3)), F.lit(op.CLASSES)).alias("k")).collect()
     assert all(op.Vocabulary.klass(bytes(r.word)) == r.k for r in got)
+
+
+def test_words_and_packed_ids_match_plain_versions():
+    import pyarrow as pa
+    texts = [r[1] for r in awkward_rows()] + [" a  B\x1c\x0bÀc ", "\x00 \x85", "a " * 9]
+    for some in (texts, [None], [], ["x"]):
+        numbers, words, sizes = op._tokens(pa.array(some, pa.string()))
+        assert [words[i] for i in numbers] == [w for t in some for w in tokens(t)[:-1]]
+        assert sizes.tolist() == [len(tokens(t)) - 1 for t in some] and b"" not in words
+    edges = np.array([x for b in (7, 14, 21) for x in (2 ** b - 1, 2 ** b)] + [0, 2 ** 28 - 1], np.int32)
+    for ids in (edges, edges[:0]):
+        blob, ends = op._packed(ids)
+        assert op._unpacked(blob.tobytes()).tolist() == ids.tolist() and len(ends) == len(ids)
+    for x in (edges, np.linspace(0, 1, 30).astype(np.float32), np.arange(5) << 40):
+        assert (op._loose(op._squeezed(x), x.dtype) == x).all()
+
+
+def test_recursions_are_the_same_in_spans_of_any_length(monkeypatch):
+    trans, emit = (x.astype(np.float32) for x in small_model())
+    rng = np.random.default_rng(5)
+    docs = [np.append(rng.integers(0, 5, n), 5) for n in (0, 1, 2, 7, 30, 31)]
+    grid, _ = op._matrix(docs, 6)
+    want = op.expected_counts(grid, trans, emit, 6)
+    for span in (1, 3, 7, 20):
+        monkeypatch.setattr(op, "SPAN", span)
+        for a, b in zip(op.expected_counts(grid, trans, emit, 6), want):
+            assert np.allclose(a, b, atol=1e-4)
+    assert abs(want[1].sum() - sum(map(len, docs))) < 1e-3
+
+
+def test_blocks_fill_up_across_scan_tasks_and_ids_are_stored_small(spark):
+    """What a pass sends grows with the blocks a word is in: small scan tasks share a block."""
+    from pyspark.sql import functions as F
+    rows = [(i, " ".join(f"w{(i + j) % 40}" for j in range(50)), "en", "s") for i in range(200)]
+    docs = documents(spark, rows).repartition(40)
+    vocab = op.word_counts(docs.where(op.fold(F.col("doc_id"), op.FOLDS) != op.HELD_OUT))
+    got = op.encode(docs, op.Vocabulary(vocab)).where("part = -1")
+    assert got.select("block").distinct().count() <= 2 * spark.sparkContext.defaultParallelism < 40
+    size, n = got.agg(F.sum(F.length("ids")), F.sum("n_tokens")).first()
+    assert n == 51 * 200 and size < 2 * n

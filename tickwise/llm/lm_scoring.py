@@ -17,7 +17,9 @@ of the ``HEAD_WORDS`` most frequent words and of the classes travel whole with
 every pass.  Those of all other words are a table in parts by hash of the word
 (it grows with the input and never meets on the driver): each block of
 documents (about ``BLOCK_TOKENS`` tokens) is sent those of the words it has,
-and gives back their expected counts.  ``WARM_PASSES`` passes over one document
+and gives back their expected counts.  Documents are stored once, their ids in
+few bytes; a pass puts them together with what was found of the words that do
+not travel whole.  ``WARM_PASSES`` passes over one document
 in ``WARM_PART``, by hash of its id, give start values only, with words that
 do not travel whole telling nothing; then ``PASSES`` passes run over all
 training documents.  The score is the exact log10 likelihood by the scaled
@@ -58,6 +60,7 @@ WARM_PART = 16
 SHRINK = 4.0              # a word's shares in the states are drawn to the overall shares by so many tokens
 BATCH_TOKENS = 400_000    # tokens that run through the recursions together
 LANES = 512
+SPAN = 8_192              # places of a grid whose emissions are fetched at once
 COUNTED_WORDS = 400_000   # words a task counts before it hands them on
 
 DOCUMENT = "doc_id long, held_out boolean, n_tokens long, known long, base double, inside double, ids binary"
@@ -414,17 +417,21 @@ def forward(grid, trans, emit):
     """Scaled forward recursion: state probabilities [step, lane, state] and
     the scale (token likelihood) of every place."""
     import numpy as np
-    steps, lanes = grid.shape
-    alpha = np.empty((steps, lanes, trans.shape[0]), np.float32)
+    (steps, lanes), states = grid.shape, len(trans)
+    alpha = np.empty((steps, lanes, states), np.float32)
     scale = np.empty((steps, lanes), np.float32)
-    now = np.zeros((lanes, trans.shape[0]), np.float32)
+    now = np.zeros((lanes, states), np.float32)
     now[:, -1] = 1                                        # a document starts after an end
-    ones, there, c = np.ones(trans.shape, np.float32), np.empty_like(now), np.empty_like(now)
-    for t in range(steps):
-        now = np.matmul(now, trans, out=alpha[t])
-        now *= np.take(emit, grid[t], axis=0, out=there, mode="clip")
-        now /= np.matmul(now, ones, out=c)                # the sum, in every column
-        scale[t] = c[:, 0]
+    ones, moved, span = np.ones(trans.shape, np.float32), np.empty_like(now), max(1, SPAN // lanes)
+    sums = np.empty((span, lanes, states), np.float32)
+    for first in range(0, steps, span):
+        rows = alpha[first:first + span]
+        emit.take(grid[first:first + span], axis=0, out=rows, mode="clip")
+        for row, c in zip(rows, sums):
+            row *= np.matmul(now, trans, out=moved)
+            row /= np.matmul(row, ones, out=c)            # the sum, in every column
+            now = row
+        scale[first:first + span] = sums[:len(rows), :, 0]
     return alpha, scale
 
 
@@ -433,21 +440,28 @@ def expected_counts(grid, trans, emit, pad: int):
     import numpy as np
     alpha, scale = forward(grid, trans, emit)
     steps, lanes, states = alpha.shape
-    moves = np.zeros((states, states))
+    moves, span = np.zeros((states, states)), max(1, SPAN // lanes)
     start = np.zeros((lanes, states), np.float32)
     start[:, -1] = 1
-    beta = np.ones((lanes, states), np.float32)
-    back, after = np.ascontiguousarray(trans.T), np.empty_like(beta)
-    live = grid != pad
-    whole = live.all(axis=1)
-    for t in range(steps - 1, -1, -1):
-        np.take(emit, grid[t], axis=0, out=after, mode="clip")
-        after *= beta
-        after /= scale[t][:, None]
-        before = alpha[t - 1] if t else start
-        moves += before.T @ (after if whole[t] else after * live[t][:, None])
-        alpha[t] *= beta                                  # padding is counted as id ``pad``, which goes
-        np.matmul(after, back, out=beta)
+    last = np.ones((lanes, states), np.float32)
+    back = np.ascontiguousarray(trans.T)
+    afters, betas = (np.empty((span, lanes, states), np.float32) for _ in range(2))
+    for first in range((steps - 1) // span * span, -1, -span):
+        part = grid[first:first + span]
+        n = len(part)
+        after, beta = emit.take(part, axis=0, out=afters[:n], mode="clip"), betas[:n]
+        after /= scale[first:first + n, :, None]
+        beta[-1] = last
+        for k in range(n - 1, -1, -1):
+            after[k] *= beta[k]
+            np.matmul(after[k], back, out=beta[k - 1] if k else last)
+        if (part == pad).any():
+            after *= (part != pad)[:, :, None]
+        if not first:
+            moves += start.T @ after[0]
+        skip = int(not first)
+        moves += alpha[first + skip - 1:first + n - 1].reshape(-1, states).T @ after[skip:].reshape(-1, states)
+        alpha[first:first + n] *= beta                    # padding is counted as id ``pad``, which goes
     moves *= trans
     flat, gamma = grid.ravel(), alpha.reshape(-1, states)
     counts = np.stack([np.bincount(flat, weights=gamma[:, s], minlength=pad + 1) for s in range(states)], axis=1)
@@ -567,52 +581,42 @@ def _matrix_of(blob: bytes, columns: int = STATES - 1):
     return np.frombuffer(blob, np.float32).reshape(-1, columns)
 
 
-def _half_shares(sums, share):
-    """Words' shares in the states, in half precision: so they are sent, and
-    the states' mass is summed from what is sent."""
-    import numpy as np
-    return _shares(_matrix_of(sums).astype(np.float64) + 1e-6, share).astype(np.float16)
-
-
 def _own_emissions(c, sums, share, mass):
     import numpy as np
-    return (np.array(c, np.float64) + 0.5)[:, None] * _half_shares(sums, share) / mass
+    counts = _matrix_of(sums).astype(np.float64) + 1e-6
+    return (np.array(c, np.float64) + 0.5)[:, None] * _shares(counts, share) / mass
 
 
 def sent(rows: DataFrame, model: Model, *more: str) -> DataFrame:
-    """(block, part, at, own, weight, shares): for each block its own words'
-    counts (and a half) and shares in the states, and the columns ``more``."""
+    """(block, part, at, own, emit): the emissions of own words, for each block
+    that has them, with the columns ``more`` of what was found."""
     found = rows.where("part >= 0").select("block", "part", "at", "own", *more)
     if model.share is None:                                  # nothing is known yet: they tell nothing
-        return found.withColumns({k: F.lit(None).cast("binary") for k in ("weight", "shares")})
-    share = model.share
+        return found.withColumn("emit", F.lit(None).cast("binary"))
+    share, mass = model.share, model.mass
 
     def run(places, own):
         import numpy as np
         import pyarrow as pa
-        weight, shares = [None] * places.num_rows, [None] * places.num_rows
+        out = [None] * places.num_rows
         for r in own.to_pylist():
-            all_weights, all_shares = (np.array(r["c"]) + 0.5).astype(np.float32), _half_shares(r["sums"], share)
+            emit = _own_emissions(r["c"], r["sums"], share, mass).astype(np.float32)
             for i, x in enumerate(places["own"].to_pylist()):
                 x = _loose(x, np.int32)
                 x = x[x >= 0]
-                if len(x):
-                    weight[i], shares[i] = _squeezed(all_weights[x]), _squeezed(all_shares[x])
-        return places.append_column("weight", pa.array(weight, pa.binary())).append_column(
-            "shares", pa.array(shares, pa.binary()))
+                out[i] = _squeezed(emit[x]) if len(x) else None
+        return places.append_column("emit", pa.array(out, pa.binary()))
 
     kinds = "".join(f", {k} binary" for k in more)
-    return _both(found, model.own, "part", run, f"block long, part int, at int, own binary{kinds}, weight binary, shares binary")
+    return _both(found, model.own, "part", run, f"block long, part int, at int, own binary{kinds}, emit binary")
 
 
-def _with_own(found, mine, mass, trans, emit):
+def _with_own(found, mine, trans, emit):
     """The model's tables with the block's own words."""
     import numpy as np
-    own = [np.zeros((0, STATES - 1), np.float32)]
-    for at, w, x in zip(mine, found["weight"].to_pylist(), found["shares"].to_pylist()):
-        own.append(np.ones((len(at), STATES - 1), np.float32) if x is None else (
-            _loose(w, np.float32)[:, None] * _loose(x, np.float16).reshape(-1, STATES - 1) / mass).astype(np.float32))
-    return _tables(trans, emit, np.concatenate(own))
+    own = [np.ones((len(at), STATES - 1), np.float32) if x is None else _matrix_of(_loose(x, np.float32))
+           for at, x in zip(mine, found["emit"].to_pylist())]
+    return _tables(trans, emit, np.concatenate(own) if own else np.zeros((0, STATES - 1), np.float32))
 
 
 def full_pass(rows: DataFrame, model: Model, vocabulary: Vocabulary) -> Model:
@@ -620,37 +624,33 @@ def full_pass(rows: DataFrame, model: Model, vocabulary: Vocabulary) -> Model:
     import numpy as np
     spark = rows.sparkSession
     shared = spark.sparkContext.broadcast((model.trans, model.emit))
-    size, head, mass = vocabulary.end_id, vocabulary.head, model.mass
+    size, head = vocabulary.end_id, vocabulary.head
     share_of_blocks = SALT
 
     def learn(docs, found):
         import pyarrow as pa
-        out = {"part": [], "at": [], "n": [], "sums": []}
+        out = {"part": [], "at": [], "sums": []}
         if docs.num_rows:
             found, to, mine = _places(found, head, size)
-            trans, emit = _with_own(found, mine, mass, *shared.value)
+            trans, emit = _with_own(found, mine, *shared.value)
             moves, counts = _count(docs, to, size, trans, emit)
-            own = counts[size + 1:, :-1]
+            own = counts[size + 1:, :-1].astype(np.float32)
             salt, whole = docs["block"][0].as_py() % share_of_blocks, np.concatenate(
-                (moves, np.append(own.sum(axis=0), 0)[None], counts[:size])).astype(np.float32)
+                (moves, np.append(own.sum(axis=0, dtype=np.float64), 0)[None], counts[:size])).astype(np.float32)
             for i in range(0, len(whole), CHUNK):
                 out["part"].append(-1 - (i // CHUNK * share_of_blocks + salt))
                 out["at"].append(None)
-                out["n"].append(None)
                 out["sums"].append(whole[i:i + CHUNK].tobytes())
             held = 0
             for part, at in zip(found["part"].to_pylist(), mine):
                 sums = own[held:held + len(at)]
                 held += len(at)
-                n = sums.sum(axis=1)
-                seen = np.flatnonzero(n > 0)                 # not those of held-out documents only
+                seen = np.flatnonzero(sums.any(axis=1))      # not those of held-out documents only
                 if len(seen):
                     out["part"].append(part)
                     out["at"].append(_squeezed(at[seen]))
-                    out["n"].append(_squeezed(np.rint(n[seen]).astype(np.float32)))
-                    out["sums"].append(_squeezed((sums[seen] / n[seen, None]).astype(np.float16)))
-        return pa.table(out, pa.schema([("part", pa.int32()), ("at", pa.binary()), ("n", pa.binary()),
-                                        ("sums", pa.binary())]))
+                    out["sums"].append(_squeezed(sums[seen]))
+        return pa.table(out, pa.schema([("part", pa.int32()), ("at", pa.binary()), ("sums", pa.binary())]))
 
     def add(counted, own):
         import pyarrow as pa
@@ -658,9 +658,7 @@ def full_pass(rows: DataFrame, model: Model, vocabulary: Vocabulary) -> Model:
         if own.num_rows:
             total = np.zeros((len(own["c"][0]), STATES - 1))
             for r in counted.to_pylist():
-                shares = _loose(r["sums"], np.float16).reshape(-1, STATES - 1).astype(np.float64)
-                n = _loose(r["n"], np.float32) / shares.sum(axis=1)
-                total[_loose(r["at"], np.int32)] += n[:, None] * shares
+                total[_loose(r["at"], np.int32)] += _matrix_of(_loose(r["sums"], np.float32))
         else:
             total = sum(_matrix_of(x.as_py(), STATES).astype(np.float64) for x in counted["sums"])
         part = (own if own.num_rows else counted)["part"].slice(0, 1)
@@ -668,7 +666,7 @@ def full_pass(rows: DataFrame, model: Model, vocabulary: Vocabulary) -> Model:
                          pa.array([total.astype(np.float32).tobytes()])], schema=schema)
 
     train = rows.where("part = -1 and not held_out").select("block", "n_tokens", "ids")
-    counted = _both(train, sent(rows, model), "block", learn, "part int, at binary, n binary, sums binary")
+    counted = _both(train, sent(rows, model), "block", learn, "part int, at binary, sums binary")
     summed = stored(_both(counted, model.own.select("part", "c"), "part", add, "part int, c array<long>, sums binary"),
                     "op2-model")
     shared.unpersist()
@@ -701,7 +699,7 @@ def scores(rows: DataFrame, model: Model, vocabulary: Vocabulary) -> DataFrame:
     """The result rows: log10 likelihood of each document's emission ids, and
     of the words inside their classes."""
     shared = rows.sparkSession.sparkContext.broadcast((model.trans, model.emit, vocabulary.log_class))
-    train_tokens, size, head, mass = vocabulary.n, vocabulary.end_id, vocabulary.head, model.mass
+    train_tokens, size, head = vocabulary.n, vocabulary.end_id, vocabulary.head
 
     def run(docs, found):
         import numpy as np
@@ -710,7 +708,7 @@ def scores(rows: DataFrame, model: Model, vocabulary: Vocabulary) -> DataFrame:
         if docs.num_rows:
             found, to, mine = _places(found, head, size)
             *model, log_class = shared.value
-            trans, emit = _with_own(found, mine, mass, *model)
+            trans, emit = _with_own(found, mine, *model)
             c = np.concatenate([np.zeros(0, np.int64)] + [_loose(x, np.int64) for x in found["seen"].to_pylist()])
             log_c, rest = np.log10(c + 1), np.flatnonzero(to < size)
             inside = np.zeros(len(c))
